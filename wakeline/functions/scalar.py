@@ -40,4 +40,6 @@ def nan_to_null(c: Column) -> Column:
 
 
 def half_even(c: Column, decimals: int = 0) -> Column:
-    return F.bround(c, decimals)
+    """Round halves to the even neighbour, on the scaled double (not on its decimal text)."""
+    scale = F.lit(10.0**decimals)
+    return F.rint(c * scale) / scale

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -75,27 +75,26 @@ def has_special_characters(text: Column) -> Column:
     return text.rlike("[^A-Za-z0-9]")
 
 
-def _names_port(text: Column, name: str, country: str) -> Column:
-    # At an end of the text, next to a dot on the left or right, or next to the country code.
-    parts = [text.startswith(name), text.endswith(name)]
-    parts += [F.contains(text, F.lit(p)) for p in (f".{name}", f"{name}.", f"{country}{name}", f"{name}{country}")]
-    return reduce(lambda a, b: a | b, parts)
+def _port_pattern(country: str, names: Sequence[str]) -> str:
+    # A name at an end of the text, next to a dot, or next to the country code.
+    any_name = "(?:" + "|".join(re.escape(n) for n in names) + ")"
+    return rf"(?:\A|\.|{country}){any_name}|{any_name}(?:\z|\.|{country})"
 
 
 def port_code(text: Column, rows: PortRows | None = None, keep_unmatched: bool = False) -> Column:
     """``CC.PORT`` of the first matching name, else null (or the text itself).
 
-    The dictionary is a fixed short list, so this is one map-side CASE expression: no join, no
+    The dictionary is a fixed short list, so this is one map-side CASE over its ports: no join, no
     shuffle of free texts, no hot destination.
     """
-    branches = None
-    for _, country, port, name in rows or port_rows():
-        test, code = _names_port(text, name, country), F.lit(f"{country}.{port}")
-        branches = F.when(test, code) if branches is None else branches.when(test, code)
-    if branches is None:
-        branches = F.lit(None).cast("string")
-    else:
-        branches = branches.otherwise(F.lit(None).cast("string"))
+    names: dict[tuple[str, str], list[str]] = {}
+    for _, country, port, name in sorted(rows or port_rows()):
+        names.setdefault((country, port), []).append(name)
+    codes = [
+        F.when(text.rlike(_port_pattern(country, of_port)), F.lit(f"{country}.{port}"))
+        for (country, port), of_port in names.items()
+    ]
+    branches = F.coalesce(*codes)
     matched = F.when(F.trim(text) != "", branches)
     return F.coalesce(matched, text) if keep_unmatched else matched
 
