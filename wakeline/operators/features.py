@@ -8,12 +8,10 @@ from pyspark.sql import functions as F
 from wakeline import schema as S
 from wakeline.functions import geo
 from wakeline.functions.scalar import angle_change
-from wakeline.operators.layout import CHUNK, Layout, detect
+from wakeline.operators.layout import CHUNK, Layout, detect, join_group_values
 from wakeline.operators.scan import previous, running_sum, scan, total
 
 NODES = 100
-# A route row holds two arrays of NODES doubles, about 2 kB: 20,000 routes are some 40 MB.
-BROADCAST_ROUTES = 20_000
 _LAST = 1 - 1e-12  # running sums may end a rounding error short of 1
 
 
@@ -122,12 +120,8 @@ def route_table(points: DataFrame, nodes: int = NODES) -> DataFrame:
 
 
 def join_routes(points: DataFrame, routes: DataFrame, source: DataFrame | None = None) -> DataFrame:
-    """Route columns onto points. Broadcast only if a count proves the routes few; else a shuffle
-    join, whose hot routes the adaptive skew join splits."""
-    names = (source if source is not None else points).select(S.ROUTE).distinct()
-    if names.limit(BROADCAST_ROUTES + 1).count() <= BROADCAST_ROUTES:
-        routes = F.broadcast(routes)
-    return points.join(routes, S.ROUTE, "left")
+    """Route columns onto points; ``source`` is a cheap frame with the same routes, to count them."""
+    return join_group_values(points, routes, [S.ROUTE], source)
 
 
 def add_route_features(points: DataFrame, routes: DataFrame, source: DataFrame | None = None, nodes: int = NODES) -> DataFrame:

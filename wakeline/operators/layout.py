@@ -82,6 +82,23 @@ def join_nullsafe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: s
     return left.join(renamed, condition, how).drop(*[f"_r_{k}" for k in keys])
 
 
+# Group statistics are rows of a few numbers, at most about 2 kB: 20,000 groups are some 40 MB.
+BROADCAST_GROUPS = 20_000
+
+
+def join_group_values(df: DataFrame, values: DataFrame, keys: Sequence[str], source: DataFrame | None = None, how: str = "left") -> DataFrame:
+    """Join one row of ``values`` per group onto the rows of ``df``.
+
+    Broadcast only after a count of the distinct keys (of ``source``, where a cheaper plan with the
+    same keys is at hand) proves the groups few. Otherwise a shuffle join, whose hot groups the
+    adaptive skew join splits.
+    """
+    groups = (source if source is not None else df).select(*keys).distinct()
+    if groups.limit(BROADCAST_GROUPS + 1).count() <= BROADCAST_GROUPS:
+        values = F.broadcast(values)
+    return df.join(values, list(keys), how)
+
+
 def detect(
     df: DataFrame,
     keys: Sequence[str],

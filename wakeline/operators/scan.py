@@ -162,15 +162,22 @@ def group_rank(
 
 
 def group_percentiles(
-    df: DataFrame, keys: Sequence[str], value: str, fractions: Sequence[float], names: Sequence[str], **detect_options
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    fractions: Sequence[float],
+    names: Sequence[str],
+    weight: str | None = None,
+    **detect_options,
 ) -> DataFrame:
     """Exact linear-interpolation percentiles per group.
 
     Works on per-value counts, so the shuffled volume is the number of distinct values, and
-    finds the two neighbouring ranks by a running count instead of collecting a group.
+    finds the two neighbouring ranks by a running count instead of collecting a group. ``weight``
+    counts a row that many times.
     """
     df, keys = _with_key(df, keys)
-    counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"))
+    counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg((F.sum(weight) if weight else F.count("*")).alias("_n"))
     layout = detect(counts, keys, [value], **detect_options)
     ranked = scan(counts, layout, _upto=running_sum("_n"), _size=total("_n"))
     picks = []
