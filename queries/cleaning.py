@@ -8,6 +8,7 @@ from queries import fixtures as fx
 from queries.registry import query, rounded
 from wakeline import schema as S
 from wakeline.functions import scalar, text
+from wakeline.ml import impute
 from wakeline.operators import clean, profile, trips
 from wakeline.operators import features as ft
 from wakeline.operators import labels as lb
@@ -640,7 +641,7 @@ def b3(spark, sf):
     return cleaning.normalise_destinations(raw.unionAll(raw))
 
 
-B4_SQL = (
+B4_CTES = (
     W4_SQL.format(source="possible", dest="Destination").replace(
         "WITH RECURSIVE ",
         f"WITH RECURSIVE {B3_SQL}, possible AS ({IMPOSSIBLE.format(source='(SELECT * EXCLUDE (target) FROM coded)')} WHERE SOG < 30), ",
@@ -650,7 +651,8 @@ B4_SQL = (
     + MODES.format(c="Length", source="possible").replace("modes AS", "length_modes AS")
     + ", "
     + MODES.format(c="Breadth", source="possible").replace("modes AS", "breadth_modes AS")
-    + """
+)
+B4_SELECT = """
   SELECT p.TripID AS trip_id, p.ID, p.MMSI, StartPort AS start_port, EndPort AS end_port, StartLatitude AS start_latitude, StartLongitude AS start_longitude,
     time AS time_stamp, StartTime AS start_time, EndTime AS end_time,
     coalesce(last_value(shiptype IGNORE NULLS) OVER (PARTITION BY p.TripID ORDER BY time, p.ID ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0) AS ship_type,
@@ -661,10 +663,51 @@ B4_SQL = (
     Name, CAST(NULL AS BOOLEAN) AS is_anomaly
   FROM possible p LEFT JOIN length_modes l ON l.TripID = p.TripID LEFT JOIN breadth_modes b ON b.TripID = p.TripID
     JOIN walk w ON w.TripID = p.TripID AND w.ID = p.ID"""
-)
 
 
-@_both("b4_handle_noise", B4_SQL)
+@_both("b4_handle_noise", B4_CTES + B4_SELECT)
 def b4(spark, sf, **options):
     raw = fx.raw(spark, sf)
     return cleaning.handle_noise(cleaning.normalise_destinations(raw), layout=layout(raw, **options))
+
+
+def _delivery(spark, sf):
+    path = scratch_path(spark, "reports")
+    fx.raw(spark, sf).write.options(header=True, timestampNTZFormat=MICROS).csv(path)
+    return path
+
+
+@query("b2_merge_reports", "SELECT * EXCLUDE (ID, MMSI, Name) REPLACE (CAST(shiptype AS INT) AS shiptype) FROM raw")
+def b2(spark, sf):
+    return cleaning.merge_reports(spark, _delivery(spark, sf))
+
+
+@query(
+    "b5_cleaning_run",
+    B4_CTES
+    + f""", cleaned AS ({B4_SELECT}) SELECT trip_id, start_port, end_port, time_stamp, CAST(ship_type AS INT) AS ship_type, latitude, longitude,
+    speed_over_ground, course_over_ground, true_heading, destination, is_anomaly FROM cleaned""",
+)
+def b5(spark, sf):
+    cleaned = cleaning.clean_reports(spark, _delivery(spark, sf), impute.imputer(rounds=5))
+    return cleaned.select(
+        "trip_id", "start_port", "end_port", "time_stamp", "ship_type", "latitude", "longitude",
+        "speed_over_ground", "course_over_ground", "true_heading", "destination", "is_anomaly",
+    )
+
+
+# ---------------------------------------------------------------- regression fills
+
+
+def _dimensions(spark, sf):
+    return clean.null_impossible(fx.raw(spark, sf)).select("ID", "TripID", "Length", "Breadth", "Draught")
+
+
+@query("k1_regression_imputation")
+def k1(spark, sf):
+    return impute.fill_dimensions(_dimensions(spark, sf), rounds=20)[0]
+
+
+@query("k2_single_imputation")
+def k2(spark, sf):
+    return impute.fill_by_regression(_dimensions(spark, sf), "Length", ["Breadth", "Draught"], decimals=2, rounds=20)[0]

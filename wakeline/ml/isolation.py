@@ -7,7 +7,6 @@ whatever the number of routes, cells and trees; no task holds a tree's whole sam
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -231,6 +230,3 @@ def contamination(route: Column) -> Column:
         value = F.when(route == name, share).otherwise(value)
     return value
 
-
-def log2_height(psi: int) -> int:
-    return math.ceil(math.log2(max(psi, 2)))

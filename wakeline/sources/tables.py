@@ -61,10 +61,11 @@ def write_trip_list(df: DataFrame, path: str) -> None:
     trips.trip_list(df).write.mode("overwrite").json(path)
 
 
-def scored_points(df: DataFrame, metrics: Sequence[str] = S.POINT_METRICS) -> DataFrame:
+def scored_points(df: DataFrame, metrics: Sequence[str] = S.POINT_METRICS, keep: Sequence[str] = ()) -> DataFrame:
     """The feed of a scored trip: position, ISO time, score, flag and the metrics present."""
     present = [F.col(m) for m in metrics if m in df.columns]
     return df.select(
+        *keep,
         "latitude",
         "longitude",
         iso_text(F.col(S.TIME)).alias("time_stamp"),
