@@ -12,6 +12,7 @@ from wakeline.ml import impute
 from wakeline.operators import clean, profile, trips
 from wakeline.operators import features as ft
 from wakeline.operators import labels as lb
+from wakeline.operators.layout import join_values
 from wakeline.plans import cleaning
 from wakeline.session import scratch_path
 from wakeline.sources import tables
@@ -609,7 +610,7 @@ def j2(spark, sf):
 def j10(spark, sf):
     raw = fx.raw(spark, sf)
     medians = profile.trip_medians(raw, "Draught")
-    return raw.join(medians, "TripID", "left").select("ID", (F.col("Draught") - F.col("median")).alias("draught_off"))
+    return join_values(raw, medians, layout(raw)).select("ID", (F.col("Draught") - F.col("median")).alias("draught_off"))
 
 
 @query("u1_union", "SELECT ID, TripID, SOG, CAST(NULL AS DOUBLE) AS COG FROM raw UNION ALL SELECT ID, TripID, CAST(NULL AS DOUBLE), COG FROM raw")

@@ -36,10 +36,9 @@ class Linear:
     components: np.ndarray  # code x (length * features)
 
 
-def fit(normal: DataFrame, code: int = CODE) -> Linear:
-    """Main directions of one route's scaled normal windows (``features`` array<array<double>>)."""
+def fit(normal: DataFrame, width: int, code: int = CODE) -> Linear:
+    """Main directions of one route's scaled normal windows (``width`` values each)."""
     flat = normal.select(F.flatten("features").alias("_flat"))
-    width = len(flat.first()["_flat"])
     means = flat.agg(F.array(*[F.avg(F.col("_flat")[i]) for i in range(width)]).alias("m")).first()["m"]
     model = PCA(k=min(code, width), inputCol="_x", outputCol="_z").fit(flat.select(array_to_vector("_flat").alias("_x")))
     return Linear(np.asarray(means), model.pc.toArray().T)
@@ -74,8 +73,8 @@ def train(points: DataFrame, features: Sequence[str], code: int = CODE, length:
     ranges = stored(scaling.window_ranges(sets.filter("part = 'train'"), len(features)), "ranges")
     scaled = stored(scaling.scale_windows(sets, ranges), "scaled")
     range_of = {r[S.ROUTE]: r for r in ranges.collect()}  # one row per route
-    models = {r: fit(scaled.filter((F.col(S.ROUTE) == r) & (F.col("part") == "train")), code) for r in range_of}
-    errors = window_errors(scaled.filter("part <> 'train'"), models)
+    models = {r: fit(scaled.filter((F.col(S.ROUTE) == r) & (F.col("part") == "train")), length * len(features), code) for r in range_of}
+    errors = stored(window_errors(scaled.filter("part <> 'train'"), models), "errors")
     taus = group_percentiles(errors.filter("part = 'validation'"), [S.ROUTE], "error", [TAU_PERCENTILE / 100], ["tau"])
     tau_of = {r[S.ROUTE]: r["tau"] for r in taus.collect()}
     rows = [

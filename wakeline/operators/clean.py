@@ -7,12 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from wakeline import schema as S
 from wakeline.functions import geo, scalar, text
-from wakeline.operators.layout import CHUNK, Layout, detect, join_nullsafe
-from wakeline.operators.scan import group_percentiles, last_known, next_known, previous, running_max, running_sum, scan, total
-from wakeline.operators.scan import position
+from wakeline.operators.layout import CHUNK, Layout, detect, join_nullsafe, join_values
+from wakeline.operators.scan import Agg, group_percentiles, last_known, next_known, position, running_max, scan
 
 TRIP_ORDER = ("time",)
 
@@ -143,45 +143,40 @@ def fill_mode(df: DataFrame, layout: Layout, columns: Sequence[str]) -> DataFram
     For a trip with one value or none this changes nothing, so only trips with mixed values
     are affected.
     """
-    if layout.hot is None:
-        by = _by_trip(layout)
-        return df.withColumns({c: F.coalesce(F.mode(F.col(c), True).over(by), F.col(c)) for c in columns})
-    for c in columns:
-        counts = df.groupBy(*layout.keys, c).agg(F.count(c).alias("_n")).filter(F.col(c).isNotNull())
-        best = counts.groupBy(*layout.keys).agg(F.min_by(c, F.struct(-F.col("_n"), F.col(c))).alias("_mode"))
-        df = _with_trip_value(df, best, layout)
-        df = df.withColumn(c, F.coalesce("_mode", c)).drop("_mode")
-    return df
+    return fill_trip_values(df, layout, modes=columns)
 
 
 def fill_median(df: DataFrame, layout: Layout, column: str = "Draught") -> DataFrame:
     """Nulls take the median of the trip, where the trip has any value."""
-    if layout.hot is None:
-        return df.withColumn(column, F.coalesce(F.col(column), F.median(column).over(_by_trip(layout))))
-    medians = group_percentiles(df, layout.keys, column, [0.5], ["_median"])
-    df = _with_trip_value(df, medians, layout)
-    return df.withColumn(column, F.coalesce(column, "_median")).drop("_median")
-
+    return fill_trip_values(df, layout, medians=[column])
 
-def _by_trip(layout: Layout):
-    from pyspark.sql.window import Window
 
-    return Window.partitionBy(*layout.partition)
+def fill_trip_values(df: DataFrame, layout: Layout, modes: Sequence[str] = (), medians: Sequence[str] = ()) -> DataFrame:
+    """Mode and median fills together.
 
-
-def _with_trip_value(df: DataFrame, values: DataFrame, layout: Layout) -> DataFrame:
-    """Join one value per trip to all its rows, a copy per chunk so that a large trip stays spread."""
-    owned = CHUNK not in df.columns
-    marked = layout.mark(df)
-    sized = join_nullsafe(values, F.broadcast(layout.hot), layout.keys, "left")
-    chunks = F.when(F.col("_bounds").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(1), F.size("_bounds") + 1))
-    spread = sized.withColumn(CHUNK, F.explode(chunks)).drop("_bounds")
-    out = join_nullsafe(marked, spread, [*layout.keys, CHUNK], "left")
-    return out.drop(CHUNK) if owned else out
+    Trips that fit a task use window aggregates. With cut trips the values come from (trip, value)
+    counts, and one join brings them all to the rows.
+    """
+    if layout.hot is None:
+        by = Window.partitionBy(*layout.keys)
+        fills = {c: F.coalesce(F.mode(F.col(c), True).over(by), F.col(c)) for c in modes}
+        fills |= {c: F.coalesce(F.col(c), F.median(c).over(by)) for c in medians}
+        return df.withColumns(fills)
+    values = df.select(*layout.keys).distinct()
+    for c in modes:
+        counts = df.filter(F.col(c).isNotNull()).groupBy(*layout.keys, c).agg(F.count("*").alias("_n"))
+        best = counts.groupBy(*layout.keys).agg(F.min_by(c, F.struct(-F.col("_n"), F.col(c))).alias(f"_mode_{c}"))
+        values = join_nullsafe(values, best, layout.keys, "left")
+    for c in medians:
+        values = join_nullsafe(values, group_percentiles(df, layout.keys, c, [0.5], [f"_median_{c}"]), layout.keys, "left")
+    filled = join_values(df, values, layout).withColumns(
+        {c: F.coalesce(f"_mode_{c}", c) for c in modes} | {c: F.coalesce(c, f"_median_{c}") for c in medians}
+    )
+    return filled.drop(*[f"_mode_{c}" for c in modes], *[f"_median_{c}" for c in medians])
 
 
 def fill_destination(
-    df: DataFrame, layout: Layout, dest: str = "Destination", lat: str = "Latitude", lon: str = "Longitude"
+    df: DataFrame, layout: Layout, dest: str = "Destination", lat: str = "Latitude", lon: str = "Longitude", **riding: Agg
 ) -> DataFrame:
     """Fill unknown destinations from the nearer neighbour, walking each trip in order.
 
@@ -192,7 +187,7 @@ def fill_destination(
     Once a row takes the later neighbour's value, every following unknown row up to that
     neighbour has it on both sides. So inside a gap the walk is decided by the first row that
     prefers the later side, and both questions ("which row is before me", "has any row of my gap
-    switched") are running aggregates.
+    switched") are running aggregates. Further aggregates of the same trips can ride on the scan.
     """
     known = F.col(dest).isNotNull()
     located = F.col(lat).isNotNull() & F.col(lon).isNotNull()
@@ -205,6 +200,7 @@ def fill_destination(
         _below=next_known(F.when(known, value)),
         _prev=last_known(F.when(known | located, here), before=True),
         _pos=position(),
+        **riding,
     )
     to_prev = geo.planar_degrees(F.col(lat), F.col(lon), F.col("_prev.lat"), F.col("_prev.lon"))
     to_below = geo.planar_degrees(F.col(lat), F.col(lon), F.col("_below.lat"), F.col("_below.lon"))
@@ -225,3 +221,12 @@ def fill_destination(
         .otherwise(F.col("_above.dest"))
     )
     return walked.withColumn(dest, filled).drop("_above", "_below", "_prev", "_pos", "_switch", "_switched", "_anchor")
+
+
+def fill_in_trips(df: DataFrame, layout: Layout) -> DataFrame:
+    """All trip-wise fills of the noise stage in one pass over the trips: destination, ship type,
+    draught median, length and breadth modes. The columns do not depend on each other."""
+    df = layout.pin(layout.mark(df))
+    df = layout.pin(fill_trip_values(df, layout, modes=["Length", "Breadth"], medians=["Draught"]))
+    df = fill_destination(df, layout, _ship=last_known("shiptype"))
+    return df.withColumn("shiptype", F.col("_ship")).drop("_ship", CHUNK)

@@ -7,8 +7,10 @@ work per chunk and pass small carries between chunks. Groups below ``chunk_rows`
 whole; if there is no large group at all, the plan is the plain one-shuffle window plan.
 
 Detection runs one column-pruned, map-side-combined count. What comes back to the driver is
-bounded: at most ``MAX_HOT`` groups with at most ``MAX_CHUNKS`` boundaries each. Any group
-beyond the ``MAX_HOT`` largest holds less than 1/MAX_HOT of the table and stays whole.
+bounded: at most ``MAX_HOT`` groups with at most ``MAX_CHUNKS`` boundaries each, and no more
+boundaries in all than rows / chunk_rows. Any group beyond the ``MAX_HOT`` largest holds less than
+1/MAX_HOT of the table and stays whole. The boundaries are fixed before the plan is built, so a
+task that is run again after a lost executor cuts its rows at the same places.
 """
 
 from __future__ import annotations
@@ -20,10 +22,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wakeline.session import stored
+
 CHUNK = "_chunk"
 CHUNK_ROWS = 1_000_000
 MAX_HOT = 4096
-MAX_CHUNKS = 1024
+MAX_CHUNKS = 4096
 
 # What percentile_approx takes; other orders (text, boolean) are not cut by it.
 _CUTTABLE = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
@@ -45,6 +49,11 @@ class Layout:
     def partition(self) -> list[str]:
         return [*self.keys, CHUNK] if self.hot is not None else list(self.keys)
 
+    def pin(self, df: DataFrame) -> DataFrame:
+        """Before several scans in a row: with cut groups each scan reads its input twice, so write
+        the input once. Plain windows read it once and need nothing."""
+        return df if self.hot is None else stored(df, "pinned")
+
     def order_key(self) -> Column:
         return F.struct(*[F.col(c) for c in self.order])
 
@@ -82,6 +91,23 @@ def join_nullsafe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: s
     return left.join(renamed, condition, how).drop(*[f"_r_{k}" for k in keys])
 
 
+def join_values(df: DataFrame, values: DataFrame, layout: Layout) -> DataFrame:
+    """Join one row of ``values`` per group to all rows of the group.
+
+    For a cut group the values are copied to each chunk and joined on (group, chunk): the rows are
+    already spread that way and stay spread.
+    """
+    if layout.hot is None:
+        return join_nullsafe(df, values, layout.keys, "left")
+    owned = CHUNK not in df.columns
+    marked = layout.mark(df)
+    sized = join_nullsafe(values, F.broadcast(layout.hot), layout.keys, "left")
+    chunks = F.when(F.col("_bounds").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(1), F.size("_bounds") + 1))
+    spread = sized.withColumn(CHUNK, F.explode(chunks)).drop("_bounds")
+    out = join_nullsafe(marked, spread, [*layout.keys, CHUNK], "left")
+    return out.drop(CHUNK) if owned else out
+
+
 # Group statistics are rows of a few numbers, at most about 2 kB: 20,000 groups are some 40 MB.
 BROADCAST_GROUPS = 20_000
 
@@ -121,11 +147,11 @@ def detect(
     spark = df.sparkSession
     schema = T.StructType([*[T.StructField(f.name, f.dataType) for f in key_fields], T.StructField("_rows", T.LongType())])
     hot = spark.createDataFrame(largest, schema)
-    cuts = [i / MAX_CHUNKS for i in range(1, MAX_CHUNKS)]
+    cuts = ", ".join(f"{i / MAX_CHUNKS}D" for i in range(1, MAX_CHUNKS))
     found = (
         join_nullsafe(slim, F.broadcast(hot), keys, "inner")
         .groupBy(*keys, "_rows")
-        .agg(F.percentile_approx(order[0], cuts, 10 * MAX_CHUNKS).alias("_bounds"))
+        .agg(F.expr(f"percentile_approx(`{order[0]}`, array({cuts}), {4 * MAX_CHUNKS})").alias("_bounds"))
         .collect()
     )
     rows = [(*[r[k] for k in keys], _thin(r["_bounds"], r["_rows"], chunk_rows)) for r in found]

@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wakeline.operators.layout import join_group_values
 from wakeline.operators.scan import group_percentiles, group_rank
 
 
@@ -177,7 +178,7 @@ def histogram(df: DataFrame, value: str, group: str, bins: int = 100) -> DataFra
     ranges = df.groupBy(group).agg(F.min(value).alias("_min"), F.max(value).alias("_max"))
     # Collapse equal values first: a hot group then joins as its distinct values.
     counts = df.filter(F.col(value).isNotNull()).groupBy(group, value).agg(F.count("*").alias("_n"))
-    binned = counts.join(ranges, group).withColumn(
+    binned = join_group_values(counts, ranges, [group], source=df).withColumn(
         "bin",
         F.when(F.col("_max") == F.col("_min"), bins // 2)
         .otherwise(F.least(F.lit(bins - 1), F.floor((F.col(value) - F.col("_min")) * bins / (F.col("_max") - F.col("_min")))))

@@ -46,12 +46,14 @@ def build_windows(
     step: int = STEP,
     inclusive: bool = False,
     pad_short: bool = False,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """One row per window: ``features`` as array<array<double>> and ``label`` 1 if all points are.
 
     Each point goes to the at most ``ceil(length / step)`` windows that cover it, and a window
     groups at most ``length`` points; so no trip is ever collected as a whole. Where rows are
-    already hashed by trip, the grouping needs no further shuffle.
+    already hashed by trip, the grouping needs no further shuffle. ``keep`` names columns that are
+    the same on all points of a trip.
     """
     last = last_start(F.col("n_points"), length, inclusive, pad_short)
     first_index = F.greatest(F.lit(0), F.ceil((F.col("pos") - length + 1) / step).cast("int"))
@@ -63,6 +65,7 @@ def build_windows(
         S.ROUTE,
         S.TRIP,
         "n_points",
+        *keep,
         F.explode(F.sequence(F.col("_first") * step, F.col("_last") * step, F.lit(step))).alias("start_pos"),
         F.struct("pos", values.alias("values")).alias("_cell"),
         (F.coalesce(F.col(label).cast("int"), F.lit(0)) if label else F.lit(0)).alias("_label"),
@@ -70,10 +73,11 @@ def build_windows(
     windows = cells.groupBy(S.TRIP, "start_pos").agg(
         F.max(S.ROUTE).alias(S.ROUTE),
         F.max("n_points").alias("n_points"),
+        *[F.max(c).alias(c) for c in keep],
         F.array_sort(F.collect_list("_cell")).alias("_cells"),
         F.min("_label").alias("label"),
     )
-    return windows.select(S.ROUTE, S.TRIP, "start_pos", "n_points", pad(F.col("_cells.values"), length).alias("features"), "label")
+    return windows.select(S.ROUTE, S.TRIP, "start_pos", "n_points", pad(F.col("_cells.values"), length).alias("features"), "label", *keep)
 
 
 def pad(cells: Column, length: int) -> Column:

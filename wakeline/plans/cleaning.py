@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wakeline import schema as S
 from wakeline.operators import clean
-from wakeline.operators.layout import CHUNK, Layout
+from wakeline.operators.layout import Layout
 from wakeline.sources import tables
 
 ORDER = ("time",)
@@ -50,13 +51,7 @@ def handle_noise(
     layout = layout or clean.trip_layout(df, order=order)
     df = clean.drop_duplicates(clean.drop_columns(df, ["AisSourcen"]))
     df = clean.drop_fast_points(clean.null_impossible(df))
-    df = layout.mark(df)
-    df = clean.fill_destination(df, layout)
-    df = clean.fill_ship_type(df, layout)
-    df = clean.fill_median(df, layout, "Draught")
-    df = clean.fill_course(df)
-    df = clean.fill_mode(df, layout, ["Length", "Breadth"])
-    df = df.drop(CHUNK)
+    df = clean.fill_course(clean.fill_in_trips(df, layout))
     if impute is not None:
         df = impute(df)
     return finish(df)
@@ -93,8 +88,6 @@ def ingest(spark: SparkSession, paths: str | Sequence[str], out: str, impute: Im
 
 def cleaned_or_built(spark: SparkSession, paths: str | Sequence[str], out: str, impute: Imputer | None = None) -> DataFrame:
     """The cleaned table, built now if it is not there yet."""
-    from pyspark.errors import AnalysisException
-
     try:
         return spark.read.parquet(out)
     except AnalysisException as missing:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from wakeline import schema as S
 from wakeline.operators import features as ft
 from wakeline.operators import labels, sequences, split, trips
-from wakeline.operators.layout import Layout
+from wakeline.operators.layout import Layout, join_values
 
 
 def prepare(df: DataFrame, excluded: Sequence = ()) -> DataFrame:
@@ -61,8 +61,12 @@ def sequence_sets(
     the normal windows of disjoint trips, ``anomaly`` all anomalous windows."""
     complete = trips.complete_rows(df, features)
     layout = layout or ft.point_layout(complete)
-    windows = sequences.build_windows(sequences.with_positions(layout.mark(complete), layout), features, length=length, step=step)
-    held = split.trip_holdout(windows.select(S.ROUTE, S.TRIP), S.ROUTE, S.TRIP, validation)
-    joined = windows.join(held, [S.ROUTE, S.TRIP])
+    # The split is drawn among the trips long enough for a window and joined on the trip
+    # partitioning of the points, so the windows themselves are not shuffled for it.
+    sizes = complete.groupBy(S.ROUTE, S.TRIP).agg(F.count("*").alias("n"))
+    held = split.trip_holdout(sizes.filter(F.col("n") > length + 1), S.ROUTE, S.TRIP, validation)
+    placed = sequences.with_positions(layout.mark(complete), layout)
+    assigned = join_values(placed, held.select(S.TRIP, "is_test"), layout)
+    windows = sequences.build_windows(assigned, features, length=length, step=step, keep=["is_test"])
     part = F.when(F.col("label") == 1, "anomaly").when(F.col("is_test"), "validation").otherwise("train")
-    return joined.withColumn("part", part).drop("is_test")
+    return windows.withColumn("part", part).drop("is_test")
