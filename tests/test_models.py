@@ -80,18 +80,27 @@ def test_isolation_samples_and_trees(points):
     assert {(r["cell"], r["tree"]) for r in per_tree} == {(c, t) for c, n in ((0, 7), (1, 5), (2, 3)) for t in range(n)}
     assert all(r["n"] == r["d"] and abs(r["n"] - r["psi"]) < 5 * r["psi"] ** 0.5 for r in per_tree)
     assert all(r["n"] == 630 for r in per_tree if r["cell"] == 2)
-    nodes = isolation.grow(train, FEATURES, cells, S.POINT).toPandas()
+    check_trees(isolation.grow(train, FEATURES, cells, S.POINT).toPandas())
+    # the same with nodes split by jobs before tasks finish them
+    check_trees(isolation.grow(train, FEATURES, cells, S.POINT, small=100).toPandas())
+
+
+def check_trees(nodes):
+    assert {(r.cell, r.tree) for r in nodes[nodes["node"] == 1].itertuples()} == {(c, t) for c, n in ((0, 7), (1, 5), (2, 3)) for t in range(n)}
     for _, tree in nodes.groupby([S.ROUTE, "cell", "tree"]):
         size = dict(zip(tree["node"], tree["size"]))
         inner = tree[tree["feature"].notna()]
+        assert len(size) == len(tree) == 2 * len(inner) + 1
         assert all(size[n] == size[2 * n] + size[2 * n + 1] for n in inner["node"])
+    split_on = nodes[nodes["feature"].notna()].groupby([S.ROUTE, "cell", "tree"])["feature"].nunique()
+    assert split_on.xs(1, level="cell").max() <= 4  # half of the nine features per tree
     # the constant column never splits
     assert not (nodes["feature"] == FEATURES.index("route_dummy")).any()
 
 
 def test_isolation_scores_by_join_equal_broadcast_scores(points, monkeypatch):
     cells = [isolation.Cell(6, "auto", 1.0), isolation.Cell(4, 0.5, 1.0)]
-    nodes = isolation.grow(points.filter("y_true = 0"), FEATURES, cells, S.POINT).persist()
+    nodes = isolation.grow(points.filter("y_true = 0"), FEATURES, cells, S.POINT, small=64).persist()
     some = points.filter("point_id % 9 = 0")
     direct = {r["point_id"]: r["raw"] for r in isolation.raw_scores(some, nodes, FEATURES, [0, 1]).collect()}
     monkeypatch.setattr(isolation, "BROADCAST_NODES", 0)

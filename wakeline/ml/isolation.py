@@ -1,12 +1,14 @@
-"""Isolation forests (Liu, Ting and Zhou 2008) for all routes and grid cells, grown level by level.
+"""Isolation forests (Liu, Ting and Zhou 2008) for all routes and grid cells in the same jobs.
 
-All trees grow in the same jobs: one aggregate per level finds size and ranges of every open
-node, and one join sends each sampled row to its child. The number of jobs is the height limit,
-whatever the number of routes, cells and trees; no task holds a tree's whole sample.
+Nodes with more than ``SMALL_NODE`` sampled rows are split level by level: one aggregate finds size
+and ranges of every such node, one join sends the rows to the children. Once a node's rows fit a
+task easily, its subtree is finished there. Usual samples (256 rows) are finished at once; the
+number of levels grows with the logarithm of the sample, not with routes, cells or trees.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -34,6 +36,9 @@ TAU_PERCENTILE = 94.0
 # A node is four numbers: two million of them are about 64 MB on driver and executors.
 BROADCAST_NODES = 2_000_000
 _NODE = [S.ROUTE, "cell", "tree", "node"]
+NODE_SCHEMA = f"{S.ROUTE} string, cell int, tree int, node bigint, depth int, size bigint, psi double, feature int, threshold double"
+# Rows a task finishes by itself.
+SMALL_NODE = 8192
 
 
 @dataclass(frozen=True)
@@ -53,7 +58,7 @@ def _uniform(*parts) -> Column:
 
 
 def draw_samples(train: DataFrame, features: Sequence[str], cells: Sequence[Cell], row_key: str, seed: int = 42) -> DataFrame:
-    """(route, cell, tree, psi, limit, x): the sampled rows of every tree.
+    """(route, cell, tree, node, psi, limit, allowed, x): the sampled rows of every tree.
 
     Rows are dealt like cards: one pass gives each of ``n // psi`` trees about ``psi`` rows without
     replacement, and there are as many passes as the trees need. So the output is trees * psi rows,
@@ -82,51 +87,91 @@ def draw_samples(train: DataFrame, features: Sequence[str], cells: Sequence[Cell
     dealt = dealt.withColumn("_hand", hand).filter(F.col("_hand") < per_pass)
     dealt = dealt.withColumn("tree", F.col("_pass") * per_pass + F.col("_hand")).filter(F.col("tree") < F.col("trees"))
     limit = F.ceil(F.log2(F.greatest(F.col("psi"), F.lit(2.0)))).cast("int")
-    return dealt.select(S.ROUTE, "cell", "tree", "psi", limit.alias("limit"), F.lit(1).cast("bigint").alias("node"), "x")
+    return dealt.select(
+        S.ROUTE, "cell", "tree", F.lit(1).cast("bigint").alias("node"), "psi", limit.alias("limit"), _tree_features(len(features), cells, seed).alias("allowed"), "x"
+    )
+
+
+def _tree_features(width: int, cells: Sequence[Cell], seed: int) -> Column:
+    """The features a tree may split on, drawn once per tree."""
+    wanted = F.lit(width)
+    for i, c in enumerate(cells):
+        wanted = F.when(F.col("cell") == i, max(1, int(c.feature_share * width))).otherwise(wanted)
+    drawn = F.transform(
+        F.sequence(F.lit(0), F.lit(width - 1)), lambda i: F.struct(F.xxhash64(S.ROUTE, "cell", "tree", i, F.lit(seed)).alias("h"), i.alias("i"))
+    )
+    return F.slice(F.transform(F.array_sort(drawn), lambda s: s["i"]), F.lit(1), wanted)
 
 
-def _split_nodes(rows: DataFrame, width: int, shares: Sequence[float], depth: int, seed: int) -> DataFrame:
-    """Size and random split of every open node; a node that cannot or may not split is a leaf."""
+def _split_nodes(rows: DataFrame, width: int, depth: int, seed: int) -> DataFrame:
+    """Size and random split of every node in ``rows``; a node that cannot or may not split is a leaf."""
     ranges = rows.groupBy(*_NODE).agg(
         F.count("*").alias("size"),
         F.max("psi").alias("psi"),
         F.max("limit").alias("limit"),
+        F.max("allowed").alias("allowed"),
         F.array(*[F.min(F.col("x")[i]) for i in range(width)]).alias("_low"),
         F.array(*[F.max(F.col("x")[i]) for i in range(width)]).alias("_high"),
     )
-    wanted = reduce(lambda acc, item: F.when(F.col("cell") == item[0], item[1]).otherwise(acc),
-                    [(i, max(1, int(s * width))) for i, s in enumerate(shares)], F.lit(width))
-    numbers = F.sequence(F.lit(0), F.lit(width - 1))
-    shuffled = F.array_sort(F.transform(numbers, lambda i: F.struct(F.xxhash64(S.ROUTE, "cell", "tree", i, F.lit(seed)).alias("h"), i.alias("i"))))
-    allowed = F.slice(F.transform(shuffled, lambda s: s["i"]), F.lit(1), wanted)
-    usable = F.filter(allowed, lambda i: F.get(F.col("_high"), i) > F.get(F.col("_low"), i))
+    usable = F.filter("allowed", lambda i: F.get(F.col("_high"), i) > F.get(F.col("_low"), i))
     with_usable = ranges.withColumn("_usable", usable)
     pick = F.floor(_uniform(*_NODE, F.lit(seed + 1)) * F.size("_usable")).cast("int")
-    feature = F.get(F.col("_usable"), pick)
     grows = (F.col("size") > 1) & (F.lit(depth) < F.col("limit")) & (F.size("_usable") > 0)
-    chosen = with_usable.withColumn("feature", F.when(grows, feature))
+    chosen = with_usable.withColumn("feature", F.when(grows, F.get(F.col("_usable"), pick)))
     low, high = F.get("_low", F.col("feature")), F.get("_high", F.col("feature"))
     threshold = low + _uniform(*_NODE, F.lit(seed + 2)) * (high - low)
     return chosen.select(*_NODE, F.lit(depth).alias("depth"), "size", "psi", "feature", F.when(threshold < high, threshold).otherwise(low).alias("threshold"))
 
 
-def grow(train: DataFrame, features: Sequence[str], cells: Sequence[Cell], row_key: str, seed: int = 42) -> DataFrame:
+def _finish(rows: DataFrame, depth: int, seed: int) -> DataFrame:
+    """The whole subtrees of nodes with at most ``SMALL_NODE`` rows, one node per group."""
+
+    def subtree(group: pd.DataFrame) -> pd.DataFrame:
+        route, cell, tree, top = (group[c].iloc[0] for c in _NODE)
+        psi, limit, allowed = group["psi"].iloc[0], group["limit"].iloc[0], np.asarray(group["allowed"].iloc[0])
+        x = np.stack(group["x"].to_numpy())
+        draw = np.random.default_rng([seed, zlib.crc32(str(route).encode()), int(cell), int(tree), int(top)])
+        out, open_nodes = [], [(int(top), depth, np.arange(len(x)))]
+        while open_nodes:
+            node, level, at = open_nodes.pop()
+            feature = threshold = None
+            if len(at) > 1 and level < limit:
+                low, high = x[at][:, allowed].min(axis=0), x[at][:, allowed].max(axis=0)
+                usable = np.flatnonzero(high > low)
+                if len(usable):
+                    j = usable[draw.integers(len(usable))]
+                    feature, threshold = int(allowed[j]), float(low[j] + draw.random() * (high[j] - low[j]))
+                    threshold = threshold if threshold < high[j] else float(low[j])
+                    right = x[at, feature] > threshold
+                    open_nodes += [(2 * node + 1, level + 1, at[right]), (2 * node, level + 1, at[~right])]
+            out.append((route, cell, tree, node, level, len(at), psi, feature, threshold))
+        table = pd.DataFrame(out, columns=[*_NODE, "depth", "size", "psi", "feature", "threshold"])
+        table["feature"] = table["feature"].astype("Int32")
+        return table
+
+    return rows.groupBy(*_NODE).applyInPandas(subtree, NODE_SCHEMA)
+
+
+def grow(train: DataFrame, features: Sequence[str], cells: Sequence[Cell], row_key: str, seed: int = 42, small: int = SMALL_NODE) -> DataFrame:
     """The node table of all forests.
 
-    Each level's nodes and the rows still open are written to the shared folder, which keeps the
-    plan short and lets the job survive lost executors.
+    The rows of large nodes and their splits are written to the shared folder level by level, which
+    keeps the plan short and lets the job survive lost executors.
     """
     rows = stored(draw_samples(train, features, cells, row_key, seed), "samples")
-    levels, depth = [], 0
-    while not rows.isEmpty():
-        nodes = stored(_split_nodes(rows, len(features), [c.feature_share for c in cells], depth, seed), "nodes")
-        levels.append(nodes)
+    parts, depth = [], 0
+    while True:
+        sizes = stored(rows.groupBy(*_NODE).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > small).select(*_NODE), "large")
+        if sizes.isEmpty():
+            return reduce(DataFrame.unionAll, [*parts, _finish(rows, depth, seed)])
+        parts.append(_finish(rows.join(sizes, _NODE, "left_anti"), depth, seed))
+        large = rows.join(sizes, _NODE, "left_semi")
+        nodes = stored(_split_nodes(large, len(features), depth, seed), "nodes")
+        parts.append(nodes)
         inner = nodes.filter(F.col("feature").isNotNull()).select(*_NODE, "feature", "threshold")
-        moved = rows.join(inner, _NODE)
         right = (F.get("x", F.col("feature")) > F.col("threshold")).cast("bigint")
-        rows = stored(moved.withColumn("node", F.col("node") * 2 + right).drop("feature", "threshold"), "rows")
+        rows = stored(large.join(inner, _NODE).withColumn("node", F.col("node") * 2 + right).drop("feature", "threshold"), "rows")
         depth += 1
-    return reduce(DataFrame.unionAll, levels)
 
 
 def average_path(n):

@@ -180,18 +180,41 @@ def group_percentiles(
     counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg((F.sum(weight) if weight else F.count("*")).alias("_n"))
     layout = detect(counts, keys, [value], **detect_options)
     ranked = scan(counts, layout, _upto=running_sum("_n"), _size=total("_n"))
-    picks = []
-    for i, fraction in enumerate(fractions):
-        target = (F.col("_size") - 1) * F.lit(float(fraction))
-        for side, rank in (("lo", F.floor(target)), ("hi", F.ceil(target))):
-            inside = (F.col("_upto") - F.col("_n") <= rank) & (rank < F.col("_upto"))
-            picks.append(F.max(F.when(inside, F.col(value))).alias(f"_{side}{i}"))
-    picked = ranked.groupBy(*keys).agg(F.max("_size").alias("_size"), *picks)
-    out = []
+    pick = _pick_each if len(fractions) <= 8 else _pick_many
+    return pick(ranked, keys, value, [float(f) for f in fractions], names).drop(_ONE_GROUP)
+
+
+def _inside(rank: Column) -> Column:
+    return (F.col("_upto") - F.col("_n") <= rank) & (rank < F.col("_upto"))
+
+
+def _target(fraction) -> Column:
+    return (F.col("_size") - 1) * fraction
+
+
+def _pick_each(ranked: DataFrame, keys: Sequence[str], value: str, fractions: Sequence[float], names: Sequence[str]) -> DataFrame:
+    picks, out = [F.max("_size").alias("_size")], []
     for i, (fraction, name) in enumerate(zip(fractions, names)):
-        target = (F.col("_size") - 1) * F.lit(float(fraction))
+        target = _target(F.lit(fraction))
+        picks += [F.max(F.when(_inside(r), F.col(value))).alias(f"_{side}{i}") for side, r in (("lo", F.floor(target)), ("hi", F.ceil(target)))]
         out.append((F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * (target - F.floor(target))).alias(name))
-    return picked.select(*keys, *out).drop(_ONE_GROUP)
+    return ranked.groupBy(*keys).agg(*picks).select(*keys, *out)
+
+
+def _pick_many(ranked: DataFrame, keys: Sequence[str], value: str, fractions: Sequence[float], names: Sequence[str]) -> DataFrame:
+    """For long grids: each value names the grid entries it serves (at most two values per entry)."""
+    grid = F.array(*[F.lit(f) for f in fractions])
+    entries = F.sequence(F.lit(0), F.lit(len(fractions) - 1))
+    serves = F.filter(entries, lambda i: _inside(F.floor(_target(F.get(grid, i)))) | _inside(F.ceil(_target(F.get(grid, i)))))
+    served = ranked.withColumn("_i", F.explode(serves)).withColumn("_target", _target(F.get(grid, "_i")))
+    sides = served.groupBy(*keys, "_i").agg(
+        F.max("_target").alias("_target"),
+        F.max(F.when(_inside(F.floor("_target")), F.col(value))).alias("_lo"),
+        F.max(F.when(_inside(F.ceil("_target")), F.col(value))).alias("_hi"),
+    )
+    result = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * (F.col("_target") - F.floor("_target"))
+    by_entry = sides.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("_i", result.alias("v")))).alias("_by"))
+    return by_entry.select(*keys, *[F.col("_by")[F.lit(i)].alias(n) for i, n in enumerate(names)])
 
 
 def _with_key(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
