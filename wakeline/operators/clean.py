@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 
 from wakeline import schema as S
 from wakeline.functions import geo, scalar, text
-from wakeline.operators.layout import CHUNK, Layout, detect, join_nullsafe, join_values
+from wakeline.operators.layout import CHUNK, Layout, detect, join_values
 from wakeline.operators.scan import Agg, group_percentiles, last_known, next_known, position, running_max, scan
 
 TRIP_ORDER = ("time",)
@@ -134,7 +134,7 @@ def trip_layout(df: DataFrame, trip: str = "TripID", order: Sequence[str] = TRIP
 
 def fill_ship_type(df: DataFrame, layout: Layout, column: str = "shiptype") -> DataFrame:
     """Forward fill inside the trip; nulls before the first known value stay."""
-    return scan(df, layout, _filled=last_known(column)).withColumn(column, F.col("_filled")).drop("_filled")
+    return scan(df, layout, _filled=last_known(column)).withColumn(column, F.coalesce("_filled", column)).drop("_filled")
 
 
 def fill_mode(df: DataFrame, layout: Layout, columns: Sequence[str]) -> DataFrame:
@@ -158,17 +158,17 @@ def fill_trip_values(df: DataFrame, layout: Layout, modes: Sequence[str] = (), m
     counts, and one join brings them all to the rows.
     """
     if layout.hot is None:
-        by = Window.partitionBy(*layout.keys)
-        fills = {c: F.coalesce(F.mode(F.col(c), True).over(by), F.col(c)) for c in modes}
-        fills |= {c: F.coalesce(F.col(c), F.median(c).over(by)) for c in medians}
+        by, in_trip = Window.partitionBy(*layout.keys), F.col(layout.keys[0]).isNotNull()
+        fills = {c: F.coalesce(F.when(in_trip, F.mode(F.col(c), True).over(by)), F.col(c)) for c in modes}
+        fills |= {c: F.coalesce(F.col(c), F.when(in_trip, F.median(c).over(by))) for c in medians}
         return df.withColumns(fills)
     values = df.select(*layout.keys).distinct()
     for c in modes:
         counts = df.filter(F.col(c).isNotNull()).groupBy(*layout.keys, c).agg(F.count("*").alias("_n"))
         best = counts.groupBy(*layout.keys).agg(F.min_by(c, F.struct(-F.col("_n"), F.col(c))).alias(f"_mode_{c}"))
-        values = join_nullsafe(values, best, layout.keys, "left")
+        values = values.join(best, list(layout.keys), "left")
     for c in medians:
-        values = join_nullsafe(values, group_percentiles(df, layout.keys, c, [0.5], [f"_median_{c}"]), layout.keys, "left")
+        values = values.join(group_percentiles(df, layout.keys, c, [0.5], [f"_median_{c}"]), list(layout.keys), "left")
     filled = join_values(df, values, layout).withColumns(
         {c: F.coalesce(f"_mode_{c}", c) for c in modes} | {c: F.coalesce(c, f"_median_{c}") for c in medians}
     )
@@ -229,4 +229,4 @@ def fill_in_trips(df: DataFrame, layout: Layout) -> DataFrame:
     df = layout.pin(layout.mark(df))
     df = layout.pin(fill_trip_values(df, layout, modes=["Length", "Breadth"], medians=["Draught"]))
     df = fill_destination(df, layout, _ship=last_known("shiptype"))
-    return df.withColumn("shiptype", F.col("_ship")).drop("_ship", CHUNK)
+    return df.withColumn("shiptype", F.coalesce("_ship", "shiptype")).drop("_ship", CHUNK)

@@ -7,10 +7,12 @@ work per chunk and pass small carries between chunks. Groups below ``chunk_rows`
 whole; if there is no large group at all, the plan is the plain one-shuffle window plan.
 
 Detection runs one column-pruned, map-side-combined count. What comes back to the driver is
-bounded: at most ``MAX_HOT`` groups with at most ``MAX_CHUNKS`` boundaries each, and no more
-boundaries in all than rows / chunk_rows. Any group beyond the ``MAX_HOT`` largest holds less than
-1/MAX_HOT of the table and stays whole. The boundaries are fixed before the plan is built, so a
-task that is run again after a lost executor cuts its rows at the same places.
+bounded: at most ``MAX_HOT`` groups with at most ``MAX_CHUNKS`` chunks each and about
+``TOTAL_CHUNKS`` in all. Any group beyond the ``MAX_HOT`` largest holds less than 1/MAX_HOT of the
+table and stays whole. The boundaries are fixed before the plan is built, so a task that is run
+again after a lost executor cuts its rows at the same places.
+
+Rows without a key belong to no group: they stay in the table and take no group values.
 """
 
 from __future__ import annotations
@@ -28,6 +30,7 @@ CHUNK = "_chunk"
 CHUNK_ROWS = 1_000_000
 MAX_HOT = 4096
 MAX_CHUNKS = 4096
+TOTAL_CHUNKS = 100_000
 
 # What percentile_approx takes; other orders (text, boolean) are not cut by it.
 _CUTTABLE = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
@@ -37,8 +40,9 @@ _CUTTABLE = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
 class Layout:
     """Groups by ``keys``, ordered by ``order``; ``hot`` lists the groups that are cut.
 
-    ``hot`` has the key columns and ``_bounds``, the sorted cut points of the first order
-    column. Rows of an uncut group have no chunk column (no hot group) or chunk 0.
+    ``hot`` has the key columns, ``_bounds``, the sorted cut points of the first order column, and
+    ``_first``, the number of the group's first chunk. Chunk numbers are unique over all groups and
+    rise with the order inside a group; rows of uncut groups have chunk 0.
     """
 
     keys: tuple[str, ...]
@@ -58,24 +62,24 @@ class Layout:
         return F.struct(*[F.col(c) for c in self.order])
 
     def mark(self, df: DataFrame) -> DataFrame:
-        """Add the chunk column (1..m in order for cut groups, else 0)."""
+        """Add the chunk column."""
         if self.hot is None or CHUNK in df.columns:
             return df
         marked = join_nullsafe(df, F.broadcast(self.hot), self.keys, "left")
         return marked.withColumn(
             CHUNK, F.when(F.col("_bounds").isNull(), 0).otherwise(_chunk_of(F.col(self.order[0])))
-        ).drop("_bounds")
+        ).drop("_bounds", "_first")
 
 
 def _chunk_of(value: Column) -> Column:
-    """1 + number of bounds <= value, by binary search (rows with a null value sort first)."""
+    """First chunk + number of bounds <= value, by binary search (a null value sorts first)."""
     step = MAX_CHUNKS
     steps = []
     while step >= 1:
         steps.append(step)
         step //= 2
     bounds = F.col("_bounds")
-    return F.lit(1) + F.aggregate(
+    return F.col("_first") + F.aggregate(
         F.array(*[F.lit(s) for s in steps]),
         F.lit(0),
         lambda low, s: F.when(F.get(bounds, low + s - 1) <= value, low + s).otherwise(low),
@@ -95,16 +99,18 @@ def join_values(df: DataFrame, values: DataFrame, layout: Layout) -> DataFrame:
     """Join one row of ``values`` per group to all rows of the group.
 
     For a cut group the values are copied to each chunk and joined on (group, chunk): the rows are
-    already spread that way and stay spread.
+    already spread that way, so they are neither moved nor gathered. These are plain equi-joins on
+    the columns the windows partition by.
     """
     if layout.hot is None:
-        return join_nullsafe(df, values, layout.keys, "left")
+        return df.join(values, list(layout.keys), "left")
     owned = CHUNK not in df.columns
     marked = layout.mark(df)
     sized = join_nullsafe(values, F.broadcast(layout.hot), layout.keys, "left")
-    chunks = F.when(F.col("_bounds").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(1), F.size("_bounds") + 1))
-    spread = sized.withColumn(CHUNK, F.explode(chunks)).drop("_bounds")
-    out = join_nullsafe(marked, spread, [*layout.keys, CHUNK], "left")
+    own = F.sequence(F.col("_first"), F.col("_first") + F.size("_bounds"))
+    chunks = F.when(F.col("_bounds").isNull(), F.array(F.lit(0))).otherwise(own)
+    spread = sized.withColumn(CHUNK, F.explode(chunks)).drop("_bounds", "_first")
+    out = marked.join(spread, [*layout.keys, CHUNK], "left")
     return out.drop(CHUNK) if owned else out
 
 
@@ -154,8 +160,20 @@ def detect(
         .agg(F.expr(f"percentile_approx(`{order[0]}`, array({cuts}), {4 * MAX_CHUNKS})").alias("_bounds"))
         .collect()
     )
-    rows = [(*[r[k] for k in keys], _thin(r["_bounds"], r["_rows"], chunk_rows)) for r in found]
-    schema = T.StructType([*[T.StructField(f.name, f.dataType) for f in key_fields], T.StructField("_bounds", T.ArrayType(order_type))])
+    # Larger chunks if there would be too many: their totals are broadcast.
+    chunk_rows = max(chunk_rows, sum(r["_rows"] for r in largest) // TOTAL_CHUNKS)
+    rows, first = [], 1
+    for r in found:
+        bounds = _thin(r["_bounds"], r["_rows"], chunk_rows)
+        rows.append((*[r[k] for k in keys], bounds, first))
+        first += len(bounds) + 1
+    schema = T.StructType(
+        [
+            *[T.StructField(f.name, f.dataType) for f in key_fields],
+            T.StructField("_bounds", T.ArrayType(order_type)),
+            T.StructField("_first", T.IntegerType()),
+        ]
+    )
     return Layout(keys, order, spark.createDataFrame(rows, schema))
 
 

@@ -2,21 +2,22 @@
 
 ``scan(df, layout, name=running_sum(col), ...)`` adds one column per aggregate. Without hot
 groups this is one window per frame over the group keys, all sharing a single shuffle and
-sort. With hot groups the same windows run per (group, chunk); the totals of the chunks
-(at most ``MAX_CHUNKS`` rows per group) are scanned in turn and joined back on
-(group, chunk), the partitioning the rows already have.
+sort. With hot groups the same windows run per (group, chunk). The totals of the chunks, some
+``TOTAL_CHUNKS`` rows at most, are scanned in turn and broadcast back, so the rows are still
+shuffled once.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from wakeline.operators.layout import CHUNK, Layout, detect, join_nullsafe
+from wakeline.operators.layout import CHUNK, Layout, detect
 
 _ONE_GROUP = "_one_group"
 UPTO, BEFORE, FROM, AFTER, ALL = "upto", "before", "from", "after", "all"
@@ -99,8 +100,15 @@ def scan(df: DataFrame, layout: Layout, **aggs: Agg) -> DataFrame:
 
 def _plain(agg: Agg, layout: Layout) -> Column:
     if agg.kind == "lag":
-        return F.lag(agg.expr).over(Window.partitionBy(*layout.keys).orderBy(*layout.order))
-    return _aggregate(agg.kind, agg.expr, agg.frame).over(_window(layout, agg.frame))
+        value = F.lag(agg.expr).over(Window.partitionBy(*layout.keys).orderBy(*layout.order))
+    else:
+        value = _aggregate(agg.kind, agg.expr, agg.frame).over(_window(layout, agg.frame))
+    return F.when(_has_group(layout), value)
+
+
+def _has_group(layout: Layout) -> Column:
+    """A row without a key belongs to no group and takes no aggregate."""
+    return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in layout.keys])
 
 
 def _chunked(df: DataFrame, layout: Layout, aggs: dict[str, Agg]) -> DataFrame:
@@ -112,18 +120,19 @@ def _chunked(df: DataFrame, layout: Layout, aggs: dict[str, Agg]) -> DataFrame:
         *[_chunk_total(a, order).alias(n) for n, a in plan.items()]
     )
     carries = totals.select(
-        *layout.keys, CHUNK, *[_carry(n, a, layout).alias(f"_carry_{n}") for n, a in plan.items()]
+        F.col(CHUNK).alias("_of_chunk"), *[_carry(n, a, layout).alias(f"_carry_{n}") for n, a in plan.items()]
     )
 
     local = df.select(
         "*", *[_aggregate(a.kind, a.expr, a.frame).over(_window(layout, a.frame)).alias(f"_local_{n}") for n, a in plan.items()]
     )
-    joined = join_nullsafe(local, carries, [*layout.keys, CHUNK], "left")
+    # One row per chunk of a cut group: bounded by detection.
+    joined = local.join(F.broadcast(carries), F.col(CHUNK) == F.col("_of_chunk"), "left")
     merged = {}
     for n, a in plan.items():
         value = _merge(a, F.col(f"_local_{n}"), F.col(f"_carry_{n}"))
-        merged[n] = value.getField("v") if aggs[n].kind == "lag" else value
-    return joined.withColumns(merged).drop(*[f"_local_{n}" for n in plan], *[f"_carry_{n}" for n in plan])
+        merged[n] = F.when(_has_group(layout), value.getField("v") if aggs[n].kind == "lag" else value)
+    return joined.withColumns(merged).drop("_of_chunk", *[f"_local_{n}" for n in plan], *[f"_carry_{n}" for n in plan])
 
 
 def _chunk_total(agg: Agg, order: Column) -> Column:
