@@ -346,6 +346,17 @@ def j7(spark, sf):
     return coded.groupBy("code").agg(F.count("*").alias("points"))
 
 
+@query(
+    "f6_port_problems",
+    f"{TARGETS} SELECT {code_sql('target')} AS code, count(*) AS points, CAST(NULL AS VARCHAR) AS problem FROM targets WHERE {code_sql('target')} IS NOT NULL GROUP BY 1",
+)
+def f6(spark, sf):
+    targets = clean.clean_destinations(fx.raw(spark, sf).select("Destination"))
+    coded = targets.select(text.port_code(F.col("Destination")).alias("code")).filter("code IS NOT NULL")
+    problems = text.port_violations(text.port_table(spark)).select(F.concat_ws(".", "country", "port").alias("code"), "problem")
+    return coded.groupBy("code").agg(F.count("*").alias("points")).join(F.broadcast(problems), "code", "left")  # the fixed dictionary
+
+
 @query(
     "f13_iso_text",
     """SELECT point_id, strftime(time_stamp, '%Y-%m-%dT%H:%M:%S') ||
@@ -426,6 +437,11 @@ def a3(spark, sf):
     return rounded(profile.top_values(fx.raw(spark, sf), "Destination"))
 
 
+@query("l2_top_trips", "SELECT TripID, count(*) AS rows, round(count(*) / (SELECT count(*) FROM raw) * 100, 6) AS share_percent FROM raw GROUP BY TripID ORDER BY rows DESC, TripID LIMIT 10")
+def l2(spark, sf):
+    return rounded(profile.top_values(fx.raw(spark, sf), "TripID"))
+
+
 @query(
     "a4_values_of_gappy_trips",
     "SELECT DISTINCT TripID, Destination FROM raw WHERE TripID IN (SELECT TripID FROM raw WHERE Destination IS NULL)",

@@ -9,6 +9,7 @@ from queries.points import _sequence_points
 from queries.registry import query
 from wakeline import schema as S
 from wakeline.ml import forest, importance, isolation, logistic, oneclass
+from wakeline.operators.layout import join_group_values
 from wakeline.plans import features as plan
 from wakeline.plans import scoring, training
 from wakeline.session import scratch_path, stored
@@ -78,6 +79,13 @@ def k10(spark, sf):
     return training.train_isolation(table, scratch_path(spark, "models"), grid=grid)[1]
 
 
+@query("j8_route_models")
+def j8(spark, sf):
+    points, out, registry = _trained(spark, sf, "logistic")
+    models = registry.select(F.col("route").alias(S.ROUTE), "model_type", "tau")
+    return join_group_values(points.select(S.ROUTE, S.TRIP, S.POINT), models, [S.ROUTE])
+
+
 @query("k12_score_points")
 def k12(spark, sf):
     scored = _scores(spark, sf, "logistic")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from itertools import product
 
@@ -60,20 +61,30 @@ def _best(scores: DataFrame):
 
 
 def fit_route(
-    train: DataFrame, test: DataFrame, features: Sequence[str], row_key: str, grid: Sequence[Cell] | None = None, folds: int = FOLDS, seed: int = 42
+    train: DataFrame,
+    test: DataFrame,
+    features: Sequence[str],
+    row_key: str,
+    grid: Sequence[Cell] | None = None,
+    folds: int = FOLDS,
+    seed: int = 42,
+    parallelism: int = 4,
 ) -> tuple[RandomForestClassificationModel, float, float, Cell, list[tuple[Cell, float]]]:
     """Best cell by mean fold F1, refitted on all training rows; tau by F1 on ``test``."""
     grid = list(grid or full_grid())
     dealt = split.folds(train, ["y_true"], folds, row_key, seed)
     vectors = _vectors(dealt, features, "y_true", "fold").persist()
-    results = []
-    for cell in grid:
-        scores = []
-        if len(grid) > 1:
-            for fold in range(folds):
-                model = _fit(vectors.filter(F.col("fold") != fold), cell, seed)
-                scores.append(_best(_scored(model, vectors.filter(F.col("fold") == fold)))["f1"])
-        results.append((cell, sum(scores) / len(scores) if scores else 0.0))
+
+    def fold_f1(task: tuple[Cell, int]) -> float:
+        cell, fold = task
+        model = _fit(vectors.filter(F.col("fold") != fold), cell, seed)
+        return _best(_scored(model, vectors.filter(F.col("fold") == fold)))["f1"]
+
+    results = [(cell, 0.0) for cell in grid]
+    if len(grid) > 1:  # a single cell needs no comparison
+        with ThreadPoolExecutor(parallelism) as pool:
+            scores = list(pool.map(fold_f1, product(grid, range(folds))))
+        results = [(cell, sum(scores[i * folds : (i + 1) * folds]) / folds) for i, cell in enumerate(grid)]
     best = max(results, key=lambda r: r[1])[0]
     model = _fit(vectors, best, seed)
     vectors.unpersist()

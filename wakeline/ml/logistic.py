@@ -18,11 +18,13 @@ from wakeline.ml.scaling import moments
 from wakeline.operators import evaluate as ev
 from wakeline.operators.layout import join_group_values
 
-# Regularisation strengths, penalties, weights of the anomaly class, thresholds.
+# Regularisation strengths, penalties, weights of the anomaly class, thresholds,
+# tolerance and most iterations of the solver.
 STRENGTHS = (0.01, 0.1, 1.0, 10.0)
 PENALTIES = ("l2", "l1")
 CLASS_WEIGHTS = (None, 2.0, 3.0, 4.0, 5.0, "balanced")
 TAUS = even_grid(0.0, 1.0, 101)
+TOLERANCE, ITERATIONS = 1e-4, 100
 
 
 @dataclass(frozen=True)
@@ -51,7 +53,7 @@ class Linear:
 
 
 def fit_route(
-    train: DataFrame, test: DataFrame, features: Sequence[str], grid: Sequence[Cell] | None = None, parallelism: int = 4, max_iter: int = 100
+    train: DataFrame, test: DataFrame, features: Sequence[str], grid: Sequence[Cell] | None = None, parallelism: int = 4, max_iter: int = ITERATIONS
 ) -> tuple[Linear, float, float, Cell, DataFrame]:
     """Best model of the grid by F1 on ``test``. Returns model, tau, F1, cell and the cell table.
 
@@ -77,7 +79,7 @@ def fit_route(
         penalty = 1 / (cell.strength * (zero * sizes["zero"] + one * sizes["one"]))
         model = LogisticRegression(
             featuresCol="_x", labelCol="_y", weightCol="_w", regParam=penalty,
-            elasticNetParam=1.0 if cell.penalty == "l1" else 0.0, standardization=False, maxIter=max_iter,
+            elasticNetParam=1.0 if cell.penalty == "l1" else 0.0, standardization=False, maxIter=max_iter, tol=TOLERANCE,
         ).fit(vectors.withColumn("_w", F.when(F.col("_y") == 1, one).otherwise(zero)))
         w = [float(x) / stats[f"{c}_std"] for x, c in zip(model.coefficients, features)]
         shift = sum(wi * stats[f"{c}_mean"] for wi, c in zip(w, features))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -18,9 +19,11 @@ from wakeline.session import stored
 from wakeline.sources import registry as reg
 from wakeline.sources import tables
 
-# Held-out shares per family, and the most routes one run loops over.
+# Held-out shares per family. The most routes one run loops over, and how many of them
+# are fitted at the same time.
 TEST_SHARE = {"logistic": 0.1, "random_forest": 0.1, "isolation_forest": 0.125, "one_class_svm": 0.1}
 MAX_ROUTES = 10_000
+ROUTES_AT_ONCE = 2
 
 
 def training_table(points: DataFrame, features: Sequence[str] = S.POINT_FEATURES) -> DataFrame:
@@ -42,29 +45,35 @@ def _supervised_split(table: DataFrame, family: str) -> DataFrame:
     return stored(split.holdout(labelled, [S.ROUTE, "y_true"], TEST_SHARE[family], S.POINT), "split")
 
 
+def _per_route(parts: DataFrame, fit) -> dict:
+    """``fit(route, train, test)`` for every route with both classes, a few routes at a time."""
+    routes = [r for r, (normal, anomaly) in class_sizes(parts.filter("NOT is_test")).items() if normal and anomaly]
+
+    def run(route: str):
+        rows = parts.filter(F.col(S.ROUTE) == route)
+        return fit(route, rows.filter("NOT is_test"), rows.filter("is_test"))
+
+    with ThreadPoolExecutor(ROUTES_AT_ONCE) as pool:
+        return dict(zip(routes, pool.map(run, routes)))
+
+
 def train_logistic(table: DataFrame, out: str, features: Sequence[str] = S.POINT_FEATURES, grid=None, **options) -> list[reg.Entry]:
     """A route without both classes is skipped."""
-    parts = _supervised_split(table, "logistic")
-    models, entries = {}, []
-    for route, (normal, anomaly) in class_sizes(parts.filter("NOT is_test")).items():
-        if not normal or not anomaly:
-            continue
-        rows = parts.filter(F.col(S.ROUTE) == route)
-        model, tau, _, _, _ = logistic.fit_route(rows.filter("NOT is_test"), rows.filter("is_test"), features, grid, **options)
-        models[route] = model
-        entries.append(reg.Entry(route, "logistic", f"{out}/logistic", tau, features))
+    fitted = _per_route(
+        _supervised_split(table, "logistic"), lambda route, train, test: logistic.fit_route(train, test, features, grid, **options)
+    )
+    models = {route: model for route, (model, *_) in fitted.items()}
     tables.write_table(logistic.model_table(table.sparkSession, models), f"{out}/logistic")
-    return entries
+    return [reg.Entry(route, "logistic", f"{out}/logistic", tau, features) for route, (_, tau, *_) in fitted.items()]
 
 
 def train_random_forest(table: DataFrame, out: str, features: Sequence[str] = S.POINT_FEATURES, grid=None, **options) -> list[reg.Entry]:
-    parts = _supervised_split(table, "random_forest")
+    fitted = _per_route(
+        _supervised_split(table, "random_forest"),
+        lambda route, train, test: forest.fit_route(train, test, features, S.POINT, grid, **options),
+    )
     entries = []
-    for route, (normal, anomaly) in class_sizes(parts.filter("NOT is_test")).items():
-        if not normal or not anomaly:
-            continue
-        rows = parts.filter(F.col(S.ROUTE) == route)
-        model, tau, _, _, _ = forest.fit_route(rows.filter("NOT is_test"), rows.filter("is_test"), features, S.POINT, grid, **options)
+    for route, (model, tau, *_) in fitted.items():
         path = f"{out}/random_forest/{route}"
         model.write().overwrite().save(path)
         entries.append(reg.Entry(route, "random_forest", path, tau, features))
