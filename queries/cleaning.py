@@ -173,8 +173,8 @@ AUDIT_TEXT = "Destination, CAST(Draught AS VARCHAR(20)) AS Draught"
     known AS (SELECT "column", t, TRY_CAST(t AS DOUBLE) IS NOT NULL AS num FROM cells WHERE t IS NOT NULL),
     shown AS (SELECT "column", string_agg(t, '|' ORDER BY t) AS examples FROM
       (SELECT "column", t, row_number() OVER (PARTITION BY "column" ORDER BY t) AS r FROM (SELECT DISTINCT "column", t FROM known WHERE NOT num)) WHERE r <= 5 GROUP BY 1)
-    SELECT k."column", count_if(num) AS numbers, count_if(NOT num) AS texts, coalesce(max(examples), '') AS examples,
-      count_if(num) > 0 AND count_if(NOT num) > 0 AS mixed
+    SELECT k."column", count(*) FILTER (WHERE num) AS numbers, count(*) FILTER (WHERE NOT num) AS texts, coalesce(max(examples), '') AS examples,
+      count(*) FILTER (WHERE num) > 0 AND count(*) FILTER (WHERE NOT num) > 0 AS mixed
     FROM known k LEFT JOIN shown s ON k."column" = s."column" GROUP BY k."column" """,
 )
 def p4(spark, sf):
@@ -399,7 +399,7 @@ def f12(spark, sf):
 @query(
     "a1_missing_percent",
     " UNION ALL ".join(
-        f"""SELECT '{c}' AS "column", round(count_if({c} IS NULL) / count(*) * 100, 5) AS missing_percent FROM raw"""
+        f"""SELECT '{c}' AS "column", round(count(*) FILTER (WHERE {c} IS NULL) / count(*) * 100, 5) AS missing_percent FROM raw"""
         for c in ("shiptype", "Length", "Breadth", "Draught", "Destination", "SOG")
     ),
 )
@@ -453,7 +453,7 @@ def a4(spark, sf):
 @query(
     "a5_inconsistent_trips",
     """SELECT TripID FROM raw GROUP BY TripID
-       HAVING count(DISTINCT Length) > 1 OR (count(DISTINCT Length) > 0 AND count_if(Length IS NULL) > 0)""",
+       HAVING count(DISTINCT Length) > 1 OR (count(DISTINCT Length) > 0 AND count(*) FILTER (WHERE Length IS NULL) > 0)""",
 )
 def a5(spark, sf):
     return profile.inconsistent_trips(fx.raw(spark, sf), "Length")
@@ -520,7 +520,7 @@ def a14(spark, sf):
 @query(
     "a18_missing_map",
     " UNION ALL ".join(
-        f"""SELECT ID % 100 AS bucket, count(*) AS rows, '{c}' AS "column", count_if({c} IS NULL) AS nulls FROM raw GROUP BY 1"""
+        f"""SELECT ID % 100 AS bucket, count(*) AS rows, '{c}' AS "column", count(*) FILTER (WHERE {c} IS NULL) AS nulls FROM raw GROUP BY 1"""
         for c in ("Length", "Draught", "Destination")
     ),
 )
@@ -531,7 +531,7 @@ def a18(spark, sf):
 MODE_FILL = "WITH " + MODES.format(c="Length", source="raw") + """,
   filled AS (SELECT raw.* REPLACE (coalesce(mode, Length) AS Length) FROM raw LEFT JOIN modes ON raw.TripID = modes.TripID)"""
 
-_REPORT = """SELECT '{stage}' AS stage, round(sum(gaps) / sum(n) * 100, 5) AS missing_percent, count_if(d > 1 OR (d > 0 AND gaps > 0)) AS inconsistent_trips
+_REPORT = """SELECT '{stage}' AS stage, round(sum(gaps) / sum(n) * 100, 5) AS missing_percent, count(*) FILTER (WHERE d > 1 OR (d > 0 AND gaps > 0)) AS inconsistent_trips
   FROM (SELECT TripID, count(*) AS n, count(*) - count(Length) AS gaps, count(DISTINCT Length) AS d FROM {source} GROUP BY TripID)"""
 
 

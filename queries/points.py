@@ -246,9 +246,9 @@ def u5(spark, sf):
 
 @query(
     "b1_label_counts",
-    f"""WITH {FLAGS} SELECT start_port, count(*) AS points, count_if(manual) AS manual_points, count_if(by_delta) AS delta_points,
-    count_if(manual OR by_delta) AS combined_points, count_if((manual OR by_delta) AND in_zone) AS overridden_points,
-    count_if((manual OR by_delta) AND NOT in_zone) AS final_points, round(count_if((manual OR by_delta) AND NOT in_zone) / count(*), 6) AS anomaly_share
+    f"""WITH {FLAGS} SELECT start_port, count(*) AS points, count(*) FILTER (WHERE manual) AS manual_points, count(*) FILTER (WHERE by_delta) AS delta_points,
+    count(*) FILTER (WHERE manual OR by_delta) AS combined_points, count(*) FILTER (WHERE (manual OR by_delta) AND in_zone) AS overridden_points,
+    count(*) FILTER (WHERE (manual OR by_delta) AND NOT in_zone) AS final_points, round(count(*) FILTER (WHERE (manual OR by_delta) AND NOT in_zone) / count(*), 6) AS anomaly_share
     FROM flags GROUP BY start_port""",
 )
 def b1_counts(spark, sf):
@@ -277,7 +277,7 @@ def j9(spark, sf):
 
 @query(
     "e6_anomaly_share",
-    "SELECT trip_id, count(*) AS points, count_if(is_anomaly) AS anomalies, round(count_if(coalesce(is_anomaly, false)) / count(*), 6) AS share FROM traj GROUP BY trip_id",
+    "SELECT trip_id, count(*) AS points, count(*) FILTER (WHERE is_anomaly) AS anomalies, round(count(*) FILTER (WHERE coalesce(is_anomaly, false)) / count(*), 6) AS share FROM traj GROUP BY trip_id",
 )
 def e6(spark, sf):
     return rounded(ev.anomaly_share(fx.traj(spark, sf), ["trip_id"]))
@@ -396,7 +396,7 @@ def k4(spark, sf):
 
 @query(
     "j1_features_and_labels",
-    """SELECT t.trip_id, count(*) AS points, count_if(is_anomaly) AS anomalies, round(sum(speed_over_ground), 4) AS speed_sum FROM traj t
+    """SELECT t.trip_id, count(*) AS points, count(*) FILTER (WHERE is_anomaly) AS anomalies, round(sum(speed_over_ground), 4) AS speed_sum FROM traj t
        WHERE draught IS NOT NULL AND is_anomaly IS NOT NULL GROUP BY t.trip_id""",
 )
 def j1(spark, sf):
@@ -465,8 +465,8 @@ def u3(spark, sf):
 
 EVALS = """evals AS (SELECT point_id AS id, start_port, CASE WHEN is_anomaly IS NULL THEN -1 ELSE CAST(is_anomaly AS INT) END AS y, speed_over_ground / 50 AS score,
     CASE WHEN speed_over_ground > 30 THEN 1 ELSE 0 END AS pred FROM traj),
-  cm AS (SELECT start_port, count_if(y = 1 AND pred = 1) AS tp, count_if(y = 0 AND pred = 0) AS tn, count_if(y = 0 AND pred = 1) AS fp,
-    count_if(y = 1 AND pred = 0) AS fn, count_if(y = -1) AS unlabeled FROM evals GROUP BY start_port)"""
+  cm AS (SELECT start_port, count(*) FILTER (WHERE y = 1 AND pred = 1) AS tp, count(*) FILTER (WHERE y = 0 AND pred = 0) AS tn, count(*) FILTER (WHERE y = 0 AND pred = 1) AS fp,
+    count(*) FILTER (WHERE y = 1 AND pred = 0) AS fn, count(*) FILTER (WHERE y = -1) AS unlabeled FROM evals GROUP BY start_port)"""
 
 
 def _evals(spark, sf):
@@ -513,7 +513,7 @@ def e3(spark, sf):
     "e4_roc_auc",
     f"""WITH {EVALS}, ranks AS (SELECT start_port, y, rank() OVER (PARTITION BY start_port ORDER BY score) +
       (count(*) OVER (PARTITION BY start_port, score) - 1) / 2 AS r FROM evals WHERE y >= 0)
-    SELECT start_port, round((sum(CASE WHEN y = 1 THEN r END) - CAST(count_if(y = 1) AS DOUBLE) * (count_if(y = 1) + 1) / 2) / (CAST(count_if(y = 1) AS DOUBLE) * count_if(y = 0)), 6) AS auc
+    SELECT start_port, round((sum(CASE WHEN y = 1 THEN r END) - CAST(count(*) FILTER (WHERE y = 1) AS DOUBLE) * (count(*) FILTER (WHERE y = 1) + 1) / 2) / (CAST(count(*) FILTER (WHERE y = 1) AS DOUBLE) * count(*) FILTER (WHERE y = 0)), 6) AS auc
     FROM ranks GROUP BY start_port""",
 )
 def e4(spark, sf, **options):
@@ -531,8 +531,8 @@ def e5(spark, sf):
 
 
 TAUS = """taus AS (SELECT CAST(i AS INT) AS tau_index, CASE WHEN i = 100 THEN 1 ELSE i * CAST(0.01 AS DOUBLE) END AS tau FROM range(0, 101) g(i)),
-  swept AS (SELECT start_port, tau_index, tau, count_if(y = 1 AND score > tau) AS tp, count_if(y = 0 AND score > tau) AS fp,
-    count_if(y = 1 AND score <= tau) AS fn, count_if(y = 0 AND score <= tau) AS tn FROM evals, taus WHERE y >= 0 GROUP BY ALL),
+  swept AS (SELECT start_port, tau_index, tau, count(*) FILTER (WHERE y = 1 AND score > tau) AS tp, count(*) FILTER (WHERE y = 0 AND score > tau) AS fp,
+    count(*) FILTER (WHERE y = 1 AND score <= tau) AS fn, count(*) FILTER (WHERE y = 0 AND score <= tau) AS tn FROM evals, taus WHERE y >= 0 GROUP BY ALL),
   scored AS (SELECT *, CASE WHEN 2 * tp + fp + fn > 0 THEN 2 * tp / (2 * tp + fp + fn) ELSE 0 END AS f1 FROM swept)"""
 
 
@@ -591,7 +591,7 @@ def a17_box(spark, sf):
     return rounded(profile.box_quantiles(_evals(spark, sf), "score", "y"))
 
 
-@query("e1_label_scores", "SELECT count_if(y = 1 AND pred = 1) AS tp, count_if(y = 0 AND pred = 0) AS tn, count_if(y = 0 AND pred = 1) AS fp, count_if(y = 1 AND pred = 0) AS fn, count_if(y = -1) AS unlabeled FROM scores")
+@query("e1_label_scores", "SELECT count(*) FILTER (WHERE y = 1 AND pred = 1) AS tp, count(*) FILTER (WHERE y = 0 AND pred = 0) AS tn, count(*) FILTER (WHERE y = 0 AND pred = 1) AS fp, count(*) FILTER (WHERE y = 1 AND pred = 0) AS fn, count(*) FILTER (WHERE y = -1) AS unlabeled FROM scores")
 def e1_scores(spark, sf):
     return ev.confusion(fx.scores(spark, sf))
 

@@ -47,15 +47,13 @@ def fill_by_regression(
     if not sizes["gaps"] or not sizes["rows"]:
         return df, None
 
-    # One number per feature: its weighted median over the known rows.
-    medians = {}
-    for c in features:
-        row = group_percentiles(known, [], c, [0.5], ["m"], weight="_rows").first()
-        medians[c] = row["m"] if row else 0.0
+    # One number per feature: its median over the known rows.
+    cells = known.select("_rows", F.inline(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in features])))
+    medians = {r["feature"]: r["m"] for r in group_percentiles(cells, ["feature"], "value", [0.5], ["m"], weight="_rows").collect()}
 
     def with_inputs(frame: DataFrame) -> DataFrame:
         # Trees here take no nulls: the median stands in, and a flag tells the two apart.
-        filled = {f"_in_{c}": F.coalesce(F.col(c).cast("double"), F.lit(float(medians[c]))) for c in features}
+        filled = {f"_in_{c}": F.coalesce(F.col(c).cast("double"), F.lit(float(medians.get(c, 0.0)))) for c in features}
         flags = {f"_gap_{c}": F.col(c).isNull().cast("double") for c in features}
         assembler = VectorAssembler(inputCols=[*filled, *flags], outputCol="_features")
         return assembler.transform(frame.withColumns({**filled, **flags})).drop(*filled, *flags)

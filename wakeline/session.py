@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -35,9 +36,12 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="wakeline-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_folder(spark.sparkContext.applicationId)
+
+
+@functools.cache
+def _local_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix="wakeline-ckpt-")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -45,15 +49,6 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: cuts lineage and survives the loss of executors."""
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint(eager=True)
-
-
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back."""
     path = scratch_path(df.sparkSession, label)
