@@ -9,6 +9,7 @@ from queries.points import _sequence_points
 from queries.registry import query
 from wakeline import schema as S
 from wakeline.ml import forest, importance, isolation, logistic, oneclass
+from wakeline.operators import trips
 from wakeline.operators.layout import join_group_values
 from wakeline.plans import features as plan
 from wakeline.plans import scoring, training
@@ -125,6 +126,15 @@ def b7(spark, sf):
     return registry.select("route", "model_type", "tau")
 
 
+@query("b8_score_one_trip")
+def b8_one(spark, sf):
+    labelled = plan.label_table(fx.traj(spark, sf))
+    out = scratch_path(spark, "models")
+    training.train_from_cleaned("logistic", labelled, out, **GRIDS["logistic"])
+    scored = scoring.score_cleaned(trips.select_trip(labelled, 8), out, "logistic")
+    return scored.select(S.TRIP, S.POINT, "score", "is_anomaly_pred")
+
+
 @query("b8_score_trips")
 def b8(spark, sf):
     points, out, _ = _trained(spark, sf, "logistic")

@@ -43,3 +43,8 @@ def half_even(c: Column, decimals: int = 0) -> Column:
     """Round halves to the even neighbour, on the scaled double (not on its decimal text)."""
     scale = F.lit(10.0**decimals)
     return F.rint(c * scale) / scale
+
+
+def row_id(*columns: str) -> Column:
+    """128-bit key of a row's content; 64 bits would meet collisions in a table of 10^12 rows."""
+    return F.concat(F.hex(F.xxhash64(*columns)), F.lit("-"), F.hex(F.xxhash64(F.lit(1), *columns)))

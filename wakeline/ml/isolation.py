@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wakeline import schema as S
+from wakeline.functions.scalar import row_id
 from wakeline.operators.layout import join_group_values
 from wakeline.session import stored
 
@@ -240,7 +241,7 @@ def raw_scores(points: DataFrame, nodes: DataFrame, features: Sequence[str], cel
 
 def raw_scores_by_join(points: DataFrame, nodes: DataFrame, features: Sequence[str], cells: Sequence[int]) -> DataFrame:
     """The same scores for forests too large to broadcast: every (point, tree) walks by equi-joins."""
-    keyed = points.withColumn("_row", F.xxhash64(*points.columns))
+    keyed = points.withColumn("_row", row_id(*points.columns))
     inputs = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in features])
     n = F.col("size").cast("double")
     leaf_path = F.when(n > 2, 2 * (F.log(n - 1) + float(np.euler_gamma)) - 2 * (n - 1) / n).when(n == 2, 1.0).otherwise(0.0)

@@ -6,9 +6,9 @@ from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from wakeline import schema as S
+from wakeline.functions.scalar import row_id
 from wakeline.operators import clean
 from wakeline.operators.layout import Layout
 from wakeline.sources import tables
@@ -99,4 +99,4 @@ def cleaned_or_built(spark: SparkSession, paths: str | Sequence[str], out: str,
 def with_point_id(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """A row key from the row's content, for tables that carry none (rows are distinct after
     duplicate removal)."""
-    return df.withColumn(S.POINT, F.xxhash64(*(columns or df.columns)))
+    return df.withColumn(S.POINT, row_id(*(columns or df.columns)))

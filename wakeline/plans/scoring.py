@@ -14,6 +14,7 @@ from wakeline.ml import forest, isolation, logistic, oneclass, reconstruct, scal
 from wakeline.operators import sequences
 from wakeline.operators.features import point_layout
 from wakeline.operators.layout import join_group_values
+from wakeline.plans import features as features_plan
 from wakeline.sources import registry as reg
 from wakeline.sources import tables
 
@@ -99,6 +100,12 @@ def _reconstruction(points, entries, model_dir, length: int = sequences.LENGTH,
     return reduce(DataFrame.unionByName, parts).drop("pos", "n_points", "_chunk")
 
 
+def score_cleaned(cleaned: DataFrame, model_dir: str, family: str) -> DataFrame:
+    """Features by the stored route statistics, then scores: reads only the given trips."""
+    routes = cleaned.sparkSession.read.parquet(f"{model_dir}/routes")
+    return score_points(features_plan.feature_points(cleaned, routes), model_dir, family)
+
+
 def score_trips(points: DataFrame, model_dir: str, family: str, out: str) -> None:
     """Scored points of all given trips as JSON lines; the trip's id leads every point."""
     scored = score_points(points, model_dir, family)

@@ -16,6 +16,7 @@ from wakeline.operators import split, trips
 from wakeline.operators.layout import join_group_values
 from wakeline.operators.scan import group_percentiles
 from wakeline.session import stored
+from wakeline.plans import features as features_plan
 from wakeline.sources import registry as reg
 from wakeline.sources import tables
 
@@ -196,6 +197,20 @@ TRAINERS = {
 }
 
 
+def save_routes(cleaned: DataFrame, out: str) -> DataFrame:
+    """Route centres and average paths, stored with the models: the same ones place points in
+    training and in scoring, and scoring need not read the whole table for them."""
+    tables.write_table(features_plan.route_statistics(cleaned), f"{out}/routes")
+    return cleaned.sparkSession.read.parquet(f"{out}/routes")
+
+
+def train_from_cleaned(family: str, cleaned: DataFrame, out: str, excluded: Sequence = (), **options) -> DataFrame:
+    """Labelled cleaned points to registered models: route statistics, features, training."""
+    prepared = features_plan.prepare(cleaned, excluded)
+    points = stored(features_plan.feature_points(prepared, save_routes(prepared, out)), "features")
+    return train_family(family, points, out, **options)
+
+
 def train_family(family: str, points: DataFrame, out: str, **options) -> DataFrame:
     """Train one family for every route and register the models. ``points`` carry all features."""
     source = points if family == "reconstruction" else training_table(points)
