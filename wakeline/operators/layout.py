@@ -137,7 +137,10 @@ def detect(
     order: Sequence[str],
     chunk_rows: int = CHUNK_ROWS,
 ) -> Layout:
-    """Find the groups larger than ``chunk_rows`` and where to cut them."""
+    """Find the groups larger than ``chunk_rows`` and where to cut them.
+
+    The first order column must be a number or a time for that; rank texts by a hash or by buckets.
+    """
     keys, order = tuple(keys), tuple(order)
     plain = Layout(keys, order)
     order_type = df.schema[order[0]].dataType

@@ -7,9 +7,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from wakeline.operators.layout import join_group_values
-from wakeline.operators.scan import group_percentiles, group_rank
+from wakeline.operators.scan import group_percentiles
 
 
 def _long(stats: DataFrame, columns: Sequence[str], value: str) -> DataFrame:
@@ -137,6 +138,14 @@ def fill_report(before: DataFrame, after: DataFrame, column: str, trip: str = "T
     return stage(before, "before").unionByName(stage(after, "after"))
 
 
+_BUCKETS = 1024
+
+
+def _smallest(df: DataFrame, keys: Sequence[str], value: str, k: int) -> DataFrame:
+    by = Window.partitionBy(*keys).orderBy(value)
+    return df.withColumn("_rank", F.row_number().over(by)).filter(F.col("_rank") <= k).drop("_rank")
+
+
 def mixed_type_audit(df: DataFrame, columns: Sequence[str] | None = None, examples: int = 5) -> DataFrame:
     """Per text column: how many values read as numbers, how many do not, and sample texts."""
     columns = list(columns or df.columns)
@@ -150,7 +159,10 @@ def mixed_type_audit(df: DataFrame, columns: Sequence[str] | None = None, exampl
         F.sum(F.when(F.col("is_number"), F.col("rows")).otherwise(0)).alias("numbers"),
         F.sum(F.when(~F.col("is_number"), F.col("rows")).otherwise(0)).alias("texts"),
     )
-    ranked = group_rank(counted.filter(~F.col("is_number")), ["column"], ["text"], "_rank").filter(F.col("_rank") <= examples)
+    # The smallest texts of each of many buckets, then the smallest of those: no task sorts a column.
+    bucketed = counted.filter(~F.col("is_number")).withColumn("_bucket", F.pmod(F.xxhash64("text"), F.lit(_BUCKETS)))
+    few = _smallest(bucketed, ["column", "_bucket"], "text", examples)
+    ranked = _smallest(few, ["column"], "text", examples)
     shown = ranked.groupBy("column").agg(F.concat_ws("|", F.array_sort(F.collect_list("text"))).alias("examples"))
     return (
         sums.join(F.broadcast(shown), "column", "left")  # at most `examples` texts per column
