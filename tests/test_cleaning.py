@@ -41,6 +41,19 @@ def test_golden_destinations(spark):
     assert [(r["Destination"], r["code"]) for r in out] == [(c, k) for _, c, k in GOLDEN]
 
 
+def test_cleaned_texts_are_in_form(spark):
+    rnd = random.Random(8)
+    texts = ["".join(rnd.choice("aB9 ./\\><-\t?é_") for _ in range(rnd.randrange(0, 14))) for _ in range(3000)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for r in df.select("t", text.clean_destination(F.col("t")).alias("c")).collect():
+        kept = [c for c in r["t"].upper() if c in "AB9"]
+        if r["c"] is None:
+            assert not kept
+            continue
+        assert [c for c in r["c"] if c in "AB9"] == kept
+        assert set(r["c"]) <= set("AB9.<>") and ".." not in r["c"] and r["c"].strip(".") == r["c"]
+
+
 def test_invalid_destinations(spark):
     df = spark.createDataFrame([("12345",), ("DE",), ("de",), ("DEU",), ("??",), (None,)], "Destination string")
     assert [r[0] for r in clean.null_invalid_destinations(df).collect()] == [None, None, "de", "DEU", None, None]

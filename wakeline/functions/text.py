@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -75,10 +76,14 @@ def has_special_characters(text: Column) -> Column:
     return text.rlike("[^A-Za-z0-9]")
 
 
-def _port_pattern(country: str, names: Sequence[str]) -> str:
-    # A name at an end of the text, next to a dot, or next to the country code.
+def _names_port(text: Column, country: str, names: Sequence[str]) -> Column:
+    """A name at an end of the text, next to a dot, or next to the country code.
+
+    Most texts hold none of the names; the plain search rules them out before the pattern is tried.
+    """
     any_name = "(?:" + "|".join(re.escape(n) for n in names) + ")"
-    return rf"(?:\A|\.|{country}){any_name}|{any_name}(?:\z|\.|{country})"
+    placed = text.rlike(rf"(?:\A|\.|{country}){any_name}|{any_name}(?:\z|\.|{country})")
+    return reduce(lambda a, b: a | b, [F.contains(text, F.lit(n)) for n in names]) & placed
 
 
 def port_code(text: Column, rows: PortRows | None = None, keep_unmatched: bool = False) -> Column:
@@ -91,7 +96,7 @@ def port_code(text: Column, rows: PortRows | None = None, keep_unmatched: bool =
     for _, country, port, name in sorted(rows or port_rows()):
         names.setdefault((country, port), []).append(name)
     codes = [
-        F.when(text.rlike(_port_pattern(country, of_port)), F.lit(f"{country}.{port}"))
+        F.when(_names_port(text, country, of_port), F.lit(f"{country}.{port}"))
         for (country, port), of_port in names.items()
     ]
     branches = F.coalesce(*codes)

@@ -13,7 +13,8 @@ from wakeline import schema as S
 from wakeline.ml import forest, isolation, logistic, oneclass, reconstruct, scaling
 from wakeline.operators import evaluate as ev
 from wakeline.operators import split, trips
-from wakeline.operators.layout import join_group_values
+from wakeline.operators.features import point_layout
+from wakeline.operators.layout import Layout, join_group_values
 from wakeline.operators.scan import group_percentiles
 from wakeline.session import stored
 from wakeline.plans import features as features_plan
@@ -197,17 +198,19 @@ TRAINERS = {
 }
 
 
-def save_routes(cleaned: DataFrame, out: str) -> DataFrame:
+def save_routes(cleaned: DataFrame, out: str, layout: Layout | None = None) -> DataFrame:
     """Route centres and average paths, stored with the models: the same ones place points in
     training and in scoring, and scoring need not read the whole table for them."""
-    tables.write_table(features_plan.route_statistics(cleaned), f"{out}/routes")
+    tables.write_table(features_plan.route_statistics(cleaned, layout), f"{out}/routes")
     return cleaned.sparkSession.read.parquet(f"{out}/routes")
 
 
 def train_from_cleaned(family: str, cleaned: DataFrame, out: str, excluded: Sequence = (), **options) -> DataFrame:
     """Labelled cleaned points to registered models: route statistics, features, training."""
     prepared = features_plan.prepare(cleaned, excluded)
-    points = stored(features_plan.feature_points(prepared, save_routes(prepared, out)), "features")
+    layout = point_layout(prepared)
+    routes = save_routes(prepared, out, layout)
+    points = stored(features_plan.feature_points(prepared, routes, layout), "features")
     return train_family(family, points, out, **options)
 
 
