@@ -41,7 +41,7 @@ def s1(spark, sf):
 def s2(spark, sf):
     path = scratch_path(spark, "folder")
     fx.raw(spark, sf).write.option("header", True).csv(path)
-    raw = tables.type_reports(tables.read_reports(spark, path, pattern="*.csv"))
+    raw = tables.type_reports(tables.read_report_files(spark, tables.report_files(spark, path, pattern="*.csv")))
     return raw.agg(F.count("*").alias("points"), F.sum("TripID").alias("trip_sum"), F.count("Destination").alias("destinations"))
 
 

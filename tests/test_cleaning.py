@@ -99,6 +99,11 @@ def test_files_with_different_headers(spark, tmp_path):
     df = cleaning.merge_reports(spark, [str(tmp_path / "a.csv"), str(tmp_path / "b.csv")])
     assert sorted(df.columns) == ["COG", "SOG", "TripID"]
     assert sorted((r["TripID"], r["SOG"], r["COG"]) for r in df.collect()) == [(1, 3.5, None), (2, None, 90.0)]
+    # a folder: the same columns in another order, and an empty file
+    (tmp_path / "c.csv").write_text("SOG,TripID\n4.5,3\n")
+    (tmp_path / "d.csv").write_text("")
+    folder = cleaning.merge_reports(spark, str(tmp_path))
+    assert sorted((r["TripID"], r["SOG"], r["COG"]) for r in folder.collect()) == [(1, 3.5, None), (2, None, 90.0), (3, 4.5, None)]
 
 
 def walk(points):

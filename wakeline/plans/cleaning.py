@@ -18,11 +18,8 @@ Imputer = Callable[[DataFrame], DataFrame]
 
 
 def merge_reports(spark: SparkSession, paths: str | Sequence[str], drop: Sequence[str] = S.UNUSED_COLUMNS) -> DataFrame:
-    """Stage 1: read, drop unused columns, type, unite by name.
-
-    A folder (or one path) is read as one table with one header; a list of paths may mix headers.
-    """
-    raw = tables.read_reports(spark, paths) if isinstance(paths, str) else tables.read_report_files(spark, paths)
+    """Stage 1: read all files of a folder (or the listed files), unite by name, drop unused columns, type."""
+    raw = tables.read_report_files(spark, tables.report_files(spark, paths) if isinstance(paths, str) else paths)
     return tables.type_reports(clean.drop_columns(raw, drop))
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,12 +14,14 @@ from wakeline.functions.scalar import iso_text
 from wakeline.operators import clean, trips
 
 _OVERFLOW = "_overflow"
+_LOOKS_AT_ONCE = 16
 
 
 def read_reports(spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str] | None = None, pattern: str | None = None) -> DataFrame:
     """Raw position reports as text columns; a path may be a file or a folder of files.
 
-    Files of one call share a header; ``columns`` skips the look at the first line. Rows with too
+    All files of one call must have the same header (``read_report_files`` takes mixed ones);
+    ``columns`` skips the look at the first line. Rows with too
     many fields are skipped, rows with too few are padded with nulls, missing-value texts are null.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
@@ -33,9 +36,27 @@ def read_reports(spark: SparkSession, paths: str | Sequence[str], columns: Seque
     return kept.select(*[F.when(~F.col(c).isin(*S.NA_TEXTS), F.col(c)).alias(c) for c in names])
 
 
-def read_report_files(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
-    """Files with different headers, united by column name."""
-    first, *others = [read_reports(spark, p) for p in paths]
+def report_files(spark: SparkSession, path: str, pattern: str | None = None) -> list[str]:
+    """The files of a folder, by listing only; their contents are not read."""
+    listing = spark.read.format("binaryFile")
+    if pattern:
+        listing = listing.option("pathGlobFilter", pattern)
+    return [r["path"] for r in listing.load(path).filter("length > 0").select("path").orderBy("path").collect()]
+
+
+def read_report_files(spark: SparkSession, files: Iterable[str]) -> DataFrame:
+    """Files with different headers, united by column name.
+
+    Files are grouped by header (one look at each first line, several at a time) and every group is
+    read as one table, so the plan grows with the number of headers, not of files.
+    """
+    files = list(files)
+    with ThreadPoolExecutor(_LOOKS_AT_ONCE) as pool:
+        headers = list(pool.map(lambda f: tuple(spark.read.option("header", True).csv(f).columns), files))
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for file, header in zip(files, headers):
+        groups.setdefault(header, []).append(file)
+    first, *others = [read_reports(spark, group, columns=header) for header, group in groups.items()]
     return trips.union_frames(first, *others)
 
 
