@@ -171,8 +171,8 @@ def apply_mix(docs: DataFrame) -> DataFrame:
     """
     names = [c for c in docs.columns if c != "copies"]
     row = F.xxhash64(*(F.col(c) for c in names))
-    taken = mix(docs, row=row).groupBy(F.col("row").alias("__key"), F.col("doc_id").alias("__id")).agg(F.sum("copies").alias("copies")).where("copies > 0")
-    keyed = docs.select(*names).withColumn("__row", row)
-    joined = keyed.join(taken, (F.col("__row") == F.col("__key")) & F.col("doc_id").cast("long").eqNullSafe(F.col("__id")))
-    first = F.row_number().over(Window.partitionBy("__key", "__id").orderBy("__row"))
+    known = F.coalesce(F.col("doc_id").cast("long"), F.lit(0))  # the row's hash tells null from 0
+    taken = mix(docs, row=row).groupBy(F.col("row").alias("__row"), known.alias("__id")).agg(F.sum("copies").alias("copies")).where("copies > 0")
+    joined = docs.select(*names).withColumns({"__row": row, "__id": known}).join(taken, ["__row", "__id"])
+    first = F.row_number().over(Window.partitionBy("__row", "__id").orderBy("__id"))  # partitioned as the join is: texts move once
     return joined.withColumn("__first", first).where("__first = 1").select(*names, "copies")
