@@ -169,7 +169,7 @@ def links(prints: DataFrame, bits: int = 3) -> DataFrame:
     """
     first, finer = _masks(bits)
     keyed = prints.select("fp", "node", F.explode(_keys(F.col("fp"), _literals(first))).alias("k")).select("fp", "node", "k.*")
-    sizes = keyed.groupBy("mask", "key").agg(F.count("*").alias("n")).where("n > 1")
+    sizes = kept_table(keyed.groupBy("mask", "key").agg(F.count("*").alias("n")).where("n > 1"), "sizes")  # stored: a join with a stored side can split hot keys
     grouped = keyed.join(sizes, ["mask", "key"])
     whole = grouped.where(F.col("n") <= MAX_GROUP).select("mask", "key", "fp", "node")
     fine = F.element_at(F.create_map(*(x for m, more in zip(first, finer, strict=True) for x in (F.lit(_signed(m)), _literals(more)))), F.col("mask"))
@@ -238,15 +238,16 @@ def _candidates(reps: DataFrame) -> DataFrame:
     keys = reps.select("node", "fp", F.posexplode("minima").alias("salt", "key"))
     me = F.struct("node", "fp").alias("me")
     sizes = keys.groupBy("salt", "key").agg(F.count("*").alias("n"), F.min(F.struct("node", "fp")).alias("hub")).where("n > 1")
+    sizes = kept_table(sizes, "sizes")  # stored, like the next two: a join with a stored side can split hot keys
     grouped = kept_table(keys.join(sizes, ["salt", "key"]), "groups")
     large = grouped.where(F.col("n") > 2)
     ones = large.groupBy("salt", "key").agg(*(F.sum(F.shiftrightunsigned("fp", i).bitwiseAND(F.lit(1))).alias(f"o{i}") for i in range(64)), F.max("n").alias("n"))
     majority = F.lit(0).cast("long")
     for i in range(64):
         majority = majority.bitwiseOR(F.when(2 * F.col(f"o{i}") > F.col("n"), F.lit(_signed(1 << i))).otherwise(F.lit(0).cast("long")))
-    middle = large.join(ones.select("salt", "key", majority.alias("most")), ["salt", "key"])
+    middle = large.join(kept_table(ones.select("salt", "key", majority.alias("most")), "majority"), ["salt", "key"])
     middle = middle.groupBy("salt", "key").agg(F.min(F.struct(F.bit_count(F.col("fp").bitwiseXOR(F.col("most"))).alias("far"), "node", "fp")).alias("m"))
-    middle = middle.select("salt", "key", F.struct("m.node", "m.fp").alias("hub"))
+    middle = kept_table(middle.select("salt", "key", F.struct("m.node", "m.fp").alias("hub")), "middle")
     small = grouped.where(F.col("n").between(3, SMALL))
     pairs = grouped.select(me, "hub").union(large.drop("hub").join(middle, ["salt", "key"]).select(me, "hub"))
     pairs = pairs.union(small.select("salt", "key", me).join(small.select("salt", "key", F.struct("node", "fp").alias("hub")), ["salt", "key"]).select("me", "hub"))
