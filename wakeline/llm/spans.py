@@ -95,7 +95,9 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
     repeated runs are joined back, the popular ones split.
     """
     rows = kept_table(_run_rows(docs), "runs")
+    # Stored, so that both sides of the joins are exchanges, whose hot keys can be split.
     least = rows.where(~F.col("again")).groupBy("h1", "h2").agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last")).where("first_doc_id < last")
+    least = kept_table(least, "least")
     across = rows.join(least.drop("last"), ["h1", "h2"]).where(F.col("again") | (F.col("doc_id") > F.col("first_doc_id")))
     inside = rows.where("again").join(least.select("h1", "h2"), ["h1", "h2"], "left_anti").withColumn("first_doc_id", F.col("doc_id"))
     columns = ["doc_id", "first", "size", "first_doc_id"]
