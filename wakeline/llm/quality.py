@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wakeline.llm.common import held_out, whole_text
+from wakeline.llm.common import held_out, kept_table, whole_text
 
 SAMPLE = 3000
-"""The fit reads so many labelled documents of each class at most, taken by the hash of their ids."""
+"""The fit reads about so many labelled documents of each class, taken by the hash of their ids (all, if there are fewer)."""
 BUCKETS = 1 << 17
 """N-gram indicators are hashed into so many features."""
 THRESHOLD = 0.3
@@ -141,13 +141,16 @@ def _curve(margins: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """Learns ``labels.quality`` (0 or 1) of the labelled documents that are not held out, from their texts alone.
 
-    The sample holds SAMPLE documents of each class at most. Ids without a document, null labels and null ids are passed over; of a
+    The sample holds about SAMPLE documents of each class: those whose hashed id is below the class's share, so no class is gathered in one task. Ids without a document, null labels and null ids are passed over; of a
     repeated id the larger label counts.
     """
     known = labels.select(F.col("doc_id").cast("long").alias("id"), F.col("quality").cast("int").alias("label")).where("id is not null and label in (0, 1)")
     known = known.where(~held_out(F.col("id"))).groupBy("id").agg(F.max("label").alias("label"))
-    rank = F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64("id"), "id"))
-    chosen = known.withColumn("r", rank).where(F.col("r") <= SAMPLE).drop("r")  # 2 x SAMPLE rows of two numbers: small enough to broadcast
+    known = kept_table(known, "labels")
+    counts = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    share = {label: min(1 << 53, int(SAMPLE / n * (1 << 53))) for label, n in counts.items()}
+    below = F.when(F.col("label") == 1, F.lit(share.get(1, 0))).otherwise(F.lit(share.get(0, 0)))
+    chosen = known.where(F.pmod(F.xxhash64("id"), F.lit(1 << 53)) < below)  # about 2 x SAMPLE rows of two numbers: small enough to broadcast
     sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text(F.col("text")).alias("text")).join(F.broadcast(chosen), F.col("doc_id") == F.col("id"))
 
     def run(batches):
