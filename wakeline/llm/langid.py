@@ -29,8 +29,10 @@ def _training(docs: DataFrame) -> DataFrame:
     rows = rows.where(F.col("text").rlike(r"\p{L}"))
     middle = F.greatest(F.lit(1), F.floor((F.length("text") - TRAIN_CHARS) / 2).cast("int"))
     rows = rows.select("lang", F.xxhash64("doc_id").alias("h"), F.substring(F.col("text"), middle, F.lit(TRAIN_CHARS)).alias("piece"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "piece"))
-    return rows.withColumn("r", rank).where(F.col("r") <= TRAIN_TEXTS).groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("h", "piece"))).alias("pieces"))
+    for keys in (["lang", F.pmod("h", F.lit(1024))], ["lang"]):  # first in 1024 parts of a language, so that the last task of a hot one is small
+        rank = F.row_number().over(Window.partitionBy(*keys).orderBy("h", "piece"))
+        rows = rows.withColumn("r", rank).where(F.col("r") <= TRAIN_TEXTS).drop("r")
+    return rows.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("h", "piece"))).alias("pieces"))
 
 
 def _codes(text: str, points: np.ndarray) -> np.ndarray:
