@@ -93,6 +93,20 @@ def test_csv_rows_and_missing_texts(spark, tmp_path):
     assert [(r["TripID"], r["Destination"], r["SOG"], r["shiptype"]) for r in rows] == [(1, "KIEL, PORT", 3.5, 70), (1, None, None, None), (2, None, None, None)]
 
 
+def test_surplus_fields_are_skipped_blank_or_not(spark, tmp_path):
+    lines = ["TripID,SOG,Destination", "1,5,HAM", "2,6,HAM,", "3,7,HAM,,x", "4,8,HAM,zz", "5,9", "6", '7,1,"A,B"', '8,1,"A,B",', "9,,", '10,"2"']
+    (tmp_path / "a.csv").write_text("\n".join(lines) + "\n")
+    rows = tables.read_reports(spark, str(tmp_path))
+    assert sorted((int(r["TripID"]), r["SOG"], r["Destination"]) for r in rows.collect()) == [(1, "5", "HAM"), (5, "9", None), (6, None, None), (7, "1", "A,B"), (9, None, None), (10, "2", None)]
+    assert sorted(int(r["TripID"]) for r in rows.select("TripID").collect()) == [1, 5, 6, 7, 9, 10]
+
+
+def test_row_ids_tell_shifted_nulls_apart(spark):
+    df = spark.createDataFrame([("a", None), (None, "a"), ("a", None)], "x string, y string")
+    ids = [r["i"] for r in df.select(scalar.row_id("x", "y").alias("i")).collect()]
+    assert ids[0] == ids[2] != ids[1]
+
+
 def test_files_with_different_headers(spark, tmp_path):
     (tmp_path / "a.csv").write_text("TripID,SOG,MMSI\n1,3.5,7\n")
     (tmp_path / "b.csv").write_text("TripID,COG\n2,90\n")
@@ -211,3 +225,16 @@ def test_select_trip_checks(spark):
     assert trips.select_trip(df, "1").count() == 1
     with pytest.raises(trips.TripNotFound):
         trips.select_trip(df, "5", check=True)
+
+
+def test_default_order_does_not_depend_on_arrival(spark):
+    """Two reports of one second before a gap: the fill takes the same one in either input order."""
+    names = "TripID long, time timestamp_ntz, shiptype int, Draught double, Length double, Breadth double, SOG double, COG double, TH double, Latitude double, Longitude double, Destination string, StartPort string, EndPort string, Name string, MMSI long, StartTime timestamp_ntz, EndTime timestamp_ntz, StartLatitude double, StartLongitude double"
+    at = lambda second: dt.datetime(2024, 1, 1, 0, 0, second)
+    row = lambda second, kind, sog: (1, at(second), kind, 5.0, 80.0, 10.0, sog, 90.0, 90.0, 54.0, 9.0, None, "KIEL", "GDYNIA", "x", 7, at(0), at(9), 54.3, 10.1)
+    rows = [row(1, 80, 4.0), row(1, 70, 3.0), row(2, None, 5.0)]
+    found = []
+    for part in (rows, rows[::-1]):
+        df = spark.createDataFrame(part, names).coalesce(1)
+        found.append(sorted(map(str, cleaning.handle_noise(df).collect())))
+    assert found[0] == found[1]

@@ -46,5 +46,9 @@ def half_even(c: Column, decimals: int = 0) -> Column:
 
 
 def row_id(*columns: str) -> Column:
-    """128-bit key of a row's content; 64 bits would meet collisions in a table of 10^12 rows."""
-    return F.concat(F.hex(F.xxhash64(*columns)), F.lit("-"), F.hex(F.xxhash64(F.lit(1), *columns)))
+    """128-bit key of a row's content; 64 bits would meet collisions in a table of 10^12 rows.
+
+    Each column goes in behind a flag for null, as the hash itself skips nulls.
+    """
+    marked = [x for c in columns for x in (F.isnull(c), F.col(c))]
+    return F.concat(F.hex(F.xxhash64(*marked)), F.lit("-"), F.hex(F.xxhash64(F.lit(1), *marked)))

@@ -80,14 +80,14 @@ def fit_route(
         model = _fit(vectors.filter(F.col("fold") != fold), cell, seed)
         return _best(_scored(model, vectors.filter(F.col("fold") == fold)))["f1"]
 
-    results = [(cell, 0.0) for cell in grid]
-    if len(grid) > 1:  # a single cell needs no comparison
+    try:
         with ThreadPoolExecutor(parallelism) as pool:
             scores = list(pool.map(fold_f1, product(grid, range(folds))))
         results = [(cell, sum(scores[i * folds : (i + 1) * folds]) / folds) for i, cell in enumerate(grid)]
-    best = max(results, key=lambda r: r[1])[0]
-    model = _fit(vectors, best, seed)
-    vectors.unpersist()
+        best = max(results, key=lambda r: r[1])[0]
+        model = _fit(vectors, best, seed)
+    finally:
+        vectors.unpersist()
     tau = _best(_scored(model, _vectors(test, features, "y_true")))
     return model, tau["tau"], tau["f1"], best, results
 

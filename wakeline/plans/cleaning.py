@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import replace
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,7 @@ from wakeline.operators.layout import Layout
 from wakeline.sources import tables
 
 ORDER = ("time",)
+_CONTENT = "_content"
 Imputer = Callable[[DataFrame], DataFrame]
 
 
@@ -48,7 +50,10 @@ def handle_noise(
     layout = layout or clean.trip_layout(df, order=order)
     df = clean.drop_duplicates(clean.drop_columns(df, ["AisSourcen"]))
     df = clean.drop_fast_points(clean.null_impossible(df))
-    df = clean.fill_course(clean.fill_in_trips(df, layout))
+    # Reports of one time are ordered by their content as it is before the fills, not as it happens to arrive.
+    df = df.withColumn(_CONTENT, row_id(*sorted(df.columns)))
+    layout = replace(layout, order=(*layout.order, _CONTENT))
+    df = clean.fill_course(clean.fill_in_trips(df, layout)).drop(_CONTENT)
     if impute is not None:
         df = impute(df)
     return finish(df)

@@ -13,7 +13,8 @@ from wakeline import schema as S
 from wakeline.functions.scalar import iso_text
 from wakeline.operators import clean, trips
 
-_OVERFLOW = "_overflow"
+_RAW = "_raw"
+_MARK = "\u0001end\u0001"
 _LOOKS_AT_ONCE = 16
 
 
@@ -21,18 +22,23 @@ def read_reports(spark: SparkSession, paths: str | Sequence[str], columns: Seque
     """Raw position reports as text columns; a path may be a file or a folder of files.
 
     All files of one call must have the same header (``read_report_files`` takes mixed ones);
-    ``columns`` skips the look at the first line. Rows with too
-    many fields are skipped, rows with too few are padded with nulls, missing-value texts are null.
+    ``columns`` skips the look at the first line. Rows with too many fields, blank or not, are skipped, rows with too few
+    are padded with nulls, missing-value texts are null.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     reader = spark.read.option("header", True)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
     names = list(columns or reader.csv(paths).columns)
-    # One more column than the header names: whoever fills it has too many fields.
-    text = T.StructType([T.StructField(c, T.StringType()) for c in [*names, _OVERFLOW]])
-    rows = reader.schema(text).option("enforceSchema", True).option("mode", "PERMISSIVE").option("escape", '"').csv(paths)
-    kept = rows.filter(F.col(_OVERFLOW).isNull()).drop(_OVERFLOW)
+    # Rows with another number of fields than the header keep their raw line. With a mark as one more field, the line is
+    # too short if the mark still falls into the header's columns. Pruned columns would hide the number of fields.
+    text = T.StructType([T.StructField(c, T.StringType()) for c in [*names, _RAW]])
+    reader = reader.schema(text).option("enforceSchema", True).option("mode", "PERMISSIVE").option("escape", '"')
+    rows = reader.option("columnNameOfCorruptRecord", _RAW).option("columnPruning", False).csv(paths)
+    fields = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))]).simpleString()
+    marked = F.from_csv(F.concat(F.col(_RAW), F.lit("," + _MARK)), fields, {"escape": '"'})
+    short = F.coalesce(F.array_contains(F.array(*(marked[f"c{i}"] for i in range(len(names)))), _MARK), F.lit(False))
+    kept = rows.filter(F.col(_RAW).isNull() | short).drop(_RAW)
     return kept.select(*[F.when(~F.col(c).isin(*S.NA_TEXTS), F.col(c)).alias(c) for c in names])
 
 
