@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -104,7 +106,8 @@ def _with_features(urls: DataFrame, statistics: dict[int, tuple[list[float], lis
     columns = lexical(F.col("url"), F.col("host"), F.col("path"))
     for k, name in ((1, "suffix"), (2, "domain")):
         for values, part in zip(statistics[k], ("rate", "weight"), strict=True):
-            columns[f"{name}_{part}"] = F.element_at(F.array(*(F.lit(v) for v in values)), _bucket(F.col("host"), k) + 1)
+            table = F.from_json(F.lit(json.dumps(values)), "array<double>")  # folded into one constant
+            columns[f"{name}_{part}"] = F.element_at(table, _bucket(F.col("host"), k) + 1)
     return urls.select("*", *(columns[name].cast("double").alias(f"f_{name}") for name in FEATURES))
 
 
