@@ -221,7 +221,7 @@ def near_duplicates(docs: DataFrame, words: int = 3, bits: int = 3) -> DataFrame
 # ---------------------------------------------------------------- classes by similarity
 
 SMALL = 32
-"""Documents of a key group that are all compared with each other; in larger groups each is compared with two hubs."""
+"""Documents of a key group that are all compared with each other; in larger groups two hubs come first, and then what they leave."""
 
 
 def _within(a: Column, b: Column, bits: int) -> Column:
@@ -233,8 +233,8 @@ def _within(a: Column, b: Column, bits: int) -> Column:
     return near
 
 
-def _candidates(reps: DataFrame) -> DataFrame:
-    """``a, fa, b, fb``: pairs that share a minimum; linear in the documents."""
+def _candidates(reps: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``a, b``: pairs that share a minimum, linear in the documents; and the rows of groups too large to compare all pairs (``salt, key, node, fp``)."""
     keys = reps.select("node", "fp", F.posexplode("minima").alias("salt", "key"))
     me = F.struct("node", "fp").alias("me")
     sizes = keys.groupBy("salt", "key").agg(F.count("*").alias("n"), F.min(F.struct("node", "fp")).alias("hub")).where("n > 1")
@@ -253,7 +253,26 @@ def _candidates(reps: DataFrame) -> DataFrame:
     pairs = pairs.union(small.select("salt", "key", me).join(small.select("salt", "key", F.struct("node", "fp").alias("hub")), ["salt", "key"]).select("me", "hub"))
     ordered = pairs.where("me.node <> hub.node").select(F.least("me", "hub").alias("x"), F.greatest("me", "hub").alias("y"))
     ordered = ordered.select(F.col("x.node").alias("a"), F.col("x.fp").alias("fa"), F.col("y.node").alias("b"), F.col("y.fp").alias("fb"))
-    return ordered.where(_within(F.col("fa"), F.col("fb"), FILTER_BITS)).select("a", "b").distinct()
+    pairs = ordered.where(_within(F.col("fa"), F.col("fb"), FILTER_BITS)).select("a", "b").distinct()
+    return pairs, grouped.where(F.col("n") > SMALL).select("salt", "key", "node", "fp")
+
+
+def _open_pairs(large: DataFrame, found: DataFrame) -> DataFrame:
+    """``a, b``: what is left to compare in large groups, given the classes that the first links make.
+
+    Two documents of one class need no link of their own. So a group's largest class is compared with the others of the group, and these
+    with each other; a group of copies, nearly all of one class by now, leaves little. Pairs are filtered while they are joined.
+    """
+    member = F.col("node") == F.col("member")
+    rows = large.join(found.withColumnRenamed("node", "member"), member, "left").select("salt", "key", "node", "fp", F.coalesce("component", "node").alias("class"))
+    rows = kept_table(rows, "open")
+    sizes = rows.groupBy("salt", "key", "class").agg(F.count("*").alias("n"))
+    main = kept_table(sizes.groupBy("salt", "key").agg(F.max_by("class", F.struct("n", "class")).alias("main")), "main")
+    left = kept_table(rows.join(main, ["salt", "key"]).where("class <> main").drop("main"), "left")
+    x = left.select("salt", "key", F.col("node").alias("a"), F.col("fp").alias("fa"), F.col("class").alias("ca"))
+    y = rows.select("salt", "key", F.col("node").alias("b"), F.col("fp").alias("fb"), F.col("class").alias("cb"))
+    near = x.join(y, ["salt", "key"]).where((F.col("ca") != F.col("cb")) & _within(F.col("fa"), F.col("fb"), FILTER_BITS))
+    return near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
@@ -270,6 +289,16 @@ def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), whole_text(F.col("text"))).mapInArrow(run, "doc_id long, shingles array<long>")
 
 
+def _similar(docs: DataFrame, pairs: DataFrame, words: int, similarity: float) -> DataFrame:
+    """The pairs ``a, b`` whose shingle sets are as similar."""
+    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, F.col("doc_id") == F.col("id"), "left_semi")
+    sets = kept_table(shingle_sets(texts, words), "sets").dropDuplicates(["doc_id"])
+    both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb")), "b")
+    shared = F.size(F.array_intersect("sa", "sb"))
+    return both.where(shared >= similarity * (F.size("sa") + F.size("sb") - shared)).select("a", "b")
+
+
 def similar_classes(docs: DataFrame, words: int = 5, similarity: float = 0.8, minima: int = 8) -> DataFrame:
     """``doc_id, component_id`` of every row: documents whose sets of word shingles have a Jaccard similarity of ``similarity`` or more
     are linked; ``component_id`` is the smallest doc_id reachable.
@@ -277,20 +306,19 @@ def similar_classes(docs: DataFrame, words: int = 5, similarity: float = 0.8, mi
     At this similarity fingerprints differ in up to 16 of 64 bits, which no set of exact keys can find. So candidates share one of
     ``minima`` smallest shingle hashes (a pair at 0.8 misses all eight in three cases of a million); the pivot table and the fingerprint
     distance discard most, and the shingle sets of the survivors are compared exactly. Texts of equal words are collapsed first. In
-    groups of more than SMALL documents each is compared with the first and the middle one (nearest to the bitwise majority).
+    groups of more than SMALL documents each is first compared with the first and the middle one (nearest to the bitwise majority), then with
+    those that are still of another class: no link between classes is lost.
     All empty and null texts are one class. Rows of one doc_id count as one document; a null doc_id has a null class. No rows give no rows.
     """
     prints = kept_table(fingerprints(docs, words, minima), "prints")
     reps = prints.where("doc_id is not null").groupBy("content").agg(F.min("doc_id").alias("node"), F.min("fp").alias("fp"), F.min("minima").alias("minima"))
     reps = kept_table(reps, "reps")
-    pairs = kept_table(_candidates(reps), "pairs")
-    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, F.col("doc_id") == F.col("id"), "left_semi")
-    sets = kept_table(shingle_sets(texts, words), "sets").dropDuplicates(["doc_id"])
-    both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb")), "b")
-    shared = F.size(F.array_intersect("sa", "sb"))
-    linked = both.where(shared >= similarity * (F.size("sa") + F.size("sb") - shared)).select("a", "b")
-    found = components(linked).withColumnRenamed("node", "member")
+    pairs, large = _candidates(reps)
+    found = kept_table(components(_similar(docs, kept_table(pairs, "pairs"), words, similarity)), "classes")
+    rest = kept_table(_open_pairs(large, found), "rest")
+    if not rest.isEmpty():
+        found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(_similar(docs, rest, words, similarity)))
+    found = found.withColumnRenamed("node", "member")
     classes = reps.join(found, F.col("node") == F.col("member"), "left").select(F.col("content").alias("of"), F.coalesce("component", "node").alias("component_id"))
     joined = prints.join(classes, F.col("content") == F.col("of"), "left")
     return joined.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
