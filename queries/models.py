@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from queries import fixtures as fx
@@ -19,9 +22,9 @@ from wakeline.sources import registry as reg
 # Small grids; the full ones are the defaults of the library.
 GRIDS = {
     "logistic": dict(grid=[logistic.Cell(1.0, "l1", None), logistic.Cell(0.01, "l2", 4.0)]),
-    "random_forest": dict(grid=[forest.Cell(20, 10, 1, "sqrt")]),
+    "random_forest": dict(grid=[forest.Cell(20, 10, 1, "sqrt"), forest.Cell(40, 5, 5, "log2")]),
     "isolation_forest": dict(grid=[isolation.Cell(100, "auto", 1.0), isolation.Cell(50, 0.5, 0.8)]),
-    "one_class_svm": dict(grid=[oneclass.Cell(0.03, 1.0), oneclass.Cell(0.01, "scale")], marks_per_route=500),
+    "one_class_svm": dict(grid=[oneclass.Cell(0.03, 1.0), oneclass.Cell(0.01, "scale")]),
     "reconstruction": {},
 }
 
@@ -95,14 +98,8 @@ def k12(spark, sf):
 
 @query("k13_model_dispatch")
 def k13(spark, sf):
-    points = _features(spark, sf)
-    out = scratch_path(spark, "models")
-    parts = []
-    for family in (reg.MODEL_TYPES[1], reg.MODEL_TYPES[3]):
-        training.train_family(family, points, out, **GRIDS[family])
-        scored = scoring.score_points(points, out, family)
-        parts.append(scored.select(F.lit(family).alias("model"), S.TRIP, S.POINT, "score", "is_anomaly_pred"))
-    return parts[0].unionByName(parts[1])
+    scored = [_scores(spark, sf, family).withColumn("model", F.lit(family)) for family in reg.MODEL_TYPES.values()]
+    return reduce(DataFrame.unionByName, scored).select("model", S.TRIP, S.POINT, "score", "is_anomaly_pred")
 
 
 @query("k14_permutation_importance")
@@ -111,7 +108,8 @@ def k14(spark, sf):
     out = scratch_path(spark, "models")
     training.train_logistic(table, out, **GRIDS["logistic"])
     models = spark.read.parquet(f"{out}/logistic")
-    return importance.permutation_importance(table, lambda rows: logistic.score(rows, models, S.POINT_FEATURES), S.POINT_FEATURES, repeats=2)
+    held_out = training.supervised_split(table, "logistic").filter("is_test").join(models, S.ROUTE, "left_semi")
+    return importance.permutation_importance(held_out, lambda rows: logistic.score(rows, models, S.POINT_FEATURES), S.POINT_FEATURES, keys=[S.ROUTE])
 
 
 @query("s10_model_registry")

@@ -37,9 +37,12 @@ class Linear:
 
 
 def fit(normal: DataFrame, width: int, code: int = CODE) -> Linear:
-    """Main directions of one route's scaled normal windows (``width`` values each)."""
+    """Main directions of one route's scaled normal windows (``width`` values each). A single window has none."""
     flat = normal.select(F.flatten("features").alias("_flat"))
-    means = flat.agg(F.array(*[F.avg(F.col("_flat")[i]) for i in range(width)]).alias("m")).first()["m"]
+    found = flat.agg(F.array(*[F.avg(F.col("_flat")[i]) for i in range(width)]).alias("m"), F.count("*").alias("n")).first()
+    means = found["m"]
+    if found["n"] < 2:
+        return Linear(np.asarray(means), np.zeros((0, width)))
     model = PCA(k=min(code, width), inputCol="_x", outputCol="_z").fit(flat.select(array_to_vector("_flat").alias("_x")))
     return Linear(np.asarray(means), model.pc.toArray().T)
 
@@ -71,7 +74,7 @@ def train(points: DataFrame, features: Sequence[str], code: int = CODE, length:
     """
     sets = stored(sequence_sets(points, features, length, step), "windows")
     ranges = stored(scaling.window_ranges(sets.filter("part = 'train'"), len(features)), "ranges")
-    scaled = stored(scaling.scale_windows(sets, ranges), "scaled")
+    scaled = stored(scaling.scale_windows(sets, ranges), "scaled", by=S.ROUTE)
     range_of = {r[S.ROUTE]: r for r in ranges.collect()}  # one row per route
     models = {r: fit(scaled.filter((F.col(S.ROUTE) == r) & (F.col("part") == "train")), length * len(features), code) for r in range_of}
     errors = stored(window_errors(scaled.filter("part <> 'train'"), models), "errors")
@@ -86,5 +89,5 @@ def train(points: DataFrame, features: Sequence[str], code: int = CODE, length:
 
 def load(table: DataFrame) -> tuple[dict[str, Linear], DataFrame]:
     """Models by route, and the ranges table the windows are scaled with."""
-    models = {r[S.ROUTE]: Linear(np.asarray(r["mean"]), np.asarray(r["components"])) for r in table.collect()}
+    models = {r[S.ROUTE]: Linear(np.asarray(r["mean"]), np.asarray(r["components"]).reshape(-1, len(r["mean"]))) for r in table.collect()}
     return models, table.select(S.ROUTE, "lows", "spans")

@@ -27,14 +27,22 @@ def require_models(points: DataFrame, entries: Sequence[reg.Entry]) -> None:
         raise reg.ModelNotFound(f"No model for route {missing[0][0]}")
 
 
-def score_points(points: DataFrame, model_dir: str, family: str) -> DataFrame:
+def by_model(points: DataFrame, model_dir: str, family: str) -> tuple[DataFrame, DataFrame]:
+    """The points whose route has a model, and those whose route is unknown or has none."""
+    routes = reg.load_registry(points.sparkSession, f"{model_dir}/registry", family).select(F.col("route").alias(S.ROUTE))
+    return points.join(routes, S.ROUTE, "left_semi"), points.join(routes, S.ROUTE, "left_anti")
+
+
+def score_points(points: DataFrame, model_dir: str, family: str, check: bool = True) -> DataFrame:
     """``score`` and ``is_anomaly_pred`` for points with features, by their route's model.
 
-    Families kept as tables score all routes in one pass; random forests go route by route.
+    Families kept as tables score all routes in one pass; random forests go route by route. ``check`` looks for routes
+    without a model first, which are an error.
     """
     spark = points.sparkSession
     entries = reg.entries(reg.load_registry(spark, f"{model_dir}/registry", family))
-    require_models(points, entries)
+    if check:
+        require_models(points, entries)
     scored = {
         "logistic": _logistic,
         "random_forest": _random_forest,
@@ -106,7 +114,10 @@ def score_cleaned(cleaned: DataFrame, model_dir: str, family: str) -> DataFrame:
     return score_points(features_plan.feature_points(cleaned, routes), model_dir, family)
 
 
-def score_trips(points: DataFrame, model_dir: str, family: str, out: str) -> None:
-    """Scored points of all given trips as JSON lines; the trip's id leads every point."""
-    scored = score_points(points, model_dir, family)
+def score_trips(points: DataFrame, model_dir: str, family: str, out: str) -> DataFrame:
+    """Scored points of all given trips as JSON lines; the trip's id leads every point. Returns the points that stay unscored,
+    as their route is unknown or has no model."""
+    known, unscored = by_model(points, model_dir, family)
+    scored = score_points(known, model_dir, family, check=False)
     tables.write_json(tables.scored_points(scored, keep=[S.TRIP]), out)
+    return unscored

@@ -38,9 +38,10 @@ def class_sizes(table: DataFrame) -> dict[str, tuple[int, int]]:
     return {r[S.ROUTE]: (r["normal"], r["anomaly"]) for r in rows}
 
 
-def _supervised_split(table: DataFrame, family: str) -> DataFrame:
+def supervised_split(table: DataFrame, family: str) -> DataFrame:
+    """Labelled rows, dealt into training and test rows; a folder for each route, so that its fits read nothing else."""
     labelled = table.filter("y_true IS NOT NULL")
-    return stored(split.holdout(labelled, [S.ROUTE, "y_true"], TEST_SHARE[family], S.POINT), "split")
+    return stored(split.holdout(labelled, [S.ROUTE, "y_true"], TEST_SHARE[family], S.POINT), "split", by=S.ROUTE)
 
 
 def _per_route(parts: DataFrame, fit) -> dict:
@@ -58,7 +59,7 @@ def _per_route(parts: DataFrame, fit) -> dict:
 def train_logistic(table: DataFrame, out: str, features: Sequence[str] = S.POINT_FEATURES, grid=None, **options) -> list[reg.Entry]:
     """A route without both classes is skipped."""
     fitted = _per_route(
-        _supervised_split(table, "logistic"), lambda route, train, test: logistic.fit_route(train, test, features, grid, **options)
+        supervised_split(table, "logistic"), lambda route, train, test: logistic.fit_route(train, test, features, grid, **options)
     )
     models = {route: model for route, (model, *_) in fitted.items()}
     tables.write_table(logistic.model_table(table.sparkSession, models), f"{out}/logistic")
@@ -67,7 +68,7 @@ def train_logistic(table: DataFrame, out: str, features: Sequence[str] = S.POINT
 
 def train_random_forest(table: DataFrame, out: str, features: Sequence[str] = S.POINT_FEATURES, grid=None, **options) -> list[reg.Entry]:
     fitted = _per_route(
-        _supervised_split(table, "random_forest"),
+        supervised_split(table, "random_forest"),
         lambda route, train, test: forest.fit_route(train, test, features, S.POINT, grid, **options),
     )
     entries = []
@@ -172,12 +173,20 @@ def _rho(train: DataFrame, keys: Sequence[str], cells: Sequence[oneclass.Cell])
 
 
 def train_reconstruction(
-    points: DataFrame, out: str, features: dict[str, Sequence[str]] = S.SEQUENCE_FEATURES, **options
+    points: DataFrame, out: str, features: dict[str, Sequence[str]] = S.SEQUENCE_FEATURES, default: Sequence[str] = S.POINT_FEATURES, **options
 ) -> tuple[list[reg.Entry], DataFrame]:
-    """One model per route, each with its own features. Also the test window errors."""
+    """One model per route of ``points``: with the route's own features where ``features`` names them, else with ``default``. Also the test window errors.
+
+    A route without a normal window to train on, or without one to set the threshold by, has no model.
+    """
+    sets = [(trips.select_route(points, route), columns) for route, columns in features.items()]
+    others = points.filter(F.col(S.ROUTE).isNotNull() & ~F.col(S.ROUTE).isin(list(features)))
+    if not others.isEmpty():
+        sets.append((others, default))
     entries, all_errors, models = [], [], []
-    for route, columns in features.items():
-        table, errors = reconstruct.train(trips.select_route(points, route), columns, **options)
+    for rows, columns in sets:
+        table, errors = reconstruct.train(rows, columns, **options)
+        table = table.filter("tau IS NOT NULL")
         models.append(table)
         all_errors.append(errors.select(S.ROUTE, S.TRIP, "start_pos", "label", "error"))
         entries += [reg.Entry(r[S.ROUTE], "reconstruction", f"{out}/reconstruction", r["tau"], columns) for r in table.collect()]

@@ -49,8 +49,15 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back."""
+def stored(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back.
+
+    With ``by``, a text column, every value has a folder of its own, so that a filter on it reads nothing else; the rows are
+    dealt out evenly first, so that a hot value takes several files and a rare one a single file.
+    """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    if by is None:
+        df.write.parquet(path)
+        return df.sparkSession.read.parquet(path)
+    df.hint("rebalance", by).write.partitionBy(by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(df.columns)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +15,6 @@ from wakeline.operators import clean, trips
 
 _RAW = "_raw"
 _MARK = "\u0001end\u0001"
-_LOOKS_AT_ONCE = 16
 
 
 def read_reports(spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str] | None = None, pattern: str | None = None) -> DataFrame:
@@ -53,19 +52,27 @@ def report_files(spark: SparkSession, path: str, pattern: str | None = None) ->
 def read_report_files(spark: SparkSession, files: Iterable[str]) -> DataFrame:
     """Files with different headers, united by column name.
 
-    Files are grouped by header (one look at each first line, several at a time) and every group is
-    read as one table, so the plan grows with the number of headers, not of files.
+    One job finds the first lines of all files. Files of one first line are read as one table, so jobs and plan grow with the
+    number of headers, not of files; the driver holds the paths, as Spark's own listing does. Empty files have no rows.
     """
     files = list(files)
-    with ThreadPoolExecutor(_LOOKS_AT_ONCE) as pool:
-        headers = list(pool.map(lambda f: tuple(spark.read.option("header", True).csv(f).columns), files))
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for file, header in zip(files, headers):
-        groups.setdefault(header, []).append(file)
-    first, *others = [read_reports(spark, group, columns=header) for header, group in groups.items()]
+    groups: dict[str, list[str]] = {}
+    for row in _first_lines(spark, files).toLocalIterator():
+        groups.setdefault(row["header"], []).append(unquote(row["file"]))
+    if not groups:
+        return read_reports(spark, files)
+    names = [spark.read.option("header", True).csv(group[0]).columns for group in groups.values()]
+    first, *others = [read_reports(spark, group, columns=header) for header, group in zip(names, groups.values())]
     return trips.union_frames(first, *others)
 
 
+def _first_lines(spark: SparkSession, files: Sequence[str]) -> DataFrame:
+    """``file, header`` in the order of the paths: each file's first line that is not blank, taken from its first block."""
+    lines = spark.read.text(list(files)).select("value", "_metadata.file_path", "_metadata.file_block_start")
+    lines = lines.filter((F.col("file_block_start") == 0) & (F.trim("value") != "")).withColumn("_at", F.monotonically_increasing_id())
+    return lines.groupBy(F.col("file_path").alias("file")).agg(F.min_by("value", "_at").alias("header")).orderBy("file")
+
+
 def type_reports(raw: DataFrame) -> DataFrame:
     """Texts to the raw schema's types."""
     return clean.cast_categories(clean.cast_times(clean.cast_measures(raw)))
