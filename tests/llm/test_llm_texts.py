@@ -128,7 +128,7 @@ def test_large_groups_lose_no_link(spark, monkeypatch):
     rows = [(i, " ".join(w[60 * (i // 40) + 5 * (i % 40) : 60 * (i // 40) + 5 * (i % 40) + 90])) for i in range(80)]
     sets = {i: {tuple(t.split()[j : j + 5]) for j in range(len(t.split()) - 4)} for i, t in rows}
     want = classes([(a, b) for a, b in itertools.combinations(sets, 2) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])], sets)
-    got = simhash.similar_classes(spark.createDataFrame(rows, "doc_id long, text string"), minima=16)
+    got = simhash.similar_classes(spark.createDataFrame(rows, "doc_id long, text string"), keys=40)
     assert {r["doc_id"]: r["component_id"] for r in got.collect()} == want
 
 

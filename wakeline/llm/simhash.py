@@ -28,8 +28,13 @@ FILTER_BITS = 20
 _SPACE = re.compile(rb"[\x20\x09-\x0d]")
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int64)
 _ONE = np.uint64(1)
-#: Fixed odd multipliers for independent minima.
-_SALTS = np.random.Generator(np.random.PCG64(7)).integers(1, 2**63, 16, dtype=np.uint64) * np.uint64(2) + _ONE
+TOGETHER = 3
+"""Minima that make one key of a candidate. Texts that only share a passage of an eighth of their shingles meet under one key in 500."""
+
+
+def _salts(count: int) -> np.ndarray:
+    """Fixed odd multipliers for independent minima."""
+    return np.random.Generator(np.random.PCG64(7)).integers(1, 2**63, count, dtype=np.uint64) * np.uint64(2) + _ONE
 
 
 def pivot_fingerprints(count: int = PIVOTS) -> np.ndarray:
@@ -69,30 +74,41 @@ def fingerprint(arrays) -> int:
     return int.from_bytes(np.packbits(2 * ones > total).tobytes(), "big", signed=True)
 
 
-def fingerprints(docs: DataFrame, words: int = 3, minima: int = 0) -> DataFrame:
+def minima_keys(arrays: list[np.ndarray], count: int) -> list[int]:
+    """``count`` keys, each made of the smallest shingle hashes under TOGETHER fixed multipliers; none without shingles."""
+    if not arrays:
+        return []
+    salts = _salts(TOGETHER * count)
+    least = np.full(len(salts), np.iinfo(np.uint64).max, dtype=np.uint64)
+    for hashes in arrays:
+        hashes = hashes.astype(np.uint64)
+        for at in range(0, len(hashes), 4096):
+            least = np.minimum(least, (hashes[at : at + 4096, None] * salts).min(axis=0))
+    mixed = (least ^ (least >> np.uint64(31))).reshape(count, TOGETHER) * _salts(TOGETHER)
+    return mixed.sum(axis=1, dtype=np.uint64).view(np.int64).tolist()
+
+
+def fingerprints(docs: DataFrame, words: int = 3, keys: int = 0) -> DataFrame:
     """``doc_id, fp`` of every row: the SimHash of its word shingles. Null and empty texts have fingerprint zero.
 
-    With ``minima``, also ``content`` (digest of the lower-cased words) and ``minima`` (the smallest shingle hash under so
-    many fixed multipliers; empty without words). A text is hashed in pieces, so that its length costs no memory.
+    With ``keys``, also ``content`` (digest of the lower-cased words) and ``keys`` (so many of :func:`minima_keys`).
     """
-    schema = "doc_id long, fp long" + (", content binary, minima array<long>" if minima else "")
+    schema = "doc_id long, fp long" + (", content binary, keys array<long>" if keys else "")
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text(F.col("text")).alias("text"))
 
     def run(batches):
         for batch in batches:
-            ids, prints, contents, least = batch.column(0), [], [], []
+            ids, prints, contents, found = batch.column(0), [], [], []
             for text in batch.column(1):
                 arrays = shingle_hashes(text.as_py(), words)
-                if minima:
-                    arrays, low = list(arrays), []
-                    for salt in _SALTS[:minima]:
-                        low += [min(int((a.astype(np.uint64) * salt).min()) for a in arrays)] if arrays else []
-                    least.append([x - (1 << 64) if x >> 63 else x for x in low])
+                if keys:
+                    arrays = list(arrays)
+                    found.append(minima_keys(arrays, keys))
                     contents.append(hashlib.blake2b(b"".join(a.tobytes() for a in arrays), digest_size=16).digest())
                 prints.append(fingerprint(arrays))
             columns = {"doc_id": ids, "fp": pa.array(prints, pa.int64())}
-            if minima:
-                columns |= {"content": pa.array(contents, pa.binary()), "minima": pa.array(least, pa.list_(pa.int64()))}
+            if keys:
+                columns |= {"content": pa.array(contents, pa.binary()), "keys": pa.array(found, pa.list_(pa.int64()))}
             yield pa.RecordBatch.from_pydict(columns)
 
     return source.mapInArrow(run, schema)
@@ -234,8 +250,8 @@ def _within(a: Column, b: Column, bits: int) -> Column:
 
 
 def _candidates(reps: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``a, b``: pairs that share a minimum, linear in the documents; and the rows of groups too large to compare all pairs (``salt, key, node, fp``)."""
-    keys = reps.select("node", "fp", F.posexplode("minima").alias("salt", "key"))
+    """``a, b``: pairs that share a key, linear in the documents; and the rows of groups too large to compare all pairs (``salt, key, node, fp``)."""
+    keys = reps.select("node", "fp", F.posexplode("keys").alias("salt", "key"))
     me = F.struct("node", "fp").alias("me")
     sizes = keys.groupBy("salt", "key").agg(F.count("*").alias("n"), F.min(F.struct("node", "fp")).alias("hub")).where("n > 1")
     sizes = kept_table(sizes, "sizes")  # stored, like the next two: a join with a stored side can split hot keys
@@ -299,19 +315,19 @@ def _similar(docs: DataFrame, pairs: DataFrame, words: int, similarity: float) -
     return both.where(shared >= similarity * (F.size("sa") + F.size("sb") - shared)).select("a", "b")
 
 
-def similar_classes(docs: DataFrame, words: int = 5, similarity: float = 0.8, minima: int = 8) -> DataFrame:
+def similar_classes(docs: DataFrame, words: int = 5, similarity: float = 0.8, keys: int = 20) -> DataFrame:
     """``doc_id, component_id`` of every row: documents whose sets of word shingles have a Jaccard similarity of ``similarity`` or more
     are linked; ``component_id`` is the smallest doc_id reachable.
 
     At this similarity fingerprints differ in up to 16 of 64 bits, which no set of exact keys can find. So candidates share one of
-    ``minima`` smallest shingle hashes (a pair at 0.8 misses all eight in three cases of a million); the pivot table and the fingerprint
-    distance discard most, and the shingle sets of the survivors are compared exactly. Texts of equal words are collapsed first. In
+    ``keys`` keys of TOGETHER smallest shingle hashes each (a pair at 0.8 misses all twenty in six cases of ten million); the pivot table
+    and the fingerprint distance discard most, and the shingle sets of the survivors are compared exactly. Texts of equal words are collapsed first. In
     groups of more than SMALL documents each is first compared with the first and the middle one (nearest to the bitwise majority), then with
     those that are still of another class: no link between classes is lost.
     All empty and null texts are one class. Rows of one doc_id count as one document; a null doc_id has a null class. No rows give no rows.
     """
-    prints = kept_table(fingerprints(docs, words, minima), "prints")
-    reps = prints.where("doc_id is not null").groupBy("content").agg(F.min("doc_id").alias("node"), F.min("fp").alias("fp"), F.min("minima").alias("minima"))
+    prints = kept_table(fingerprints(docs, words, keys), "prints")
+    reps = prints.where("doc_id is not null").groupBy("content").agg(F.min("doc_id").alias("node"), F.min("fp").alias("fp"), F.min("keys").alias("keys"))
     reps = kept_table(reps, "reps")
     pairs, large = _candidates(reps)
     found = kept_table(components(_similar(docs, kept_table(pairs, "pairs"), words, similarity)), "classes")
