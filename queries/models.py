@@ -1,4 +1,4 @@
-"""Training, scoring and evaluation queries of the five model families (no SQL equivalent)."""
+"""Training, scoring and evaluation queries of the five model families; SQL can express scoring with given models, not fitting."""
 
 from __future__ import annotations
 
@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from queries import fixtures as fx
-from queries.points import _sequence_points
-from queries.registry import query
+from queries.points import FEATURES, _sequence_points
+from queries.registry import query, rounded
 from wakeline import schema as S
 from wakeline.ml import forest, importance, isolation, logistic, oneclass
 from wakeline.operators import trips
@@ -18,6 +18,7 @@ from wakeline.plans import features as plan
 from wakeline.plans import scoring, training
 from wakeline.session import scratch_path, stored
 from wakeline.sources import registry as reg
+from wakeline.sources import tables
 
 # Small grids; the full ones are the defaults of the library.
 GRIDS = {
@@ -140,3 +141,106 @@ def b8(spark, sf):
     scoring.score_trips(points, out, "logistic", feed)
     back = spark.read.schema("trip_id bigint, time_stamp string, score double, is_anomaly_pred int, data struct<dv: double, dist_to_ref: double>").json(feed)
     return back.select("trip_id", "time_stamp", "score", "is_anomaly_pred", "data.dv", "data.dist_to_ref")
+
+
+# ---------------------------------------------------------------- scoring with given models
+
+# Models of two routes, as numbers: one weight per point feature, intercept, threshold.
+GIVEN_LINEAR = {
+    "KIEL": ((0.05, 0.02, -0.004, 0.3, -0.8, 0.01, -0.02, 0.03, 0.1), -1.2, 0.55),
+    "BREMERHAVEN": ((-0.03, 0.04, 0.006, -0.2, 0.5, -0.005, 0.015, 0.02, -0.1), 0.4, 0.7),
+}
+# Landmarks with their weights, kernel width, offset, threshold; every feature has mean 1 and deviation 20.
+GIVEN_KERNEL = {
+    "KIEL": (((0.1, 0.5), (-0.2, 0.25)), 0.05, 0.3, 0.1),
+    "BREMERHAVEN": (((0.0, 0.4), (0.4, 0.6)), 0.02, 0.5, 0.05),
+}
+
+
+def _by_route(value) -> str:
+    """SQL that takes the value of a point's route; ``value`` gives the text for a route."""
+    return "CASE start_port " + " ".join(f"WHEN '{r}' THEN {value(r)}" for r in GIVEN_LINEAR) + " END"
+
+
+def _margin(route: str) -> str:
+    weights, intercept, _ = GIVEN_LINEAR[route]
+    return f"{intercept}::DOUBLE" + "".join(f" + {w}::DOUBLE * coalesce({c}, 0)" for w, c in zip(weights, S.POINT_FEATURES, strict=True))
+
+
+def _density(route: str) -> str:
+    marks, gamma, _, _ = GIVEN_KERNEL[route]
+    far = [" + ".join(f"power((coalesce({c}, 0) - 1) / 20::DOUBLE - {at}::DOUBLE, 2)" for c in S.POINT_FEATURES) for at, _ in marks]
+    return " + ".join(f"{weight}::DOUBLE * exp(-{gamma}::DOUBLE * ({d}))" for (_, weight), d in zip(marks, far, strict=True))
+
+
+LINEAR_SQL = f"""{FEATURES}, scored AS (SELECT *, 1 / (1 + exp(-({_by_route(_margin)}))) AS score, {_by_route(lambda r: f"{GIVEN_LINEAR[r][2]}::DOUBLE")} AS tau FROM feats)"""
+KERNEL_SQL = f"""{FEATURES}, scored AS (SELECT *, {_by_route(lambda r: f"{GIVEN_KERNEL[r][2]}::DOUBLE")} - ({_by_route(_density)}) AS score,
+    {_by_route(lambda r: f"{GIVEN_KERNEL[r][3]}::DOUBLE")} AS tau FROM feats)"""
+SCORED_SQL = "SELECT trip_id, point_id, start_port, round(score, 6) AS score, CAST(score > tau AS INT) AS is_anomaly_pred FROM scored"
+
+
+def _given_models(spark):
+    """A model folder with both families, written and registered as training does."""
+    out = scratch_path(spark, "models")
+    linear = {r: logistic.Linear(weights, intercept) for r, (weights, intercept, _) in GIVEN_LINEAR.items()}
+    tables.write_table(logistic.model_table(spark, linear), f"{out}/logistic")
+    width = len(S.POINT_FEATURES)
+    marks = [(r, i, [at] * width) for r, (points, *_) in GIVEN_KERNEL.items() for i, (at, _) in enumerate(points, 1)]
+    tables.write_table(spark.createDataFrame(marks, f"{S.ROUTE} string, position int, x array<double>"), f"{out}/one_class_svm_landmarks")
+    machines = [(r, gamma, [w for _, w in points], rho) for r, (points, gamma, rho, _) in GIVEN_KERNEL.items()]
+    tables.write_table(spark.createDataFrame(machines, f"{S.ROUTE} string, gamma double, alpha array<double>, rho double"), f"{out}/one_class_svm")
+    moments = {f"{c}_{name}": F.lit(value) for c in S.POINT_FEATURES for name, value in (("mean", 1.0), ("std", 20.0))}
+    routes = spark.createDataFrame([(r,) for r in GIVEN_KERNEL], f"{S.ROUTE} string")
+    tables.write_table(routes.withColumns(moments), f"{out}/one_class_svm_scale")
+    entries = [reg.Entry(r, "logistic", f"{out}/logistic", tau, S.POINT_FEATURES) for r, (*_, tau) in GIVEN_LINEAR.items()]
+    entries += [reg.Entry(r, "one_class_svm", f"{out}/one_class_svm", tau, S.POINT_FEATURES) for r, (*_, tau) in GIVEN_KERNEL.items()]
+    reg.save_registry(spark, entries, f"{out}/registry")
+    return out
+
+
+def _given_scores(spark, sf, family):
+    points = stored(plan.feature_points(fx.traj(spark, sf)), "features")
+    scored = scoring.score_points(points, _given_models(spark), family)
+    return rounded(scored.select(S.TRIP, S.POINT, S.ROUTE, "score", "is_anomaly_pred"))
+
+
+@query("k12_score_given_logistic", f"WITH {LINEAR_SQL} {SCORED_SQL}")
+def k12_given(spark, sf):
+    return _given_scores(spark, sf, "logistic")
+
+
+@query("k8_score_given_one_class", f"WITH {KERNEL_SQL} {SCORED_SQL}")
+def k8_given(spark, sf):
+    return _given_scores(spark, sf, "one_class_svm")
+
+
+@query("b8_score_given_trip", f"WITH {LINEAR_SQL} {SCORED_SQL} WHERE trip_id = 8")
+def b8_given(spark, sf):
+    cleaned, out = fx.traj(spark, sf), _given_models(spark)
+    training.save_routes(cleaned, out)
+    scored = scoring.score_cleaned(trips.select_trip(cleaned, 8), out, "logistic")
+    return rounded(scored.select(S.TRIP, S.POINT, S.ROUTE, "score", "is_anomaly_pred"))
+
+
+@query(
+    "j8_given_route_models",
+    f"""SELECT point_id, start_port, {_by_route(lambda r: f"{GIVEN_LINEAR[r][2]}::DOUBLE")} AS tau, 'logistic' AS model_type FROM traj""",
+)
+def j8_given(spark, sf):
+    registry = reg.load_registry(spark, f"{_given_models(spark)}/registry", "logistic")
+    models = registry.select(F.col("route").alias(S.ROUTE), "tau", "model_type")
+    return join_group_values(fx.traj(spark, sf).select(S.POINT, S.ROUTE), models, [S.ROUTE])
+
+
+@query(
+    "s10_registry_round_trip",
+    """SELECT start_port AS route, 'logistic' AS model_type, round(avg(speed_over_ground), 6) AS tau, CAST(2 AS INT) AS n_features
+    FROM traj GROUP BY start_port""",
+)
+def s10_given(spark, sf):
+    means = fx.traj(spark, sf).groupBy(S.ROUTE).agg(F.avg("speed_over_ground").alias("tau")).collect()  # two routes
+    path = scratch_path(spark, "registry")
+    for tau in (lambda r: 0.5, lambda r: r["tau"]):  # rows saved again replace those of their type
+        reg.save_registry(spark, [reg.Entry(r[S.ROUTE], "logistic", "m", tau(r), ["dv", "zone"]) for r in means], path)
+    reg.save_registry(spark, [reg.Entry("KIEL", "one_class_svm", "o", 0.1, ["dv"])], path)
+    return rounded(reg.load_registry(spark, path, "logistic").select("route", "model_type", "tau", F.size("features").alias("n_features")))

@@ -45,8 +45,8 @@ def full_grid() -> list[Cell]:
     return [Cell(*c) for c in product(NUS, GAMMAS)]
 
 
-def solve(kernel: np.ndarray, nu: float, tolerance: float = 1e-3, max_steps: int = 200_000) -> np.ndarray:
-    """Weights of min a'Ka/2 with 0 <= a <= 1 and sum a = nu * m, by pairwise steps."""
+def solve(kernel: np.ndarray, nu: float, tolerance: float = 1e-3) -> np.ndarray:
+    """Weights of min a'Ka/2 with 0 <= a <= 1 and sum a = nu * m, by pairwise steps until no pair gains ``tolerance``."""
     m = len(kernel)
     budget = nu * m
     alpha = np.zeros(m)
@@ -54,18 +54,17 @@ def solve(kernel: np.ndarray, nu: float, tolerance: float = 1e-3, max_steps: int
     if int(budget) < m:
         alpha[int(budget)] = budget - int(budget)
     gradient = kernel @ alpha
-    for _ in range(max_steps):
-        up = int(np.argmin(np.where(alpha < 1, gradient, np.inf)))
-        down = int(np.argmax(np.where(alpha > 0, gradient, -np.inf)))
-        gap = gradient[down] - gradient[up]
-        if gap < tolerance:
-            break
+    while True:
+        rising, falling = np.where(alpha < 1, gradient, np.inf), np.where(alpha > 0, gradient, -np.inf)
+        up, down = int(np.argmin(rising)), int(np.argmax(falling))
+        gap = falling[down] - rising[up]
+        if not gap >= tolerance:  # also if nothing can move
+            return alpha
         curve = max(kernel[up, up] + kernel[down, down] - 2 * kernel[up, down], 1e-12)
         step = min(gap / curve, 1 - alpha[up], alpha[down])
         alpha[up] += step
         alpha[down] -= step
         gradient += step * (kernel[:, up] - kernel[:, down])
-    return alpha
 
 
 def squared_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
