@@ -307,7 +307,7 @@ def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
 
 def _similar(docs: DataFrame, pairs: DataFrame, words: int, similarity: float) -> DataFrame:
     """The pairs ``a, b`` whose shingle sets are as similar."""
-    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    wanted = kept_table(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "wanted")  # stored: where its known size is small, no text moves
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, F.col("doc_id") == F.col("id"), "left_semi")
     sets = kept_table(shingle_sets(texts, words), "sets").dropDuplicates(["doc_id"])
     both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb")), "b")
