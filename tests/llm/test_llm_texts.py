@@ -132,6 +132,32 @@ def test_large_groups_lose_no_link(spark, monkeypatch):
     assert {r["doc_id"]: r["component_id"] for r in got.collect()} == want
 
 
+def near_by_sets(rows):
+    sets = {i: {tuple(t.split()[j : j + 5]) for j in range(len(t.split()) - 4)} for i, t in rows}
+    return classes([(a, b) for a, b in itertools.combinations(sets, 2) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])], sets)
+
+
+@pytest.mark.parametrize("small", [32, 2])
+def test_copies_with_repeated_lines_are_near(spark, monkeypatch, small):
+    monkeypatch.setattr(simhash, "SMALL", small)
+    rng, rows = random.Random(12), []
+    for i in range(12):
+        text = words(rng, 104)
+        rows += [(1000 * i, text)] + [(1000 * i + n, text + f" {words(rng, 7)}" * n) for n in (5, 20, 60)]
+    want = near_by_sets(rows)
+    assert all(want[i] == i // 1000 * 1000 for i, _ in rows)
+    got = simhash.similar_classes(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r["doc_id"]: r["component_id"] for r in got.collect()} == want
+
+
+def test_parity_sketches_never_differ_more_than_the_sets():
+    rng = np.random.default_rng(13)
+    for n in (0, 1, 9, 300, 5000):
+        both, a, b = (rng.integers(0, 2**64, k, dtype=np.uint64) for k in (n, n // 9, n // 5))
+        x, y = (np.array(simhash.parity(np.unique(np.r_[both, own])), dtype=np.int64).view(np.uint64) for own in (a, b))
+        assert len(x) == simhash.PARITY and np.bitwise_count(x ^ y).sum() <= len(a) + len(b)
+
+
 # ---------------------------------------------------------------- fingerprints
 
 

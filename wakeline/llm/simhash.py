@@ -22,8 +22,8 @@ MAX_GROUP = 4096
 """Fingerprints that one task compares at once; larger groups are divided by further bits, without loss."""
 PIECE = 1 << 22
 """Bytes of a text that are split into words at once."""
-FILTER_BITS = 20
-"""Distance up to which a pair that shares shingles is compared shingle by shingle."""
+PARITY = 16
+"""Longs of a parity sketch."""
 
 _SPACE = re.compile(rb"[\x20\x09-\x0d]")
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int64)
@@ -64,6 +64,12 @@ def _hashes(shingles: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(map(xxhash.xxh64_digest, shingles, itertools.repeat(SEED))), dtype=">u8")
 
 
+def _distinct(arrays) -> np.ndarray:
+    """The distinct hashes of all arrays, ascending."""
+    parts = [np.unique(a) for a in arrays]
+    return np.unique(np.concatenate(parts)).astype(np.uint64) if parts else np.empty(0, dtype=np.uint64)
+
+
 def fingerprint(arrays) -> int:
     """Bit i is 1 if it is set in over half of the hashes; zero without any. Signed, as Spark stores it."""
     ones, total = np.zeros(64, dtype=np.int64), 0
@@ -88,27 +94,41 @@ def minima_keys(arrays: list[np.ndarray], count: int) -> list[int]:
     return mixed.sum(axis=1, dtype=np.uint64).view(np.int64).tolist()
 
 
+def parity(shingles: np.ndarray) -> list[int]:
+    """PARITY longs: for each of their bits, whether an odd number of the distinct hashes falls on it.
+
+    A hash that only one of two sets has changes one bit, so sketches never differ in more bits than the sets have hashes of their own.
+    """
+    odd = np.bincount((shingles & np.uint64(64 * PARITY - 1)).astype(np.int64), minlength=64 * PARITY) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
+
+
 def fingerprints(docs: DataFrame, words: int = 3, keys: int = 0) -> DataFrame:
     """``doc_id, fp`` of every row: the SimHash of its word shingles. Null and empty texts have fingerprint zero.
 
-    With ``keys``, also ``content`` (digest of the lower-cased words) and ``keys`` (so many of :func:`minima_keys`).
+    With ``keys``, also ``content`` (digest of the lower-cased words), ``keys`` (so many of :func:`minima_keys`), and the ``count`` and the
+    ``parity`` sketch of the distinct shingles.
     """
-    schema = "doc_id long, fp long" + (", content binary, keys array<long>" if keys else "")
+    schema = "doc_id long, fp long" + (", content binary, keys array<long>, count long, parity array<long>" if keys else "")
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text(F.col("text")).alias("text"))
 
     def run(batches):
         for batch in batches:
-            ids, prints, contents, found = batch.column(0), [], [], []
+            ids, prints, contents, found, counts, sketches = batch.column(0), [], [], [], [], []
             for text in batch.column(1):
                 arrays = shingle_hashes(text.as_py(), words)
                 if keys:
                     arrays = list(arrays)
                     found.append(minima_keys(arrays, keys))
+                    distinct = _distinct(arrays)
+                    counts.append(len(distinct))
+                    sketches.append(parity(distinct))
                     contents.append(hashlib.blake2b(b"".join(a.tobytes() for a in arrays), digest_size=16).digest())
                 prints.append(fingerprint(arrays))
             columns = {"doc_id": ids, "fp": pa.array(prints, pa.int64())}
             if keys:
                 columns |= {"content": pa.array(contents, pa.binary()), "keys": pa.array(found, pa.list_(pa.int64()))}
+                columns |= {"count": pa.array(counts, pa.int64()), "parity": pa.array(sketches, pa.list_(pa.int64()))}
             yield pa.RecordBatch.from_pydict(columns)
 
     return source.mapInArrow(run, schema)
@@ -240,17 +260,21 @@ SMALL = 32
 """Documents of a key group that are all compared with each other; in larger groups two hubs come first, and then what they leave."""
 
 
-def _within(a: Column, b: Column, bits: int) -> Column:
-    """Pivot filter, then the exact distance."""
-    near = F.bit_count(a.bitwiseXOR(b)) <= bits
-    for p in pivot_fingerprints().tolist():
-        pivot = F.lit(_signed(p))
-        near = (F.abs(F.bit_count(a.bitwiseXOR(pivot)) - F.bit_count(b.bitwiseXOR(pivot))) <= bits) & near
-    return near
+def _may_be(x: str, y: str, similarity: float) -> Column:
+    """Whether the sets behind ``{x}count, {x}parity`` and those of y can be as similar; only pairs that cannot are refused.
+
+    At a similarity s two sets have at most (1 - s) / (1 + s) of their sizes' sum to themselves, and their parity sketches and sizes differ
+    by no more than that.
+    """
+    most = (F.col(f"{x}count") + F.col(f"{y}count")) * F.lit((1 - similarity) / (1 + similarity)) + F.lit(1e-6)
+    bits = F.lit(0)
+    for i in range(PARITY):
+        bits = bits + F.bit_count(F.col(f"{x}parity")[i].bitwiseXOR(F.col(f"{y}parity")[i]))
+    return (F.abs(F.col(f"{x}count") - F.col(f"{y}count")) <= most) & (bits <= most)
 
 
 def _candidates(reps: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``a, b``: pairs that share a key, linear in the documents; and the rows of groups too large to compare all pairs (``salt, key, node, fp``)."""
+    """``a, b``: pairs that share a key, linear in the documents; and the rows of groups too large to compare all pairs (``salt, key, node``)."""
     keys = reps.select("node", "fp", F.posexplode("keys").alias("salt", "key"))
     me = F.struct("node", "fp").alias("me")
     sizes = keys.groupBy("salt", "key").agg(F.count("*").alias("n"), F.min(F.struct("node", "fp")).alias("hub")).where("n > 1")
@@ -267,28 +291,26 @@ def _candidates(reps: DataFrame) -> tuple[DataFrame, DataFrame]:
     small = grouped.where(F.col("n").between(3, SMALL))
     pairs = grouped.select(me, "hub").union(large.drop("hub").join(middle, ["salt", "key"]).select(me, "hub"))
     pairs = pairs.union(small.select("salt", "key", me).join(small.select("salt", "key", F.struct("node", "fp").alias("hub")), ["salt", "key"]).select("me", "hub"))
-    ordered = pairs.where("me.node <> hub.node").select(F.least("me", "hub").alias("x"), F.greatest("me", "hub").alias("y"))
-    ordered = ordered.select(F.col("x.node").alias("a"), F.col("x.fp").alias("fa"), F.col("y.node").alias("b"), F.col("y.fp").alias("fb"))
-    pairs = ordered.where(_within(F.col("fa"), F.col("fb"), FILTER_BITS)).select("a", "b").distinct()
-    return pairs, grouped.where(F.col("n") > SMALL).select("salt", "key", "node", "fp")
+    ordered = pairs.where("me.node <> hub.node").select(F.least("me.node", "hub.node").alias("a"), F.greatest("me.node", "hub.node").alias("b"))
+    return ordered.distinct(), grouped.where(F.col("n") > SMALL).select("salt", "key", "node")
 
 
-def _open_pairs(large: DataFrame, found: DataFrame) -> DataFrame:
+def _open_pairs(large: DataFrame, found: DataFrame, sketches: DataFrame, similarity: float) -> DataFrame:
     """``a, b``: what is left to compare in large groups, given the classes that the first links make.
 
     Two documents of one class need no link of their own. So a group's largest class is compared with the others of the group, and these
-    with each other; a group of copies, nearly all of one class by now, leaves little. Pairs are filtered while they are joined.
+    with each other; a group of copies, nearly all of one class by now, leaves little. While they are joined, the pairs go whose ``sketches``
+    (``node, count, parity``) prove that they are less similar.
     """
     member = F.col("node") == F.col("member")
-    rows = large.join(found.withColumnRenamed("node", "member"), member, "left").select("salt", "key", "node", "fp", F.coalesce("component", "node").alias("class"))
-    rows = kept_table(rows, "open")
+    rows = large.join(found.withColumnRenamed("node", "member"), member, "left").select("salt", "key", "node", F.coalesce("component", "node").alias("class"))
+    rows = kept_table(rows.join(sketches, "node"), "open")
     sizes = rows.groupBy("salt", "key", "class").agg(F.count("*").alias("n"))
     main = kept_table(sizes.groupBy("salt", "key").agg(F.max_by("class", F.struct("n", "class")).alias("main")), "main")
     left = kept_table(rows.join(main, ["salt", "key"]).where("class <> main").drop("main"), "left")
-    x = left.select("salt", "key", F.col("node").alias("a"), F.col("fp").alias("fa"), F.col("class").alias("ca"))
-    y = rows.select("salt", "key", F.col("node").alias("b"), F.col("fp").alias("fb"), F.col("class").alias("cb"))
-    near = x.join(y, ["salt", "key"]).where((F.col("ca") != F.col("cb")) & _within(F.col("fa"), F.col("fb"), FILTER_BITS))
-    return near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    x, y = (side.select("salt", "key", *(F.col(c).alias(f"{s}_{c}") for c in ("node", "class", "count", "parity"))) for side, s in ((left, "a"), (rows, "b")))
+    near = x.join(y, ["salt", "key"]).where((F.col("a_class") != F.col("b_class")) & _may_be("a_", "b_", similarity))
+    return near.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")).distinct()
 
 
 def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
@@ -298,8 +320,7 @@ def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
         for batch in batches:
             sets = []
             for text in batch.column(1):
-                arrays = [np.unique(a) for a in shingle_hashes(text.as_py(), words)]
-                sets.append(np.unique(np.concatenate(arrays)).astype(np.int64) if arrays else [])
+                sets.append(_distinct(shingle_hashes(text.as_py(), words)).view(np.int64))
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "shingles": pa.array(sets, pa.list_(pa.int64()))})
 
     return docs.select(F.col("doc_id").cast("long"), whole_text(F.col("text"))).mapInArrow(run, "doc_id long, shingles array<long>")
@@ -319,19 +340,19 @@ def similar_classes(docs: DataFrame, words: int = 5, similarity: float = 0.8, ke
     """``doc_id, component_id`` of every row: documents whose sets of word shingles have a Jaccard similarity of ``similarity`` or more
     are linked; ``component_id`` is the smallest doc_id reachable.
 
-    At this similarity fingerprints differ in up to 16 of 64 bits, which no set of exact keys can find. So candidates share one of
-    ``keys`` keys of TOGETHER smallest shingle hashes each (a pair at 0.8 misses all twenty in six cases of ten million); the pivot table
-    and the fingerprint distance discard most, and the shingle sets of the survivors are compared exactly. Texts of equal words are collapsed first. In
-    groups of more than SMALL documents each is first compared with the first and the middle one (nearest to the bitwise majority), then with
-    those that are still of another class: no link between classes is lost.
+    Fingerprints of such texts differ in any number of bits (they count repeats, the sets do not), so no pair is discarded by their distance. Candidates
+    share one of ``keys`` keys of TOGETHER smallest shingle hashes each (a pair at 0.8 misses all twenty in six cases of ten million), and their
+    shingle sets are compared exactly. Texts of equal words are collapsed first. In groups of more than SMALL documents each is first
+    compared with the first and the middle one (fingerprint nearest to the bitwise majority), then with those that are still of another class,
+    but for pairs whose parity sketches prove them less similar: of the candidates no link between classes is lost.
     All empty and null texts are one class. Rows of one doc_id count as one document; a null doc_id has a null class. No rows give no rows.
     """
     prints = kept_table(fingerprints(docs, words, keys), "prints")
-    reps = prints.where("doc_id is not null").groupBy("content").agg(F.min("doc_id").alias("node"), F.min("fp").alias("fp"), F.min("keys").alias("keys"))
+    reps = prints.where("doc_id is not null").groupBy("content").agg(F.min("doc_id").alias("node"), F.min("fp").alias("fp"), *(F.min(c).alias(c) for c in ("keys", "count", "parity")))
     reps = kept_table(reps, "reps")
     pairs, large = _candidates(reps)
     found = kept_table(components(_similar(docs, kept_table(pairs, "pairs"), words, similarity)), "classes")
-    rest = kept_table(_open_pairs(large, found), "rest")
+    rest = kept_table(_open_pairs(large, found, reps.select("node", "count", "parity"), similarity), "rest")
     if not rest.isEmpty():
         found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(_similar(docs, rest, words, similarity)))
     found = found.withColumnRenamed("node", "member")
