@@ -237,6 +237,32 @@ def test_repeated_spans_go_but_for_the_first(spark):
     assert spans.report(empty_docs(spark)).collect() == []
 
 
+def covered(earlier, later, passage):
+    """Share of the passage that repeated runs of the later text cover."""
+    seen = {d for _, _, d in spans.runs(earlier)}
+    gone = {i for first, size, d in spans.runs(later) if d in seen for i in range(first, first + size)}
+    at = later.index(passage)
+    return sum(max(0, min(b, at + len(passage)) - max(a, at)) for i, (a, b) in enumerate(spans.sentences(later)) if i in gone) / len(passage)
+
+
+def test_passages_without_sentence_ends_are_found_at_any_word():
+    rng, shares = random.Random(14), []
+    for _ in range(200):
+        passage = words(rng, rng.randrange(51, 120))
+        one, two = (f"{words(rng, rng.randrange(1, 60))} {passage} {words(rng, 40)}" for _ in range(2))
+        shares.append(covered(one, two, passage))
+    assert min(shares) > 0 and np.mean(shares) > 0.6
+
+
+def test_texts_without_spaces_are_cut(spark):
+    rng = random.Random(15)
+    signs = lambda n: "".join(chr(rng.randrange(0x4E00, 0x5E00)) for _ in range(n))
+    passage = signs(90)
+    assert covered(signs(33) + passage + signs(40), signs(50) + passage + signs(20), passage) > 0.5
+    rows = [(1, passage), (2, passage), (3, signs(90))]
+    assert [r["doc_id"] for r in spans.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()] == [2]
+
+
 # ---------------------------------------------------------------- mixing
 
 

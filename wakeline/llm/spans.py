@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,22 +17,38 @@ from wakeline.llm.common import kept_table, whole_text
 RUN_SENTENCES = 2
 RUN_WORDS = 16
 """A run goes from a sentence on until it has so many sentences and words."""
-LONG_SENTENCE = 24
-"""Words after which a sentence without an end is cut."""
+WINDOW = 4
+"""Pairs of words on each side among which the least one cuts a sentence."""
 
 _END = re.compile(r"[.!?]\s+|\n\s*")
-_WORD = re.compile(r"\S+\s*")
+#: Thai, kana and Han are written without spaces: each character is a word.
+_UNSPACED = r"\u0E00-\u0E7F\u3040-\u30FF\u3400-\u9FFF"
+_WORD = re.compile(rf"[^\s{_UNSPACED}]+|[{_UNSPACED}]")
+
+
+def _cuts_within(text: str, ends: list[int]) -> list[int]:
+    """Where sentences are cut: behind a word whose pair with the next word has the least hash of WINDOW pairs on each side, all in one sentence.
+
+    This depends on no words further away, so a passage is cut alike wherever it stands, but for WINDOW words at its borders.
+    """
+    found = [(m.start(), zlib.crc32(m.group().lower().encode("utf-8", "surrogatepass"))) for m in _WORD.finditer(text)]
+    if len(found) < 2 * WINDOW + 2:
+        return []
+    starts, hashes = np.array(found, dtype=np.uint64).T
+    pairs = (hashes[:-1] * np.uint64(0x9E3779B97F4A7C15) + hashes[1:]) * np.uint64(0xC2B2AE3D27D4EB4F)
+    last = np.searchsorted(starts, np.array(ends, dtype=np.uint64))  # words before each end
+    sentence = np.repeat(np.arange(len(ends)), np.diff(last, prepend=0))
+    middle = pairs[WINDOW : len(pairs) - WINDOW]
+    least = sentence[: len(middle)] == sentence[2 * WINDOW + 1 :]
+    for i in range(2 * WINDOW + 1):
+        least &= middle <= pairs[i : i + len(middle)]
+    return starts[np.flatnonzero(least) + WINDOW + 1].astype(np.int64).tolist()
 
 
 def sentences(text: str) -> Iterator[tuple[int, int]]:
-    """Start and end of each sentence with the space behind it; together they are the whole text."""
-    at = 0
-    for end in [*(m.end() for m in _END.finditer(text)), len(text)]:
-        if text.count(" ", at, end) >= LONG_SENTENCE:
-            for n, m in enumerate(_WORD.finditer(text, at, end), start=1):
-                if n % LONG_SENTENCE == 0 and m.end() < end:
-                    yield at, m.end()
-                    at = m.end()
+    """Start and end of each sentence, or part of a longer one, with the space behind it; together they are the whole text."""
+    at, ends = 0, [*(m.end() for m in _END.finditer(text)), len(text)]
+    for end in sorted({*ends, *_cuts_within(text, ends)}):
         if end > at:
             yield at, end
         at = end
@@ -46,7 +63,7 @@ def runs(text: str) -> Iterator[tuple[int, int, bytes]]:
     """
     sizes, keys, where = [], [], []
     for i, (a, b) in enumerate(sentences(text)):
-        if words := text[a:b].lower().split():
+        if words := _WORD.findall(text[a:b].lower()):
             sizes.append(len(words))
             keys.append(xxhash.xxh128_digest(" ".join(words).encode("utf-8", "surrogatepass")))
             where.append(i)
