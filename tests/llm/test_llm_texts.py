@@ -263,6 +263,20 @@ def test_texts_without_spaces_are_cut(spark):
     assert [r["doc_id"] for r in spans.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()] == [2]
 
 
+def test_passages_are_covered_to_their_last_sentence():
+    rng = random.Random(16)
+    text = lambda sizes: "".join(words(rng, n).capitalize() + ". " for n in sizes)
+    for sizes in [(20, 20, 5, 5, 5), *([rng.randrange(1, 9) for _ in range(9)] for _ in range(50))]:
+        if sum(sizes) >= 16:
+            passage = text(sizes)
+            assert covered(text((7, 7, 7)) + passage + text((7, 7)), text((5, 5)) + passage + text((7, 7, 7)), passage) == 1
+
+
+def test_copies_of_short_texts_go(spark):
+    rows = [(1, "Read on. Then stop."), (2, "read on.\nThen stop."), (3, "Three words here"), (4, "Three words here"), (5, "Then stop."), (6, " "), (7, "\n")]
+    assert {r["doc_id"]: r["text"] for r in spans.report(spark.createDataFrame(rows, "doc_id long, text string"), ends=True).collect()} == {2: "", 4: ""}
+
+
 # ---------------------------------------------------------------- mixing
 
 

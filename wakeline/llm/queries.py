@@ -14,7 +14,7 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spans.report(table(spark, sf_dir, "documents"))
+    return spans.report(table(spark, sf_dir, "documents"), ends=True)
 
 
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

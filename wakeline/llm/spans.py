@@ -54,12 +54,12 @@ def sentences(text: str) -> Iterator[tuple[int, int]]:
         at = end
 
 
-def runs(text: str) -> Iterator[tuple[int, int, bytes]]:
-    """``(first sentence, sentences, digest)`` of every run of several consecutive sentences, by their lower-cased words.
+def runs(text: str, ends: bool = True) -> Iterator[tuple[int, int, bytes]]:
+    """``(first sentence, sentences, digest)`` of every run of several consecutive sentences, by their lower-cased words, in order.
 
-    A run begins at any sentence with a word and is as short as RUN_SENTENCES and RUN_WORDS let it be, so a passage shared by
-    two texts gives the same runs in both, up to its last ones, whose sentences earlier runs cover. A text that is one long sentence is
-    one run; other texts that are too short for a run have none.
+    A run begins at any sentence with a word, or with ``ends`` also ends at any, and is as short as RUN_SENTENCES and RUN_WORDS let it be. So a
+    passage shared by two texts gives the same runs in both, and those that begin or end in it cover all its sentences; without ``ends`` its
+    last ones may stay. A text that is one long sentence is one run, and with ``ends`` also one that is too short for a run.
     """
     sizes, keys, where = [], [], []
     for i, (a, b) in enumerate(sentences(text)):
@@ -67,20 +67,30 @@ def runs(text: str) -> Iterator[tuple[int, int, bytes]]:
             sizes.append(len(words))
             keys.append(xxhash.xxh128_digest(" ".join(words).encode("utf-8", "surrogatepass")))
             where.append(i)
-    end, size, count = 0, 0, len(keys)
+    end, size, count, found = 0, 0, len(keys), set()
     for i in range(count):
         while end < count and (end - i < RUN_SENTENCES or size < RUN_WORDS):
             size += sizes[end]
             end += 1
         if end - i < RUN_SENTENCES or size < RUN_WORDS:
-            if not i and size >= RUN_WORDS:  # one long sentence
-                yield where[0], where[-1] + 1 - where[0], xxhash.xxh128_digest(b"".join(keys))
-            return
-        yield where[i], where[end - 1] + 1 - where[i], xxhash.xxh128_digest(b"".join(keys[i:end]))
+            break
+        found.add((i, end))
         size -= sizes[i]
+    first, size = 0, 0
+    for end in range(1, count + 1 if ends else 1):
+        size += sizes[end - 1]
+        while end - first > RUN_SENTENCES and size - sizes[first] >= RUN_WORDS:
+            size -= sizes[first]
+            first += 1
+        if end - first >= RUN_SENTENCES and size >= RUN_WORDS:
+            found.add((first, end))
+    if count and not found and (ends or sum(sizes) >= RUN_WORDS):
+        found.add((0, count))
+    for i, end in sorted(found):
+        yield where[i], where[end - 1] + 1 - where[i], xxhash.xxh128_digest(b"".join(keys[i:end]))
 
 
-def _run_rows(docs: DataFrame) -> DataFrame:
+def _run_rows(docs: DataFrame, ends: bool) -> DataFrame:
     """``doc_id, h1, h2, first, size, again``: every run; ``again`` if the same run begins earlier in the document."""
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text(F.col("text")).alias("text")).where("doc_id is not null")
 
@@ -90,7 +100,7 @@ def _run_rows(docs: DataFrame) -> DataFrame:
                 ids, digests, firsts, sizes, again = [], [], [], [], []
                 for doc_id, text in zip(batch.column(0).slice(at, 500).to_pylist(), batch.column(1).slice(at, 500), strict=True):
                     seen = set()
-                    for first, size, digest in runs(text.as_py()):
+                    for first, size, digest in runs(text.as_py(), ends):
                         ids.append(doc_id)
                         digests.append(digest)
                         firsts.append(first)
@@ -105,13 +115,13 @@ def _run_rows(docs: DataFrame) -> DataFrame:
     return source.mapInArrow(run, "doc_id long, h1 long, h2 long, first int, size int, again boolean")
 
 
-def repeated_runs(docs: DataFrame) -> DataFrame:
+def repeated_runs(docs: DataFrame, ends: bool) -> DataFrame:
     """``doc_id, first, size, first_doc_id`` of each run that also begins earlier: in a document of smaller id, or before in the same one.
 
     Rows of one doc_id count as one document. Runs are stored once; their smallest document comes from a pre-aggregated count, and only
     repeated runs are joined back, the popular ones split.
     """
-    rows = kept_table(_run_rows(docs), "runs")
+    rows = kept_table(_run_rows(docs, ends), "runs")
     # Stored, so that both sides of the joins are exchanges, whose hot keys can be split.
     least = rows.where(~F.col("again")).groupBy("h1", "h2").agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last")).where("first_doc_id < last")
     least = kept_table(least, "least")
@@ -121,9 +131,9 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
     return across.select(columns).union(inside.select(columns))
 
 
-def _cut(docs: DataFrame, how: str) -> DataFrame:
+def _cut(docs: DataFrame, how: str, ends: bool) -> DataFrame:
     """The documents joined with what is cut from them."""
-    cuts = repeated_runs(docs).groupBy(F.col("doc_id").alias("__id")).agg(F.collect_set(F.struct("first", "size")).alias("__cuts"), F.collect_set("first_doc_id").alias("__firsts"))
+    cuts = repeated_runs(docs, ends).groupBy(F.col("doc_id").alias("__id")).agg(F.collect_set(F.struct("first", "size")).alias("__cuts"), F.collect_set("first_doc_id").alias("__firsts"))
     return docs.join(cuts, F.col("doc_id").cast("long") == F.col("__id"), how)
 
 
@@ -134,9 +144,9 @@ def remaining(text: str, cuts) -> tuple[str, int]:
     return "".join(p for i, p in enumerate(parts) if i not in gone), sum(bool(parts[i].strip()) for i in gone if i < len(parts))
 
 
-def deduplicate(docs: DataFrame) -> DataFrame:
+def deduplicate(docs: DataFrame, ends: bool = False) -> DataFrame:
     """``docs`` with every sentence removed from ``text`` that a repeated run covers, except where the run occurs first (smallest doc_id,
-    then position). ``n_chars``, if there, is counted anew where the text changed; rows and other columns stay. Null texts and rows
+    then position); ``ends`` as in :func:`runs`. ``n_chars``, if there, is counted anew where the text changed; rows and other columns stay. Null texts and rows
     without a doc_id are left alone; a text may become empty."""
     names = docs.columns
     at, length = names.index("text"), names.index("n_chars") if "n_chars" in names else None
@@ -152,11 +162,11 @@ def deduplicate(docs: DataFrame) -> DataFrame:
                 columns[length] = pa.array(counts, batch.schema.field(length).type)
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    joined = _cut(docs, "left")
+    joined = _cut(docs, "left", ends)
     return joined.select(*(docs[c] for c in names), joined["__cuts"]).mapInArrow(run, docs.schema)
 
 
-def report(docs: DataFrame) -> DataFrame:
+def report(docs: DataFrame, ends: bool = False) -> DataFrame:
     """``doc_id, n_removed, first_doc_ids, text``: each document that loses sentences, how many, where their runs occur first, and the text that is left.
 
     Cases as in :func:`deduplicate`; documents that stay whole have no row.
@@ -169,5 +179,5 @@ def report(docs: DataFrame) -> DataFrame:
                 {"doc_id": batch.column(0), "n_removed": pa.array([k[1] for k in kept], pa.int32()), "first_doc_ids": batch.column(3), "text": pa.array([k[0] for k in kept], pa.string())}
             )
 
-    joined = _cut(docs.select("doc_id", "text"), "inner").select(F.col("doc_id").cast("long").alias("doc_id"), whole_text(F.col("text")).alias("text"), "__cuts", "__firsts")
+    joined = _cut(docs.select("doc_id", "text"), "inner", ends).select(F.col("doc_id").cast("long").alias("doc_id"), whole_text(F.col("text")).alias("text"), "__cuts", "__firsts")
     return joined.mapInArrow(run, "doc_id long, n_removed int, first_doc_ids array<long>, text string")
