@@ -197,6 +197,17 @@ def test_edited_texts_and_next_documents(spark):
     assert alone["near_next"] == 1.0
 
 
+def test_long_texts_are_compared_by_all_anchors(spark):
+    rng = random.Random(17)
+    passage = words(rng, 200, 10**6)
+    texts = {i: f"{words(rng, 20_000 + i, 10**6)} {passage} {words(rng, 300, 10**6)}" for i in (1, 2)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    sets = {r["doc_id"]: {a["anchor"] for a in r["a"]} for r in docs.select("doc_id", syncmers.anchors(F.col("text")).alias("a")).collect()}
+    want = len(sets[1] & sets[2]) / len(sets[1] | sets[2])
+    got = syncmers.edited_fingerprints(docs).collect()
+    assert want > 0 and all(abs(r["near_next"] - want) < 1e-12 and len(r["fingerprint"]) == 8 * len(sets[r["doc_id"]]) for r in got)
+
+
 # ---------------------------------------------------------------- spans
 
 

@@ -13,8 +13,6 @@ K = 5
 """Words of a k-mer."""
 S = 2
 """Words of the inner substrings."""
-SKETCH = 64
-"""Anchors that a fingerprint keeps: the smallest hashes, so that two fingerprints of any lengths can be compared."""
 
 
 def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -67,8 +65,8 @@ def anchors(text: Column) -> Column:
 
 
 def sketch(text: Column) -> Column:
-    """The smallest SKETCH distinct anchors of the whole text, ascending. Without words: empty."""
-    return F.slice(F.sort_array(F.array_distinct(_closed(text, _anchor))), 1, SKETCH)
+    """All distinct anchors of the whole text, ascending. Without words: empty."""
+    return F.sort_array(F.array_distinct(_closed(text, _anchor)))
 
 
 def fingerprint(anchor_sketch: Column) -> Column:
@@ -77,9 +75,8 @@ def fingerprint(anchor_sketch: Column) -> Column:
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Estimated Jaccard similarity of the anchors behind two sketches, exact up to SKETCH anchors in all. Two empty sketches: 1."""
-    joint = F.slice(F.sort_array(F.array_union(a, b)), 1, SKETCH)
-    value = _bind(joint, lambda u: F.size(F.array_intersect(F.array_intersect(u, a), b)) / F.size(u).cast("double"))
+    """Jaccard similarity of the anchors of two sketches. Two empty sketches: 1."""
+    value = _bind(F.size(F.array_intersect(a, b)), lambda n: n / (F.size(a) + F.size(b) - n).cast("double"))
     return F.when((F.size(a) == 0) & (F.size(b) == 0), F.lit(1.0)).when((F.size(a) == 0) | (F.size(b) == 0), F.lit(0.0)).otherwise(value)
 
 
