@@ -208,6 +208,14 @@ def test_long_texts_are_compared_by_all_anchors(spark):
     assert want > 0 and all(abs(r["near_next"] - want) < 1e-12 and len(r["fingerprint"]) == 8 * len(sets[r["doc_id"]]) for r in got)
 
 
+def test_texts_with_words_have_anchors(spark):
+    rng = random.Random(18)
+    docs = spark.createDataFrame([(i, words(rng, 4 + i % 4, 10**6)) for i in range(200)] + [(200, ""), (201, None)], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in syncmers.edited_fingerprints(docs).collect()}
+    assert all(got[i]["fingerprint"] for i in range(200)) and len({got[i]["fingerprint"] for i in range(200)}) == 200
+    assert all(got[i]["near_next"] == 0 for i in range(1, 201)) and got[201]["near_next"] == 1
+
+
 # ---------------------------------------------------------------- spans
 
 

@@ -30,7 +30,7 @@ def _tokens(text: Column) -> Column:
 
 def _closed(text: Column, take: Callable[[Column, Column], Column]) -> Column:
     """``take(inner hashes, position)`` of every closed syncmer: the k-mers of words whose smallest inner substring (a pair of words, by hash)
-    lies at one of their edges. Ties count as lying at the edge. A text of fewer than K words is one k-mer."""
+    lies at one of their edges. Ties count as lying at the edge. A text of fewer than K words, or without a closed syncmer, is one k-mer."""
 
     def inner(h: Column) -> Column:
         pairs = F.transform(F.sequence(F.lit(0), F.size(h) - S), lambda i: h[i].bitwiseXOR(F.shiftleft(h[i + 1], 1)))
@@ -46,7 +46,7 @@ def _closed(text: Column, take: Callable[[Column, Column], Column]) -> Column:
         hashed = F.transform(w, lambda x: F.xxhash64(x))
         whole = F.array(F.xxhash64(F.concat_ws(" ", w)), F.lit(0).cast("long"), F.lit(0).cast("long"), F.lit(0).cast("long"))
         short = F.when(F.size(w) == 0, F.array_remove(F.array(take(whole, F.lit(0))), take(whole, F.lit(0)))).otherwise(F.array(take(whole, F.lit(0))))
-        return F.when(F.size(w) >= K, _bind(hashed, inner)).otherwise(short)
+        return F.when(F.size(w) >= K, _bind(_bind(hashed, inner), lambda found: F.when(F.size(found) > 0, found).otherwise(short))).otherwise(short)
 
     return _bind(_tokens(text), chosen)
 
