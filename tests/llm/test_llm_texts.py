@@ -511,6 +511,21 @@ def test_phrases_against_search():
             assert got[i, k] == brute_phrases([c if c != langid._UNKNOWN else 200 for c in codes], learned)
 
 
+def test_every_script_keeps_its_letters(monkeypatch):
+    rng = random.Random(19)
+    scripts = {"el": (0x3B1, 24), "ja": (0x4E00, 900), "la": (0x61, 26), "ru": (0x430, 32), "uk": (0x450, 12), "xx": (0x100, 90)}
+    text = lambda lang, n: "".join(chr(scripts[lang][0] + rng.randrange(scripts[lang][1])) if rng.random() > 0.2 else " " for _ in range(n))
+    samples = {lang: [text(lang, 500 if lang != "la" else 5000) for _ in range(4)] for lang in scripts}
+    texts = [text(lang, 300) for lang in scripts]
+    model = langid.Model(samples)
+    assert model.predict(texts)[0] == list(scripts)
+    got = model.phrases(texts)
+    for k, lang in enumerate(model.langs):
+        assert (langid.Model({lang: samples[lang]}).phrases(texts)[:, 0] == got[:, k]).all()
+    monkeypatch.setattr(langid, "DENSE", 0)
+    assert (langid.Model(samples).phrases(texts) == got).all()
+
+
 def test_languages_on_held_out_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = queries.op8_language_id(spark, "/root/testdata/sf0.01").join(docs.select("doc_id", "lang"), "doc_id").where("held_out").collect()

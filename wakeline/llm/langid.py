@@ -12,15 +12,14 @@ from wakeline.llm.common import held_out
 TRAIN_TEXTS = 32
 TRAIN_CHARS = 512
 """The bounded sample of a fit: for each language so many code points from the middle of so many texts, taken by the hash of their ids."""
-LETTERS = 59
-"""Letters with codes of their own, the most frequent of the sample."""
+DENSE = 256
+"""Letters of a language up to which its parse table has a column for each; with more, its transitions are searched. Results are the same."""
 BLOCK = 512
 """Letters after which a phrase ends in any case, so that the blocks of all texts are parsed side by side."""
 LANES = 8192
 
-_WIDTH = 64
 _SPACE, _UNKNOWN, _BREAK, _PAD = 0, 61, 62, 63
-_POINTS = 1 << 16
+_POINTS = 0x110000
 
 
 def _training(docs: DataFrame) -> DataFrame:
@@ -38,21 +37,16 @@ def _training(docs: DataFrame) -> DataFrame:
 def _codes(text: str, points: np.ndarray) -> np.ndarray:
     """Letter codes of the lower-cased text; each run of other characters is one space."""
     raw = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    codes = points[np.minimum(raw, _POINTS - 1)]
+    codes = points[raw]
     return codes[np.r_[True, (codes[1:] != _SPACE) | (codes[:-1] != _SPACE)]] if len(codes) else codes
 
 
 def _alphabet(texts: list[str]) -> np.ndarray:
-    """Code of every code point: spaces for all but letters, own codes for the most frequent letters of the sample."""
-    points = np.array([_UNKNOWN if chr(i).isalpha() else _SPACE for i in range(_POINTS)], dtype=np.uint8)
-    points[_POINTS - 1] = _UNKNOWN  # all beyond
-    counts: dict[str, int] = {}
-    for text in texts:
-        for c in text.lower():
-            if c.isalpha() and ord(c) < _POINTS - 1:
-                counts[c] = counts.get(c, 0) + 1
-    for code, c in enumerate(sorted(counts, key=lambda c: (-counts[c], c))[:LETTERS], start=1):
-        points[ord(c)] = code
+    """Code of every code point: spaces for all but letters, own codes for all letters of the sample."""
+    points = np.array([_UNKNOWN if chr(i).isalpha() else _SPACE for i in range(_POINTS)], dtype=np.int32)
+    letters = sorted({c for text in texts for c in text.lower() if c.isalpha()})
+    for code, c in enumerate(letters, start=1):
+        points[ord(c)] = code if code < _UNKNOWN else code + _PAD - _UNKNOWN + 1
     return points
 
 
@@ -85,34 +79,46 @@ def suffix_automaton(codes: list[int]) -> list[dict[int, int]]:
     return moves
 
 
-def _parse_table(codes: list[int]) -> np.ndarray:
-    """For each state and code: twice the next row's start, plus one if the code begins a new phrase.
-
-    A code that does not continue the phrase begins the next one; an unknown letter is a phrase of its own; padding begins none.
-    """
-    moves = suffix_automaton(codes)
-    start = np.full(_WIDTH, 1, dtype=np.int32)
-    for c, q in moves[0].items():
-        start[c] = (q * _WIDTH) << 1 | 1
-    start[_PAD], start[_BREAK] = 0, 1
-    table = np.tile(start, (len(moves), 1))
-    for state, row in enumerate(moves[1:], start=1):
-        for c, q in row.items():
-            if c != _BREAK:
-                table[state, c] = (q * _WIDTH) << 1
-    return table.ravel()
+class _Parser:
+    """Greedy parses by the automaton of one language's text; its letters have columns of their own, all others one that continues nothing."""
+
+    def __init__(self, codes: list[int], size: int):
+        own = sorted({*codes} - {_BREAK})
+        self.column, self.width = np.full(size, len(own), dtype=np.int32), len(own) + 1
+        self.column[own] = np.arange(len(own))
+        moves = suffix_automaton(codes)
+        found = np.array(sorted((s * self.width + int(self.column[c]), q) for s, row in enumerate(moves) for c, q in row.items() if c != _BREAK), dtype=np.int64).reshape(-1, 2)
+        self.keys, self.to = found[:, 0].copy(), found[:, 1] * self.width << 1
+        self.start = np.full(self.width, 1, dtype=np.int64)  # a new phrase, in state 0 if nothing begins with the letter
+        self.start[self.keys[self.keys < self.width]] = self.to[self.keys < self.width] | 1
+        later = self.keys >= self.width
+        self.keys, self.to, self.table = self.keys[later], self.to[later], None
+        if self.width <= DENSE:
+            self.table = np.tile(self.start.astype(np.int32), len(moves))
+            self.table[self.keys] = self.to
+            self.keys = self.to = None
+
+    def step(self, state: np.ndarray, column: np.ndarray) -> np.ndarray:
+        """Twice the next row's start, plus one if the letter begins a new phrase: one that does not continue the phrase begins the next."""
+        at = (state >> 1) + column
+        if self.table is not None:
+            return self.table[at]
+        if not len(self.keys):
+            return self.start[column]
+        where = np.minimum(np.searchsorted(self.keys, at), len(self.keys) - 1)
+        return np.where(self.keys[where] == at, self.to[where], self.start[column])
 
 
 class Model:
-    """Languages, their parse tables and the bits that a phrase costs in each."""
+    """Languages, their parsers and the bits that a phrase costs in each."""
 
     def __init__(self, samples: dict[str, list[str]]):
         self.langs = sorted(samples)
         self.points = _alphabet([t for lang in self.langs for t in samples[lang]])
-        self.tables, self.bits = [], []
+        self.parsers, self.bits, size = [], [], max(_PAD, int(self.points.max())) + 1
         for lang in self.langs:
             codes = [c for t in samples[lang] for c in (*_codes(t, self.points).tolist(), _BREAK)]
-            self.tables.append(_parse_table(codes))
+            self.parsers.append(_Parser(codes, size))
             self.bits.append(float(np.log2(len(codes) + 1)))
 
     def phrases(self, texts: list[str]) -> np.ndarray:
@@ -140,11 +146,12 @@ class Model:
         steps = np.ascontiguousarray(lanes.T)
         active = [int(np.searchsorted(-lengths, -t, side="left")) for t in range(BLOCK)]  # lanes longer than t
         who = np.array(owner)[order]
-        for k, table in enumerate(self.tables):
-            state, count = np.zeros(len(blocks), dtype=np.int32), np.zeros(len(blocks), dtype=np.int32)
+        for k, parser in enumerate(self.parsers):
+            columns = parser.column[steps]
+            state, count = np.zeros(len(blocks), dtype=np.int64), np.zeros(len(blocks), dtype=np.int32)
             for t in range(int(lengths[0])):
                 n = active[t]
-                state[:n] = table[(state[:n] >> 1) + steps[t, :n]]
+                state[:n] = parser.step(state[:n], columns[t, :n])
                 count[:n] += state[:n] & 1
             np.add.at(total[:, k], who, count)
 
