@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 import itertools
 import re
 
@@ -22,19 +21,9 @@ MAX_GROUP = 4096
 """Fingerprints that one task compares at once; larger groups are divided by further bits, without loss."""
 PIECE = 1 << 22
 """Bytes of a text that are split into words at once."""
-PARITY = 16
-"""Longs of a parity sketch."""
 
 _SPACE = re.compile(rb"[\x20\x09-\x0d]")
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int64)
-_ONE = np.uint64(1)
-TOGETHER = 3
-"""Minima that make one key of a candidate. Texts that only share a passage of an eighth of their shingles meet under one key in 500."""
-
-
-def _salts(count: int) -> np.ndarray:
-    """Fixed odd multipliers for independent minima."""
-    return np.random.Generator(np.random.PCG64(7)).integers(1, 2**63, count, dtype=np.uint64) * np.uint64(2) + _ONE
 
 
 def pivot_fingerprints(count: int = PIVOTS) -> np.ndarray:
@@ -64,12 +53,6 @@ def _hashes(shingles: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(map(xxhash.xxh64_digest, shingles, itertools.repeat(SEED))), dtype=">u8")
 
 
-def _distinct(arrays) -> np.ndarray:
-    """The distinct hashes of all arrays, ascending."""
-    parts = [np.unique(a) for a in arrays]
-    return np.unique(np.concatenate(parts)).astype(np.uint64) if parts else np.empty(0, dtype=np.uint64)
-
-
 def fingerprint(arrays) -> int:
     """Bit i is 1 if it is set in over half of the hashes; zero without any. Signed, as Spark stores it."""
     ones, total = np.zeros(64, dtype=np.int64), 0
@@ -80,58 +63,16 @@ def fingerprint(arrays) -> int:
     return int.from_bytes(np.packbits(2 * ones > total).tobytes(), "big", signed=True)
 
 
-def minima_keys(arrays: list[np.ndarray], count: int) -> list[int]:
-    """``count`` keys, each made of the smallest shingle hashes under TOGETHER fixed multipliers; none without shingles."""
-    if not arrays:
-        return []
-    salts = _salts(TOGETHER * count)
-    least = np.full(len(salts), np.iinfo(np.uint64).max, dtype=np.uint64)
-    for hashes in arrays:
-        hashes = hashes.astype(np.uint64)
-        for at in range(0, len(hashes), 4096):
-            least = np.minimum(least, (hashes[at : at + 4096, None] * salts).min(axis=0))
-    mixed = (least ^ (least >> np.uint64(31))).reshape(count, TOGETHER) * _salts(TOGETHER)
-    return mixed.sum(axis=1, dtype=np.uint64).view(np.int64).tolist()
-
-
-def parity(shingles: np.ndarray) -> list[int]:
-    """PARITY longs: for each of their bits, whether an odd number of the distinct hashes falls on it.
-
-    A hash that only one of two sets has changes one bit, so sketches never differ in more bits than the sets have hashes of their own.
-    """
-    odd = np.bincount((shingles & np.uint64(64 * PARITY - 1)).astype(np.int64), minlength=64 * PARITY) & 1
-    return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
-
-
-def fingerprints(docs: DataFrame, words: int = 3, keys: int = 0) -> DataFrame:
-    """``doc_id, fp`` of every row: the SimHash of its word shingles. Null and empty texts have fingerprint zero.
-
-    With ``keys``, also ``content`` (digest of the lower-cased words), ``keys`` (so many of :func:`minima_keys`), and the ``count`` and the
-    ``parity`` sketch of the distinct shingles.
-    """
-    schema = "doc_id long, fp long" + (", content binary, keys array<long>, count long, parity array<long>" if keys else "")
+def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
+    """``doc_id, fp`` of every row: the SimHash of its word shingles. Null and empty texts have fingerprint zero."""
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text(F.col("text")).alias("text"))
 
     def run(batches):
         for batch in batches:
-            ids, prints, contents, found, counts, sketches = batch.column(0), [], [], [], [], []
-            for text in batch.column(1):
-                arrays = shingle_hashes(text.as_py(), words)
-                if keys:
-                    arrays = list(arrays)
-                    found.append(minima_keys(arrays, keys))
-                    distinct = _distinct(arrays)
-                    counts.append(len(distinct))
-                    sketches.append(parity(distinct))
-                    contents.append(hashlib.blake2b(b"".join(a.tobytes() for a in arrays), digest_size=16).digest())
-                prints.append(fingerprint(arrays))
-            columns = {"doc_id": ids, "fp": pa.array(prints, pa.int64())}
-            if keys:
-                columns |= {"content": pa.array(contents, pa.binary()), "keys": pa.array(found, pa.list_(pa.int64()))}
-                columns |= {"count": pa.array(counts, pa.int64()), "parity": pa.array(sketches, pa.list_(pa.int64()))}
-            yield pa.RecordBatch.from_pydict(columns)
-
-    return source.mapInArrow(run, schema)
+            prints = [fingerprint(shingle_hashes(text.as_py(), words)) for text in batch.column(1)]
+            yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "fp": pa.array(prints, pa.int64())})
+
+    return source.mapInArrow(run, "doc_id long, fp long")
 
 
 # ---------------------------------------------------------------- links of fingerprints
@@ -254,122 +195,17 @@ def near_duplicates(docs: DataFrame, words: int = 3, bits: int = 3) -> DataFrame
     )
 
 
-# ---------------------------------------------------------------- classes by similarity
-
-SMALL = 32
-"""Documents of a key group that are all compared with each other; in larger groups two hubs come first, and then what they leave."""
-
-
-def _may_be(x: str, y: str, similarity: float) -> Column:
-    """Whether the sets behind ``{x}count, {x}parity`` and those of y can be as similar; only pairs that cannot are refused.
-
-    At a similarity s two sets have at most (1 - s) / (1 + s) of their sizes' sum to themselves, and their parity sketches and sizes differ
-    by no more than that.
-    """
-    most = (F.col(f"{x}count") + F.col(f"{y}count")) * F.lit((1 - similarity) / (1 + similarity)) + F.lit(1e-6)
-    bits = F.lit(0)
-    for i in range(PARITY):
-        bits = bits + F.bit_count(F.col(f"{x}parity")[i].bitwiseXOR(F.col(f"{y}parity")[i]))
-    return (F.abs(F.col(f"{x}count") - F.col(f"{y}count")) <= most) & (bits <= most)
-
-
-def _candidates(reps: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``a, b``: pairs that share a key, linear in the documents; and the rows of groups too large to compare all pairs (``salt, key, node``)."""
-    keys = reps.select("node", "fp", F.posexplode("keys").alias("salt", "key"))
-    me = F.struct("node", "fp").alias("me")
-    sizes = keys.groupBy("salt", "key").agg(F.count("*").alias("n"), F.min(F.struct("node", "fp")).alias("hub")).where("n > 1")
-    sizes = kept_table(sizes, "sizes")  # stored, like the next two: a join with a stored side can split hot keys
-    grouped = kept_table(keys.join(sizes, ["salt", "key"]), "groups")
-    large = grouped.where(F.col("n") > 2)
-    ones = large.groupBy("salt", "key").agg(*(F.sum(F.shiftrightunsigned("fp", i).bitwiseAND(F.lit(1))).alias(f"o{i}") for i in range(64)), F.max("n").alias("n"))
-    majority = F.lit(0).cast("long")
-    for i in range(64):
-        majority = majority.bitwiseOR(F.when(2 * F.col(f"o{i}") > F.col("n"), F.lit(_signed(1 << i))).otherwise(F.lit(0).cast("long")))
-    middle = large.join(kept_table(ones.select("salt", "key", majority.alias("most")), "majority"), ["salt", "key"])
-    middle = middle.groupBy("salt", "key").agg(F.min(F.struct(F.bit_count(F.col("fp").bitwiseXOR(F.col("most"))).alias("far"), "node", "fp")).alias("m"))
-    middle = kept_table(middle.select("salt", "key", F.struct("m.node", "m.fp").alias("hub")), "middle")
-    small = grouped.where(F.col("n").between(3, SMALL))
-    pairs = grouped.select(me, "hub").union(large.drop("hub").join(middle, ["salt", "key"]).select(me, "hub"))
-    pairs = pairs.union(small.select("salt", "key", me).join(small.select("salt", "key", F.struct("node", "fp").alias("hub")), ["salt", "key"]).select("me", "hub"))
-    ordered = pairs.where("me.node <> hub.node").select(F.least("me.node", "hub.node").alias("a"), F.greatest("me.node", "hub.node").alias("b"))
-    return ordered.distinct(), grouped.where(F.col("n") > SMALL).select("salt", "key", "node")
-
-
-def _open_pairs(large: DataFrame, found: DataFrame, sketches: DataFrame, similarity: float) -> DataFrame:
-    """``a, b``: what is left to compare in large groups, given the classes that the first links make.
-
-    Two documents of one class need no link of their own. So a group's largest class is compared with the others of the group, and these
-    with each other; a group of copies, nearly all of one class by now, leaves little. While they are joined, the pairs go whose ``sketches``
-    (``node, count, parity``) prove that they are less similar.
-    """
-    member = F.col("node") == F.col("member")
-    rows = large.join(found.withColumnRenamed("node", "member"), member, "left").select("salt", "key", "node", F.coalesce("component", "node").alias("class"))
-    rows = kept_table(rows.join(sketches, "node"), "open")
-    sizes = rows.groupBy("salt", "key", "class").agg(F.count("*").alias("n"))
-    main = kept_table(sizes.groupBy("salt", "key").agg(F.max_by("class", F.struct("n", "class")).alias("main")), "main")
-    left = kept_table(rows.join(main, ["salt", "key"]).where("class <> main").drop("main"), "left")
-    x, y = (side.select("salt", "key", *(F.col(c).alias(f"{s}_{c}") for c in ("node", "class", "count", "parity"))) for side, s in ((left, "a"), (rows, "b")))
-    near = x.join(y, ["salt", "key"]).where((F.col("a_class") != F.col("b_class")) & _may_be("a_", "b_", similarity))
-    return near.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")).distinct()
+# ---------------------------------------------------------------- removal
 
 
-def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
-    """``doc_id, shingles``: the distinct shingle hashes of every row."""
+def deduplicate(docs: DataFrame, words: int = 3, bits: int = 3) -> DataFrame:
+    """``docs`` with one document of each class of :func:`near_duplicates`: that with the smallest doc_id.
 
-    def run(batches):
-        for batch in batches:
-            sets = []
-            for text in batch.column(1):
-                sets.append(_distinct(shingle_hashes(text.as_py(), words)).view(np.int64))
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "shingles": pa.array(sets, pa.list_(pa.int64()))})
-
-    return docs.select(F.col("doc_id").cast("long"), whole_text(F.col("text"))).mapInArrow(run, "doc_id long, shingles array<long>")
-
-
-def _similar(docs: DataFrame, pairs: DataFrame, words: int, similarity: float) -> DataFrame:
-    """The pairs ``a, b`` whose shingle sets are as similar."""
-    wanted = kept_table(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "wanted")  # stored: where its known size is small, no text moves
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, F.col("doc_id") == F.col("id"), "left_semi")
-    sets = kept_table(shingle_sets(texts, words), "sets").dropDuplicates(["doc_id"])
-    both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb")), "b")
-    shared = F.size(F.array_intersect("sa", "sb"))
-    return both.where(shared >= similarity * (F.size("sa") + F.size("sb") - shared)).select("a", "b")
-
-
-def similar_classes(docs: DataFrame, words: int = 5, similarity: float = 0.8, keys: int = 20) -> DataFrame:
-    """``doc_id, component_id`` of every row: documents whose sets of word shingles have a Jaccard similarity of ``similarity`` or more
-    are linked; ``component_id`` is the smallest doc_id reachable.
-
-    Fingerprints of such texts differ in any number of bits (they count repeats, the sets do not), so no pair is discarded by their distance. Candidates
-    share one of ``keys`` keys of TOGETHER smallest shingle hashes each (a pair at 0.8 misses all twenty in six cases of ten million), and their
-    shingle sets are compared exactly. Texts of equal words are collapsed first. In groups of more than SMALL documents each is first
-    compared with the first and the middle one (fingerprint nearest to the bitwise majority), then with those that are still of another class,
-    but for pairs whose parity sketches prove them less similar: of the candidates no link between classes is lost.
-    All empty and null texts are one class. Rows of one doc_id count as one document; a null doc_id has a null class. No rows give no rows.
-    """
-    prints = kept_table(fingerprints(docs, words, keys), "prints")
-    reps = prints.where("doc_id is not null").groupBy("content").agg(F.min("doc_id").alias("node"), F.min("fp").alias("fp"), *(F.min(c).alias(c) for c in ("keys", "count", "parity")))
-    reps = kept_table(reps, "reps")
-    pairs, large = _candidates(reps)
-    found = kept_table(components(_similar(docs, kept_table(pairs, "pairs"), words, similarity)), "classes")
-    rest = kept_table(_open_pairs(large, found, reps.select("node", "count", "parity"), similarity), "rest")
-    if not rest.isEmpty():
-        found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(_similar(docs, rest, words, similarity)))
-    found = found.withColumnRenamed("node", "member")
-    classes = reps.join(found, F.col("node") == F.col("member"), "left").select(F.col("content").alias("of"), F.coalesce("component", "node").alias("component_id"))
-    joined = prints.join(classes, F.col("content") == F.col("of"), "left")
-    return joined.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
-
-
-def deduplicate(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
-    """``docs`` with one document of each class of :func:`similar_classes`: that with the smallest doc_id.
-
-    Repeated rows of a kept doc_id stay once, the smallest text first; rows without a doc_id stay. Other columns are kept as they are.
+    Of repeated rows of a kept doc_id one stays, the smallest text first (null before all); all empty and null texts are one class; rows
+    without a doc_id stay. Other columns are kept as they are, whatever their names. No rows give no rows.
     """
-    from pyspark.sql import Window
-
-    classes = similar_classes(docs, words, similarity).where("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct()
-    kept = docs.join(classes, docs["doc_id"] == F.col("__kept"))
-    row = F.row_number().over(Window.partitionBy("__kept").orderBy(docs["text"]))
-    first = kept.withColumn("__row", row).where("__row = 1").select(*(docs[c] for c in docs.columns))
-    return first.union(docs.where(docs["doc_id"].isNull()))
+    kept = near_duplicates(docs, words, bits).where("doc_id = component_id").select(F.col("doc_id").alias("id")).distinct()
+    rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.struct(*(docs[c] for c in docs.columns)).alias("row"))
+    order = F.struct(F.col("row.text").isNotNull(), F.col("row.text"), F.xxhash64(*(F.col("row")[c] for c in docs.columns)))
+    first = rows.join(kept, "id").groupBy("id").agg(F.min_by("row", order).alias("row"))
+    return first.select("row.*").union(rows.where("id is null").select("row.*"))
