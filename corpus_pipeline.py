@@ -14,8 +14,8 @@ def reject_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates (five-word shingles, similarity 0.8) stays."""
-    return simhash.deduplicate(docs, words=5, similarity=0.8)
+    """One document of each group of near-duplicates (three-word shingles, three bits) stays."""
+    return simhash.deduplicate(docs, words=3, bits=3)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +41,7 @@ STAGES = [
     ("mixing sources", mix_to_targets),
 ]
 
-#: SQL can express no stage; tests hold each against a brute-force version.
+#: SQL cannot express all stages; tests hold each operator against a brute-force version, or its effects on planted rows.
 ORACLE_SQL = None
 
 
