@@ -18,7 +18,7 @@ from wakeline.plans import features as plan
 from wakeline.plans import scoring, training
 from wakeline.session import scratch_path, stored
 from wakeline.sources import registry as reg
-from wakeline.sources import tables
+from wakeline.sources import tables, versions
 
 # Small grids; the full ones are the defaults of the library.
 GRIDS = {
@@ -108,7 +108,7 @@ def k14(spark, sf):
     table = training.training_table(_features(spark, sf))
     out = scratch_path(spark, "models")
     training.train_logistic(table, out, **GRIDS["logistic"])
-    models = spark.read.parquet(f"{out}/logistic")
+    models = versions.read(spark, f"{out}/logistic")
     held_out = training.supervised_split(table, "logistic").filter("is_test").join(models, S.ROUTE, "left_semi")
     return importance.permutation_importance(held_out, lambda rows: logistic.score(rows, models, S.POINT_FEATURES), S.POINT_FEATURES, keys=[S.ROUTE])
 
@@ -194,7 +194,7 @@ def _given_models(spark):
     tables.write_table(routes.withColumns(moments), f"{out}/one_class_svm_scale")
     entries = [reg.Entry(r, "logistic", f"{out}/logistic", tau, S.POINT_FEATURES) for r, (*_, tau) in GIVEN_LINEAR.items()]
     entries += [reg.Entry(r, "one_class_svm", f"{out}/one_class_svm", tau, S.POINT_FEATURES) for r, (*_, tau) in GIVEN_KERNEL.items()]
-    reg.save_registry(spark, entries, f"{out}/registry")
+    reg.save_registry(reg.given(spark, entries), f"{out}/registry")
     return out
 
 
@@ -241,6 +241,6 @@ def s10_given(spark, sf):
     means = fx.traj(spark, sf).groupBy(S.ROUTE).agg(F.avg("speed_over_ground").alias("tau")).collect()  # two routes
     path = scratch_path(spark, "registry")
     for tau in (lambda r: 0.5, lambda r: r["tau"]):  # rows saved again replace those of their type
-        reg.save_registry(spark, [reg.Entry(r[S.ROUTE], "logistic", "m", tau(r), ["dv", "zone"]) for r in means], path)
-    reg.save_registry(spark, [reg.Entry("KIEL", "one_class_svm", "o", 0.1, ["dv"])], path)
+        reg.save_registry(reg.given(spark, [reg.Entry(r[S.ROUTE], "logistic", "m", tau(r), ["dv", "zone"]) for r in means]), path)
+    reg.save_registry(reg.given(spark, [reg.Entry("KIEL", "one_class_svm", "o", 0.1, ["dv"])]), path)
     return rounded(reg.load_registry(spark, path, "logistic").select("route", "model_type", "tau", F.size("features").alias("n_features")))

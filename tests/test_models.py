@@ -3,11 +3,14 @@
 import datetime as dt
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from wakeline import schema as S
-from wakeline.ml import forest, importance, isolation, logistic, oneclass, scaling
+from wakeline.ml import forest, importance, isolation, logistic, oneclass, reconstruct, scaling, tiles, trees
 from wakeline.operators import evaluate as ev
 from wakeline.plans import scoring, training
 from wakeline.sources import registry as reg
@@ -66,9 +69,9 @@ def test_random_forest(points, tmp_path):
 def test_isolation_forest(points, tmp_path):
     grid = [isolation.Cell(40, "auto", 1.0), isolation.Cell(20, 0.75, 0.6)]
     entries, results = training.train_isolation(training.training_table(points), str(tmp_path), grid=grid)
-    assert {e.route for e in entries} == set(S.SPLIT_PORTS)
+    assert {e["route"] for e in entries.collect()} == set(S.SPLIT_PORTS)
     assert results.count() == 4 and results.agg(F.min("auc")).first()[0] > 0.9
-    reg.save_registry(points.sparkSession, entries, f"{tmp_path}/registry")
+    reg.save_registry(entries, f"{tmp_path}/registry")
     assert auc(scoring.score_points(points, str(tmp_path), "isolation_forest")) > 0.9
 
 
@@ -98,23 +101,86 @@ def check_trees(nodes):
     assert not (nodes["feature"] == FEATURES.index("route_dummy")).any()
 
 
-def test_isolation_scores_by_join_equal_broadcast_scores(points, monkeypatch):
+def walk(tree, x):
+    """The leaf that a row meets, by a loop; ``tree`` maps node numbers to (feature, threshold, value)."""
+    node = 1
+    while tree[node][0] is not None:
+        node = 2 * node + (x[tree[node][0]] > tree[node][1])
+    return tree[node][2]
+
+
+def random_nodes(rnd, width, routes, trees, deepest):
+    rows = []
+    for route in routes:
+        for cell, count in enumerate(trees):
+            for tree in range(count):
+                open_nodes = [(1, 0)]
+                while open_nodes:
+                    node, depth = open_nodes.pop()
+                    if depth < deepest and (depth == 0 or rnd.random() < 0.8):
+                        rows.append((route, cell, tree, node, int(rnd.integers(width)), float(rnd.normal()), None))
+                        open_nodes += [(2 * node, depth + 1), (2 * node + 1, depth + 1)]
+                    else:
+                        rows.append((route, cell, tree, node, None, None, float(rnd.random())))
+    return rows
+
+
+def test_trees_of_any_size_give_the_same_values_in_any_blocks(spark):
+    rnd = np.random.default_rng(0)
+    nodes = random_nodes(rnd, 3, "AB", (3, 4), 7)
+    table = spark.createDataFrame(nodes, "start_port string, cell int, tree int, node long, feature int, threshold double, value double")
+    names = ["A", "B", "C", None]
+    rows = [(names[i % 4], i, *map(float, rnd.normal(size=3))) for i in range(300)] + [("A", 7, 0.1, 0.2, None)] * 3
+    points = spark.createDataFrame(rows, "start_port string, point_id long, a double, b double, c double")
+    trees_of = {}
+    for route, cell, tree, node, *rest in nodes:
+        trees_of.setdefault((route, cell), {}).setdefault(tree, {})[node] = rest
+    want = []
+    for route, i, *x in rows:
+        x = [v or 0.0 for v in x]
+        means = [np.mean([walk(t, x) for t in trees_of[route, cell].values()]) for cell in (0, 1)] if route in ("A", "B") else None
+        want.append((route, i, means))
+    for levels, chunk_rows in ((16, 1 << 16), (2, 7), (1, 50)):
+        got = trees.mean_values(points, tiles.inputs(["a", "b", "c"]), table, [0, 1], "m", levels, chunk_rows).select("start_port", "point_id", "m").collect()
+        assert len(got) == len(want)
+        for g, w in zip(sorted(map(tuple, got), key=str), sorted(want, key=str), strict=True):
+            assert g[:2] == w[:2] and (g[2] is None) == (w[2] is None) and (w[2] is None or g[2] == pytest.approx(w[2]))
+    other = trees.mean_values(points, tiles.inputs(["a", "b", "c"]), table, [9, 1], "m").where("start_port = 'A'").first()["m"]
+    assert other[0] is None and other[1] is not None
+
+
+def test_isolation_scores_do_not_depend_on_blocks(points):
     cells = [isolation.Cell(6, "auto", 1.0), isolation.Cell(4, 0.5, 1.0)]
     nodes = isolation.grow(points.filter("y_true = 0"), FEATURES, cells, S.POINT, small=64).persist()
     some = points.filter("point_id % 9 = 0")
     direct = {r["point_id"]: r["raw"] for r in isolation.raw_scores(some, nodes, FEATURES, [0, 1]).collect()}
-    monkeypatch.setattr(isolation, "BROADCAST_NODES", 0)
-    joined = {r["point_id"]: r["raw"] for r in isolation.raw_scores(some, nodes, FEATURES, [0, 1]).collect()}
-    assert direct.keys() == joined.keys()
-    for k in direct:
-        assert joined[k] == pytest.approx(direct[k])
+    blocks = {r["point_id"]: r["raw"] for r in isolation.raw_scores(some, nodes, FEATURES, [0, 1], levels=3, chunk_rows=11).collect()}
+    assert direct.keys() == blocks.keys() and all(0 < v < 1 for raw in direct.values() for v in raw)
+    assert all(blocks[k] == pytest.approx(direct[k]) for k in direct)
+
+
+def test_forest_nodes_score_as_the_fitted_models(spark, points, tmp_path):
+    labelled = points.withColumn("y_true", (F.col("dv") * F.col("x_km") + F.col("ddraft") > 0.3).cast("int"))
+    models = {}
+    for i, route in enumerate(S.SPLIT_PORTS):
+        vectors = forest._vectors(labelled.where(F.col(S.ROUTE) == route), FEATURES, "y_true", S.POINT)
+        models[route] = forest._fit(vectors, forest.Cell(7, (None, 4)[i], 3, "sqrt"), 5)
+        models[route].write().save(f"{tmp_path}/{i}")
+    names = spark.createDataFrame([(str(i), r) for i, r in enumerate(S.SPLIT_PORTS)], "position string, start_port string")
+    nodes = forest.node_table(spark, str(tmp_path)).join(names, "position").persist()
+    assert nodes.where("node = 1").count() == 14 and nodes.where("feature IS NULL AND value IS NULL").isEmpty()
+    got = {r["point_id"]: r["score"] for r in forest.score(labelled, nodes, FEATURES, levels=2, chunk_rows=100).collect()}
+    assert len(got) == points.count()
+    for route, model in models.items():
+        for r in forest._scored(model, forest._vectors(labelled.where(F.col(S.ROUTE) == route), FEATURES, "y_true", S.POINT), S.POINT).collect():
+            assert got[r[S.POINT]] == pytest.approx(r["score"])
 
 
 def test_one_class_machine(points, tmp_path):
     grid = [oneclass.Cell(0.03, g) for g in ("scale", "auto", 0.01, 0.1, 1.0)]
     entries, results = training.train_one_class(training.training_table(points), str(tmp_path), grid=grid, marks_per_route=300)
     assert results.count() == 10 and results.agg(F.min("auc")).first()[0] > 0.9
-    reg.save_registry(points.sparkSession, entries, f"{tmp_path}/registry")
+    reg.save_registry(entries, f"{tmp_path}/registry")
     assert auc(scoring.score_points(points, str(tmp_path), "one_class_svm")) > 0.9
 
 
@@ -127,18 +193,75 @@ def test_one_class_weights_are_feasible_and_optimal():
     assert gradient[alpha > 1e-9].max() - gradient[alpha < 1 - 1e-9].min() < 1e-5
 
 
-def test_one_class_densities_by_join(points, monkeypatch):
+def test_one_class_densities_in_tiles(points, monkeypatch):
     train = points.filter("y_true = 0")
     marks = oneclass.landmarks(train, FEATURES, S.POINT, count=40).persist()
     assert {r["n"] for r in marks.groupBy(S.ROUTE).agg(F.count("*").alias("n")).collect()} == {40}
-    cells = [oneclass.Cell(0.1, 0.1), oneclass.Cell(0.2, "auto")]
+    cells = [oneclass.Cell(0.1, 0.1), oneclass.Cell(0.2, "auto"), oneclass.Cell(0.3, 0.1)]
     models = oneclass.fit(marks, cells).persist()
     some = points.filter("point_id % 20 = 0")
-    direct = {r["point_id"]: r["density"] for r in oneclass.densities(some, marks, models, FEATURES, [0, 1]).collect()}
-    monkeypatch.setattr(oneclass, "BROADCAST_LANDMARKS", 0)
-    joined = {r["point_id"]: r["density"] for r in oneclass.densities(some, marks, models, FEATURES, [0, 1]).collect()}
-    for k in direct:
-        assert joined[k] == pytest.approx(direct[k])
+    x_of = {r: np.array([m["x"] for m in sorted(marks.where(F.col(S.ROUTE) == r).collect(), key=lambda m: m["position"])]) for r in S.SPLIT_PORTS}
+    model_of = {(m[S.ROUTE], m["cell"]): m for m in models.collect()}
+    for options in ({}, {"chunk_rows": 5}):
+        got = oneclass.densities(some, marks, models, FEATURES, [2, 0, 1], **options).collect()
+        assert len(got) == some.count()
+        for r in got:
+            d = oneclass.squared_distances(np.array([[r[c] for c in FEATURES]]), x_of[r[S.ROUTE]])[0]
+            want = [np.exp(-model_of[r[S.ROUTE], c]["gamma"] * d) @ model_of[r[S.ROUTE], c]["alpha"] for c in (2, 0, 1)]
+            assert r["density"] == pytest.approx(want)
+    sums = oneclass.KernelSums(np.zeros((3, 2)), 2)
+    monkeypatch.setattr(oneclass, "TILE", 2)
+    sums.add(pa.array([{"x": [0.0, float(i)], "weights": [1.0, 0.0], "gammas": [1.0, float("nan")]} for i in range(5)]))
+    assert sums.result()[:, 0] == pytest.approx([sum(np.exp(-(i**2)) for i in range(5))] * 3) and np.isnan(sums.result()[:, 1]).all()
+
+
+def test_a_step_without_effect_ends_the_search_for_weights():
+    kernel = np.full((40, 40), 1e17) + np.diag(np.linspace(0, 1e3, 40))
+    assert np.isfinite(oneclass.solve(kernel, 0.3)).all()
+
+
+def test_logistic_fits_agree_with_spark_ml(points):
+    """All routes and cells at once against one fit of the library for each."""
+    labelled = points.withColumn("y_true", (F.col("dv") + F.col("x_km") * F.col("y_km") > 0.5).cast("int"))
+    grid = [logistic.Cell(c, p, w) for c, p, w in ((0.01, "l1", None), (1.0, "l1", "balanced"), (0.1, "l2", 3.0), (10.0, "l2", None))]
+    got = {(r[S.ROUTE], r["cell"]): r for r in logistic.fit(labelled, FEATURES, grid).collect()}
+    assert len(got) == 8
+    for route in S.SPLIT_PORTS:
+        rows = labelled.where(F.col(S.ROUTE) == route)
+        stats = scaling.moments(rows, FEATURES, []).first()
+        one, n = rows.where("y_true = 1").count(), rows.count()
+        scaled = [((F.col(c) - stats[f"{c}_mean"]) / stats[f"{c}_std"]).alias(c) for c in FEATURES]
+        vectors = VectorAssembler(inputCols=FEATURES, outputCol="x").transform(rows.select(*scaled, F.col("y_true").cast("double").alias("y"))).persist()
+        for i, cell in enumerate(grid):
+            c0, c1 = (n / (2 * (n - one)), n / (2 * one)) if cell.anomaly_weight == "balanced" else (1.0, float(cell.anomaly_weight or 1))
+            model = LogisticRegression(
+                featuresCol="x", labelCol="y", weightCol="w", regParam=1 / (cell.strength * (c0 * (n - one) + c1 * one)), tol=1e-10, maxIter=500,
+                elasticNetParam=float(cell.penalty == "l1"), standardization=False,
+            ).fit(vectors.withColumn("w", F.when(F.col("y") == 1, c1).otherwise(c0)))
+            mine = np.array(got[route, i]["coefficients"]) * [stats[f"{c}_std"] for c in FEATURES]
+            shift = sum(w * stats[f"{c}_mean"] for w, c in zip(got[route, i]["coefficients"], FEATURES, strict=True))
+            assert mine == pytest.approx(model.coefficients.toArray(), abs=1e-3) and got[route, i]["intercept"] + shift == pytest.approx(model.intercept, abs=1e-3)
+
+
+def test_main_directions_of_all_routes(spark):
+    rnd = np.random.default_rng(2)
+    windows = {r: rnd.normal(size=(n, 4, 2)) * [1.0, 3.0] + k for k, (r, n) in enumerate((("A", 50), ("B", 7), ("C", 1)))}
+    df = spark.createDataFrame([(r, i, w.tolist()) for r, all_ in windows.items() for i, w in enumerate(all_)], "start_port string, i int, features array<array<double>>")
+    models = reconstruct.fit(df.repartition(5), code=3).persist()
+    got = {m[S.ROUTE]: m for m in models.collect()}
+    for route, all_ in windows.items():
+        flat = all_.reshape(len(all_), -1)
+        assert got[route]["mean"] == pytest.approx(flat.mean(axis=0))
+        if len(flat) > 1:
+            _, _, directions = np.linalg.svd(flat - flat.mean(axis=0))
+            components = np.array(got[route]["components"])
+            assert components.shape == (3, 8) and components.T @ components == pytest.approx(directions[:3].T @ directions[:3], abs=1e-6)
+    assert got["C"]["components"] == []
+    for options in ({}, {"chunk_rows": 4}):
+        for r in reconstruct.window_errors(df, models, **options).collect():
+            x = np.array(r["features"]).ravel() - got[r[S.ROUTE]]["mean"]
+            components = np.array(got[r[S.ROUTE]]["components"]).reshape(-1, 8)
+            assert r["error"] == pytest.approx(((x - x @ components.T @ components) ** 2).max())
 
 
 def test_reconstruction_finds_strange_windows(spark, tmp_path):
@@ -155,7 +278,7 @@ def test_reconstruction_finds_strange_windows(spark, tmp_path):
     df = spark.createDataFrame(rows, "trip_id long, point_id long, start_port string, time_stamp timestamp_ntz, a double, b double, y_true int")
     entries, errors = training.train_reconstruction(df, str(tmp_path), {"KIEL": ("a", "b")}, code=8)
     assert ev.roc_auc(errors, [], "label", "error").first()["auc"] > 0.9
-    reg.save_registry(spark, entries, f"{tmp_path}/registry")
+    reg.save_registry(entries, f"{tmp_path}/registry")
     scored = scoring.score_points(df, str(tmp_path), "reconstruction")
     assert scored.count() == len(rows) and auc(scored.filter("score > 0")) > 0.9
 

@@ -1,4 +1,4 @@
-"""Random forest per route with stratified folds."""
+"""Random forest per route with stratified folds; fitted forests become one node table, which scores all routes in one pass."""
 
 from __future__ import annotations
 
@@ -7,13 +7,15 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from itertools import product
 
+import pandas as pd
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wakeline.functions.scalar import even_grid
+from wakeline.ml import tiles, trees
 from wakeline.operators import evaluate as ev
 from wakeline.operators import split
 
@@ -52,8 +54,8 @@ def _fit(vectors: DataFrame, cell: Cell, seed: int) -> RandomForestClassificatio
     ).fit(vectors)
 
 
-def _scored(model, vectors: DataFrame) -> DataFrame:
-    return model.transform(vectors).select(F.col("y_true").alias("y"), vector_to_array("probability")[1].alias("score"))
+def _scored(model, vectors: DataFrame, *keep: str) -> DataFrame:
+    return model.transform(vectors).select(*keep, F.col("y_true").alias("y"), vector_to_array("probability")[1].alias("score"))
 
 
 def _best(scores: DataFrame):
@@ -92,8 +94,37 @@ def fit_route(
     return model, tau["tau"], tau["f1"], best, results
 
 
-def score(points: DataFrame, model: RandomForestClassificationModel, features: Sequence[str]) -> DataFrame:
-    inputs = {f"_in_{c}": F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in features}
-    vectors = VectorAssembler(inputCols=list(inputs), outputCol="_x").transform(points.withColumns(inputs)).drop(*inputs)
-    out = model.setFeaturesCol("_x").transform(vectors)
-    return out.withColumn("score", vector_to_array("probability")[1]).drop("_x", "rawPrediction", "probability", "prediction")
+NODE_SCHEMA = "position string, tree int, node long, feature int, threshold double, value double"
+
+
+def node_table(spark: SparkSession, folder: str) -> DataFrame:
+    """The nodes of all models saved as ``folder/<position>``, read as one table: ``position, tree, node, feature, threshold, value``.
+
+    Nodes are numbered as :mod:`wakeline.ml.trees` wants them. The value of a leaf is its share of the anomaly class. A tree fits a task,
+    as it has fitted the driver when it was grown.
+    """
+    saved = spark.read.parquet(f"{folder}/*/data")
+    stats, split = F.col("nodeData.impurityStats"), F.col("nodeData.split")
+    is_leaf = F.col("nodeData.leftChild") < 0
+    rows = saved.select(
+        F.regexp_extract(F.input_file_name(), r"/([^/]+)/data/[^/]*$", 1).alias("position"), F.col("treeID").alias("tree"), F.col("nodeData.id").alias("id"),
+        F.col("nodeData.leftChild").alias("low"), F.col("nodeData.rightChild").alias("high"), F.when(~is_leaf, split["featureIndex"]).alias("feature"),
+        F.when(~is_leaf, split["leftCategoriesOrThreshold"][0]).alias("threshold"), F.when(is_leaf, stats[1] / (stats[0] + stats[1])).alias("value"),
+    )
+
+    def number(tree: pd.DataFrame) -> pd.DataFrame:
+        tree = tree.sort_values("id")  # parents come before their children
+        node = dict.fromkeys(tree["id"], 1)
+        for own, low, high in zip(tree["id"], tree["low"], tree["high"], strict=True):
+            if low >= 0:
+                node[low], node[high] = 2 * node[own], 2 * node[own] + 1
+        return tree.assign(node=list(node.values()))[["position", "tree", "node", "feature", "threshold", "value"]].astype({"feature": "Int32"})
+
+    return rows.groupBy("position", "tree").applyInPandas(number, NODE_SCHEMA)
+
+
+def score(points: DataFrame, nodes: DataFrame, features: Sequence[str], **options) -> DataFrame:
+    """Share of the anomaly class for points of all routes at once, by the node table of their routes' forests (route, ``tree, node,
+    feature, threshold, value``); null for a route without one."""
+    walked = trees.mean_values(points, tiles.inputs(features), nodes.withColumn("cell", F.lit(0)), [0], "_mean", **options)
+    return walked.withColumn("score", F.col("_mean")[0]).drop("_mean")

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wakeline import schema as S
-from wakeline.functions.scalar import row_id
+from wakeline.ml import tiles, trees
 from wakeline.operators.layout import join_group_values
 from wakeline.session import stored
 
@@ -34,8 +34,6 @@ CONTAMINATION = {"BREMERHAVEN": 0.02}
 CONTAMINATION_ELSE = 0.008
 TAU_PERCENTILE = 94.0
 
-# A node is four numbers: two million of them are about 64 MB on driver and executors.
-BROADCAST_NODES = 2_000_000
 _NODE = [S.ROUTE, "cell", "tree", "node"]
 NODE_SCHEMA = f"{S.ROUTE} string, cell int, tree int, node bigint, depth int, size bigint, psi double, feature int, threshold double"
 # Rows a task finishes by itself.
@@ -175,99 +173,20 @@ def grow(train: DataFrame, features: Sequence[str], cells: Sequence[Cell], row_k
         depth += 1
 
 
-def average_path(n):
+def average_path(n: Column) -> Column:
     """Mean depth of an unsuccessful search among n keys."""
-    n = np.asarray(n, dtype=float)
-    safe = np.maximum(n, 3)
-    value = 2 * (np.log(safe - 1) + np.euler_gamma) - 2 * (safe - 1) / safe
-    return np.where(n > 2, value, np.where(n == 2, 1.0, 0.0))
-
-
-class _Packed:
-    """The trees of one forest as flat arrays; siblings lie side by side."""
-
-    def __init__(self, nodes: pd.DataFrame):
-        nodes = nodes.sort_values(["tree", "node"], kind="stable")
-        bits = int(nodes["node"].max()).bit_length() + 1
-        key = (nodes["tree"].to_numpy(np.int64) << bits) + nodes["node"].to_numpy(np.int64)
-        self.leaf = nodes["feature"].isna().to_numpy()
-        self.feature = nodes["feature"].fillna(0).to_numpy(np.int64)
-        self.threshold = nodes["threshold"].fillna(0).to_numpy(float)
-        left = (nodes["tree"].to_numpy(np.int64) << bits) + 2 * nodes["node"].to_numpy(np.int64)
-        self.left = np.where(self.leaf, np.arange(len(key)), np.searchsorted(key, left))
-        self.length = nodes["depth"].to_numpy(float) + average_path(nodes["size"].to_numpy())
-        self.roots = np.flatnonzero(nodes["node"].to_numpy() == 1)
-        self.height = int(nodes["depth"].max())
-        self.scale = float(average_path(nodes["psi"].iloc[0])) or 1.0
-
-    def score(self, x: np.ndarray) -> np.ndarray:
-        at = np.broadcast_to(self.roots, (len(x), len(self.roots))).copy()
-        row = np.arange(len(x))[:, None]
-        for _ in range(self.height):
-            goes_right = x[row, self.feature[at]] > self.threshold[at]
-            at = np.where(self.leaf[at], at, self.left[at] + goes_right)
-        return 2.0 ** (-self.length[at].mean(axis=1) / self.scale)
-
-
-def raw_scores(points: DataFrame, nodes: DataFrame, features: Sequence[str], cells: Sequence[int]) -> DataFrame:
-    """``raw``: one score in 0..1 per cell, high for points that are isolated early.
-
-    A forest whose nodes are counted to be few is broadcast and walked in vectorised batches; a
-    larger one is walked by joins.
+    return F.when(n > 2, 2 * (F.log(n - 1) + float(np.euler_gamma)) - 2 * (n - 1) / n).when(n == 2, 1.0).otherwise(0.0)
+
+
+def raw_scores(points: DataFrame, nodes: DataFrame, features: Sequence[str], cells: Sequence[int], **options) -> DataFrame:
+    """``raw``: one score in 0..1 per cell, high for points that are isolated early; null where the point's route has no such forest.
+
+    The forests of any number and size meet the points of their routes in chunks (:mod:`wakeline.ml.trees`, which takes ``options``).
     """
-    if nodes.limit(BROADCAST_NODES + 1).count() > BROADCAST_NODES:
-        return raw_scores_by_join(points, nodes, features, cells)
-    table = nodes.toPandas()
-    packed = {key: _Packed(group) for key, group in table.groupby([S.ROUTE, "cell"])}
-    shared = points.sparkSession.sparkContext.broadcast(packed)
-    wanted = list(cells)
-
-    def walk(route: pd.Series, x: pd.Series) -> pd.Series:
-        matrix = np.stack(x.to_numpy()) if len(x) else np.empty((0, 0))
-        out = np.full((len(x), len(wanted)), np.nan)
-        for name in route.dropna().unique():
-            mask = (route == name).to_numpy()
-            for j, cell in enumerate(wanted):
-                forest = shared.value.get((name, cell))
-                if forest is not None:
-                    out[mask, j] = forest.score(matrix[mask])
-        return pd.Series(list(out))
-
-    scorer = F.pandas_udf(walk, "array<double>")
-    inputs = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in features])
-    scored = points.withColumn("raw", scorer(F.col(S.ROUTE), inputs))
-    return scored.withColumn("raw", F.transform("raw", lambda v: F.when(~F.isnan(v), v)))
-
-
-def raw_scores_by_join(points: DataFrame, nodes: DataFrame, features: Sequence[str], cells: Sequence[int]) -> DataFrame:
-    """The same scores for forests too large to broadcast: every (point, tree) walks by equi-joins."""
-    keyed = points.withColumn("_row", row_id(*points.columns))
-    inputs = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in features])
-    n = F.col("size").cast("double")
-    leaf_path = F.when(n > 2, 2 * (F.log(n - 1) + float(np.euler_gamma)) - 2 * (n - 1) / n).when(n == 2, 1.0).otherwise(0.0)
-    psi = F.col("psi")
-    scale = F.when(psi > 2, 2 * (F.log(psi - 1) + float(np.euler_gamma)) - 2 * (psi - 1) / psi).otherwise(1.0)
-    wanted = nodes.filter(F.col("cell").isin(list(cells)))
-    table = wanted.select(*_NODE, "feature", "threshold", (F.col("depth") + leaf_path).alias("_length"), scale.alias("_scale"))
-    roots = wanted.filter("node = 1").select(S.ROUTE, "cell", "tree")
-    per_route = roots.groupBy(S.ROUTE).agg(F.collect_list(F.struct("cell", "tree")).alias("_trees"))
-    walkers = join_group_values(keyed.select("_row", S.ROUTE, inputs.alias("x")), per_route, [S.ROUTE], how="inner")
-    walkers = walkers.select("_row", S.ROUTE, "x", F.inline("_trees")).withColumn("node", F.lit(1).cast("bigint"))
-    lengths = []
-    height = wanted.agg(F.max("depth")).first()[0]
-    for depth in range(height + 1):
-        at = walkers.join(table, _NODE)
-        lengths.append(at.filter(F.col("feature").isNull()).select("_row", "cell", "_length", "_scale"))
-        if depth < height:
-            right = (F.get("x", F.col("feature")) > F.col("threshold")).cast("bigint")
-            inner = at.filter(F.col("feature").isNotNull()).withColumn("node", F.col("node") * 2 + right)
-            walkers = stored(inner.select("_row", S.ROUTE, "x", "cell", "tree", "node"), "walkers")
-    scores = reduce(DataFrame.unionAll, lengths).groupBy("_row", "cell").agg(
-        F.pow(F.lit(2.0), -F.avg("_length") / F.max("_scale")).alias("_score")
-    )
-    by_cell = scores.groupBy("_row").agg(F.map_from_entries(F.collect_list(F.struct("cell", "_score"))).alias("_by"))
-    raw = F.array(*[F.col("_by")[F.lit(c)] for c in cells])
-    return keyed.join(by_cell, "_row", "left").withColumn("raw", raw).drop("_row", "_by")
+    scale = F.when(F.col("psi") > 2, average_path(F.col("psi"))).otherwise(1.0)
+    path = (F.col("depth") + average_path(F.col("size").cast("double"))) / scale
+    walked = trees.mean_values(points, tiles.inputs(features), nodes.withColumn("value", path), cells, "raw", **options)
+    return walked.withColumn("raw", F.transform("raw", lambda depth: F.pow(F.lit(2.0), -depth)))
 
 
 def contamination(route: Column) -> Column:

@@ -1,30 +1,42 @@
-"""Logistic regression per route: distributed fits, all grid cells scored in one pass."""
+"""Logistic regressions of all routes and grid cells, fitted in the same jobs.
+
+A pass over the rows gives, for every route and cell, the loss, its gradient and its Hessian at one point; a task then takes a Newton
+step there (for l1, the proximal one: coordinate descent on the quadratic model). A step that gains too little is halved in the next pass. So the
+number of jobs is that of the longest search, about ten, and does not grow with routes or cells.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 from itertools import product
 
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wakeline import schema as S
 from wakeline.functions.scalar import even_grid
-from wakeline.ml.scaling import moments
+from wakeline.ml import tiles
+from wakeline.ml.scaling import moments, standardise
 from wakeline.operators import evaluate as ev
 from wakeline.operators.layout import join_group_values
+from wakeline.session import stored
 
-# Regularisation strengths, penalties, weights of the anomaly class, thresholds,
-# tolerance and most iterations of the solver.
+# Regularisation strengths, penalties, weights of the anomaly class, thresholds, most steps of the solver.
 STRENGTHS = (0.01, 0.1, 1.0, 10.0)
 PENALTIES = ("l2", "l1")
 CLASS_WEIGHTS = (None, 2.0, 3.0, 4.0, 5.0, "balanced")
 TAUS = even_grid(0.0, 1.0, 101)
-TOLERANCE, ITERATIONS = 1e-4, 100
+ITERATIONS = 100
+TOLERANCE = 1e-9
+"""Share of the loss that a step must promise to be taken."""
+
+MODEL_SCHEMA = f"{S.ROUTE} string, coefficients array<double>, intercept double"
+_STATE = f"{S.ROUTE} string, cell int, c0 double, c1 double, penalty double, l1 boolean, w array<double>, d array<double>, t double, value double, promise double, done boolean"
 
 
 @dataclass(frozen=True)
@@ -45,58 +57,155 @@ class Linear:
     coefficients: tuple[float, ...]
     intercept: float
 
-    def score(self, features: Sequence[str]) -> Column:
-        margin = F.lit(self.intercept)
-        for w, c in zip(self.coefficients, features):
-            margin = margin + F.lit(w) * F.col(c)
-        return 1 / (1 + F.exp(-margin))
-
 
-def fit_route(
-    train: DataFrame, test: DataFrame, features: Sequence[str], grid: Sequence[Cell] | None = None, parallelism: int = 4, max_iter: int = ITERATIONS
-) -> tuple[Linear, float, float, Cell, DataFrame]:
-    """Best model of the grid by F1 on ``test``. Returns model, tau, F1, cell and the cell table.
-
-    ``train`` and ``test`` hold double features and ``y_true``.
+# ---------------------------------------------------------------- one pass over the rows
+
+
+def _sums(x: np.ndarray, y: np.ndarray, cells: list[dict]) -> np.ndarray:
+    """A line for each cell: loss, gradient and upper half of the Hessian of its weighted loss at its point."""
+    z = np.column_stack([x, np.ones(len(x))])
+    margin = z @ np.array([c["at"] for c in cells]).T
+    weight = np.where(y[:, None] > 0, [c["c1"] for c in cells], [c["c0"] for c in cells])
+    p = 0.5 * (1 + np.tanh(0.5 * margin))
+    i, j = np.triu_indices(z.shape[1])
+    loss = (weight * (np.logaddexp(0, margin) - y[:, None] * margin)).sum(axis=0)
+    return np.column_stack([loss, (weight * (p - y[:, None])).T @ z, (weight * p * (1 - p)).T @ (z[:, i] * z[:, j])])
+
+
+def _pass(blocks: DataFrame, search: DataFrame) -> DataFrame:
+    """``sums`` per route and cell of ``search`` at the point it asks for."""
+    at = F.zip_with("w", "d", lambda w, d: w + F.col("t") * d)
+    asked = search.groupBy(S.ROUTE).agg(F.collect_list(F.struct("cell", "c0", "c1", at.alias("at"))).alias("_cells"))  # the grid's cells, no more
+
+    def run(batches):
+        sums: dict = {}
+        for batch in batches:
+            for route, x, y, cells in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+                y = np.frombuffer(y)
+                found = _sums(np.frombuffer(x).reshape(len(y), -1), y, cells)
+                for c, line in zip(cells, found, strict=True):
+                    key = (route, c["cell"])
+                    sums[key] = sums[key] + line if key in sums else line
+                if len(sums) > 50_000:
+                    yield _lines(sums)
+                    sums = {}
+        yield _lines(sums)
+
+    parts = blocks.join(asked, S.ROUTE).select(S.ROUTE, "x", "y", "_cells").mapInArrow(run, f"{S.ROUTE} string, cell int, line array<double>")
+    return tiles.sum_arrays(parts, [S.ROUTE, "cell"], "line")
+
+
+def _lines(sums: dict) -> pa.RecordBatch:
+    routes, cells = zip(*sums, strict=True) if sums else ((), ())
+    return pa.RecordBatch.from_arrays([pa.array(routes, pa.string()), pa.array(cells, pa.int32()), pa.array(list(sums.values()), pa.list_(pa.float64()))], [S.ROUTE, "cell", "line"])
+
+
+# ---------------------------------------------------------------- one step of every search
+
+
+def _direction(w: np.ndarray, gradient: np.ndarray, hessian: np.ndarray, penalty: float, l1: bool) -> tuple[np.ndarray, float]:
+    """The Newton step, and the change of the objective that its first order promises (not above 0). The last weight, the intercept, is free."""
+    bound = np.r_[np.full(len(w) - 1, penalty), 0.0]
+    if not l1:
+        slope = gradient + bound * w
+        step = -np.linalg.lstsq(hessian + np.diag(bound), slope, rcond=None)[0]
+        return step, float(slope @ step)
+    step, pull = np.zeros_like(w), np.zeros_like(w)
+    for _ in range(1000):
+        largest = 0.0
+        for j in np.flatnonzero(np.diag(hessian) > 1e-12):
+            curve = hessian[j, j]
+            free = w[j] - (gradient[j] + pull[j] - curve * step[j]) / curve
+            new = np.sign(free) * max(abs(free) - bound[j] / curve, 0.0) - w[j]
+            pull += hessian[:, j] * (new - step[j])
+            largest, step[j] = max(largest, abs(new - step[j])), new
+        if largest < 1e-11:
+            break
+    return step, float(gradient @ step + bound @ (abs(w + step) - abs(w)))
+
+
+def _advance(row) -> tuple:
+    """Weights, direction, length, objective, promise and end of one search, after its point was looked at."""
+    w, d, sums = (np.asarray(v, dtype=float) for v in (row.w, row.d, row.sums))
+    at, n = w + row.t * d, len(w)
+    gradient, hessian = sums[1 : n + 1], np.zeros((n, n))
+    hessian[np.triu_indices(n)] = sums[n + 1 :]
+    hessian = hessian + np.triu(hessian, 1).T
+    value = sums[0] + row.penalty * (abs(at[:-1]).sum() if row.l1 else 0.5 * (at[:-1] ** 2).sum())
+    if not value <= row.value + 1e-4 * row.t * row.promise:  # too little gained: half the way
+        return w, d, row.t / 2, row.value, row.promise, row.t < 1e-9
+    step, promise = _direction(at, gradient, hessian, row.penalty, row.l1)
+    return at, step, 1.0, value, promise, not -promise > TOLERANCE * (1 + abs(value))
+
+
+def _step(search: DataFrame, sums: DataFrame) -> DataFrame:
+    def run(frames):
+        for frame in frames:
+            moved = pd.DataFrame([_advance(r) for r in frame.itertuples()], columns=["w", "d", "t", "value", "promise", "done"], index=frame.index)
+            yield frame.drop(columns="sums").assign(**{c: moved[c] for c in moved})[[f.split()[0] for f in _STATE.split(", ")]]
+
+    return search.join(sums, [S.ROUTE, "cell"]).mapInPandas(run, _STATE)
+
+
+# ---------------------------------------------------------------- fits
+
+
+def fit(train: DataFrame, features: Sequence[str], grid: Sequence[Cell], max_iter: int = ITERATIONS) -> DataFrame:
+    """``cell, coefficients, intercept`` per route of ``train`` (features, and ``y_true`` of 0 and 1). The penalty weighs against the sum of the losses,
+    on features scaled by the route's rows. A search that is not at its end after ``max_iter`` passes gives what it has.
     """
-    grid = list(grid or full_grid())
-    stats = moments(train, features, []).first()
-    sizes = train.agg(F.count_if(F.col("y_true") == 1).alias("one"), F.count_if(F.col("y_true") == 0).alias("zero")).first()
-    scaled = [(F.col(c) - stats[f"{c}_mean"]) / stats[f"{c}_std"] for c in features]
-    vectors = VectorAssembler(inputCols=list(features), outputCol="_x").transform(
-        train.select(*[s.alias(c) for s, c in zip(scaled, features)], F.col("y_true").cast("double").alias("_y"))
-    ).select("_x", "_y").persist()
-
-    def weights(kind) -> tuple[float, float]:
-        if kind == "balanced":
-            rows = sizes["one"] + sizes["zero"]
-            return rows / (2 * sizes["zero"]), rows / (2 * sizes["one"])
-        return 1.0, float(kind or 1.0)
-
-    def fit(cell: Cell) -> Linear:
-        zero, one = weights(cell.anomaly_weight)
-        # The penalty here is relative to the mean loss, there it is to the sum.
-        penalty = 1 / (cell.strength * (zero * sizes["zero"] + one * sizes["one"]))
-        model = LogisticRegression(
-            featuresCol="_x", labelCol="_y", weightCol="_w", regParam=penalty,
-            elasticNetParam=1.0 if cell.penalty == "l1" else 0.0, standardization=False, maxIter=max_iter, tol=TOLERANCE,
-        ).fit(vectors.withColumn("_w", F.when(F.col("_y") == 1, one).otherwise(zero)))
-        w = [float(x) / stats[f"{c}_std"] for x, c in zip(model.coefficients, features)]
-        shift = sum(wi * stats[f"{c}_mean"] for wi, c in zip(w, features))
-        return Linear(tuple(w), float(model.intercept) - shift)
-
-    with ThreadPoolExecutor(parallelism) as pool:
-        models = list(pool.map(fit, grid))
-    vectors.unpersist()
-
-    cells = F.array(*[F.struct(F.lit(i).alias("cell"), m.score(features).alias("score")) for i, m in enumerate(models)])
-    scores = test.select(F.col("y_true").alias("y"), F.inline(cells))
-    per_cell = ev.best_threshold(ev.threshold_scan(scores, TAUS, ["cell"]), ["cell"])
-    best = ev.first_best(per_cell, "f1", "cell").first()
-    return models[best["cell"]], best["tau"], best["f1"], grid[best["cell"]], per_cell
-
-
-MODEL_SCHEMA = f"{S.ROUTE} string, coefficients array<double>, intercept double"
+    features = list(features)
+    stats = stored(moments(train, features), "moments")
+    scaled = standardise(train.select(S.ROUTE, "y_true", *features), stats, features)
+    blocks = stored(tiles.blocks(scaled, {"x": tiles.inputs(features), "y": F.array(F.col("y_true").cast("double"))}), "blocks")
+    sizes = train.groupBy(S.ROUTE).agg(F.count_if(F.col("y_true") == 1).alias("one"), F.count_if(F.col("y_true") == 0).alias("zero"))
+    nothing = F.array_repeat(F.lit(0.0), len(features) + 1)
+    search = stored(
+        sizes.select("*", F.inline(_options(grid))).select(
+            S.ROUTE, "cell", "c0", "c1", "penalty", "l1", nothing.alias("w"), nothing.alias("d"), F.lit(1.0).alias("t"),
+            F.lit(float("inf")).alias("value"), F.lit(0.0).alias("promise"), F.lit(False).alias("done"),
+        ), "search",
+    )
+    ended = []
+    for _ in range(max_iter):
+        search = stored(_step(search, _pass(blocks, search)), "search")
+        ended.append(search.where("done"))
+        search = search.where("NOT done")
+        if search.isEmpty():
+            break
+    else:
+        ended.append(search)
+    fitted = reduce(DataFrame.unionAll, ended)
+    mean, std = (F.array(*[F.col(f"{c}_{s}") for c in features]) for s in ("mean", "std"))
+    raw = fitted.join(stats.select(S.ROUTE, mean.alias("_mean"), std.alias("_std")), S.ROUTE).withColumn("coefficients", F.zip_with(F.slice("w", 1, len(features)), "_std", lambda w, s: w / s))
+    shift = F.aggregate(F.zip_with("coefficients", "_mean", lambda w, m: w * m), F.lit(0.0), lambda a, b: a + b)
+    return raw.select(S.ROUTE, "cell", "coefficients", (F.col("w")[len(features)] - shift).alias("intercept"))
+
+
+def _options(grid: Sequence[Cell]):
+    """Class weights and penalty of every cell, from a route's class sizes."""
+    rows = F.col("one") + F.col("zero")
+    cells = []
+    for i, c in enumerate(grid):
+        balanced = c.anomaly_weight == "balanced"
+        zero = rows / (2 * F.col("zero")) if balanced else F.lit(1.0)
+        one = rows / (2 * F.col("one")) if balanced else F.lit(float(c.anomaly_weight or 1.0))
+        cells.append(F.struct(F.lit(i).alias("cell"), zero.alias("c0"), one.alias("c1"), F.lit(1.0 / c.strength).alias("penalty"), F.lit(c.penalty == "l1").alias("l1")))
+    return F.array(*cells)
+
+
+def grid_results(test: DataFrame, models: DataFrame, features: Sequence[str]) -> DataFrame:
+    """Best threshold and F1 per route and cell on ``test``; every row is scored by all cells of its route at once."""
+    cells = models.groupBy(S.ROUTE).agg(F.collect_list(F.struct("cell", "coefficients", "intercept")).alias("_cells"))
+    joined = join_group_values(test.select(S.ROUTE, F.col("y_true").alias("y"), tiles.inputs(features).alias("_x")), cells, [S.ROUTE], how="inner")
+    scores = joined.select(S.ROUTE, "y", F.inline(F.transform("_cells", lambda m: F.struct(m["cell"].alias("cell"), _probability(m["coefficients"], m["intercept"]).alias("score")))))
+    keys = [S.ROUTE, "cell"]
+    return ev.best_threshold(ev.threshold_scan(scores, TAUS, keys), keys)
+
+
+def _probability(coefficients, intercept):
+    margin = F.aggregate(F.zip_with(coefficients, F.col("_x"), lambda w, x: w * x), intercept, lambda a, b: a + b)
+    return 1 / (1 + F.exp(-margin))
 
 
 def model_table(spark, models: dict[str, Linear]) -> DataFrame:
@@ -105,7 +214,7 @@ def model_table(spark, models: dict[str, Linear]) -> DataFrame:
 
 def score(points: DataFrame, models: DataFrame, features: Sequence[str]) -> DataFrame:
     """Probability of an anomaly for points of all routes at once."""
-    joined = join_group_values(points, models, [S.ROUTE], how="inner")
+    joined = join_group_values(points, models.select(S.ROUTE, "coefficients", "intercept"), [S.ROUTE], how="inner")
     margin = F.col("intercept")
     for i, c in enumerate(features):
         margin = margin + F.get("coefficients", F.lit(i)) * F.coalesce(F.col(c).cast("double"), F.lit(0.0))

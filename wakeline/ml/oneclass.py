@@ -14,11 +14,13 @@ from itertools import product
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wakeline import schema as S
 from wakeline.functions.scalar import even_grid
+from wakeline.ml import tiles
 from wakeline.operators.layout import join_group_values
 from wakeline.operators.scan import group_rank
 from wakeline.operators.split import hash_text
@@ -30,8 +32,8 @@ GAMMAS = ("scale", "auto", 0.001, 0.01, 0.1, 1.0)
 TAU_PERCENTS = even_grid(60.0, 99.9, 80)
 
 LANDMARKS = 2000
-# Landmark rows of all routes that may go to the driver and out as a broadcast (some 100 MB).
-BROADCAST_LANDMARKS = 1_000_000
+# Rows and landmarks whose distances are held at once.
+TILE = 1024
 MODEL_SCHEMA = f"{S.ROUTE} string, cell int, gamma double, alpha array<double>"
 
 
@@ -46,7 +48,8 @@ def full_grid() -> list[Cell]:
 
 
 def solve(kernel: np.ndarray, nu: float, tolerance: float = 1e-3) -> np.ndarray:
-    """Weights of min a'Ka/2 with 0 <= a <= 1 and sum a = nu * m, by pairwise steps until no pair gains ``tolerance``."""
+    """Weights of min a'Ka/2 with 0 <= a <= 1 and sum a = nu * m, by pairwise steps until no pair gains ``tolerance``, or rounding leaves
+    a step without effect."""
     m = len(kernel)
     budget = nu * m
     alpha = np.zeros(m)
@@ -62,6 +65,8 @@ def solve(kernel: np.ndarray, nu: float, tolerance: float = 1e-3) -> np.ndarray:
             return alpha
         curve = max(kernel[up, up] + kernel[down, down] - 2 * kernel[up, down], 1e-12)
         step = min(gap / curve, 1 - alpha[up], alpha[down])
+        if alpha[up] + step == alpha[up] and alpha[down] - step == alpha[down]:
+            return alpha
         alpha[up] += step
         alpha[down] -= step
         gradient += step * (kernel[:, up] - kernel[:, down])
@@ -116,54 +121,43 @@ def fit(marks: DataFrame, cells: Sequence[Cell]) -> DataFrame:
     return marks.select("*", F.inline(options)).groupBy(S.ROUTE, "cell").applyInPandas(solve_cell, MODEL_SCHEMA)
 
 
-def densities(points: DataFrame, marks: DataFrame, models: DataFrame, features: Sequence[str], cells: Sequence[int]) -> DataFrame:
-    """``density``: per cell, the weighted kernel sum of the landmarks around each point."""
-    if marks.limit(BROADCAST_LANDMARKS + 1).count() > BROADCAST_LANDMARKS:
-        return densities_by_join(points, marks, models, features, cells)
-    table = marks.toPandas()
-    x_of = {r: np.stack(g.sort_values("position")["x"].to_numpy()) for r, g in table.groupby(S.ROUTE)}
-    model_of = {(r[S.ROUTE], r["cell"]): (r["gamma"], np.asarray(r["alpha"])) for r in models.collect()}
-    shared = points.sparkSession.sparkContext.broadcast((x_of, model_of))
-    wanted = list(cells)
-
-    def weigh(route: pd.Series, x: pd.Series) -> pd.Series:
-        x_by_route, by_cell = shared.value
-        out = np.full((len(x), len(wanted)), np.nan)
-        for name in route.dropna().unique():
-            if name not in x_by_route:
-                continue
-            where = np.flatnonzero((route == name).to_numpy())
-            # Slices keep the distance matrix small, whatever the batch size.
-            for part in np.array_split(where, max(1, len(where) // 2000)):
-                distances = squared_distances(np.stack(x.iloc[part].to_numpy()), x_by_route[name])
-                kernels: dict[float, np.ndarray] = {}
-                for j, cell in enumerate(wanted):
-                    gamma, alpha = by_cell[(name, cell)]
-                    if gamma not in kernels:
-                        kernels[gamma] = np.exp(-gamma * distances)
-                    out[part, j] = kernels[gamma] @ alpha
-        return pd.Series(list(out))
-
-    inputs = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in features])
-    scored = points.withColumn("density", F.pandas_udf(weigh, "array<double>")(F.col(S.ROUTE), inputs))
-    return scored.withColumn("density", F.transform("density", lambda v: F.when(~F.isnan(v), v)))
-
-
-def densities_by_join(points: DataFrame, marks: DataFrame, models: DataFrame, features: Sequence[str], cells: Sequence[int]) -> DataFrame:
-    """The same sums for very many routes: the route's landmarks (a bounded list) joined onto its points."""
-    lists = marks.groupBy(S.ROUTE).agg(F.array_sort(F.collect_list(F.struct("position", "x"))).alias("_m")).withColumn("_m", F.col("_m.x"))
-    weights = models.groupBy(S.ROUTE).agg(F.map_from_entries(F.collect_list(F.struct("cell", F.struct("gamma", "alpha").alias("m")))).alias("_models"))
-    inputs = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in features])
-    joined = points.join(lists.join(weights, S.ROUTE), S.ROUTE, "left").withColumn("_x", inputs)
-    squares = F.transform("_m", lambda m: F.aggregate(F.zip_with(m, F.col("_x"), lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v))
-    joined = joined.withColumn("_d", squares)
-
-    def density(cell: int):
-        model = F.col("_models")[F.lit(cell)]
-        terms = F.zip_with(F.col("_d"), model["alpha"], lambda d, a: a * F.exp(-model["gamma"] * d))
-        return F.aggregate(terms, F.lit(0.0), lambda s, v: s + v)
-
-    return joined.withColumn("density", F.array(*[density(c) for c in cells])).drop("_m", "_models", "_x", "_d")
+class KernelSums:
+    """Weighted kernel sums of a chunk's rows over landmarks as they come, for every cell."""
+
+    def __init__(self, x: np.ndarray, cells: int):
+        self._x, self._sums, self._met = x, np.zeros((len(x), cells)), np.zeros(cells, dtype=bool)
+
+    def add(self, marks: pa.StructArray) -> None:
+        for at in range(0, len(marks), TILE):
+            part = marks.slice(at, TILE)
+            x, weights, gammas = (part.field(c).flatten().to_numpy(zero_copy_only=False).reshape(len(part), -1) for c in ("x", "weights", "gammas"))
+            widths = gammas[0]  # a route's cell has one width for all its landmarks
+            self._met |= ~np.isnan(widths)
+            for low in range(0, len(self._x), TILE):
+                distances = squared_distances(self._x[low : low + TILE], x)
+                for gamma in np.unique(widths[~np.isnan(widths)]):
+                    cells = np.flatnonzero(widths == gamma)
+                    added = np.exp(-gamma * distances) @ weights[:, cells]
+                    self._sums[low : low + len(added), cells] += added
+
+    def result(self) -> np.ndarray:
+        return np.where(self._met, self._sums, np.nan)
+
+
+def densities(points: DataFrame, marks: DataFrame, models: DataFrame, features: Sequence[str], cells: Sequence[int], **options) -> DataFrame:
+    """``density``: per cell, the weighted kernel sum of the route's landmarks around each point; null where the route has no such model.
+
+    Points meet landmarks in tiles (:mod:`wakeline.ml.tiles`), so neither all landmarks nor a route's points have to fit a task.
+    """
+    count = len(cells)
+    place = F.array_position(F.array(*[F.lit(c) for c in cells]), F.col("cell")).cast("int")
+    weights = models.withColumn("_place", place).where("_place > 0").select(S.ROUTE, "_place", "gamma", F.posexplode("alpha").alias("_i", "_weight"))
+    per_mark = weights.groupBy(S.ROUTE, (F.col("_i") + 1).alias("position")).agg(
+        F.map_from_entries(F.collect_list(F.struct("_place", F.struct(F.col("_weight").alias("w"), F.col("gamma").alias("g"))))).alias("_by")  # one entry a cell
+    )
+    of = lambda name, missing: F.transform(F.sequence(F.lit(1), F.lit(count)), lambda i: F.coalesce(F.col("_by")[i][name], F.lit(missing)))
+    rows = marks.join(per_mark, [S.ROUTE, "position"]).select(S.ROUTE, "position", "x", of("w", 0.0).alias("weights"), of("g", float("nan")).alias("gammas"))
+    return tiles.score(points, tiles.inputs(features), rows, lambda x: KernelSums(x, count), ["position"], "density", **options)
 
 
 def train_landmarks(train: DataFrame, features: Sequence[str], row_key: str, **options) -> DataFrame:

@@ -9,17 +9,15 @@ errors) are the same.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import PCA
-from pyspark.ml.functions import array_to_vector
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wakeline import schema as S
-from wakeline.ml import scaling
+from wakeline.ml import scaling, tiles
 from wakeline.operators.scan import group_percentiles
 from wakeline.plans.features import sequence_sets
 from wakeline.session import stored
@@ -27,67 +25,88 @@ from wakeline.session import stored
 # Size of the code, percentile of the normal errors used as threshold.
 CODE = 16
 TAU_PERCENTILE = 95.0
-MODEL_SCHEMA = f"{S.ROUTE} string, mean array<double>, components array<array<double>>, lows array<double>, spans array<double>, tau double"
+DIRECTIONS_SCHEMA = f"{S.ROUTE} string, mean array<double>, components array<array<double>>"
 
 
-@dataclass(frozen=True)
-class Linear:
-    mean: np.ndarray
-    components: np.ndarray  # code x (length * features)
+def fit(normal: DataFrame, code: int = CODE) -> DataFrame:
+    """``mean, components`` per route of scaled normal windows: the ``code`` directions of largest variance, found for all routes in one pass.
 
+    Windows are summed up as they lie, per route: count, sums and products. A task then has one route's matrix of products, whatever the
+    number of windows. Directions without variance are left out; a single window has none.
+    """
+    blocks = tiles.blocks(normal, {"x": F.flatten("features"), "one": F.array(F.lit(1.0))})
+
+    def run(batches):
+        sums: dict = {}
+        for batch in batches:
+            for route, x, one in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                x = np.frombuffer(x).reshape(len(one) // 8, -1)
+                line = np.concatenate([[len(x)], x.sum(axis=0), (x.T @ x)[np.triu_indices(x.shape[1])]])
+                sums[route] = sums[route] + line if route in sums else line
+                if len(sums) > 500:
+                    yield _lines(sums)
+                    sums = {}
+        yield _lines(sums)
+
+    def solve(frames):
+        for frame in frames:
+            found = [_directions(np.asarray(sums), code) for sums in frame["sums"]]
+            yield pd.DataFrame({S.ROUTE: frame[S.ROUTE], "mean": [m.tolist() for m, _ in found], "components": [c.tolist() for _, c in found]})
+
+    parts = blocks.mapInArrow(run, f"{S.ROUTE} string, line array<double>")
+    return tiles.sum_arrays(parts, [S.ROUTE], "line").mapInPandas(solve, DIRECTIONS_SCHEMA)
+
+
+def _lines(sums: dict) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(list(sums), pa.string()), pa.array(list(sums.values()), pa.list_(pa.float64()))], [S.ROUTE, "line"])
+
+
+def _directions(sums: np.ndarray, code: int) -> tuple[np.ndarray, np.ndarray]:
+    width = int((np.sqrt(8 * len(sums) + 1) - 3) / 2)  # 1 + width + width * (width + 1) / 2 sums
+    n, mean = sums[0], sums[1 : width + 1] / sums[0]
+    if n < 2:
+        return mean, np.zeros((0, width))
+    products = np.zeros((width, width))
+    products[np.triu_indices(width)] = sums[width + 1 :]
+    products += np.triu(products, 1).T
+    variance, vectors = np.linalg.eigh((products - n * np.outer(mean, mean)) / (n - 1))
+    wanted = np.argsort(-variance, kind="stable")[:code]
+    wanted = wanted[variance[wanted] > 1e-12 * max(variance.max(), 1e-300)]
+    return mean, vectors[:, wanted].T
+
+
+class Deviations:
+    """The largest squared deviation of each flat window from its rebuilding by the one model of its route."""
 
-def fit(normal: DataFrame, width: int, code: int = CODE) -> Linear:
-    """Main directions of one route's scaled normal windows (``width`` values each). A single window has none."""
-    flat = normal.select(F.flatten("features").alias("_flat"))
-    found = flat.agg(F.array(*[F.avg(F.col("_flat")[i]) for i in range(width)]).alias("m"), F.count("*").alias("n")).first()
-    means = found["m"]
-    if found["n"] < 2:
-        return Linear(np.asarray(means), np.zeros((0, width)))
-    model = PCA(k=min(code, width), inputCol="_x", outputCol="_z").fit(flat.select(array_to_vector("_flat").alias("_x")))
-    return Linear(np.asarray(means), model.pc.toArray().T)
+    def __init__(self, x: np.ndarray):
+        self._x, self._out = x, np.full((len(x), 1), np.nan)
 
+    def add(self, models: pa.StructArray) -> None:
+        model = models[len(models) - 1].as_py()
+        rest = self._x - np.asarray(model["mean"])
+        components = np.asarray(model["components"], dtype=float).reshape(-1, self._x.shape[1])
+        rest = rest - (rest @ components.T) @ components
+        self._out[:, 0] = (rest * rest).max(axis=1)
 
-def window_errors(windows: DataFrame, models: dict[str, Linear]) -> DataFrame:
-    """``error``: largest squared deviation between a scaled window and its reconstruction."""
-    shared = windows.sparkSession.sparkContext.broadcast(models)  # a few thousand numbers per route
+    def result(self) -> np.ndarray:
+        return self._out
 
-    def deviation(route: pd.Series, flat: pd.Series) -> pd.Series:
-        out = np.full(len(flat), np.nan)
-        for name in route.dropna().unique():
-            model = shared.value.get(name)
-            if model is None:
-                continue
-            mask = (route == name).to_numpy()
-            x = np.stack(flat[mask].to_numpy()) - model.mean
-            rest = x - (x @ model.components.T) @ model.components
-            out[mask] = (rest * rest).max(axis=1)
-        return pd.Series(out)
 
-    error = F.pandas_udf(deviation, "double")(F.col(S.ROUTE), F.flatten("features"))
-    return windows.withColumn("error", error).withColumn("error", F.when(~F.isnan("error"), F.col("error")))
+def window_errors(windows: DataFrame, models: DataFrame, **options) -> DataFrame:
+    """``error``: largest squared deviation between a scaled window and its reconstruction by its route's row of ``models``; null without one."""
+    rows = models.select(S.ROUTE, "mean", "components")
+    return tiles.score(windows, F.flatten("features"), rows, Deviations, [], "_error", **options).withColumn("error", F.col("_error")[0]).drop("_error")
 
 
 def train(points: DataFrame, features: Sequence[str], code: int = CODE, length: int = 15, step: int = 7) -> tuple[DataFrame, DataFrame]:
-    """Models of all routes in ``points`` and their errors on the held-out and anomalous windows.
+    """Models of all routes in ``points`` (``mean, components, lows, spans, tau``) and their errors on the held-out and anomalous windows.
 
-    Each route's windows are scaled by its normal training windows.
+    Each route's windows are scaled by its normal training windows. A route without a held-out normal window has no ``tau``.
     """
     sets = stored(sequence_sets(points, features, length, step), "windows")
     ranges = stored(scaling.window_ranges(sets.filter("part = 'train'"), len(features)), "ranges")
-    scaled = stored(scaling.scale_windows(sets, ranges), "scaled", by=S.ROUTE)
-    range_of = {r[S.ROUTE]: r for r in ranges.collect()}  # one row per route
-    models = {r: fit(scaled.filter((F.col(S.ROUTE) == r) & (F.col("part") == "train")), length * len(features), code) for r in range_of}
+    scaled = stored(scaling.scale_windows(sets, ranges), "scaled")
+    models = stored(fit(scaled.filter("part = 'train'"), code), "directions")
     errors = stored(window_errors(scaled.filter("part <> 'train'"), models), "errors")
     taus = group_percentiles(errors.filter("part = 'validation'"), [S.ROUTE], "error", [TAU_PERCENTILE / 100], ["tau"])
-    tau_of = {r[S.ROUTE]: r["tau"] for r in taus.collect()}
-    rows = [
-        (r, m.mean.tolist(), m.components.tolist(), list(range_of[r]["lows"]), list(range_of[r]["spans"]), tau_of.get(r))
-        for r, m in models.items()
-    ]
-    return points.sparkSession.createDataFrame(rows, MODEL_SCHEMA), errors
-
-
-def load(table: DataFrame) -> tuple[dict[str, Linear], DataFrame]:
-    """Models by route, and the ranges table the windows are scaled with."""
-    models = {r[S.ROUTE]: Linear(np.asarray(r["mean"]), np.asarray(r["components"]).reshape(-1, len(r["mean"]))) for r in table.collect()}
-    return models, table.select(S.ROUTE, "lows", "spans")
+    return models.join(ranges, S.ROUTE).join(taus.select(S.ROUTE, "tau"), S.ROUTE, "left"), errors

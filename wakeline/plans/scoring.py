@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,15 +14,14 @@ from wakeline.operators.features import point_layout
 from wakeline.operators.layout import join_group_values
 from wakeline.plans import features as features_plan
 from wakeline.sources import registry as reg
-from wakeline.sources import tables
+from wakeline.sources import tables, versions
 
 
-def require_models(points: DataFrame, entries: Sequence[reg.Entry]) -> None:
+def require_models(points: DataFrame, registry: DataFrame) -> None:
     """A route without a model is an error, as for a single trip."""
-    known = [e.route for e in entries]
-    missing = points.filter(~F.col(S.ROUTE).isin(known) | F.col(S.ROUTE).isNull()).select(S.ROUTE).limit(1).collect()
+    missing = points.join(registry.select(F.col("route").alias(S.ROUTE)), S.ROUTE, "left_anti").select(S.ROUTE).limit(1).collect()
     if missing:
-        raise reg.ModelNotFound(f"No model for route {missing[0][0]}")
+        raise reg.ModelNotFound(f"route {missing[0][0]} has no registered model")
 
 
 def by_model(points: DataFrame, model_dir: str, family: str) -> tuple[DataFrame, DataFrame]:
@@ -36,34 +33,35 @@ def by_model(points: DataFrame, model_dir: str, family: str) -> tuple[DataFrame,
 def score_points(points: DataFrame, model_dir: str, family: str, check: bool = True) -> DataFrame:
     """``score`` and ``is_anomaly_pred`` for points with features, by their route's model.
 
-    Families kept as tables score all routes in one pass; random forests go route by route. ``check`` looks for routes
-    without a model first, which are an error.
+    Models are tables, and all routes are scored in one pass for each list of features in use. ``check`` looks for routes without a model
+    first, which are an error; without it their points are left out.
     """
-    spark = points.sparkSession
-    entries = reg.entries(reg.load_registry(spark, f"{model_dir}/registry", family))
+    registry = reg.load_registry(points.sparkSession, f"{model_dir}/registry", family)
     if check:
-        require_models(points, entries)
-    scored = {
+        require_models(points, registry)
+    scorer = {
         "logistic": _logistic,
         "random_forest": _random_forest,
         "isolation_forest": _isolation,
         "one_class_svm": _one_class,
         "reconstruction": _reconstruction,
-    }[family](points, entries, model_dir)
-    taus = spark.createDataFrame([(e.route, float(e.tau)) for e in entries], f"{S.ROUTE} string, _tau double")
-    out = join_group_values(scored, taus, [S.ROUTE], source=points)
-    return out.withColumn("is_anomaly_pred", (F.col("score") > F.col("_tau")).cast("int")).drop("_tau")
+    }[family]
+    parts = []
+    for columns in reg.feature_sets(registry):
+        taus = registry.where(F.col("features") == F.array(*[F.lit(c) for c in columns])).select(F.col("route").alias(S.ROUTE), F.col("tau").alias("_tau"))
+        known = join_group_values(points, taus, [S.ROUTE], how="inner")
+        parts.append(scorer(known, columns, model_dir))
+    if not parts:
+        return points.withColumns({"score": F.lit(None).cast("double"), "is_anomaly_pred": F.lit(None).cast("int")}).limit(0)
+    return reduce(DataFrame.unionByName, parts).withColumn("is_anomaly_pred", (F.col("score") > F.col("_tau")).cast("int")).drop("_tau")
 
 
-def _logistic(points, entries, model_dir):
-    return logistic.score(points, points.sparkSession.read.parquet(f"{model_dir}/logistic"), entries[0].features)
+def _logistic(points, features, model_dir):
+    return logistic.score(points, versions.read(points.sparkSession, f"{model_dir}/logistic"), features)
 
 
-def _random_forest(points, entries, model_dir):
-    parts = [
-        forest.score(points.filter(F.col(S.ROUTE) == e.route), RandomForestClassificationModel.load(e.path), e.features) for e in entries
-    ]
-    return reduce(DataFrame.unionByName, parts)
+def _random_forest(points, features, model_dir):
+    return forest.score(points, versions.read(points.sparkSession, f"{model_dir}/random_forest"), features)
 
 
 def _scaled_inputs(points, stats, features, centre):
@@ -74,43 +72,39 @@ def _scaled_inputs(points, stats, features, centre):
     return scaling.standardise(copies, renamed, inputs, centre=centre), inputs
 
 
-def _isolation(points, entries, model_dir):
+def _isolation(points, features, model_dir):
     spark = points.sparkSession
-    nodes = spark.read.parquet(f"{model_dir}/isolation_forest")
+    nodes = versions.read(spark, f"{model_dir}/isolation_forest")
     offsets = nodes.groupBy(S.ROUTE).agg(F.max("offset").alias("_offset"))
-    one_cell = nodes.drop("offset").withColumn("cell", F.lit(0))
-    scaled, inputs = _scaled_inputs(points, spark.read.parquet(f"{model_dir}/isolation_forest_scale"), entries[0].features, centre=False)
-    raw = join_group_values(isolation.raw_scores(scaled, one_cell, inputs, [0]), offsets, [S.ROUTE], source=points)
+    scaled, inputs = _scaled_inputs(points, versions.read(spark, f"{model_dir}/isolation_forest_scale"), features, centre=False)
+    raw = join_group_values(isolation.raw_scores(scaled, nodes, inputs, [0]), offsets, [S.ROUTE], source=points)
     return raw.withColumn("score", F.col("raw")[0] - F.col("_offset")).drop("raw", "_offset", *inputs)
 
 
-def _one_class(points, entries, model_dir):
+def _one_class(points, features, model_dir):
     spark = points.sparkSession
-    models = spark.read.parquet(f"{model_dir}/one_class_svm").withColumn("cell", F.lit(0))
-    marks = spark.read.parquet(f"{model_dir}/one_class_svm_landmarks")
-    scaled, inputs = _scaled_inputs(points, spark.read.parquet(f"{model_dir}/one_class_svm_scale"), entries[0].features, centre=True)
+    models = versions.read(spark, f"{model_dir}/one_class_svm").withColumn("cell", F.lit(0))
+    marks = versions.read(spark, f"{model_dir}/one_class_svm_landmarks")
+    scaled, inputs = _scaled_inputs(points, versions.read(spark, f"{model_dir}/one_class_svm_scale"), features, centre=True)
     dense = oneclass.densities(scaled, marks, models.drop("rho"), inputs, [0])
     out = join_group_values(dense, models.select(S.ROUTE, F.col("rho").alias("_rho")), [S.ROUTE], source=points)
     return out.withColumn("score", F.col("_rho") - F.col("density")[0]).drop("density", "_rho", *inputs)
 
 
-def _reconstruction(points, entries, model_dir, length: int = sequences.LENGTH, step: int = sequences.STEP, legacy_offset: bool = False):
-    models, ranges = reconstruct.load(points.sparkSession.read.parquet(f"{model_dir}/reconstruction"))
+def _reconstruction(points, features, model_dir, length: int = sequences.LENGTH, step: int = sequences.STEP, legacy_offset: bool = False):
+    models = versions.read(points.sparkSession, f"{model_dir}/reconstruction")
     layout = point_layout(points)
-    parts = []
-    for columns in sorted({tuple(e.features) for e in entries}):  # one pass per feature set
-        routes = [e.route for e in entries if tuple(e.features) == columns]
-        placed = sequences.with_positions(layout.mark(points.filter(F.col(S.ROUTE).isin(routes))), layout)
-        inputs = placed.withColumns({f"_in_{c}": F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in columns})
-        windows = sequences.build_windows(inputs, [f"_in_{c}" for c in columns], None, length, step, inclusive=True, pad_short=True)
-        errors = reconstruct.window_errors(scaling.scale_windows(windows, ranges), models)
-        parts.append(sequences.point_scores(placed, errors, length=length, step=step, legacy_offset=legacy_offset))
-    return reduce(DataFrame.unionByName, parts).drop("pos", "n_points", "_chunk")
+    placed = sequences.with_positions(layout.mark(points), layout)
+    inputs = placed.withColumns({f"_in_{c}": F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in features})
+    windows = sequences.build_windows(inputs, [f"_in_{c}" for c in features], None, length, step, inclusive=True, pad_short=True)
+    errors = reconstruct.window_errors(scaling.scale_windows(windows, models.select(S.ROUTE, "lows", "spans")), models)
+    scored = sequences.point_scores(placed, errors, length=length, step=step, legacy_offset=legacy_offset)
+    return scored.drop("pos", "n_points", "_chunk")
 
 
 def score_cleaned(cleaned: DataFrame, model_dir: str, family: str) -> DataFrame:
     """Features by the stored route statistics, then scores: reads only the given trips."""
-    routes = cleaned.sparkSession.read.parquet(f"{model_dir}/routes")
+    routes = versions.read(cleaned.sparkSession, f"{model_dir}/routes")
     return score_points(features_plan.feature_points(cleaned, routes), model_dir, family)
 
 

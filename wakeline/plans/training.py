@@ -16,10 +16,10 @@ from wakeline.operators import split, trips
 from wakeline.operators.features import point_layout
 from wakeline.operators.layout import Layout, join_group_values
 from wakeline.operators.scan import group_percentiles
-from wakeline.session import stored
+from wakeline.session import scratch_path, stored
 from wakeline.plans import features as features_plan
 from wakeline.sources import registry as reg
-from wakeline.sources import tables
+from wakeline.sources import versions
 
 # Held-out shares per family, and how many routes are fitted at the same time.
 TEST_SHARE = {"logistic": 0.1, "random_forest": 0.1, "isolation_forest": 0.125, "one_class_svm": 0.1}
@@ -56,27 +56,41 @@ def _per_route(parts: DataFrame, fit) -> dict:
         return dict(zip(routes, pool.map(run, routes)))
 
 
-def train_logistic(table: DataFrame, out: str, features: Sequence[str] = S.POINT_FEATURES, grid=None, **options) -> list[reg.Entry]:
-    """A route without both classes is skipped."""
-    fitted = _per_route(
-        supervised_split(table, "logistic"), lambda route, train, test: logistic.fit_route(train, test, features, grid, **options)
-    )
-    models = {route: model for route, (model, *_) in fitted.items()}
-    tables.write_table(logistic.model_table(table.sparkSession, models), f"{out}/logistic")
-    return [reg.Entry(route, "logistic", f"{out}/logistic", tau, features) for route, (_, tau, *_) in fitted.items()]
+def _both_classes(train: DataFrame) -> DataFrame:
+    """The routes whose rows have both classes; others are not trained."""
+    sizes = train.groupBy(S.ROUTE).agg(F.count_if(F.col("y_true") == 0).alias("n0"), F.count_if(F.col("y_true") == 1).alias("n1"))
+    return sizes.where("n0 > 0 AND n1 > 0").select(S.ROUTE)
+
+
+def train_logistic(table: DataFrame, out: str, features: Sequence[str] = S.POINT_FEATURES, grid=None, **options) -> tuple[DataFrame, DataFrame]:
+    """All routes and cells at once; the best cell and threshold by F1 on the test rows. A route without both classes is skipped."""
+    parts = supervised_split(table, "logistic")
+    train = parts.filter("NOT is_test").join(_both_classes(parts.filter("NOT is_test")), S.ROUTE, "left_semi")
+    models = stored(logistic.fit(train, features, list(grid or logistic.full_grid()), **options), "models")
+    results = stored(logistic.grid_results(parts.filter("is_test"), models, features), "results")
+    best = stored(ev.first_best(results, "f1", "cell", [S.ROUTE]), "best")
+    versions.upsert(models.join(best.select(S.ROUTE, "cell"), [S.ROUTE, "cell"]).drop("cell"), f"{out}/logistic", [S.ROUTE])
+    return reg.entries(best, "logistic", f"{out}/logistic", features), results
 
 
-def train_random_forest(table: DataFrame, out: str, features: Sequence[str] = S.POINT_FEATURES, grid=None, **options) -> list[reg.Entry]:
+def train_random_forest(table: DataFrame, out: str, features: Sequence[str] = S.POINT_FEATURES, grid=None, **options) -> tuple[DataFrame, DataFrame]:
+    """Forests are fitted route by route; all their nodes make one table, by which all routes are scored at once."""
+    spark = table.sparkSession
     fitted = _per_route(
         supervised_split(table, "random_forest"),
         lambda route, train, test: forest.fit_route(train, test, features, S.POINT, grid, **options),
     )
-    entries = []
-    for route, (model, tau, *_) in fitted.items():
-        path = f"{out}/random_forest/{route}"
-        model.write().overwrite().save(path)
-        entries.append(reg.Entry(route, "random_forest", path, tau, features))
-    return entries
+    fits = scratch_path(spark, "fits")
+    rows, results = [], []
+    for position, (route, (model, tau, _, _, cells)) in enumerate(fitted.items()):
+        model.write().save(f"{fits}/{position}")
+        rows.append((str(position), route, float(tau)))
+        results += [(route, i, float(f1)) for i, (_, f1) in enumerate(cells)]
+    best = spark.createDataFrame(rows, f"position string, {S.ROUTE} string, tau double")  # one row for each forest that was fitted here
+    if rows:
+        nodes = forest.node_table(spark, fits).join(best.select("position", S.ROUTE), "position").drop("position")
+        versions.upsert(nodes, f"{out}/random_forest", [S.ROUTE])
+    return reg.entries(best, "random_forest", f"{out}/random_forest", features), spark.createDataFrame(results, f"{S.ROUTE} string, cell int, f1 double")
 
 
 def _one_class_parts(table: DataFrame, family: str, features: Sequence[str], centre: bool) -> tuple[DataFrame, DataFrame]:
@@ -93,7 +107,7 @@ def _by_cell(df: DataFrame, values: str) -> DataFrame:
 
 def train_isolation(
     table: DataFrame, out: str, features: Sequence[str] = S.POINT_FEATURES, grid: Sequence[isolation.Cell] | None = None, seed: int = 42
-) -> tuple[list[reg.Entry], DataFrame]:
+) -> tuple[DataFrame, DataFrame]:
     """All routes and cells at once: one growth, one scoring pass, one metrics pass."""
     cells = list(grid or isolation.full_grid())
     scaled, stats = _one_class_parts(table, "isolation_forest", features, centre=False)
@@ -106,12 +120,11 @@ def train_isolation(
     offsets = _offsets(train, keys)
     tested = join_group_values(_by_cell(scored.filter("part = 'test'"), "raw"), offsets, keys).withColumn("score", F.col("score") - F.col("offset"))
     results = stored(_one_tau_results(tested, offsets, keys), "results")
-    best = ev.first_best(results, "f1", "cell", [S.ROUTE])
-    chosen = {r[S.ROUTE]: r for r in best.collect()}
-    kept = nodes.join(best.select(S.ROUTE, "cell"), keys, "left_semi")  # one row per route; Spark broadcasts it if it is small
-    tables.write_table(kept.join(F.broadcast(best.select(S.ROUTE, "offset")), S.ROUTE), f"{out}/isolation_forest")
-    tables.write_table(stats, f"{out}/isolation_forest_scale")
-    return [reg.Entry(r, "isolation_forest", f"{out}/isolation_forest", row["tau"], features) for r, row in sorted(chosen.items())], results
+    best = stored(ev.first_best(results, "f1", "cell", [S.ROUTE]), "best")
+    kept = nodes.join(best.select(*keys, "offset"), keys)  # one row per route; Spark broadcasts it if it is small
+    versions.upsert(kept.withColumn("cell", F.lit(0)), f"{out}/isolation_forest", [S.ROUTE])
+    versions.upsert(stats, f"{out}/isolation_forest_scale", [S.ROUTE])
+    return reg.entries(best, "isolation_forest", f"{out}/isolation_forest", features), results
 
 
 def _offsets(train: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -133,7 +146,7 @@ def _one_tau_results(tested: DataFrame, taus: DataFrame, keys: Sequence[str]) ->
 
 def train_one_class(
     table: DataFrame, out: str, features: Sequence[str] = S.POINT_FEATURES, grid: Sequence[oneclass.Cell] | None = None, marks_per_route: int = oneclass.LANDMARKS
-) -> tuple[list[reg.Entry], DataFrame]:
+) -> tuple[DataFrame, DataFrame]:
     """All routes and cells at once; the threshold is the best of the percentile grid by F1."""
     cells = list(grid or oneclass.full_grid())
     scaled, stats = _one_class_parts(table, "one_class_svm", features, centre=True)
@@ -154,13 +167,11 @@ def train_one_class(
     swept = ev.threshold_scan(test, "taus", keys, "y_true", size=len(names))
     per_cell = ev.best_threshold(swept, keys).join(ev.roc_auc(test, keys, "y_true"), keys).join(rho, keys)
     results = stored(per_cell, "results")
-    best = ev.first_best(results, "f1", "cell", [S.ROUTE])
-    chosen = {r[S.ROUTE]: r for r in best.collect()}
-    picked = best.select(S.ROUTE, "cell", "rho")  # one row per route; Spark broadcasts it if it is small
-    tables.write_table(models.join(picked, keys), f"{out}/one_class_svm")
-    tables.write_table(marks, f"{out}/one_class_svm_landmarks")
-    tables.write_table(stats, f"{out}/one_class_svm_scale")
-    return [reg.Entry(r, "one_class_svm", f"{out}/one_class_svm", row["tau"], features) for r, row in sorted(chosen.items())], results
+    best = stored(ev.first_best(results, "f1", "cell", [S.ROUTE]), "best")
+    versions.upsert(models.join(best.select(*keys, "rho"), keys), f"{out}/one_class_svm", [S.ROUTE])
+    versions.upsert(marks, f"{out}/one_class_svm_landmarks", [S.ROUTE])
+    versions.upsert(stats, f"{out}/one_class_svm_scale", [S.ROUTE])
+    return reg.entries(best, "one_class_svm", f"{out}/one_class_svm", features), results
 
 
 def _rho(train: DataFrame, keys: Sequence[str], cells: Sequence[oneclass.Cell]) -> DataFrame:
@@ -174,7 +185,7 @@ def _rho(train: DataFrame, keys: Sequence[str], cells: Sequence[oneclass.Cell])
 
 def train_reconstruction(
     points: DataFrame, out: str, features: dict[str, Sequence[str]] = S.SEQUENCE_FEATURES, default: Sequence[str] = S.POINT_FEATURES, **options
-) -> tuple[list[reg.Entry], DataFrame]:
+) -> tuple[DataFrame, DataFrame]:
     """One model per route of ``points``: with the route's own features where ``features`` names them, else with ``default``. Also the test window errors.
 
     A route without a normal window to train on, or without one to set the threshold by, has no model.
@@ -183,31 +194,30 @@ def train_reconstruction(
     others = points.filter(F.col(S.ROUTE).isNotNull() & ~F.col(S.ROUTE).isin(list(features)))
     if not others.isEmpty():
         sets.append((others, default))
-    entries, all_errors, models = [], [], []
-    for rows, columns in sets:
-        table, errors = reconstruct.train(rows, columns, **options)
-        table = table.filter("tau IS NOT NULL")
+    rows, all_errors, models = [], [], []
+    for part, columns in sets:
+        table, errors = reconstruct.train(part, columns, **options)
+        table = stored(table.filter("tau IS NOT NULL"), "models")
         models.append(table)
         all_errors.append(errors.select(S.ROUTE, S.TRIP, "start_pos", "label", "error"))
-        entries += [reg.Entry(r[S.ROUTE], "reconstruction", f"{out}/reconstruction", r["tau"], columns) for r in table.collect()]
-    tables.write_table(reduce(DataFrame.unionAll, models), f"{out}/reconstruction")
-    return entries, reduce(DataFrame.unionAll, all_errors)
+        rows.append(reg.entries(table, "reconstruction", f"{out}/reconstruction", columns))
+    versions.upsert(reduce(DataFrame.unionAll, models), f"{out}/reconstruction", [S.ROUTE])
+    return reduce(DataFrame.unionAll, rows), reduce(DataFrame.unionAll, all_errors)
 
 
 TRAINERS = {
     "logistic": train_logistic,
     "random_forest": train_random_forest,
-    "isolation_forest": lambda table, out, **o: train_isolation(table, out, **o)[0],
-    "one_class_svm": lambda table, out, **o: train_one_class(table, out, **o)[0],
-    "reconstruction": lambda points, out, **o: train_reconstruction(points, out, **o)[0],
+    "isolation_forest": train_isolation,
+    "one_class_svm": train_one_class,
+    "reconstruction": train_reconstruction,
 }
 
 
 def save_routes(cleaned: DataFrame, out: str, layout: Layout | None = None) -> DataFrame:
     """Route centres and average paths, stored with the models: the same ones place points in
     training and in scoring, and scoring need not read the whole table for them."""
-    tables.write_table(features_plan.route_statistics(cleaned, layout), f"{out}/routes")
-    return cleaned.sparkSession.read.parquet(f"{out}/routes")
+    return versions.commit(features_plan.route_statistics(cleaned, layout), f"{out}/routes")
 
 
 def train_from_cleaned(family: str, cleaned: DataFrame, out: str, excluded: Sequence = (), **options) -> DataFrame:
@@ -220,6 +230,6 @@ def train_from_cleaned(family: str, cleaned: DataFrame, out: str, excluded: Sequ
 
 
 def train_family(family: str, points: DataFrame, out: str, **options) -> DataFrame:
-    """Train one family for every route and register the models. ``points`` carry all features."""
+    """Train one family for every route and register the models; those of other routes and families stay. ``points`` carry all features."""
     source = points if family == "reconstruction" else training_table(points)
-    return reg.save_registry(points.sparkSession, TRAINERS[family](source, out, **options), f"{out}/registry")
+    return reg.save_registry(stored(TRAINERS[family](source, out, **options)[0], "registered"), f"{out}/registry")
