@@ -11,23 +11,17 @@ from queries import fixtures as fx
 from queries.points import FEATURES, _sequence_points
 from queries.registry import query, rounded
 from wakeline import schema as S
-from wakeline.ml import forest, importance, isolation, logistic, oneclass
+from wakeline.ml import forest, importance, isolation, logistic
 from wakeline.operators import trips
 from wakeline.operators.layout import join_group_values
 from wakeline.plans import features as plan
 from wakeline.plans import scoring, training
 from wakeline.session import scratch_path, stored
 from wakeline.sources import registry as reg
-from wakeline.sources import tables, versions
-
-# Small grids; the full ones are the defaults of the library.
-GRIDS = {
-    "logistic": dict(grid=[logistic.Cell(1.0, "l1", None), logistic.Cell(0.01, "l2", 4.0)]),
-    "random_forest": dict(grid=[forest.Cell(20, 10, 1, "sqrt"), forest.Cell(40, 5, 5, "log2")]),
-    "isolation_forest": dict(grid=[isolation.Cell(100, "auto", 1.0), isolation.Cell(50, 0.5, 0.8)]),
-    "one_class_svm": dict(grid=[oneclass.Cell(0.03, 1.0), oneclass.Cell(0.01, "scale")]),
-    "reconstruction": {},
-}
+from wakeline.sources import versions
+
+# The library's own grids, but for random forests, whose 24 cells are 240 forests of up to 200 trees a route (README).
+GRIDS = {"random_forest": dict(grid=[forest.Cell(20, 10, 1, "sqrt"), forest.Cell(40, 5, 5, "log2")])}
 
 
 def _features(spark, sf):
@@ -43,7 +37,7 @@ def _sequence_features(spark, sf):
 def _trained(spark, sf, family):
     points = _sequence_features(spark, sf) if family == "reconstruction" else _features(spark, sf)
     out = scratch_path(spark, "models")
-    registry = training.train_family(family, points, out, **GRIDS[family])
+    registry = training.train_family(family, points, out, **GRIDS.get(family, {}))
     return points, out, registry
 
 
@@ -79,9 +73,12 @@ def k9(spark, sf):
 
 @query("k10_grid_search")
 def k10(spark, sf):
-    table = training.training_table(_features(spark, sf))
-    grid = [isolation.Cell(50, s, f) for s in ("auto", 0.5) for f in (1.0, 0.6)]
-    return training.train_isolation(table, scratch_path(spark, "models"), grid=grid)[1]
+    """Every cell that each family tried, with its F1, in one table."""
+    table, out, parts = training.training_table(_features(spark, sf)), scratch_path(spark, "models"), []
+    for family in ("logistic", "random_forest", "isolation_forest", "one_class_svm"):
+        results = training.TRAINERS[family](table, out, **GRIDS.get(family, {}))[1]
+        parts.append(results.select(F.lit(family).alias("model"), F.col(S.ROUTE), F.col("cell").cast("int").alias("cell"), "f1"))
+    return reduce(DataFrame.unionAll, parts)
 
 
 @query("j8_route_models")
@@ -107,7 +104,7 @@ def k13(spark, sf):
 def k14(spark, sf):
     table = training.training_table(_features(spark, sf))
     out = scratch_path(spark, "models")
-    training.train_logistic(table, out, **GRIDS["logistic"])
+    training.train_logistic(table, out)
     models = versions.read(spark, f"{out}/logistic")
     held_out = training.supervised_split(table, "logistic").filter("is_test").join(models, S.ROUTE, "left_semi")
     return importance.permutation_importance(held_out, lambda rows: logistic.score(rows, models, S.POINT_FEATURES), S.POINT_FEATURES, keys=[S.ROUTE])
@@ -129,7 +126,7 @@ def b7(spark, sf):
 def b8_one(spark, sf):
     labelled = plan.label_table(fx.traj(spark, sf))
     out = scratch_path(spark, "models")
-    training.train_from_cleaned("logistic", labelled, out, **GRIDS["logistic"])
+    training.train_from_cleaned("logistic", labelled, out)
     scored = scoring.score_cleaned(trips.select_trip(labelled, 8), out, "logistic")
     return scored.select(S.TRIP, S.POINT, "score", "is_anomaly_pred")
 
@@ -157,6 +154,26 @@ GIVEN_KERNEL = {
 }
 
 
+# Trees: a leaf is its share of anomalies; a node is (feature, threshold, tree up to the threshold, tree above it). Threshold of the route last.
+GIVEN_FOREST = {
+    "KIEL": ([("dv", 0.5, 0.1, ("x_km", -20.0, 0.9, 0.4)), ("speed_over_ground", 12.0, ("zone", 0.5, 0.2, 0.6), 0.8), 0.25], 0.4),
+    "BREMERHAVEN": ([("dist_to_ref", 3.0, ("dcourse", 10.0, 0.05, 0.35), ("y_km", 5.0, ("dv", 1.0, 0.5, 0.7), 1.0)), ("x_km", 0.0, 0.3, 0.15)], 0.3),
+}
+# Isolation trees of samples of 64: (node, rows, feature, threshold) with features divided by 20; then offset and threshold of the route.
+GIVEN_ISOLATION = {
+    "KIEL": (
+        [
+            [(1, 64, "speed_over_ground", 0.4), (2, 40, "x_km", -0.5), (3, 24, None, None), (4, 1, None, None), (5, 39, "dcourse", 0.1), (10, 37, None, None), (11, 2, None, None)],
+            [(1, 64, "dv", 0.02), (2, 60, None, None), (3, 4, "y_km", 0.2), (6, 3, None, None), (7, 1, None, None)],
+        ], 0.45, 0.05,
+    ),
+    "BREMERHAVEN": ([[(1, 64, "dist_to_ref", 0.1), (2, 63, "zone", 0.01), (3, 1, None, None), (4, 33, None, None), (5, 30, None, None)]], 0.5, 0.02),
+}
+# One direction of 15 windowed points with two features: how much of it each feature has; smallest value and range of the features, threshold.
+GIVEN_DIRECTION = {"KIEL": ((1.0, 0.0), (0.0, 2.0), (20.0, 10.0), 0.02), "BREMERHAVEN": ((0.6, 0.8), (1.0, 0.0), (15.0, 12.0), 0.05)}
+WINDOWED = ("speed_over_ground", "draught")
+
+
 def _by_route(value) -> str:
     """SQL that takes the value of a point's route; ``value`` gives the text for a route."""
     return "CASE start_port " + " ".join(f"WHEN '{r}' THEN {value(r)}" for r in GIVEN_LINEAR) + " END"
@@ -173,27 +190,97 @@ def _density(route: str) -> str:
     return " + ".join(f"{weight}::DOUBLE * exp(-{gamma}::DOUBLE * ({d}))" for (_, weight), d in zip(marks, far, strict=True))
 
 
+def _tree(tree) -> str:
+    if not isinstance(tree, tuple):
+        return f"{tree}::DOUBLE"
+    feature, threshold, low, high = tree
+    return f"CASE WHEN coalesce({feature}, 0) > {threshold}::DOUBLE THEN {_tree(high)} ELSE {_tree(low)} END"
+
+
+def _votes(route: str) -> str:
+    trees, _ = GIVEN_FOREST[route]
+    return f"({' + '.join(f'({_tree(t)})' for t in trees)}) / {len(trees)}"
+
+
+def _isolation_nodes() -> str:
+    rows = [
+        f"('{route}', {tree}, {node}, {size}, {'NULL' if feature is None else S.POINT_FEATURES.index(feature) + 1}, {'NULL' if threshold is None else threshold})"
+        for route, (forest_, *_) in GIVEN_ISOLATION.items() for tree, nodes in enumerate(forest_) for node, size, feature, threshold in nodes
+    ]
+    return ", ".join(rows)
+
+
+def _average_path(n: str) -> str:
+    return f"CASE WHEN {n} > 2 THEN 2 * (ln({n} - 1) + 0.5772156649015329::DOUBLE) - 2 * ({n} - 1) / {n}::DOUBLE WHEN {n} = 2 THEN 1 ELSE 0 END"
+
+
+FOREST_SQL = f"""{FEATURES}, scored AS (SELECT *, {_by_route(_votes)} AS score, {_by_route(lambda r: f"{GIVEN_FOREST[r][1]}::DOUBLE")} AS tau FROM feats)"""
+# Every point goes down every tree of its route, one node a step.
+ISOLATION_SQL = f"""{FEATURES}, tree_nodes(route, tree, node, size, feature, threshold) AS (VALUES {_isolation_nodes()}),
+  walk AS (
+    SELECT trip_id, point_id, start_port, [{', '.join(f'coalesce({c}, 0) / 20::DOUBLE' for c in S.POINT_FEATURES)}] AS x, tree, 1 AS node, 0 AS depth
+    FROM feats JOIN tree_nodes ON route = start_port WHERE node = 1
+    UNION ALL
+    SELECT trip_id, point_id, start_port, x, w.tree, 2 * w.node + CAST(x[n.feature] > n.threshold AS INT), depth + 1
+    FROM walk w JOIN tree_nodes n ON n.route = w.start_port AND n.tree = w.tree AND n.node = w.node WHERE n.feature IS NOT NULL),
+  leaves AS (SELECT w.*, n.size FROM walk w JOIN tree_nodes n ON n.route = w.start_port AND n.tree = w.tree AND n.node = w.node WHERE n.feature IS NULL),
+  scored AS (SELECT trip_id, point_id, start_port, pow(2, -avg(depth + {_average_path('size')}) / ({_average_path('64')})) - {_by_route(lambda r: f"{GIVEN_ISOLATION[r][1]}::DOUBLE")} AS score,
+    {_by_route(lambda r: f"{GIVEN_ISOLATION[r][2]}::DOUBLE")} AS tau FROM leaves GROUP BY trip_id, point_id, start_port)"""
+
+
+def _given_direction(part: int, feature: int):
+    return _by_route(lambda r: f"{GIVEN_DIRECTION[r][part][feature]}::DOUBLE")
+
+
+DIRECTION_SQL = f"""placed AS (SELECT trip_id, point_id, start_port, row_number() OVER (PARTITION BY trip_id ORDER BY time_stamp, point_id) - 1 AS pos, count(*) OVER (PARTITION BY trip_id) AS n,
+    {', '.join(f"(coalesce({c}, 0) - {_given_direction(1, i)}) / {_given_direction(2, i)} - 0.5 AS v{i}, {_given_direction(0, i)} AS c{i}" for i, c in enumerate(WINDOWED))} FROM traj),
+  starts AS (SELECT trip_id, n, unnest(range(0, greatest(n - 15, 0) + 1, 7)) AS s FROM (SELECT DISTINCT trip_id, n FROM placed)),
+  cells AS (SELECT p.*, s.s, CASE WHEN p.pos = p.n - 1 AND p.n < 15 THEN 16 - p.n ELSE 1 END AS times FROM starts s JOIN placed p ON p.trip_id = s.trip_id AND p.pos BETWEEN s.s AND s.s + 14),
+  rebuilt AS (SELECT *, sum(times * (v0 * c0 + v1 * c1)) OVER (PARTITION BY trip_id, s) / 15 AS along FROM cells),
+  errors AS (SELECT trip_id, s, max(greatest(power(v0 - along * c0, 2), power(v1 - along * c1, 2))) AS error FROM rebuilt GROUP BY trip_id, s),
+  scored AS (SELECT p.trip_id, p.point_id, p.start_port, coalesce(max(e.error), 0) AS score, {_by_route(lambda r: f"{GIVEN_DIRECTION[r][3]}::DOUBLE")} AS tau
+    FROM placed p LEFT JOIN errors e ON e.trip_id = p.trip_id AND p.pos BETWEEN e.s AND e.s + 14 GROUP BY p.trip_id, p.point_id, p.start_port)"""
 LINEAR_SQL = f"""{FEATURES}, scored AS (SELECT *, 1 / (1 + exp(-({_by_route(_margin)}))) AS score, {_by_route(lambda r: f"{GIVEN_LINEAR[r][2]}::DOUBLE")} AS tau FROM feats)"""
 KERNEL_SQL = f"""{FEATURES}, scored AS (SELECT *, {_by_route(lambda r: f"{GIVEN_KERNEL[r][2]}::DOUBLE")} - ({_by_route(_density)}) AS score,
     {_by_route(lambda r: f"{GIVEN_KERNEL[r][3]}::DOUBLE")} AS tau FROM feats)"""
 SCORED_SQL = "SELECT trip_id, point_id, start_port, round(score, 6) AS score, CAST(score > tau AS INT) AS is_anomaly_pred FROM scored"
 
 
+def _numbered(tree, node: int = 1):
+    """The nodes of a nested tree as (node, feature, threshold, value)."""
+    if not isinstance(tree, tuple):
+        return [(node, None, None, tree)]
+    feature, threshold, low, high = tree
+    return [(node, S.POINT_FEATURES.index(feature), threshold, None), *_numbered(low, 2 * node), *_numbered(high, 2 * node + 1)]
+
+
 def _given_models(spark):
-    """A model folder with both families, written and registered as training does."""
-    out = scratch_path(spark, "models")
+    """A model folder with all families, written and registered as training does."""
+    out, routes = scratch_path(spark, "models"), spark.createDataFrame([(r,) for r in GIVEN_LINEAR], f"{S.ROUTE} string")
     linear = {r: logistic.Linear(weights, intercept) for r, (weights, intercept, _) in GIVEN_LINEAR.items()}
-    tables.write_table(logistic.model_table(spark, linear), f"{out}/logistic")
+    versions.commit(logistic.model_table(spark, linear), f"{out}/logistic")
     width = len(S.POINT_FEATURES)
     marks = [(r, i, [at] * width) for r, (points, *_) in GIVEN_KERNEL.items() for i, (at, _) in enumerate(points, 1)]
-    tables.write_table(spark.createDataFrame(marks, f"{S.ROUTE} string, position int, x array<double>"), f"{out}/one_class_svm_landmarks")
+    versions.commit(spark.createDataFrame(marks, f"{S.ROUTE} string, position int, x array<double>"), f"{out}/one_class_svm_landmarks")
     machines = [(r, gamma, [w for _, w in points], rho) for r, (points, gamma, rho, _) in GIVEN_KERNEL.items()]
-    tables.write_table(spark.createDataFrame(machines, f"{S.ROUTE} string, gamma double, alpha array<double>, rho double"), f"{out}/one_class_svm")
+    versions.commit(spark.createDataFrame(machines, f"{S.ROUTE} string, gamma double, alpha array<double>, rho double"), f"{out}/one_class_svm")
     moments = {f"{c}_{name}": F.lit(value) for c in S.POINT_FEATURES for name, value in (("mean", 1.0), ("std", 20.0))}
-    routes = spark.createDataFrame([(r,) for r in GIVEN_KERNEL], f"{S.ROUTE} string")
-    tables.write_table(routes.withColumns(moments), f"{out}/one_class_svm_scale")
-    entries = [reg.Entry(r, "logistic", f"{out}/logistic", tau, S.POINT_FEATURES) for r, (*_, tau) in GIVEN_LINEAR.items()]
-    entries += [reg.Entry(r, "one_class_svm", f"{out}/one_class_svm", tau, S.POINT_FEATURES) for r, (*_, tau) in GIVEN_KERNEL.items()]
+    versions.commit(routes.withColumns(moments), f"{out}/one_class_svm_scale")
+    versions.commit(routes.withColumns(moments), f"{out}/isolation_forest_scale")
+    nodes = [(r, t, *node) for r, (trees, _) in GIVEN_FOREST.items() for t, tree in enumerate(trees) for node in _numbered(tree)]
+    versions.commit(spark.createDataFrame(nodes, f"{S.ROUTE} string, tree int, node long, feature int, threshold double, value double"), f"{out}/random_forest")
+    isolated = [
+        (r, 0, t, node, node.bit_length() - 1, size, 64.0, None if f is None else S.POINT_FEATURES.index(f), threshold, offset)
+        for r, (trees, offset, _) in GIVEN_ISOLATION.items() for t, tree in enumerate(trees) for node, size, f, threshold in tree
+    ]
+    versions.commit(spark.createDataFrame(isolated, f"{isolation.NODE_SCHEMA}, offset double"), f"{out}/isolation_forest")
+    directions = [(r, [0.5] * 30, [[part / 15**0.5 for _ in range(15) for part in parts]], list(lows), list(spans)) for r, (parts, lows, spans, _) in GIVEN_DIRECTION.items()]
+    versions.commit(spark.createDataFrame(directions, f"{S.ROUTE} string, mean array<double>, components array<array<double>>, lows array<double>, spans array<double>"), f"{out}/reconstruction")
+    given = {"logistic": GIVEN_LINEAR, "one_class_svm": GIVEN_KERNEL, "random_forest": GIVEN_FOREST, "isolation_forest": GIVEN_ISOLATION, "reconstruction": GIVEN_DIRECTION}
+    entries = [
+        reg.Entry(r, family, f"{out}/{family}", tau, WINDOWED if family == "reconstruction" else S.POINT_FEATURES)
+        for family, models in given.items() for r, (*_, tau) in models.items()
+    ]
     reg.save_registry(reg.given(spark, entries), f"{out}/registry")
     return out
 
@@ -214,6 +301,43 @@ def k8_given(spark, sf):
     return _given_scores(spark, sf, "one_class_svm")
 
 
+@query("k6_score_given_forest", f"WITH {FOREST_SQL} {SCORED_SQL}")
+def k6_given(spark, sf):
+    return _given_scores(spark, sf, "random_forest")
+
+
+@query("k7_score_given_isolation", f"WITH RECURSIVE {ISOLATION_SQL} {SCORED_SQL}")
+def k7_given(spark, sf):
+    return _given_scores(spark, sf, "isolation_forest")
+
+
+@query("k9_score_given_directions", f"WITH {DIRECTION_SQL} {SCORED_SQL}")
+def k9_given(spark, sf):
+    return _given_scores(spark, sf, "reconstruction")
+
+
+@query(
+    "k13_dispatch_given_models",
+    "WITH RECURSIVE "
+    + ISOLATION_SQL.replace("scored AS", "isolation AS")
+    + "".join(f", {name} AS ({sql[sql.rindex('scored AS (') + len('scored AS ('):-1]})" for name, sql in (("linear", LINEAR_SQL), ("kernel", KERNEL_SQL), ("forest", FOREST_SQL)))
+    + ", "
+    + DIRECTION_SQL.replace("scored AS", "direction AS")
+    + " "
+    + " UNION ALL ".join(
+        [
+            f"SELECT '{family}' AS model, trip_id, point_id, start_port, round(score, 6) AS score, CAST(score > tau AS INT) AS is_anomaly_pred FROM {name}"
+            for family, name in (("one_class_svm", "kernel"), ("isolation_forest", "isolation"), ("logistic", "linear"), ("random_forest", "forest"), ("reconstruction", "direction"))
+        ]
+    ),
+)
+def k13_given(spark, sf):
+    points, out = stored(plan.feature_points(fx.traj(spark, sf)), "features"), _given_models(spark)
+    columns = (S.TRIP, S.POINT, S.ROUTE, "score", "is_anomaly_pred")
+    scored = [scoring.score_points(points, out, family).select(F.lit(family).alias("model"), *columns) for family in reg.MODEL_TYPES.values()]
+    return rounded(reduce(DataFrame.unionAll, scored))
+
+
 @query("b8_score_given_trip", f"WITH {LINEAR_SQL} {SCORED_SQL} WHERE trip_id = 8")
 def b8_given(spark, sf):
     cleaned, out = fx.traj(spark, sf), _given_models(spark)

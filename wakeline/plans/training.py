@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wakeline import schema as S
-from wakeline.ml import forest, isolation, logistic, oneclass, reconstruct, scaling
+from wakeline.ml import forest, importance, isolation, logistic, oneclass, reconstruct, scaling
 from wakeline.operators import evaluate as ev
 from wakeline.operators import split, trips
 from wakeline.operators.features import point_layout
@@ -145,9 +145,11 @@ def _one_tau_results(tested: DataFrame, taus: DataFrame, keys: Sequence[str]) ->
 
 
 def train_one_class(
-    table: DataFrame, out: str, features: Sequence[str] = S.POINT_FEATURES, grid: Sequence[oneclass.Cell] | None = None, marks_per_route: int = oneclass.LANDMARKS
+    table: DataFrame, out: str, features: Sequence[str] = S.POINT_FEATURES, grid: Sequence[oneclass.Cell] | None = None, marks_per_route: int = oneclass.LANDMARKS,
+    importance_repeats: int = importance.REPEATS,
 ) -> tuple[DataFrame, DataFrame]:
-    """All routes and cells at once; the threshold is the best of the percentile grid by F1."""
+    """All routes and cells at once; the threshold is the best of the percentile grid by F1. The chosen machines' permutation importance on the test
+    rows is stored with them (0 repeats: not)."""
     cells = list(grid or oneclass.full_grid())
     scaled, stats = _one_class_parts(table, "one_class_svm", features, centre=True)
     train_rows = scaled.filter("part = 'train'")
@@ -171,9 +173,23 @@ def train_one_class(
     versions.upsert(models.join(best.select(*keys, "rho"), keys), f"{out}/one_class_svm", [S.ROUTE])
     versions.upsert(marks, f"{out}/one_class_svm_landmarks", [S.ROUTE])
     versions.upsert(stats, f"{out}/one_class_svm_scale", [S.ROUTE])
+    if importance_repeats:
+        chosen = stored(models.join(best.select(*keys, "rho"), keys).withColumn("cell", F.lit(0)), "chosen")
+        versions.upsert(_one_class_importance(scaled.filter("part = 'test'"), marks, chosen, features, importance_repeats), f"{out}/one_class_svm_importance", [S.ROUTE])
     return reg.entries(best, "one_class_svm", f"{out}/one_class_svm", features), results
 
 
+def _one_class_importance(test: DataFrame, marks: DataFrame, chosen: DataFrame, features: Sequence[str], repeats: int) -> DataFrame:
+    """``feature, importance`` per route: the drop of F1 when a feature is shuffled among the route's test rows."""
+
+    def score(rows: DataFrame) -> DataFrame:
+        dense = oneclass.densities(rows, marks, chosen, features, [0])
+        offsets = chosen.select(S.ROUTE, F.col("rho").alias("_rho"))
+        return join_group_values(dense, offsets, [S.ROUTE], source=rows).withColumn("score", F.col("_rho") - F.col("density")[0]).drop("_rho", "density")
+
+    return importance.permutation_importance(test, score, list(features), row_key=S.POINT, repeats=repeats, keys=[S.ROUTE])
+
+
 def _rho(train: DataFrame, keys: Sequence[str], cells: Sequence[oneclass.Cell]) -> DataFrame:
     """Offset per route and cell: the share nu of the training points lies outside."""
     nus = sorted({c.nu for c in cells})
