@@ -14,7 +14,8 @@ from wakeline.operators import evaluate as ev
 from wakeline.operators import features as ft
 from wakeline.operators import labels as lb
 from wakeline.operators import profile, sequences, split, trips
-from wakeline.operators.scan import group_percentiles
+from wakeline.operators.layout import detect, join_values
+from wakeline.operators.scan import group_percentiles, position, previous, running_sum, scan
 from wakeline.plans import features as plan
 
 KM = "2 * 6371.0::DOUBLE * asin(sqrt(power(sin((radians({1}) - radians({0})) / 2), 2) + cos(radians({0})) * cos(radians({1})) * power(sin((radians({3}) - radians({2})) / 2), 2)))"
@@ -57,6 +58,21 @@ def _points(spark, sf, **options):
     return points, ft.point_layout(points, **options)
 
 
+@query(
+    "j10_tied_order_split",
+    """WITH tied AS (SELECT trip_id, point_id, speed_over_ground, date_trunc('month', time_stamp) AS t, CAST(point_id % 3 AS VARCHAR) AS name FROM traj)
+    SELECT point_id, CAST(row_number() OVER w AS BIGINT) AS pos, round(sum(speed_over_ground) OVER (w ROWS UNBOUNDED PRECEDING), 4) AS upto,
+      lag(point_id) OVER w AS before, first_value(point_id) OVER w AS first_point FROM tied WINDOW w AS (PARTITION BY trip_id ORDER BY t, name, point_id)""",
+)
+def j10_tied(spark, sf):
+    """Equal times, then a text, then the key: trips are cut inside equal values."""
+    tied = fx.traj(spark, sf).select("trip_id", "point_id", "speed_over_ground", F.date_trunc("month", "time_stamp").alias("t"), (F.col("point_id") % 3).cast("string").alias("name"))
+    layout = detect(tied, ["trip_id"], ["t", "name", "point_id"], chunk_rows=10)
+    out = scan(tied, layout, pos=position(), upto=running_sum("speed_over_ground"), before=previous("point_id"))
+    first = out.where("pos = 1").select("trip_id", F.col("point_id").alias("first_point"))
+    return rounded(join_values(out, first, layout).select("point_id", "pos", "upto", "before", "first_point"), 4)
+
+
 # ---------------------------------------------------------------- geometry and motion
 
 

@@ -75,17 +75,43 @@ def test_whole_groups_equal_pandas(frame):
         np.testing.assert_allclose(g["total"].astype(float).fillna(0), v.fillna(0).cumsum())
 
 
-def test_chunks_are_ordered_and_bounded(frame):
+@pytest.mark.parametrize("fan", [256, 2])
+def test_chunks_are_ordered_and_bounded(frame, monkeypatch, fan):
+    monkeypatch.setattr(lay, "FAN", fan)
     layout = lay.detect(frame, ["g"], ["t", "i"], chunk_rows=20)
-    rows = layout.mark(frame).groupBy("g", lay.CHUNK).agg(F.count("*").alias("n"), F.min("t").alias("lo"), F.max("t").alias("hi"))
+    key = F.struct("t", "i")
+    rows = layout.mark(frame).groupBy("g", lay.CHUNK).agg(F.count("*").alias("n"), F.min(key).alias("lo"), F.max(key).alias("hi"))
     hot = sorted((r for r in rows.collect() if r["g"] == "hot"), key=lambda r: r[lay.CHUNK])
-    assert len(hot) >= 8 and max(r["n"] for r in hot) <= 40
-    assert all(a["hi"] <= b["lo"] for a, b in zip(hot, hot[1:]))
+    assert len(hot) >= 8 and max(r["n"] for r in hot) <= 40 and [r[lay.CHUNK] for r in hot] == list(range(1, len(hot) + 1))
+    assert all(a["hi"] < b["lo"] for a, b in zip(hot, hot[1:]))
+
+
+@pytest.mark.parametrize("order", [["t", "i"], ["s"], ["s", "i"], ["d", "s"]])
+def test_ties_and_texts_are_cut(spark, order):
+    """Equal times are cut by what breaks the tie, texts by themselves; the sample is a part of the group."""
+    rnd = random.Random(3)
+    rows = [("a", dt.datetime(2024, 1, 1), i, f"w{rnd.random():.9f}", None if i % 3 else float("nan")) for i in range(20_000)]
+    df = spark.createDataFrame(rows, "g string, t timestamp_ntz, i long, s string, d double").persist()
+    layout = lay.detect(df, ["g"], order, chunk_rows=1000)
+    sizes = [r["n"] for r in layout.mark(df).groupBy(lay.CHUNK).agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) >= 12 and max(sizes) < 3000
+    key = (lambda r: (r[1], r[2])) if order == ["t", "i"] else (lambda r: (r[4] is not None, r[3])) if "d" in order else (lambda r: r[3])
+    want = {r[2]: n for n, r in enumerate(sorted(rows, key=key), 1)}
+    assert {r["i"]: r["pos"] for r in sc.scan(df, layout, pos=sc.position()).collect()} == want
+
+
+def test_many_chunks_are_scanned_in_chunks(frame, monkeypatch):
+    monkeypatch.setattr(lay, "FAN", 3)
+    monkeypatch.setattr(lay, "BROADCAST_LISTS", 0)
+    whole, cut = lay.detect(frame, ["g"], ["t", "i"]), lay.detect(frame, ["g"], ["t", "i"], chunk_rows=4)
+    assert cut.most > cut.chunk_rows and not cut.few
+    assert collected(sc.scan(frame, cut, **aggs())) == collected(sc.scan(frame, whole, **aggs()))
 
 
-def test_equal_order_values_stay_together(spark):
+def test_rows_that_agree_in_the_whole_order_stay_together(spark):
     df = spark.createDataFrame([("a", dt.datetime(2024, 1, 1), i, 1.0, 1.0) for i in range(100)], SCHEMA)
-    layout = lay.detect(df, ["g"], ["t", "i"], chunk_rows=10)
+    layout = lay.detect(df, ["g"], ["t"], chunk_rows=10)
+    assert layout.mark(df.withColumn("t", F.col("t"))).groupBy("t").count().count() == 1
     assert sorted(r["pos"] for r in sc.scan(df, layout, pos=sc.position()).collect()) == list(range(1, 101))
 
 

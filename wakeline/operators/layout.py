@@ -3,14 +3,14 @@
 Ordered operators need all earlier rows of a group. A window per group does that as long as
 a group fits one task. When one group holds a large share of the table it does not, so a
 ``Layout`` cuts such groups into order-contiguous chunks and the operators in ``scan.py``
-work per chunk and pass small carries between chunks. Groups below ``chunk_rows`` rows stay
+work per chunk and pass carries between chunks. Groups below ``chunk_rows`` rows stay
 whole; if there is no large group at all, the plan is the plain one-shuffle window plan.
 
-Detection runs one column-pruned, map-side-combined count. What comes back to the driver is
-bounded: at most ``MAX_HOT`` groups with at most ``MAX_CHUNKS`` chunks each and about
-``TOTAL_CHUNKS`` in all. Any group beyond the ``MAX_HOT`` largest holds less than 1/MAX_HOT of the
-table and stays whole. The boundaries are fixed before the plan is built, so a task that is run
-again after a lost executor cuts its rows at the same places.
+Detection runs one column-pruned, map-side-combined count. Large groups are cut at sampled rows: the borders are whole
+order keys, of any types and with all their tie-breaking columns, so rows with equal times, or a text order, are cut like any others. The
+sample is taken by a hash of the row's key and stored, so a task that is run again after a lost executor cuts its rows at the same places.
+Borders stay a table. Rows find their chunk in two equi-joins with short sorted lists, of every FAN-th border of the group and of those
+between two such, by binary search; nothing of it passes through the driver, and there is no limit to groups or chunks.
 
 Rows without a key belong to no group: they stay in the table and take no group values.
 """
@@ -20,34 +20,40 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from wakeline.session import stored
 
 CHUNK = "_chunk"
 CHUNK_ROWS = 1_000_000
-MAX_HOT = 4096
-MAX_CHUNKS = 4096
-TOTAL_CHUNKS = 100_000
-
-# What percentile_approx takes; other orders (text, boolean) are not cut by it.
-_CUTTABLE = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
+FAN = 256
+"""Borders in one list, and lists of borders in the list above."""
+SAMPLES = 16
+"""Sampled rows a chunk; chunks vary by about a quarter."""
+BROADCAST_LISTS = 2_000
+"""Border lists of up to FAN keys, some 10 kB each, that may be broadcast: some 20 MB."""
 
 
 @dataclass(frozen=True)
 class Layout:
     """Groups by ``keys``, ordered by ``order``; ``hot`` lists the groups that are cut.
 
-    ``hot`` has the key columns, ``_bounds``, the sorted cut points of the first order column, and
-    ``_first``, the number of the group's first chunk. Chunk numbers are unique over all groups and
-    rise with the order inside a group; rows of uncut groups have chunk 0.
+    ``hot`` has the key columns and ``_chunks``, the group's number of chunks. ``coarse`` has ``_upper``, the sorted list of every FAN-th border of the
+    group; ``fine`` has ``_bin`` and ``_lower``, the borders between two of those. Chunk numbers start at 1 in each cut group and rise with the order;
+    rows of uncut groups have chunk 0. ``most`` is the largest number of chunks. ``cut_by`` are the
+    order columns the borders are made of: those at hand when they were looked for, to which ``order`` may add more.
     """
 
     keys: tuple[str, ...]
     order: tuple[str, ...]
     hot: DataFrame | None = None
+    coarse: DataFrame | None = None
+    fine: DataFrame | None = None
+    most: int = 0
+    few: bool = True
+    chunk_rows: int = CHUNK_ROWS
+    cut_by: tuple[str, ...] = ()
 
     @property
     def partition(self) -> list[str]:
@@ -65,25 +71,21 @@ class Layout:
         """Add the chunk column."""
         if self.hot is None or CHUNK in df.columns:
             return df
-        marked = join_nullsafe(df, F.broadcast(self.hot), self.keys, "left")
-        return marked.withColumn(
-            CHUNK, F.when(F.col("_bounds").isNull(), 0).otherwise(_chunk_of(F.col(self.order[0])))
-        ).drop("_bounds", "_first")
-
-
-def _chunk_of(value: Column) -> Column:
-    """First chunk + number of bounds <= value, by binary search (a null value sorts first)."""
-    step = MAX_CHUNKS
-    steps = []
-    while step >= 1:
-        steps.append(step)
-        step //= 2
-    bounds = F.col("_bounds")
-    return F.col("_first") + F.aggregate(
-        F.array(*[F.lit(s) for s in steps]),
-        F.lit(0),
-        lambda low, s: F.when(F.get(bounds, low + s - 1) <= value, low + s).otherwise(low),
-    )
+        lists = F.broadcast if self.few else (lambda table: table)  # else the adaptive skew join splits a hot group
+        key = F.struct(*self.cut_by)
+        binned = join_nullsafe(df, lists(self.coarse), self.keys, "left").withColumn("_bin", _passed("_upper", key))
+        found = join_nullsafe(binned, lists(self.fine), [*self.keys, "_bin"], "left")
+        inside = F.coalesce(_passed("_lower", key), F.lit(0))
+        chunk = F.when(F.col("_bin").isNull(), 0).otherwise(1 + F.col("_bin") * FAN + inside)
+        return found.withColumn(CHUNK, chunk.cast("int")).drop("_upper", "_bin", "_lower")
+
+
+def _passed(borders: str, value: Column) -> Column:
+    """How many entries of a sorted list are not above ``value``, by binary search (nulls first); null without a list."""
+    steps = F.transform(F.sequence(F.lit(30), F.lit(0)), lambda i: F.call_function("shiftleft", F.lit(1), i))
+    reach = F.filter(steps, lambda s: s <= F.size(borders))
+    found = F.aggregate(reach, F.lit(0), lambda low, s: F.when(F.get(F.col(borders), low + s - 1) <= value, low + s).otherwise(low))
+    return F.when(F.col(borders).isNotNull(), found)
 
 
 def join_nullsafe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
@@ -106,10 +108,9 @@ def join_values(df: DataFrame, values: DataFrame, layout: Layout) -> DataFrame:
         return df.join(values, list(layout.keys), "left")
     owned = CHUNK not in df.columns
     marked = layout.mark(df)
-    sized = join_nullsafe(values, F.broadcast(layout.hot), layout.keys, "left")
-    own = F.sequence(F.col("_first"), F.col("_first") + F.size("_bounds"))
-    chunks = F.when(F.col("_bounds").isNull(), F.array(F.lit(0))).otherwise(own)
-    spread = sized.withColumn(CHUNK, F.explode(chunks)).drop("_bounds", "_first")
+    sized = join_nullsafe(values, layout.hot, layout.keys, "left")
+    chunks = F.when(F.col("_chunks").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(1), F.col("_chunks")))
+    spread = sized.withColumn(CHUNK, F.explode(chunks)).drop("_chunks")
     out = marked.join(spread, [*layout.keys, CHUNK], "left")
     return out.drop(CHUNK) if owned else out
 
@@ -131,59 +132,30 @@ def join_group_values(df: DataFrame, values: DataFrame, keys: Sequence[str], sou
     return df.join(values, list(keys), how)
 
 
-def detect(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    chunk_rows: int = CHUNK_ROWS,
-) -> Layout:
-    """Find the groups larger than ``chunk_rows`` and where to cut them.
-
-    The first order column must be a number or a time for that; rank texts by a hash or by buckets.
-    """
+def detect(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk_rows: int = CHUNK_ROWS) -> Layout:
+    """Find the groups larger than ``chunk_rows``, and where to cut them. Rows that agree in the whole order are never parted."""
     keys, order = tuple(keys), tuple(order)
-    plain = Layout(keys, order)
-    order_type = df.schema[order[0]].dataType
-    if not isinstance(order_type, _CUTTABLE):
+    plain = Layout(keys, order, chunk_rows=chunk_rows)
+    sizes = df.groupBy(*keys).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > chunk_rows)
+    if sizes.isEmpty():
         return plain
-    slim = df.select(*keys, order[0])
-    key_fields = [df.schema[k] for k in keys]
-    sizes = slim.groupBy(*keys).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > chunk_rows)
-    largest = sizes.orderBy(F.desc("_rows")).limit(MAX_HOT).collect()
-    if not largest:
+    large = stored(sizes, "large")
+    slim = df.select(*keys, F.struct(*order).alias("_key"))
+    share = F.least(F.lit(1.0), SAMPLES * F.ceil(F.col("_rows") / chunk_rows) / F.col("_rows"))
+    draw = F.shiftrightunsigned(F.xxhash64("_key"), 11) / float(1 << 53)
+    sample = join_nullsafe(slim, large, keys, "inner").where(draw < share)
+    by = Window.partitionBy(*keys).orderBy("_key")
+    # A small group is sampled whole: then every chunk_rows-th row is a border, else every SAMPLES-th of the sample.
+    step = F.when(share >= 1, chunk_rows).otherwise(SAMPLES)
+    picked = sample.withColumn("_at", F.row_number().over(by)).where(F.col("_at") % step == 0).select(*keys, "_key").distinct()
+    borders = stored(picked.withColumn("_n", F.row_number().over(by)), "borders")
+    lists = F.array_sort(F.collect_list("_key"))
+    hot = stored(borders.groupBy(*keys).agg((F.max("_n") + 1).alias("_chunks")), "hot")
+    if hot.isEmpty():
         return plain
-
-    spark = df.sparkSession
-    schema = T.StructType([*[T.StructField(f.name, f.dataType) for f in key_fields], T.StructField("_rows", T.LongType())])
-    hot = spark.createDataFrame(largest, schema)
-    cuts = ", ".join(f"{i / MAX_CHUNKS}D" for i in range(1, MAX_CHUNKS))
-    found = (
-        join_nullsafe(slim, F.broadcast(hot), keys, "inner")
-        .groupBy(*keys, "_rows")
-        .agg(F.expr(f"percentile_approx(`{order[0]}`, array({cuts}), {4 * MAX_CHUNKS})").alias("_bounds"))
-        .collect()
-    )
-    # Larger chunks if there would be too many: their totals are broadcast.
-    chunk_rows = max(chunk_rows, sum(r["_rows"] for r in largest) // TOTAL_CHUNKS)
-    rows, first = [], 1
-    for r in found:
-        bounds = _thin(r["_bounds"], r["_rows"], chunk_rows)
-        rows.append((*[r[k] for k in keys], bounds, first))
-        first += len(bounds) + 1
-    schema = T.StructType(
-        [
-            *[T.StructField(f.name, f.dataType) for f in key_fields],
-            T.StructField("_bounds", T.ArrayType(order_type)),
-            T.StructField("_first", T.IntegerType()),
-        ]
-    )
-    return Layout(keys, order, spark.createDataFrame(rows, schema))
-
-
-def _thin(bounds: list | None, rows: int, chunk_rows: int) -> list:
-    """Keep only as many cut points as the group needs, and no repeated ones."""
-    if not bounds:
-        return []
-    wanted = min(MAX_CHUNKS, -(-rows // chunk_rows))
-    picked = [bounds[i * MAX_CHUNKS // wanted - 1] for i in range(1, wanted)]
-    return sorted(set(picked))
+    upper = F.array_sort(F.collect_list(F.when(F.col("_n") % FAN == 0, F.col("_key"))))
+    coarse = stored(borders.groupBy(*keys).agg(upper.alias("_upper")), "coarse")
+    between = borders.where(F.col("_n") % FAN != 0)
+    fine = stored(between.groupBy(*keys, F.floor(F.col("_n") / FAN).cast("int").alias("_bin")).agg(lists.alias("_lower")), "fine")
+    numbers = hot.agg(F.max("_chunks").alias("most"), F.sum(F.col("_chunks") / FAN + 2).alias("lists")).first()
+    return Layout(keys, order, hot, coarse, fine, numbers["most"], numbers["lists"] <= BROADCAST_LISTS, chunk_rows, order)

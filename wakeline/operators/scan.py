@@ -2,9 +2,9 @@
 
 ``scan(df, layout, name=running_sum(col), ...)`` adds one column per aggregate. Without hot
 groups this is one window per frame over the group keys, all sharing a single shuffle and
-sort. With hot groups the same windows run per (group, chunk). The totals of the chunks, some
-``TOTAL_CHUNKS`` rows at most, are scanned in turn and broadcast back, so the rows are still
-shuffled once.
+sort. With hot groups the same windows run per (group, chunk). The totals of the chunks are scanned
+in turn, cut again if a group has too many of them, and joined back on (group, chunk), by which the rows lie
+already, so the rows are still shuffled once.
 """
 
 from __future__ import annotations
@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from wakeline.operators.layout import CHUNK, Layout, detect
+from wakeline.session import stored
 
-_ONE_GROUP = "_one_group"
+_ONE_GROUP, _OF = "_one_group", "_of_chunk"
 UPTO, BEFORE, FROM, AFTER, ALL = "upto", "before", "from", "after", "all"
 
 
@@ -116,23 +117,20 @@ def _chunked(df: DataFrame, layout: Layout, aggs: dict[str, Agg]) -> DataFrame:
     plan = {n: Agg("last", F.struct(a.expr.alias("v")), BEFORE) if a.kind == "lag" else a for n, a in aggs.items()}
 
     order = layout.order_key()
-    totals = df.filter(F.col(CHUNK) > 0).groupBy(*layout.keys, CHUNK).agg(
+    totals = df.filter(F.col(CHUNK) > 0).groupBy(*layout.keys, F.col(CHUNK).alias(_OF)).agg(
         *[_chunk_total(a, order).alias(n) for n, a in plan.items()]
     )
-    carries = totals.select(
-        F.col(CHUNK).alias("_of_chunk"), *[_carry(n, a, layout).alias(f"_carry_{n}") for n, a in plan.items()]
-    )
+    carries = _carries(totals, plan, layout)
 
     local = df.select(
         "*", *[_aggregate(a.kind, a.expr, a.frame).over(_window(layout, a.frame)).alias(f"_local_{n}") for n, a in plan.items()]
     )
-    # One row per chunk of a cut group: bounded by detection.
-    joined = local.join(F.broadcast(carries), F.col(CHUNK) == F.col("_of_chunk"), "left")
+    joined = local.join(carries, [*layout.keys, CHUNK], "left").select(*local.columns, *[f"_carry_{n}" for n in plan])
     merged = {}
     for n, a in plan.items():
         value = _merge(a, F.col(f"_local_{n}"), F.col(f"_carry_{n}"))
         merged[n] = F.when(_has_group(layout), value.getField("v") if aggs[n].kind == "lag" else value)
-    return joined.withColumns(merged).drop("_of_chunk", *[f"_local_{n}" for n in plan], *[f"_carry_{n}" for n in plan])
+    return joined.withColumns(merged).drop(*[f"_local_{n}" for n in plan], *[f"_carry_{n}" for n in plan])
 
 
 def _chunk_total(agg: Agg, order: Column) -> Column:
@@ -142,10 +140,16 @@ def _chunk_total(agg: Agg, order: Column) -> Column:
     return _aggregate(agg.kind, agg.expr, agg.frame)
 
 
-def _carry(name: str, agg: Agg, layout: Layout) -> Column:
-    frame = {UPTO: BEFORE, FROM: AFTER}.get(agg.frame, agg.frame)
-    by = Window.partitionBy(*layout.keys).orderBy(CHUNK).rowsBetween(*_rows(frame))
-    return _aggregate(agg.kind, F.col(name), frame).over(by)
+def _carries(totals: DataFrame, plan: dict[str, Agg], layout: Layout) -> DataFrame:
+    """What the chunks before (or behind, or all) of each chunk come to: a scan over the totals, in chunks of its own where a group has many."""
+    frames = {UPTO: BEFORE, FROM: AFTER}
+    if layout.most > layout.chunk_rows:
+        totals = stored(totals, "totals")
+        above = detect(totals, layout.keys, [_OF], layout.chunk_rows)
+    else:
+        above = Layout(layout.keys, (_OF,))
+    scanned = scan(totals, above, **{f"_carry_{n}": Agg(a.kind, F.col(n), frames.get(a.frame, a.frame)) for n, a in plan.items()})
+    return scanned.select(*layout.keys, F.col(_OF).alias(CHUNK), *[f"_carry_{n}" for n in plan])
 
 
 def _merge(agg: Agg, local: Column, carry: Column) -> Column:
