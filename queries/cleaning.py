@@ -37,12 +37,30 @@ def s1(spark, sf):
     return tables.type_reports(tables.read_reports(spark, path)).select(*RAW_COLUMNS.split(", "))
 
 
-@query("s2_csv_folder", "SELECT count(*) AS points, CAST(sum(TripID) AS BIGINT) AS trip_sum, count(Destination) AS destinations FROM raw")
+@query(
+    "s2_csv_folder",
+    """SELECT ID % 3 AS kind, count(*) AS points, CAST(sum(TripID) AS BIGINT) AS trip_sum, count(CASE WHEN ID % 3 <> 1 AND ID % 89 <> 0 THEN Destination END) AS destinations,
+      count(CASE WHEN ID % 3 = 2 THEN ID END) AS notes FROM raw WHERE ID % 97 <> 0 GROUP BY ID % 3""",
+)
 def s2(spark, sf):
-    path = scratch_path(spark, "folder")
-    fx.raw(spark, sf).write.option("header", True).csv(path)
-    raw = tables.type_reports(tables.read_report_files(spark, tables.report_files(spark, path, pattern="*.csv")))
-    return raw.agg(F.count("*").alias("points"), F.sum("TripID").alias("trip_sum"), F.count("Destination").alias("destinations"))
+    """Three headers in one folder: all columns, without destination and in another order, and with one column more; some lines are too short, some too long."""
+    path, raw = scratch_path(spark, "folder"), fx.raw(spark, sf)
+    front = [c for c in raw.columns if c != "Destination"]
+    kinds = [[*front, "Destination"], front[::-1], ["Note", *front, "Destination"]]
+    for kind, columns in enumerate(kinds):
+        rows = raw.where(F.col("ID") % 3 == kind).withColumn("Note", F.concat(F.lit('say "'), "ID", F.lit('", then go')))
+        cut = rows.withColumn("Destination", F.when(F.col("ID") % 89 != 0, F.col("Destination")))
+        line = F.to_csv(F.struct(*columns), {"timestampNTZFormat": MICROS, "escape": '"'})
+        short = F.regexp_replace(line, r",[^,]*$", "") if kind != 1 else line  # the missing destination is the last field
+        whole = F.when(F.col("ID") % 97 == 0, F.concat(line, F.lit(",one,more"))).when(F.col("ID") % 89 == 0, short).otherwise(line)
+        lines = cut.select(F.lit(1).alias("at"), whole.alias("value")).union(spark.createDataFrame([(0, ",".join(columns))], "at int, value string"))
+        lines.coalesce(1).sortWithinPartitions("at").select("value").write.mode("append").text(path)
+    found = tables.read_report_files(spark, path, pattern="*.txt")
+    typed = tables.type_reports(found)
+    return typed.groupBy((F.col("ID").cast("long") % 3).alias("kind")).agg(
+        F.count("*").alias("points"), F.sum("TripID").alias("trip_sum"), F.count("Destination").alias("destinations"),
+        F.count_if(F.col("Note") == F.concat(F.lit('say "'), F.col("ID").cast("string"), F.lit('", then go'))).alias("notes"),
+    )
 
 
 @query("s3_parquet_scan", "SELECT event_id, user_id, value FROM events WHERE value < 30")
@@ -104,7 +122,10 @@ def s7(spark, sf):
 def s8(spark, sf):
     points = fx.traj(spark, sf)
     numbered = lb.number_points(points, ft.point_layout(points))
-    return tables.label_preview(numbered, F.col("speed_over_ground") > 30)
+    path = scratch_path(spark, "preview")
+    preview = tables.label_preview(numbered, F.col("speed_over_ground") > 30)
+    tables.write_json(preview, path)
+    return spark.read.schema(preview.schema).json(path)
 
 
 CLEANED = """WITH coded AS (

@@ -13,7 +13,7 @@ from wakeline.operators import clean, profile
 from wakeline.operators import labels as lb
 from wakeline.operators import trips
 from wakeline.plans import cleaning
-from wakeline.sources import tables
+from wakeline.sources import tables, versions
 
 GOLDEN = [
     ("DE HAM", "DEHAM", "DE.HAM"),
@@ -180,6 +180,56 @@ def test_cleaning_run_and_ingest(spark, tmp_path):
     assert cleaning.ingest(spark, second, out).select("trip_id").distinct().count() == 2
 
 
+def test_a_run_that_fails_half_way_leaves_the_old_table(spark, tmp_path):
+    out = str(tmp_path / "cleaned")
+    before = cleaning.ingest(spark, _raw(spark, tmp_path), out)
+    rows = before.count()
+
+    def failing(df):
+        return df.withColumn("Length", F.when(F.col("TripID") < 0, 1.0).otherwise(F.raise_error(F.lit("lost")).cast("double")))
+
+    with pytest.raises(Exception, match="lost"):
+        cleaning.ingest(spark, _raw(spark, tmp_path, trips_=2), out, failing)
+    assert versions.read(spark, out).count() == rows and before.count() == rows
+    assert len([p for p in (tmp_path / "cleaned").iterdir() if not (p / "_SUCCESS").exists()]) <= 1
+    for n in (1, 2, 3):
+        versions.commit(spark.range(n), out)
+    assert versions.read(spark, out).count() == 3 and len(versions._finished(spark, out)) <= versions.KEPT + 1
+
+
+def test_upserts_replace_by_key(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for rows in ([("a", 1, 1.0), ("a", 1, 2.0), ("b", 1, 3.0)], [("a", 1, 9.0), ("c", 2, 4.0)]):
+        versions.upsert(spark.createDataFrame(rows, "r string, k int, x double"), path, ["r", "k"])
+    assert sorted(map(tuple, versions.read(spark, path).collect())) == [("a", 1, 9.0), ("b", 1, 3.0), ("c", 2, 4.0)]
+
+
+def test_mixed_headers_with_short_long_and_quoted_lines(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('\n  \nTripID,Destination\n1,"KIEL, ""NORTH"""\n2\n3,x,\n\nTripID,Destination\n4,?\n')
+    (tmp_path / "b.csv").write_text('\ufeff"Destination","SOG","TripID"\nHAM,5,6\nBRE,7\n,,8,9\n')
+    (tmp_path / "c d.csv").write_text("TripID,Destination\n9,K\n")
+    (tmp_path / "skipped.txt").write_text("TripID,Other\n1,2\n")
+    df = tables.read_report_files(spark, str(tmp_path), pattern="*.csv")
+    assert df.columns == ["TripID", "Destination", "SOG"]
+    got = sorted((tuple(r) for r in df.collect()), key=str)
+    assert got == sorted([("1", 'KIEL, "NORTH"', None), ("2", None, None), ("4", None, None), ("6", "HAM", "5"), (None, "BRE", "7"), ("9", "K", None)], key=str)
+    (tmp_path / "e").mkdir()
+    (tmp_path / "e" / "empty.csv").write_text("")
+    assert tables.read_report_files(spark, str(tmp_path / "e")).collect() == []
+
+
+def test_distinct_counts_of_all_types_in_one_run(spark):
+    rows = [(1, "a", 0.0, [1], None), (2, "a", -0.0, [1], None), (2, None, float("nan"), [2], None), (None, "b", float("nan"), None, None)]
+    df = spark.createDataFrame(rows, "i int, s string, d double, a array<int>, n date")
+    assert {r["column"]: r["distinct_values"] for r in profile.distinct_counts(df).collect()} == {"i": 2, "s": 2, "d": 2, "a": 2, "n": 0}
+    changed = profile.changed_columns(df, df.withColumn("s", F.lit("z")).drop("i"))
+    assert [tuple(r) for r in changed.collect()] == [("s", 2, 1)]
+    ports = spark.createDataFrame([], "TripID long, StartPort string, EndPort string")
+    assert {tuple(r) for r in profile.table_counts(ports).collect()} == {("rows", 0), ("trips", 0), ("start_ports", 0), ("end_ports", 0)}
+    plan = profile.distinct_counts(spark.range(3).selectExpr(*[f"id + {i} AS c{i}" for i in range(9)]))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Range") == 1
+
+
 def test_write_splits(spark, tmp_path):
     df = spark.createDataFrame([("KIEL", 1), ("LUEBECK", 2)], "start_port string, trip_id long")
     cleaning.write_cleaned(df, str(tmp_path / "c"), str(tmp_path / "s"))

@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import warnings
 from collections.abc import Sequence
+from functools import reduce
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from wakeline.operators.layout import join_group_values
@@ -35,26 +39,35 @@ def missing_percent(df: DataFrame, columns: Sequence[str] | None = None) -> Data
 
 
 def distinct_counts(df: DataFrame, columns: Sequence[str] | None = None, approximate: bool = False) -> DataFrame:
-    """Distinct non-null values per column."""
+    """Distinct non-null values per column, counted exactly in one run of the input, whatever the number of columns."""
     columns = list(columns or df.columns)
     if approximate:
         return _long(df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]), columns, "distinct_values")
-    # A distinct per column, each reading just its own column, instead of one expanded row set.
-    parts = [
-        df.select(F.col(c).alias("v")).distinct().agg(F.lit(c).alias("column"), F.count("v").alias("distinct_values"))
-        for c in columns
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    values = _cells(df, columns).groupBy("column", "value").agg(F.count("*").alias("rows"))
+    return values.groupBy("column").agg(F.count("value").alias("distinct_values"))
+
+
+def _cells(df: DataFrame, columns: Sequence[str], *extra: Column) -> DataFrame:
+    """``column, value`` of every cell, so that all columns are counted in one run of the input. Values are told apart by their texts."""
+
+    def text(c: str) -> Column:
+        kind = df.schema[c].dataType
+        if isinstance(kind, (T.ArrayType, T.StructType, T.MapType, T.VariantType)):
+            return F.to_json(F.struct(c))
+        return (F.col(c) + F.lit(0).cast(kind) if isinstance(kind, T.FractionalType) else F.col(c)).cast("string")  # -0 is 0
+
+    entries = [F.struct(F.lit(c).alias("column"), F.when(F.col(c).isNotNull(), text(c)).alias("value")) for c in columns]
+    return df.select(*extra, F.inline(F.array(*entries)))
 
 
 def changed_columns(before: DataFrame, after: DataFrame) -> DataFrame:
-    """Columns whose number of distinct values differs between two frames."""
-    a = distinct_counts(before).withColumnRenamed("distinct_values", "distinct_before")
-    b = distinct_counts(after).withColumnRenamed("distinct_values", "distinct_after")
-    return a.join(b, "column").filter(F.col("distinct_before") != F.col("distinct_after"))
+    """Columns of both frames whose number of distinct values differs; each frame is run once, and their values meet in one aggregation."""
+    columns = [c for c in before.columns if c in after.columns]
+    sides = (_cells(df, columns, F.lit(side).alias("side")) for side, df in enumerate((before, after)))
+    values = reduce(DataFrame.unionAll, sides).groupBy("column", "value").agg(F.count_if(F.col("side") == 0).alias("n0"), F.count_if(F.col("side") == 1).alias("n1"))
+    known = F.col("value").isNotNull()
+    counts = values.groupBy("column").agg(F.count_if(known & (F.col("n0") > 0)).alias("distinct_before"), F.count_if(known & (F.col("n1") > 0)).alias("distinct_after"))
+    return counts.filter(F.col("distinct_before") != F.col("distinct_after"))
 
 
 def top_values(df: DataFrame, column: str, k: int = 10) -> DataFrame:
@@ -205,9 +218,10 @@ def box_quantiles(df: DataFrame, value: str, group: str) -> DataFrame:
 
 
 def table_counts(df: DataFrame, trip: str = "TripID", start: str = "StartPort", end: str = "EndPort") -> DataFrame:
-    """Rows, trips and ports of a table."""
-    parts = [(trip, "trips"), (start, "start_ports"), (end, "end_ports")]
-    rows = df.agg(F.lit("rows").alias("what"), F.count("*").alias("n"))
-    for c, label in parts:
-        rows = rows.unionByName(df.select(F.col(c).alias("v")).distinct().agg(F.lit(label).alias("what"), F.count("v").alias("n")))
-    return rows
+    """Rows, trips and ports of a table, in one run of it."""
+    names = {trip: "trips", start: "start_ports", end: "end_ports"}
+    values = _cells(df, list(names)).groupBy("column", "value").agg(F.count("*").alias("rows"))
+    counts = values.groupBy("column").agg(F.sum("rows").alias("rows"), F.count("value").alias("distinct"))
+    whole = counts.agg(F.max("rows").alias("rows"), *[F.max(F.when(F.col("column") == c, F.col("distinct"))).alias(n) for c, n in names.items()])
+    entries = [F.struct(F.lit(n).alias("what"), F.coalesce(F.col(n), F.lit(0).cast("long")).alias("n")) for n in ("rows", *names.values())]
+    return whole.select(F.inline(F.array(*entries)))

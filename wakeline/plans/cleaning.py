@@ -5,14 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import replace
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from wakeline import schema as S
 from wakeline.functions.scalar import row_id
 from wakeline.operators import clean
 from wakeline.operators.layout import Layout
-from wakeline.sources import tables
+from wakeline.sources import tables, versions
 
 ORDER = ("time",)
 _CONTENT = "_content"
@@ -21,7 +20,7 @@ Imputer = Callable[[DataFrame], DataFrame]
 
 def merge_reports(spark: SparkSession, paths: str | Sequence[str], drop: Sequence[str] = S.UNUSED_COLUMNS) -> DataFrame:
     """Stage 1: read all files of a folder (or the listed files), unite by name, drop unused columns, type."""
-    raw = tables.read_report_files(spark, tables.report_files(spark, paths) if isinstance(paths, str) else paths)
+    raw = tables.read_report_files(spark, paths)
     return tables.type_reports(clean.drop_columns(raw, drop))
 
 
@@ -77,25 +76,20 @@ def clean_reports(spark: SparkSession, paths: str | Sequence[str], impute: Imput
 
 def write_cleaned(df: DataFrame, path: str, splits_path: str | None = None) -> None:
     """The cleaned table, and one folder per start port for manual labelling."""
-    tables.write_table(df, path)
+    written = versions.commit(df, path)
     if splits_path:
-        tables.write_port_splits(df.sparkSession.read.parquet(path), splits_path)
+        tables.write_port_splits(written, splits_path)
 
 
 def ingest(spark: SparkSession, paths: str | Sequence[str], out: str, impute: Imputer | None = None) -> DataFrame:
-    """A new delivery replaces the cleaned table."""
+    """A new delivery replaces the cleaned table, once all of it is written: a run that fails half-way leaves the table before it."""
     write_cleaned(clean_reports(spark, paths, impute), out)
-    return spark.read.parquet(out)
+    return versions.read(spark, out)
 
 
 def cleaned_or_built(spark: SparkSession, paths: str | Sequence[str], out: str, impute: Imputer | None = None) -> DataFrame:
     """The cleaned table, built now if it is not there yet."""
-    try:
-        return spark.read.parquet(out)
-    except AnalysisException as missing:
-        if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
-        return ingest(spark, paths, out, impute)
+    return versions.read(spark, out) if versions.current(spark, out) else ingest(spark, paths, out, impute)
 
 
 def with_point_id(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

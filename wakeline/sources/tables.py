@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
-from urllib.parse import unquote
+import csv
+from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from pyspark.sql import types as T
 from wakeline import schema as S
 from wakeline.functions.scalar import iso_text
 from wakeline.operators import clean, trips
+from wakeline.session import stored
 
 _RAW = "_raw"
 _MARK = "\u0001end\u0001"
@@ -20,7 +22,7 @@ _MARK = "\u0001end\u0001"
 def read_reports(spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str] | None = None, pattern: str | None = None) -> DataFrame:
     """Raw position reports as text columns; a path may be a file or a folder of files.
 
-    All files of one call must have the same header (``read_report_files`` takes mixed ones);
+    All files of one call must have the same header (:func:`read_report_files` takes mixed ones);
     ``columns`` skips the look at the first line. Rows with too many fields, blank or not, are skipped, rows with too few
     are padded with nulls, missing-value texts are null.
     """
@@ -41,36 +43,40 @@ def read_reports(spark: SparkSession, paths: str | Sequence[str], columns: Seque
     return kept.select(*[F.when(~F.col(c).isin(*S.NA_TEXTS), F.col(c)).alias(c) for c in names])
 
 
-def report_files(spark: SparkSession, path: str, pattern: str | None = None) -> list[str]:
-    """The files of a folder, by listing only; their contents are not read."""
-    listing = spark.read.format("binaryFile")
-    if pattern:
-        listing = listing.option("pathGlobFilter", pattern)
-    return [r["path"] for r in listing.load(path).filter("length > 0").select("path").orderBy("path").collect()]
-
+def read_report_files(spark: SparkSession, paths: str | Sequence[str], pattern: str | None = None) -> DataFrame:
+    """Files with different headers, united by column name, in one scan; a path may be a file or a folder of files.
 
-def read_report_files(spark: SparkSession, files: Iterable[str]) -> DataFrame:
-    """Files with different headers, united by column name.
-
-    One job finds the first lines of all files. Files of one first line are read as one table, so jobs and plan grow with the
-    number of headers, not of files; the driver holds the paths, as Spark's own listing does. Empty files have no rows.
+    Every file's first line that is not blank is its header, and is found in one job. Only the different headers come to the driver, for the columns of
+    the result; a table of files with the numbers of their headers joins the lines, and one expression parses a line by its header's number. So neither
+    jobs nor plan grow with files. Lines with too many fields are skipped, lines with too few are padded with nulls, as are columns that a file does not
+    have; missing-value texts are null; lines like their file's header are no rows. Empty files have no rows.
+    """
+    reader = spark.read.option("pathGlobFilter", pattern) if pattern else spark.read
+    text = reader.text([paths] if isinstance(paths, str) else list(paths))
+    lines = text.select(F.col("value").alias(_RAW), F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start")).filter(F.trim(_RAW) != "")
+    first = lines.filter("_start = 0").withColumn("_at", F.monotonically_increasing_id()).groupBy("_file").agg(F.min_by(_RAW, "_at").alias("_header"))
+    found = stored(first, "headers")
+    headers = [r["_header"] for r in found.groupBy("_header").agg(F.min("_file").alias("f")).orderBy("f").toLocalIterator()]
+    names = [next(csv.reader([h.removeprefix("\ufeff")])) for h in headers]
+    columns = list(dict.fromkeys(c for n in names for c in n))
+    if not columns:
+        return spark.createDataFrame([], T.StructType([]))
+    number = reduce(lambda rest, i: F.when(F.col("_header") == headers[i], i).otherwise(rest), range(len(headers)), F.lit(None).cast("int"))
+    numbered = lines.join(found.select("_file", "_header", number.alias("_kind")), "_file").filter(F.col(_RAW) != F.col("_header"))
+    row = reduce(lambda rest, i: F.when(F.col("_kind") == i, _parsed(names[i], columns)).otherwise(rest), range(len(names)), F.lit(None))
+    return numbered.select(row.alias("_row")).filter("_row IS NOT NULL").select("_row.*")
+
+
+def _parsed(names: Sequence[str], columns: Sequence[str]) -> Column:
+    """A line as a struct of all ``columns``, by the header ``names``; null if it has too many fields.
+
+    A mark is written behind the line: it is the last field of a whole line, an earlier one of a short line, and beyond the fields of a long one.
     """
-    files = list(files)
-    groups: dict[str, list[str]] = {}
-    for row in _first_lines(spark, files).toLocalIterator():
-        groups.setdefault(row["header"], []).append(unquote(row["file"]))
-    if not groups:
-        return read_reports(spark, files)
-    names = [spark.read.option("header", True).csv(group[0]).columns for group in groups.values()]
-    first, *others = [read_reports(spark, group, columns=header) for header, group in zip(names, groups.values())]
-    return trips.union_frames(first, *others)
-
-
-def _first_lines(spark: SparkSession, files: Sequence[str]) -> DataFrame:
-    """``file, header`` in the order of the paths: each file's first line that is not blank, taken from its first block."""
-    lines = spark.read.text(list(files)).select("value", "_metadata.file_path", "_metadata.file_block_start")
-    lines = lines.filter((F.col("file_block_start") == 0) & (F.trim("value") != "")).withColumn("_at", F.monotonically_increasing_id())
-    return lines.groupBy(F.col("file_path").alias("file")).agg(F.min_by("value", "_at").alias("header")).orderBy("file")
+    fields = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names) + 1)]).simpleString()
+    cells = F.from_csv(F.concat(F.col(_RAW), F.lit("," + _MARK)), fields, {"escape": '"'})
+    place = {c: cells[f"c{i}"] for i, c in enumerate(names)}
+    row = F.struct(*[(F.when(~place[c].isin(*S.NA_TEXTS, _MARK), place[c]) if c in place else F.lit(None).cast("string")).alias(c) for c in columns])
+    return F.when(F.array_contains(F.array(*(cells[f"c{i}"] for i in range(len(names) + 1))), _MARK), row)
 
 
 def type_reports(raw: DataFrame) -> DataFrame:
