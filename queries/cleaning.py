@@ -233,12 +233,13 @@ def p8(spark, sf):
 
 @query(
     "p9_fill",
-    """SELECT ID, coalesce(shiptype, 0) AS shiptype, coalesce(Length, 0) AS Length, coalesce(Draught, 0) AS Draught,
-       coalesce(Latitude, 0) AS Latitude, coalesce(Destination, 'null') AS Destination FROM raw""",
+    """SELECT ID, CASE WHEN ID % 7 > 0 THEN TripID END AS TripID, CASE WHEN ID % 5 > 0 THEN StartPort END AS StartPort, coalesce(shiptype, 0) AS shiptype, coalesce(Length, 0) AS Length,
+       coalesce(Draught, 0) AS Draught, coalesce(Latitude, 0) AS Latitude, coalesce(Destination, 'null') AS Destination FROM raw""",
 )
 def p9(spark, sf):
-    raw = fx.raw(spark, sf).select("ID", "shiptype", "Length", "Draught", "Latitude", "Destination")
-    return clean.fill_remaining(raw)
+    """Rows without a trip or a start port keep these keys missing."""
+    raw = fx.raw(spark, sf).withColumns({"TripID": F.when(F.col("ID") % 7 > 0, F.col("TripID")), "StartPort": F.when(F.col("ID") % 5 > 0, F.col("StartPort"))})
+    return clean.fill_remaining(raw.select("ID", "TripID", "StartPort", "shiptype", "Length", "Draught", "Latitude", "Destination"))
 
 
 @query(
@@ -369,13 +370,16 @@ def j7(spark, sf):
 
 @query(
     "f6_port_problems",
-    f"{TARGETS} SELECT {code_sql('target')} AS code, count(*) AS points, CAST(NULL AS VARCHAR) AS problem FROM targets WHERE {code_sql('target')} IS NOT NULL GROUP BY 1",
+    f"""{TARGETS} SELECT {code_sql('target')} AS code, count(*) AS points, CAST(NULL AS VARCHAR) AS problem FROM targets WHERE {code_sql('target')} IS NOT NULL GROUP BY 1
+    UNION ALL SELECT '.NOC', 0, 'no country' UNION ALL SELECT 'XX.BARE', 0, 'no names'""",
 )
 def f6(spark, sf):
+    """The dictionary with two rows that break its rules: a port without a country, and one without names."""
     targets = clean.clean_destinations(fx.raw(spark, sf).select("Destination"))
     coded = targets.select(text.port_code(F.col("Destination")).alias("code")).filter("code IS NOT NULL")
-    problems = text.port_violations(text.port_table(spark)).select(F.concat_ws(".", "country", "port").alias("code"), "problem")
-    return coded.groupBy("code").agg(F.count("*").alias("points")).join(F.broadcast(problems), "code", "left")  # the fixed dictionary
+    broken = [*text.port_rows(), (900, "", "NOC", "NOC"), (901, "", "NOC", "NO COUNTRY"), (902, "XX", "BARE", "BARE")]
+    problems = text.port_violations(text.port_table(spark, broken)).select(F.concat_ws(".", "country", "port").alias("code"), "problem")
+    return coded.groupBy("code").agg(F.count("*").alias("points")).join(problems, "code", "full").fillna(0, ["points"])
 
 
 @query(
@@ -734,6 +738,30 @@ def b5(spark, sf):
     )
 
 
+# A dictionary from the parts, each name once at a place where it counts or does not count in an order's text.
+DICTIONARY = """SELECT CAST(p_partkey * 7919 % 100003 AS INT) AS priority, substr('DEPLSEDKFI', CAST(2 * (p_partkey % 5) + 1 AS INT), 2) AS country,
+    concat('P', CAST(p_partkey % 700 AS VARCHAR(9))) AS port, concat('N', CAST(p_partkey % 900 AS VARCHAR(9)), 'Q') AS name FROM part"""
+TEXTS = """SELECT o_orderkey, concat(CASE o_orderkey % 6 WHEN 0 THEN '' WHEN 1 THEN 'X.' WHEN 2 THEN 'XPL' WHEN 3 THEN 'X' WHEN 4 THEN 'YDE' ELSE 'Z' END,
+      concat('N', CAST(o_custkey % 1000 AS VARCHAR(9)), 'Q'),
+      CASE o_orderkey % 5 WHEN 0 THEN '' WHEN 1 THEN '.X' WHEN 2 THEN 'SEX' WHEN 3 THEN 'X' ELSE concat('N', CAST(o_orderkey % 800 AS VARCHAR(9)), 'Q') END) AS t FROM orders"""
+
+
+@query(
+    "j7_dictionary_table",
+    f"""WITH names AS ({DICTIONARY}), texts AS ({TEXTS}),
+    hits AS (
+      SELECT o_orderkey, t, n.* FROM (SELECT *, unnest(regexp_extract_all(t, 'N[0-9]+Q')) AS found FROM texts) f JOIN names n ON n.name = f.found
+      WHERE starts_with(t, name) OR ends_with(t, name) OR contains(t, '.' || name) OR contains(t, name || '.') OR contains(t, country || name) OR contains(t, name || country)
+    ), best AS (SELECT o_orderkey, arg_min(country || '.' || port, (priority, country, port, name)) AS code FROM hits GROUP BY o_orderkey)
+    SELECT t.o_orderkey, t.t, b.code FROM texts t LEFT JOIN best b USING (o_orderkey)""",
+)
+def j7_table(spark, sf):
+    parts, orders = fx.table(spark, sf, "part"), fx.table(spark, sf, "orders")
+    names = spark.sql(DICTIONARY.replace("FROM part", "FROM {part}").replace("VARCHAR(9)", "STRING"), part=parts)
+    texts = spark.sql(TEXTS.replace("FROM orders", "FROM {orders}").replace("VARCHAR(9)", "STRING"), orders=orders)
+    return text.port_codes(texts, "t", names, "code").select("o_orderkey", "t", "code")
+
+
 # ---------------------------------------------------------------- regression fills
 
 

@@ -15,6 +15,7 @@ from wakeline.operators import features as ft
 from wakeline.operators import labels as lb
 from wakeline.operators import profile, sequences, split, trips
 from wakeline.operators.layout import detect, join_values
+from wakeline.operators.zones import zone_labels
 from wakeline.operators.scan import group_percentiles, position, previous, running_sum, scan
 from wakeline.plans import features as plan
 
@@ -82,6 +83,23 @@ def f7(spark, sf):
     return rounded(fx.traj(spark, sf).select("point_id", d.alias("km")))
 
 
+ZONE_ROWS = """SELECT latitude + 0.0004 * (point_id % 250) AS lat_max, latitude - 0.0002 * (point_id % 190) AS lat_min,
+    longitude + 0.0005 * (point_id % 310) AS lon_max, longitude - 0.0003 * (point_id % 170) AS lon_min FROM {traj} WHERE point_id % 3 = 0"""
+
+
+@query(
+    "j5_zone_table",
+    f"""WITH zones AS ({ZONE_ROWS.format(traj='traj')}), moved AS (SELECT point_id, latitude + 0.003 AS lat, longitude - 0.002 AS lon FROM traj)
+    SELECT point_id, CASE WHEN EXISTS (SELECT 1 FROM zones WHERE lat BETWEEN lat_min AND lat_max AND lon BETWEEN lon_min AND lon_max) THEN 0 ELSE 1 END AS zone FROM moved""",
+)
+def j5_table(spark, sf):
+    """A third of the points have a rectangle of their own, from a point to some twentieths of a degree."""
+    points = fx.traj(spark, sf)
+    zones = spark.sql(ZONE_ROWS.format(traj="{traj}"), traj=points)
+    moved = points.select("point_id", (F.col("latitude") + 0.003).alias("lat"), (F.col("longitude") - 0.002).alias("lon"))
+    return zone_labels(moved, zones, "lat", "lon").select("point_id", "zone")
+
+
 @query("f8_zone", f"SELECT point_id, CASE WHEN {IN_ZONE} THEN 0 ELSE 1 END AS zone FROM traj")
 def f8(spark, sf):
     return fx.traj(spark, sf).select("point_id", geo.zone_label(F.col("latitude"), F.col("longitude")).alias("zone"))
@@ -345,18 +363,18 @@ def w11(spark, sf):
     return windows.groupBy("start_port", "label").agg(F.count("*").alias("windows"))
 
 
-PADDED = f"""{SEQ}, padded AS (SELECT trip_id, list(speed_over_ground ORDER BY pos) AS v, max(n) AS n FROM placed GROUP BY trip_id HAVING max(n) < 70)"""
+PADDED = f"""{SEQ}, padded AS (SELECT trip_id, list(speed_over_ground ORDER BY pos) AS v, max(n) AS n FROM placed GROUP BY trip_id),
+  long AS (SELECT *, unnest(range(0, greatest(n - 70, 0) + 1, 7)) AS s FROM padded)"""
 
 
 @query(
     "w12_padding",
-    f"WITH {PADDED} SELECT trip_id, round(list_sum(list_resize(v, 70, v[len(v)])), 4) AS padded_sum, CAST(70 AS INT) AS size FROM padded",
+    f"WITH {PADDED} SELECT trip_id, CAST(s AS INT) AS start_pos, round(list_sum(list_resize(v[s + 1:s + 70], 70, v[len(v)])), 4) AS padded_sum, CAST(70 AS INT) AS size FROM long",
 )
 def w12(spark, sf):
-    placed = _placed(spark, sf).filter(F.col("n_points") < 70)
-    windows = sequences.build_windows(placed, ["speed_over_ground"], length=70, inclusive=True, pad_short=True)
+    windows = sequences.build_windows(_placed(spark, sf), ["speed_over_ground"], length=70, inclusive=True, pad_short=True)
     sums = F.aggregate("features", F.lit(0.0), lambda a, x: a + x[0])
-    return rounded(windows.select("trip_id", sums.alias("padded_sum"), F.size("features").alias("size")), 4)
+    return rounded(windows.select("trip_id", "start_pos", sums.alias("padded_sum"), F.size("features").alias("size")), 4)
 
 
 @_both(
@@ -570,15 +588,15 @@ def l4(spark, sf):
 @query(
     "f15_percentile_grid",
     f"""WITH {EVALS}, grid AS (SELECT CAST(i AS INT) AS i, 60 + i * (CAST(39.9 AS DOUBLE) / 79) AS percent FROM range(0, 80) g(i)),
-    stats AS (SELECT start_port, quantile_cont(score, [0.6::DOUBLE, 0.999::DOUBLE]) AS q FROM evals GROUP BY start_port)
-    SELECT start_port, i AS tau_index, round(percent, 6) AS percent, round(q[1], 6) AS first_tau, round(q[2], 6) AS last_tau FROM grid, stats""",
+    stats AS (SELECT start_port, quantile_cont(score, [{', '.join(f'{(60 + i * 39.9 / 79) / 100!r}::DOUBLE' for i in range(80))}]) AS q FROM evals GROUP BY start_port)
+    SELECT start_port, i AS tau_index, round(percent, 6) AS percent, round(q[i + 1], 6) AS tau FROM grid, stats""",
 )
 def f15(spark, sf):
     percents = scalar.even_grid(60, 99.9, 80)
     names = [f"t{i}" for i in range(80)]
     grid = group_percentiles(_evals(spark, sf), ["start_port"], "score", [p / 100 for p in percents], names)
-    each = F.posexplode(F.array(*[F.lit(p) for p in percents])).alias("tau_index", "percent")
-    return rounded(grid.select("start_port", each, F.col("t0").alias("first_tau"), F.col("t79").alias("last_tau")))
+    entries = F.array(*[F.struct(F.lit(i).alias("tau_index"), F.lit(p).alias("percent"), F.col(n).alias("tau")) for i, (p, n) in enumerate(zip(percents, names, strict=True))])
+    return rounded(grid.select("start_port", F.inline(entries)))
 
 
 @_both(

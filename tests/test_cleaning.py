@@ -87,6 +87,26 @@ def test_port_dictionary(spark):
     assert {(r["port"], r["problem"]) for r in text.port_violations(broken).collect()} == {("AAA", "no country"), ("BBB", "no names")}
 
 
+def test_a_dictionary_table_names_ports_like_the_expression(spark):
+    rnd = random.Random(9)
+    rows = text.port_rows()
+    names = [n for *_, n in rows] + ["X", "DE", "PL", "OLD", "SE"]
+    texts = [rnd.choice(["", ".", "DE", "PL."]).join(rnd.choice(names) for _ in range(rnd.randrange(1, 4))) + rnd.choice(["", ".", "LT", "Q"]) for _ in range(600)] + ["", " ", None, "."]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for at_once in (100_000, 10):
+        both = text.port_codes(df, "t", text.port_table(spark), at_once=at_once).withColumn("chain", text.port_code(F.col("t")))
+        assert [tuple(r) for r in both.where("NOT code <=> chain").collect()] == [] and both.where("code IS NOT NULL").count() > 300
+    assert text.port_codes(df, "t", text.port_table(spark).limit(0)).where("code IS NULL").count() == len(texts)
+
+
+def test_a_long_dictionary_is_one_pass(spark):
+    ports = spark.range(50_000).select(F.col("id").cast("int").alias("priority"), F.lit("DE").alias("country"), F.concat(F.lit("P"), "id").alias("port"), F.concat(F.lit("NAME"), "id", F.lit("X")).alias("name"))
+    df = spark.range(500).select(F.concat(F.lit("Z.NAME"), (F.col("id") * 97).cast("string"), F.when(F.col("id") % 2 == 0, "X").otherwise("Y")).alias("t"), "id")
+    got = text.port_codes(df, "t", ports)
+    assert {r["id"]: r["code"] for r in got.collect()} == {i: f"DE.P{i * 97}" if i % 2 == 0 else None for i in range(500)}
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_csv_rows_and_missing_texts(spark, tmp_path):
     (tmp_path / "a.csv").write_text('TripID,time,Destination,SOG,shiptype\n1,2024-01-01 00:00:00,"KIEL, PORT",3.5,70\n1,2024-01-01 00:01:00,?,NaN,\n2,2024-01-01 00:02:00\n3,x,a,1,70,9,9\n')
     rows = tables.type_reports(tables.read_reports(spark, str(tmp_path))).orderBy("time").collect()

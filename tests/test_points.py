@@ -7,7 +7,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from wakeline.functions import geo
 from wakeline.functions.scalar import even_grid
+from wakeline.operators import zones as zones_of
 from wakeline.operators import evaluate as ev
 from wakeline.operators import features as ft
 from wakeline.operators import labels as lb
@@ -182,3 +184,27 @@ def test_metrics_of_empty_classes(spark):
 def test_first_best_takes_the_first_of_equals(spark):
     df = spark.createDataFrame([(0, 0.5), (1, 0.9), (2, 0.9)], "cell int, f1 double")
     assert ev.first_best(df, "f1", "cell").first()["cell"] == 1
+
+
+def test_zone_table_against_all_pairs(spark):
+    rnd = random.Random(8)
+    zones = [(a + h, a, b + w, b) for a, b, h, w in ((rnd.uniform(-80, 80), rnd.uniform(-170, 170), rnd.choice([0, 0.001, 0.3, 5]), rnd.choice([0, 0.02, 1, 40])) for _ in range(3000))]
+    zones += [(1.0, 2.0, 3.0, 0.0), (None, 0.0, 1.0, 0.0), zones[0], (90.0, -90.0, -179.0, -180.0)]
+    corners = [(z[rnd.randrange(2)], z[2 + rnd.randrange(2)]) for z in zones[:200]]
+    spots = corners + [(rnd.uniform(-85, 85), rnd.uniform(-175, 175)) for _ in range(300)] + [(None, 1.0), (0.5, None), (0.5, -179.5)]
+    spots += spots[:5]
+    table = spark.createDataFrame(zones, "lat_max double, lat_min double, lon_max double, lon_min double")
+    points = spark.createDataFrame([(i, *s, 7) for i, s in enumerate(spots)], "i int, latitude double, longitude double, level int")
+    inside = lambda s: None not in s and any(z[0] is not None and z[1] <= s[0] <= z[0] and z[3] <= s[1] <= z[2] for z in zones)
+    got = zones_of.zone_labels(points, table)
+    assert got.columns == ["i", "latitude", "longitude", "level", "zone"]
+    assert {r["i"]: r["zone"] for r in got.collect()} == {i: 0 if inside(s) else 1 for i, s in enumerate(spots)}
+    assert zones_of.zone_labels(points, table.limit(0)).where("zone = 1").count() == len(spots)
+
+
+def test_zone_table_without_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(zones_of, "BROADCAST_RECTANGLES", 0)
+    fixed = spark.createDataFrame([tuple(map(float, z)) for z in geo.ZONES], "lat_max double, lat_min double, lon_max double, lon_min double")
+    points = spark.createDataFrame([(53 + i % 40 / 20, 8 + i % 113 / 10) for i in range(900)], "latitude double, longitude double")
+    both = zones_of.zone_labels(points, fixed).withColumn("chain", geo.zone_label(F.col("latitude"), F.col("longitude")))
+    assert both.where("zone <> chain").isEmpty() and both.where("zone = 0").count() > 0 and both.count() == 900

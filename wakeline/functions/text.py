@@ -6,9 +6,12 @@ import re
 from collections.abc import Sequence
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wakeline.session import stored
+
 # Country -> port -> names, in match order (the port code itself matches first).
 PORTS = {
     "DE": {
@@ -104,6 +107,66 @@ def port_code(text: Column, rows: PortRows | None = None, keep_unmatched: bool =
     return F.coalesce(matched, text) if keep_unmatched else matched
 
 
+#: Names whose automaton may be broadcast in one block: some 300 bytes each in a task.
+NAMES_AT_ONCE = 100_000
+
+
+def port_codes(df: DataFrame, column: str, ports: DataFrame, out: str = "code", at_once: int = NAMES_AT_ONCE) -> DataFrame:
+    """``out``: ``CC.PORT`` of the dictionary row with the smallest priority whose name stands at an end of the text, next to a dot or next to
+    its country's code; null if there is none. As :func:`port_code`, for a dictionary table (``priority, country, port, name``) of any length.
+
+    One map-side pass over the texts for each block of ``at_once`` names, in the order of their priorities: a task finds all names of a block
+    in a text with one automaton, in time linear in the text and its hits. Texts are not shuffled. Empty names, and names without a country or a port, name nothing.
+    """
+    usable = ports.where("name <> '' AND country IS NOT NULL AND port IS NOT NULL").groupBy("country", "port", "name").agg(F.min("priority").alias("priority"))
+    ranked = stored(usable, "names").orderBy("priority", "country", "port", "name")
+    blocks, rows = [], []
+    for r in ranked.select("country", "port", "name").toLocalIterator():  # one block at a time
+        rows.append(tuple(r))
+        if len(rows) == at_once:
+            blocks.append(_finder(df.sparkSession, rows)(F.col(column)))
+            rows = []
+    if rows:
+        blocks.append(_finder(df.sparkSession, rows)(F.col(column)))
+    return df.withColumn(out, F.coalesce(*blocks) if blocks else F.lit(None).cast("string"))
+
+
+def _finder(spark: SparkSession, rows: list[tuple[str, str, str]]):
+    """A vectorised function from texts to the code of the first of ``rows`` that each names."""
+    shared = spark.sparkContext.broadcast(rows)
+    state: dict = {}
+
+    def find(texts: pd.Series) -> pd.Series:
+        if not state:  # once in a Python worker
+            import ahocorasick
+
+            places: dict[str, list[int]] = {}
+            for at, (_, _, name) in enumerate(shared.value):
+                places.setdefault(name, []).append(at)
+            state["automaton"] = ahocorasick.Automaton()
+            for name, of_name in places.items():
+                state["automaton"].add_word(name, (len(name), of_name))
+            state["automaton"].make_automaton()
+        return texts.map(lambda text: _first_named(text, state["automaton"], shared.value), na_action="ignore")
+
+    return F.pandas_udf(find, "string")
+
+
+def _first_named(text: str, automaton, rows: list[tuple[str, str, str]]) -> str | None:
+    best = len(rows)
+    for last, (length, places) in automaton.iter(text):
+        start, end = last + 1 - length, last + 1
+        at_end = start == 0 or text[start - 1] == "." or end == len(text) or text[end] == "."
+        for at in places:  # ascending
+            if at >= best:
+                break
+            country = rows[at][0]
+            if at_end or text.endswith(country, 0, start) or text.startswith(country, end):
+                best = at
+                break
+    return f"{rows[best][0]}.{rows[best][1]}" if best < len(rows) and text.strip() else None
+
+
 def port_listing(ports: DataFrame) -> DataFrame:
     """Every name with its code; a name listed twice takes the later code."""
     code = F.concat_ws(".", "country", "port")

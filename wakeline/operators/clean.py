@@ -101,9 +101,11 @@ def fill_course(df: DataFrame) -> DataFrame:
     return df.fillna({"COG": 0.0})
 
 
-def fill_remaining(df: DataFrame) -> DataFrame:
-    """Numbers left null become 0, texts become ``'null'``; times and flags keep their nulls."""
-    return df.fillna(0).fillna("null")
+def fill_remaining(df: DataFrame, keys: Sequence[str] = ("TripID", "StartPort")) -> DataFrame:
+    """Numbers left null become 0, texts become ``'null'``; times, flags and ``keys`` keep their nulls: a row without a trip or a route
+    belongs to none, and is not gathered with others into one."""
+    filled = [c for c in df.columns if c not in keys]
+    return df.fillna(0, filled).fillna("null", filled)
 
 
 def rename_columns(df: DataFrame) -> DataFrame:
