@@ -21,13 +21,13 @@ from wakeline.llm.common import whole_text
 
 SPACE = "▁"
 """Stands for a space in the pieces."""
-WORDS_KEPT, PAIRS_KEPT = 1 << 18, 1 << 20
+WORDS_KEPT, PAIRS_KEPT = 1 << 17, 1 << 19
 """Encoded words (twice as many at most, the latest), and tested pairs of tokens, that a Python worker remembers; what is forgotten is found anew."""
 LONGEST = 64
 """Bytes of the longest word that is encoded together with others, and remembered."""
 TOGETHER = 1 << 15
 """Words encoded side by side."""
-BLOCK = 1 << 21
+BLOCK = 1 << 22
 """Bytes of texts that are split into words together; a longer text is split alone."""
 
 
@@ -49,11 +49,9 @@ class Pieces:
         self.before, self.stranger = len(self.texts), len(self.texts) + 1
         self.lengths = np.array([*(len(_raw(t)) for t in self.texts), 0, 1], dtype=np.int64)
         self._byte_id = np.array([self.bytes[b] for b in range(256)], dtype=np.int64)
-        self.spines = {i: s for t, i in self.ids.items() if (s := _spines(self._merge(t))) is not None}
-        self._automaton = self._matcher()
         self._pairs, self._good = np.empty(0, dtype=np.int64), np.empty(0, dtype=bool)
-        self._recent: dict[bytes, list[int]] = {}
-        self._older: dict[bytes, list[int]] = {}
+        self._recent: dict[bytes, bytes] = {}
+        self._older: dict[bytes, bytes] = {}
 
     def _check(self, model) -> None:
         """Only models are read that do not normalise, put a space before the text, and whose pieces hold a space at their start only."""
@@ -105,7 +103,13 @@ class Pieces:
             at = np.searchsorted(self._pairs, pairs)
         return self._good[at]
 
-    def _matcher(self):
+    @functools.cached_property
+    def spines(self) -> dict[int, tuple]:
+        """Of every piece that its own text is encoded to, what stands first and last in it while it is merged. Only encoding needs them."""
+        return {i: s for t, i in self.ids.items() if (s := _spines(self._merge(t))) is not None}
+
+    @functools.cached_property
+    def _automaton(self):
         """An automaton, over bytes, of the pieces that a text of theirs is encoded to."""
         import ahocorasick
 
@@ -115,18 +119,20 @@ class Pieces:
         automaton.make_automaton()
         return automaton
 
-    def encode_words(self, words: list[bytes]) -> list[list[int]]:
-        """The ids of words, found side by side: the tables of last tokens lie one after the other, a gap before each."""
+    def encode_words(self, words: list[bytes]) -> list[bytes]:
+        """The ids of words (the bytes of 32-bit numbers), found side by side: the tables of last tokens lie one after the other, a gap before each."""
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         first = np.cumsum(sizes + 1) - sizes
         data = b"\0" + b"\0".join(words)
-        found = np.fromiter(itertools.chain.from_iterable(self._automaton.iter(data.decode("latin-1"))), np.int64).reshape(-1, 2)
-        end, piece = found[:, 0], found[:, 1]  # by end, longest first
-        rank = np.arange(len(end)) - np.searchsorted(end, end)
+        found = np.fromiter(self._automaton.iter(data.decode("latin-1")), np.dtype("i4,i4"))
+        end, piece = found["f0"], found["f1"]  # by end, longest first
+        place = np.arange(len(end), dtype=np.int32)
+        rank = place - np.maximum.accumulate(np.where(np.r_[True, end[1:] != end[:-1]][: len(end)], place, 0))
         width = int(rank.max(initial=0)) + 1
-        step = (end - first[np.searchsorted(first, end, side="right") - 1]) * width + rank
-        order = np.argsort(step, kind="stable")
-        end, piece, step = end[order], piece[order], step[order]
+        within = np.arange(len(data), dtype=np.int32) - np.repeat(first, sizes + 1).astype(np.int32)  # a word's own places; its gap has -1
+        step = within[end] * width + rank
+        order = np.argsort(step.astype(np.int16 if LONGEST * width < 1 << 15 else np.int32), kind="stable")
+        end, piece, step = end[order], piece[order].astype(np.int64), step[order]
         reach = end - self.lengths[piece]
         last = np.full(len(data), -1, dtype=np.int64)
         last[first - 1] = self.before
@@ -143,7 +149,7 @@ class Pieces:
                 last[here[last[here] < 0]] = self.stranger
         return self._read_back(np.frombuffer(data, dtype=np.uint8), last, first, sizes)
 
-    def _read_back(self, data: np.ndarray, last: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> list[list[int]]:
+    def _read_back(self, data: np.ndarray, last: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> list[bytes]:
         """Ids from the tables of last tokens, backwards, for all words at once."""
         at, owner = first + sizes - 1, np.arange(len(first))
         ids, owners = [np.empty(0, dtype=np.int64)], [owner[:0]]
@@ -157,8 +163,8 @@ class Pieces:
             owners.append(owner)
             at = at - self.lengths[code]
         owner = np.concatenate(owners[::-1])
-        flat = np.concatenate(ids[::-1])[np.argsort(owner, kind="stable")].tolist()
-        ends = np.cumsum(np.bincount(owner, minlength=len(first))).tolist()
+        flat = np.concatenate(ids[::-1])[np.argsort(owner.astype(np.uint16 if len(first) < 1 << 16 else np.int64), kind="stable")].astype(np.int32).tobytes()
+        ends = (4 * np.cumsum(np.bincount(owner, minlength=len(first)))).tolist()
         return [flat[low:high] for low, high in itertools.pairwise([0, *ends])]
 
     def encode_long(self, word: bytes) -> list[int]:
@@ -198,14 +204,14 @@ class Pieces:
             parts.append(np.fromiter(map(number.__getitem__, words), np.int64, len(words)))
             borders.append(borders[-1] + len(words))
         found = self._ids_of(list(number))
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter(itertools.chain.from_iterable(found), np.int32, int(sizes.sum()))
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        flat = np.frombuffer(b"".join(found), dtype=np.int32)
         words = np.concatenate(parts)
         ends = np.r_[0, np.cumsum(sizes[words])]
         shift = (np.cumsum(sizes) - sizes)[words] - ends[:-1]
         return flat[np.arange(ends[-1]) + np.repeat(shift, sizes[words])], ends[borders]
 
-    def _ids_of(self, words: list[bytes]) -> list[list[int]]:
+    def _ids_of(self, words: list[bytes]) -> list[bytes]:
         """The ids of distinct words. Those that are not remembered are encoded together."""
         if len(self._recent) > WORDS_KEPT:
             self._recent, self._older = {}, self._recent
@@ -215,7 +221,7 @@ class Pieces:
                 if w in older:
                     known[w] = older[w]
                 elif len(w) > LONGEST:
-                    long[w] = self.encode_long(w)
+                    long[w] = np.array(self.encode_long(w), dtype=np.int32).tobytes()
                 else:
                     new.append(w)
         for at in range(0, len(new), TOGETHER):
@@ -289,13 +295,15 @@ def load(path: str) -> Pieces:
     return Pieces(path)
 
 
-def encode(docs: DataFrame, path: str) -> DataFrame:
+def encode(docs: DataFrame, path: str, decoded: bool = False) -> DataFrame:
     """``doc_id, ids`` of every row: the ids of its whole text by the model file ``path`` (on every executor), none added at either end.
+    With ``decoded`` also ``text``, decoded from the ids in the same pass as :func:`decode` does.
 
     Null and empty texts have no ids (an empty list); a null doc_id stays null; repeated rows are returned as often as they come; no
     rows give no rows. Other columns are not read. Rows are independent, nothing is shuffled; a text without spaces is one word, encoded
     in time linear in its length.
     """
+    names = ["doc_id", "ids", "text"] if decoded else ["doc_id", "ids"]
 
     def run(batches):
         pieces = load(path)
@@ -306,11 +314,14 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
                 room += len(texts[-1])
                 if room >= BLOCK or i + 1 == batch.num_rows:
                     ids, borders = pieces.encode(texts)
-                    lists = pa.ListArray.from_arrays(pa.array(borders, pa.int32()), pa.array(ids, pa.int32()))
-                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(i + 1 - len(texts), len(texts)), lists], ["doc_id", "ids"])
+                    columns = [batch.column(0).slice(i + 1 - len(texts), len(texts)), pa.ListArray.from_arrays(pa.array(borders, pa.int32()), pa.array(ids, pa.int32()))]
+                    if decoded:
+                        columns.append(pa.array([pieces.decode(ids[a:b]) for a, b in itertools.pairwise(borders.tolist())], pa.string()))
+                    yield pa.RecordBatch.from_arrays(columns, names)
                     texts, room = [], 0
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text(F.col("text")).cast("binary").alias("data")).mapInArrow(run, "doc_id long, ids array<int>")
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text(F.col("text")).cast("binary").alias("data"))
+    return source.mapInArrow(run, "doc_id long, ids array<int>" + (", text string" if decoded else ""))
 
 
 def decode(rows: DataFrame, path: str) -> DataFrame:

@@ -91,8 +91,7 @@ def op12_piece_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path = public_tokenizers.path("piece_bpe_32k.model")
-    coded = pieces.decode(pieces.encode(table(spark, sf_dir, "documents"), path), path)
-    return coded.select(
+    return pieces.encode(table(spark, sf_dir, "documents"), path, decoded=True).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
         F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
