@@ -25,7 +25,7 @@ WORDS, LEAST, TOP = 3, 10, 2000
 """Words of the longest phrase, occurrences of the rarest, phrases reported a language."""
 INSIDE = 50
 """A phrase goes if a longer one around it has this percentage of its occurrences."""
-PIECE = 1 << 23
+PIECE = 1 << 22
 """Bytes of texts whose suffixes are sorted together."""
 UNKNOWN = "und"
 
@@ -247,8 +247,8 @@ def collocations(docs: DataFrame, words: int = WORDS, least: int = LEAST, inside
     covered = _inner(candidates, words).groupBy("lang", "phrase").agg(F.max("a").alias("around"))
     free = best.join(covered, ["lang", "phrase"], "left").where(F.col("around").isNull() | (100 * F.col("around") < inside * F.col("a")))
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
-    ranked = free.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= top)
-    return ranked.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+    ranked = free.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)  # each task sends its own best only
+    return ranked.join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
 
 
 def _lowest_cut(candidates: DataFrame, counts: DataFrame) -> DataFrame:
