@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import random
 import re
+import time
 import zlib
 from collections import Counter
 from fractions import Fraction
@@ -13,7 +14,7 @@ import public_tokenizers
 import pytest
 import sentencepiece
 
-from wakeline.llm import phrases, pieces, queries, runs
+from wakeline.llm import phrases, pieces, queries, runs, secret_scan
 
 SF = "/root/testdata/sf0.001"
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -195,6 +196,8 @@ def test_pieces_of_odd_rows(spark, library):
     assert sorted(map(repr, (tuple(r) for r in coded.collect()))) == sorted(repr((r[0], library.encode(r[1] or ""))) for r in rows)
     back = pieces.decode(coded, MODEL)
     assert sorted(map(repr, ((r.doc_id, r.text) for r in back.collect()))) == sorted(repr((r[0], (r[1] or "").replace("▁", " "))) for r in rows)
+    both = pieces.encode(table(spark, rows), MODEL, decoded=True)
+    assert sorted(map(repr, (tuple(r) for r in both.collect()))) == sorted(map(repr, (tuple(r) for r in back.collect())))
     assert pieces.decode(spark.createDataFrame([(1, None), (2, [])], "doc_id long, ids array<int>"), MODEL).orderBy("doc_id").collect()[0].text is None
     empty = pieces.encode(spark.createDataFrame([], COLUMNS), MODEL)
     assert empty.collect() == [] and pieces.decode(empty, MODEL).collect() == []
@@ -285,3 +288,43 @@ def test_phrases_of_a_hot_language_and_hot_pair(spark):
     rows = [(i, " ".join(f"of the w{rng.randrange(30)} x{rng.randrange(300)}" for _ in range(20)), "en", "a", 1) for i in range(200)]
     got = [tuple(r) for r in phrases.collocations(table(spark, rows).repartition(9)).orderBy("lang", "rank").collect()]
     assert got == brute_collocations(rows)
+
+
+# ---------------------------------------------------------------- secret scans in linear time
+
+
+def quick(call):
+    started = time.perf_counter()
+    out = call()
+    assert time.perf_counter() - started < 10  # quadratic search takes hours
+    return out
+
+
+def test_lexing_is_linear():
+    assert quick(lambda: secret_scan.spans("x=1 " + "g" * 1_000_000)) == ([], [])
+    assert quick(lambda: secret_scan.spans("a.b-" * 250_000 + " : ")) == ([], [])
+    assert quick(lambda: secret_scan.spans('k = "v"' + " " * 300_000 + "x")) == ([], [])
+    chain = "\n".join(f"c{i} = c{i + 1}" for i in range(50_000)) + '\nc50000 = "Zx81-kkQ9-pl0w"\npassword = c0\n'
+    (_, found) = quick(lambda: secret_scan.spans(chain))
+    assert [chain[s:e] for s, _, e in found] == ["Zx81-kkQ9-pl0w"]
+    many = "".join(f'api_key = "Ab{i:08d}cdEF"\nthe_passphrase = "Qw{i:06d}-zxcV"\n' for i in range(10_000))
+    base, every = quick(lambda: secret_scan.spans(many))
+    assert len(base) == 10_000 and len(every) == 20_000
+
+
+@pytest.mark.parametrize(
+    "text, want",
+    [
+        ("secret = get_secret('x')", []),
+        ('signing_key = os.environ["KEY_NAME"]', []),
+        ("passphrase = other_name\n", []),
+        ("client_pwd=correcthorse7battery\n", ["correcthorse7battery"]),
+        ('const a = "hT5-kLp9-wQz2";\nconst pwd = a;', ["hT5-kLp9-wQz2"]),
+        ('pwd = mid\nmid = last\nlast = "hT5-kLp9-wQz2"', ["hT5-kLp9-wQz2"]),
+        ('last = "hT5-kLp9-wQz2"\nplain = last', []),
+        ("<passphrase>hT5-kLp9-wQz2</passphrase>", ["hT5-kLp9-wQz2"]),
+        ('1pwd: "hT5-kLp9" + \n "-wQz2"', ['hT5-kLp9" + \n "-wQz2']),
+    ],
+)
+def test_lexed_literals(text, want):
+    assert [text[s:e] for s, kind, e in secret_scan.spans(text)[1] if kind == "lexed"] == want

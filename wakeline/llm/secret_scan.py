@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import math
 import re
@@ -24,7 +25,8 @@ _NAMES = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
 # Assignments: a name (quoted or not, perhaps indexed), a sign, and a value. Values are one or more joined literals, a name, or a bare word.
 _LITERAL = r"""(?:"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|`[^`\n]*`)"""
-_PAIR = re.compile(rf"""(?P<name>[A-Za-z_][\w.-]*)["'`]?\]?[\x20\t]*(?P<sign>:=|=>|:|=(?!=))[\x20\t]*(?:(?P<lits>{_LITERAL}(?:[\x20\t]*[+.]?[\x20\t]*\n?[\x20\t]*{_LITERAL})*)|(?P<ref>\$?\{{?[A-Za-z_][\w.]*\}}?(?=[\s,;)\]]|$))|(?P<bare>[^\s"'`,;(){{}}\[\]<>]+))""")
+# A name is looked for where a word starts only, and possessive repeats never go back, so the time is linear in the text.
+_PAIR = re.compile(rf"""(?<![\w.-])[\d.-]*+(?P<name>[A-Za-z_][\w.-]*+)["'`]?\]?[\x20\t]*(?P<sign>:=|=>|:|=(?!=))[\x20\t]*(?:(?P<lits>{_LITERAL}(?:[\x20\t]*+(?:[+.][\x20\t]*+)?(?:\n[\x20\t]*+)?{_LITERAL})*)|(?P<ref>\$?\{{?[A-Za-z_][\w.]*\}}?(?=[\s,;)\]]|$))|(?P<bare>[^\s"'`,;(){{}}\[\]<>]+))""")
 _TAG = re.compile(r"<(?P<name>[A-Za-z_][\w.-]*)>(?P<bare>[^<>\s]+)</(?P=name)>")
 _ONE = re.compile(_LITERAL)
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
@@ -74,7 +76,7 @@ def _assignments(text: str):
             yield name, "".join(p[0][1:-1] for p in parts), parts[0].start() + 1, parts[-1].end() - 1, None
         elif m["ref"]:
             yield name, m["ref"], m.start("ref"), m.end("ref"), m["ref"].strip("${}")
-        elif m["sign"] != ":" or name_weight(name):
+        elif text[m.end() : m.end() + 1] not in ("(", "[") and (m["sign"] != ":" or name_weight(name)):  # a call or an index is no literal
             yield name, m["bare"], m.start("bare"), m.end("bare"), None
     for m in _TAG.finditer(text):
         yield m["name"], m["bare"], m.start("bare"), m.end("bare"), None
@@ -88,40 +90,62 @@ def lexed_spans(text: str) -> list[tuple[int, str, int]]:
     """
     if "=" not in text and ":" not in text and "</" not in text:
         return []
-    literals, users, bound = [], {}, set()
+    literals, refers, bound = [], {}, set()
     for name, value, start, end, ref in _assignments(text):
         if ref is None or ref == name:
-            literals.append((name, value, start, end))
             bound.add(name)
         else:
-            users.setdefault(ref, set()).add(name)
-            literals.append((name, value, start, end))
+            refers.setdefault(name, set()).add(ref)
+        literals.append((name, value, start, end, ref))
+    weights = _weights({name for name, *_ in literals}, refers)
     found = []
-    for name, value, start, end in literals:
-        if value.strip("${}") in bound and value.strip("${}") != name:  # a reference to a constant, not a literal
+    for name, value, start, end, ref in literals:
+        if ref is not None and ref != name and (ref in bound or _is_code(text, value, start)):  # what a name stands for is looked at where it is bound
             continue
-        strength, weight, seen, open_names = literal_strength(value), 0.0, set(), [name]
-        while strength and open_names:
-            at = open_names.pop()
-            if at not in seen:
-                seen.add(at)
-                weight = max(weight, name_weight(at))
-                open_names += users.get(at, ())
-        if weight * strength >= THRESHOLD:
+        if weights[name] and weights[name] * literal_strength(value) >= THRESHOLD:
             found.append((start, "lexed", end))
     return found
 
 
+def _is_code(text: str, value: str, start: int) -> bool:
+    """Whether an unquoted word is a name of source code: set off by a blank, without a digit. Configuration writes words like ``key=word`` or with digits."""
+    return text[start - 1 : start] in (" ", "\t") and not any(c.isdigit() for c in value)
+
+
+def _weights(names: set[str], refers: dict[str, set[str]]) -> dict[str, float]:
+    """The highest weight among each name and the names that refer to it, over any steps: the heaviest names hand theirs on first, so each name is met once."""
+    weights: dict[str, float] = {}
+    for name in sorted(names | refers.keys(), key=lambda n: (-name_weight(n), n)):
+        open_names, own = [name], name_weight(name)
+        while open_names:
+            at = open_names.pop()
+            if at not in weights:
+                weights[at] = own
+                open_names += refers.get(at, ())
+    return weights
+
+
 _ORDER = {"assign": 0, "access": 1, "hex": 2, "lexed": 3}
 
 
 def spans(text: str) -> tuple[list, list]:
     """Base spans, and all spans, ``(start, kind, end)`` in order. A lexed literal inside or across a base span is that span."""
     base = sorted(base_spans(text), key=lambda s: (s[0], _ORDER[s[1]]))
-    extra = [s for s in lexed_spans(text) if not any(s[0] < b[2] and b[0] < s[2] for b in base)]
+    covered: list[list[int]] = []
+    for start, _, end in base:  # what the base spans cover, without overlaps
+        if covered and start <= covered[-1][1]:
+            covered[-1][1] = max(covered[-1][1], end)
+        else:
+            covered.append([start, end])
+    extra = [s for s in lexed_spans(text) if not _meets(covered, s[0], s[2])]
     return base, sorted(base + extra, key=lambda s: (s[0], _ORDER[s[1]]))
 
 
+def _meets(covered: list[list[int]], start: int, end: int) -> bool:
+    at = bisect.bisect_left(covered, [end]) - 1
+    return at >= 0 and covered[at][1] > start
+
+
 def _written(found: list) -> str:
     return ",".join(f"{kind}:{start}:{end}" for start, kind, end in found)
 
