@@ -308,3 +308,13 @@ def test_default_order_does_not_depend_on_arrival(spark):
         df = spark.createDataFrame(part, names).coalesce(1)
         found.append(sorted(map(str, cleaning.handle_noise(df).collect())))
     assert found[0] == found[1]
+
+
+def _optimised(df) -> str:
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_text_is_made_once_for_all_ports(spark):
+    df = clean.clean_destinations(spark.createDataFrame([("KIEL",), ("x",)], "Destination string"))
+    plan = _optimised(df.select(text.port_code(F.col("Destination")).alias("c")).where("c IS NOT NULL").groupBy("c").count())
+    assert plan.count("[^A-Z0-9./") <= 12  # a target is a choice of texts, in the filter and in the result; not one for each of 60 names
