@@ -314,6 +314,13 @@ def _optimised(df) -> str:
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_lines_are_parsed_once(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("TripID,Destination,SOG\n1,KIEL,2\n")
+    (tmp_path / "b.csv").write_text("SOG,TripID\n5,6\n")
+    typed = tables.type_reports(tables.read_report_files(spark, str(tmp_path)))
+    assert _optimised(cleaning.normalise_destinations(typed)).count("from_csv(") == 1
+
+
 def test_a_text_is_made_once_for_all_ports(spark):
     df = clean.clean_destinations(spark.createDataFrame([("KIEL",), ("x",)], "Destination string"))
     plan = _optimised(df.select(text.port_code(F.col("Destination")).alias("c")).where("c IS NOT NULL").groupBy("c").count())
