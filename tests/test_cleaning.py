@@ -7,6 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from queries.cleaning import _headed
 from wakeline.functions import scalar, text
 from wakeline.ml import impute
 from wakeline.operators import clean, profile
@@ -325,3 +326,11 @@ def test_a_text_is_made_once_for_all_ports(spark):
     df = clean.clean_destinations(spark.createDataFrame([("KIEL",), ("x",)], "Destination string"))
     plan = _optimised(df.select(text.port_code(F.col("Destination")).alias("c")).where("c IS NOT NULL").groupBy("c").count())
     assert plan.count("[^A-Z0-9./") <= 12  # a target is a choice of texts, in the filter and in the result; not one for each of 60 names
+
+
+def test_files_with_mixed_headers_are_written_by_all_tasks(spark, tmp_path):
+    lines = spark.range(100, numPartitions=4).selectExpr("concat(id, ',', id % 7) AS value")
+    lines.mapInArrow(_headed("TripID,SOG"), "value string").write.text(str(tmp_path / "t"))
+    files = list((tmp_path / "t").glob("*.txt"))
+    assert len(files) == 4 and all(f.read_text().startswith("TripID,SOG\n") for f in files)
+    assert sorted(int(r["TripID"]) for r in tables.read_report_files(spark, str(tmp_path / "t")).collect()) == list(range(100))
