@@ -294,3 +294,19 @@ def test_permutation_importance_finds_the_used_feature(points):
     out = importance.permutation_importance(rows, lambda df: df.withColumn("score", F.col("dv")), ["dv", "x_km"], repeats=2)
     got = {r["feature"]: r["importance"] for r in out.collect()}
     assert got["dv"] > 0.3 and got["x_km"] == pytest.approx(0.0)
+
+
+def test_shuffled_trials_are_written_once_and_not_broadcast(spark, monkeypatch):
+    rows = spark.range(60).selectExpr("id AS point_id", "'A' AS start_port", "cast(id % 2 AS int) AS y_true", "cast(id % 2 AS double) AS a", "cast(id % 7 AS double) AS b")
+    plans, given, keep = [], [], importance.stored
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(importance, "stored", lambda df, label: (plans.append(plan(df)), keep(df, label))[1])
+
+    def score(df):
+        given.append(plan(df))
+        return df.withColumn("score", F.col("a"))
+
+    got = importance.permutation_importance(rows, score, ["a", "b"], repeats=3, keys=["start_port"])
+    assert {r["feature"]: round(r["importance"], 6) for r in got.collect()}["b"] == 0.0
+    assert "Join" not in given[0] and "Window" not in given[0]
+    assert "SortMergeJoin" in plans[0] and "Broadcast" not in plans[0]
