@@ -243,6 +243,25 @@ def test_logistic_fits_agree_with_spark_ml(points):
             assert mine == pytest.approx(model.coefficients.toArray(), abs=1e-3) and got[route, i]["intercept"] + shift == pytest.approx(model.intercept, abs=1e-3)
 
 
+def test_logistic_needs_few_passes_where_a_plane_nearly_parts_the_classes(spark, monkeypatch):
+    monkeypatch.setattr(logistic, "START_BLOCKS", 1)  # a part of the rows to start from
+    columns = [F.randn(i).alias(c) for i, c in enumerate("abc", 1)]
+    drawn = spark.range(24_000, numPartitions=4).select(F.when(F.col("id") % 3 == 0, "A").otherwise("B").alias(S.ROUTE), *columns, F.rand(9).alias("u"))
+    rows = drawn.withColumn("y_true", (F.col("a") + 0.5 * F.col("b") + 0.1 * F.col("u") > 1.5).cast("int")).persist()
+    grid = [logistic.Cell(0.1, "l2", None), logistic.Cell(10.0, "l2", 3.0), logistic.Cell(1.0, "l1", None)]
+    fitted = logistic.fit(rows, list("abc"), grid, max_iter=8).collect()
+    assert len(fitted) == 6
+    table = rows.toPandas()
+    for model in fitted:
+        own, cell = table[table[S.ROUTE] == model[S.ROUTE]], grid[model["cell"]]
+        x, y, std = own[list("abc")].to_numpy(), own["y_true"].to_numpy(), own[list("abc")].to_numpy().std(axis=0)
+        w = np.array(model["coefficients"])
+        off = np.where(y == 1, cell.anomaly_weight or 1.0, 1.0) * (1 / (1 + np.exp(-(x @ w + model["intercept"]))) - y)
+        slope = off @ ((x - x.mean(axis=0)) / std)
+        pull = np.where(w == 0, -np.clip(slope, -1, 1), np.sign(w)) if cell.penalty == "l1" else w * std
+        assert slope + pull / cell.strength == pytest.approx(0, abs=1e-3) and off.sum() == pytest.approx(0, abs=1e-3)  # the slope at the least loss
+
+
 def test_main_directions_of_all_routes(spark):
     rnd = np.random.default_rng(2)
     windows = {r: rnd.normal(size=(n, 4, 2)) * [1.0, 3.0] + k for k, (r, n) in enumerate((("A", 50), ("B", 7), ("C", 1)))}
