@@ -262,6 +262,34 @@ def test_logistic_needs_few_passes_where_a_plane_nearly_parts_the_classes(spark,
         assert slope + pull / cell.strength == pytest.approx(0, abs=1e-3) and off.sum() == pytest.approx(0, abs=1e-3)  # the slope at the least loss
 
 
+def test_rows_go_down_a_tree_in_blocks():
+    rnd = np.random.default_rng(7)
+    x = rnd.normal(size=(2 * trees.BLOCK + 3, 4))
+    x[0, 1], x[1, 2], x[2, 0] = np.nan, np.inf, -np.inf
+    nodes, table, open_nodes = [], {}, [1]
+    while open_nodes:
+        node = open_nodes.pop()
+        inner = node < 4 or (node < 64 and rnd.random() < 0.7)
+        table[node] = (int(rnd.integers(4)), float(rnd.normal()), 0.0) if inner else (None, 0.0, float(rnd.random()))
+        open_nodes += [2 * node, 2 * node + 1] if inner else []
+    for levels in (16, 2):
+        tiers = {n: (n.bit_length() - 1) // levels for n in table}
+        nodes = [{"cell": 0, "tree": 0, "tier": t, "top": n >> (n.bit_length() - 1 - t * levels), "node": n, "feature": table[n][0], "threshold": table[n][1], "value": table[n][2]} for n, t in tiers.items()]
+        nodes.sort(key=lambda r: (r["tier"], r["top"], r["node"]))
+        walker = trees.TreeWalk(x, [0])
+        walker.add(pa.array(nodes))
+        assert walker.result()[:, 0].tolist() == [walk(table, row) for row in x]
+
+
+def test_a_chunk_of_windows_holds_few_numbers(spark, monkeypatch):
+    sizes = []
+    monkeypatch.setattr(tiles, "score", lambda rows, x, models, scorer, order, out, chunk_rows=tiles.CHUNK_ROWS: sizes.append(chunk_rows) or rows.withColumn(out, F.array(F.lit(0.0))))
+    windows = spark.createDataFrame([("A", [[1.0]])], "start_port string, features array<array<double>>")
+    models = spark.createDataFrame([("A", [0.0], [[1.0]])], reconstruct.DIRECTIONS_SCHEMA)
+    reconstruct.window_errors(windows, models)
+    assert sizes[0] * 15 <= 2 * tiles.CHUNK_ROWS
+
+
 def test_main_directions_of_all_routes(spark):
     rnd = np.random.default_rng(2)
     windows = {r: rnd.normal(size=(n, 4, 2)) * [1.0, 3.0] + k for k, (r, n) in enumerate((("A", 50), ("B", 7), ("C", 1)))}

@@ -8,6 +8,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from wakeline.operators import evaluate as ev
 from wakeline.operators import layout as lay
 from wakeline.operators import scan as sc
 
@@ -158,3 +159,10 @@ def test_group_join_without_broadcast(frame, monkeypatch):
     monkeypatch.setattr(lay, "BROADCAST_GROUPS", 0)
     joined = lay.join_group_values(frame, sums, ["g"])
     assert collected(joined) == small
+
+
+def test_counts_behind_percentiles_and_roc_are_made_once(spark):
+    df = spark.range(50).selectExpr("cast(id % 2 as string) AS g", "cast(id as double) AS score", "cast(id % 3 = 0 as int) AS y")
+    for out in (sc.group_percentiles(df, ["g"], "score", [0.5], ["m"]), ev.roc_auc(df, ["g"])):
+        files = out.inputFiles()  # layout and scans read a stored table, not the rows again
+        assert files and all("/counts-" in f for f in files) and out.count() == 2
