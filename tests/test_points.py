@@ -208,3 +208,22 @@ def test_zone_table_without_broadcast(spark, monkeypatch):
     points = spark.createDataFrame([(53 + i % 40 / 20, 8 + i % 113 / 10) for i in range(900)], "latitude double, longitude double")
     both = zones_of.zone_labels(points, fixed).withColumn("chain", geo.zone_label(F.col("latitude"), F.col("longitude")))
     assert both.where("zone <> chain").isEmpty() and both.where("zone = 0").count() > 0 and both.count() == 900
+
+
+@pytest.mark.parametrize("growth", [16, 1])
+def test_piled_rectangles_keep_lists_short(spark, monkeypatch, growth):
+    monkeypatch.setattr(zones_of, "LIST", 8)
+    monkeypatch.setattr(zones_of, "GROWTH", growth)
+    rnd = random.Random(5)
+    centre = lambda: (rnd.uniform(-1.2, 1.2), rnd.uniform(-1.2, 1.2))
+    zones = [(a + h, a, b + w, b) for (a, b), h, w in ((centre(), rnd.uniform(0.05, 0.2), rnd.uniform(0.05, 0.2)) for _ in range(1500))]
+    zones += [(a + 1e-5, a, b, b) for a, b in ((3.0 + rnd.random() / 500, -7.0 - rnd.random() / 500) for _ in range(300))]  # below the finest level
+    zones += [(5.0 + i / 100, 5.0 + i / 100, 10.9, 10.1) for i in range(60)]  # lines cover no cell
+    spots = [centre() for _ in range(1200)] + [(3.0 + rnd.random() / 500, -7.0 - rnd.random() / 500) for _ in range(200)]
+    spots += [(z[rnd.randrange(2)], z[2 + rnd.randrange(2)]) for z in zones[::4]] + [(5.0 + i / 200, 10.5) for i in range(120)]
+    table = spark.createDataFrame(zones + zones[:50], "lat_max double, lat_min double, lon_max double, lon_min double")
+    points = spark.createDataFrame([(i, *s) for i, s in enumerate(spots)], "id long, latitude double, longitude double")
+    got = {r["id"]: r["zone"] for r in zones_of.zone_labels(points, table).collect()}
+    assert got == {i: int(not any(z[1] <= a <= z[0] and z[3] <= b <= z[2] for z in zones)) for i, (a, b) in enumerate(spots)}
+    if growth == 16:
+        assert zones_of.cells(table).agg(F.max(F.size("rectangles"))).first()[0] <= 8
