@@ -227,3 +227,10 @@ def test_piled_rectangles_keep_lists_short(spark, monkeypatch, growth):
     assert got == {i: int(not any(z[1] <= a <= z[0] and z[3] <= b <= z[2] for z in zones)) for i, (a, b) in enumerate(spots)}
     if growth == 16:
         assert zones_of.cells(table).agg(F.max(F.size("rectangles"))).first()[0] <= 8
+
+
+def test_labels_find_chunks_once(spark):
+    df = spark.createDataFrame(trips([40, 3]), SCHEMA)
+    spans = spark.createDataFrame([(0, 3, 9)], "trip_id long, start_pos int, end_pos int")
+    files = plan.label_table(df, spans, ft.point_layout(df, chunk_rows=8)).inputFiles()
+    assert files and any("/pinned-" in f for f in files) and not any("/fine-" in f for f in files)
