@@ -166,3 +166,25 @@ def test_counts_behind_percentiles_and_roc_are_made_once(spark):
     for out in (sc.group_percentiles(df, ["g"], "score", [0.5], ["m"]), ev.roc_auc(df, ["g"])):
         files = out.inputFiles()  # layout and scans read a stored table, not the rows again
         assert files and all("/counts-" in f for f in files) and out.count() == 2
+
+
+@pytest.mark.parametrize("largest", [100, 1_000_000])
+def test_borders_of_a_large_group_are_not_sorted_by_one_task(spark, monkeypatch, largest):
+    monkeypatch.setattr(lay, "CHUNK_ROWS", largest)
+    tried, detect = [], lay.detect
+    monkeypatch.setattr(lay, "detect", lambda *args, **options: tried.append(options.get("chunk_rows")) or detect(*args, **options))
+    rows = [("a" if i % 5 else None, dt.datetime(2024, 1, 1) + dt.timedelta(minutes=i * 37 % 1000), i, 1.0, 1.0) for i in range(1500)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    layout = lay.detect(df, ["g"], ["t", "i"], chunk_rows=16)  # as many as are sampled: the whole group
+    assert (largest in tried) == (largest == 100)
+    sizes = [r["n"] for r in layout.mark(df).where("g = 'a'").groupBy(lay.CHUNK).agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) == 76 and set(sizes) <= {15, 16, 1}
+    want = {r[2]: n for n, r in enumerate(sorted((r for r in rows if r[0]), key=lambda r: (r[1], r[2])), 1)}
+    assert {r["i"]: r["pos"] for r in sc.scan(df, layout, pos=sc.position()).where("g = 'a'").collect()} == want
+
+
+def test_chunks_of_long_groups_are_found_once(frame, monkeypatch):
+    monkeypatch.setattr(lay, "FAN", 3)
+    cut = lay.detect(frame, ["g"], ["t", "i"], chunk_rows=8)
+    files = sc.scan(frame, cut, pos=sc.position()).inputFiles()
+    assert cut.most > 3 and any("/pinned-" in f for f in files) and not any("/fine-" in f for f in files)
