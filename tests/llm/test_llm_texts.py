@@ -545,3 +545,17 @@ def test_pipeline_on_odd_and_empty_tables(spark, tmp_path):
         spark.createDataFrame([(1, "a b c d e f g h i j k l m n o p")], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
         out = corpus_pipeline.run(spark, folder)
         assert out.columns == [*docs.columns, "copies"] and (out.count() > 0) == (name == "odd")
+
+
+def test_spaced_words_are_found_without_a_pattern(monkeypatch):
+    rng = random.Random(8)
+    texts = ["".join(rng.choice("abC\u0130\u03a3\u00df.! \n\x1c\x85\u2003\u3000\ud800") for _ in range(rng.randrange(600))) for _ in range(300)]
+    want = [[(m.start(), zlib.crc32(m.group().lower().encode("utf-8", "surrogatepass"))) for m in spans._WORD.finditer(t)] for t in texts]
+    thai = "one two \u0e01\u0e31 three \u4e2d\u6587"
+    assert [len(a) for a in spans._starts_and_hashes(thai)] == [7, 7] and spans._words(thai) == spans._WORD.findall(thai)
+    monkeypatch.setattr(spans, "_WORD", None)  # by a pattern, a word takes some microseconds
+    for text, words in zip(texts, want, strict=True):
+        starts, hashes = spans._starts_and_hashes(text)
+        assert list(zip(starts.tolist(), hashes.tolist(), strict=True)) == words
+        assert "".join(text[a:b] for a, b in spans.sentences(text)) == text
+        list(spans.runs(text))

@@ -24,6 +24,31 @@ _END = re.compile(r"[.!?]\s+|\n\s*")
 #: Thai, kana and Han are written without spaces: each character is a word.
 _UNSPACED = r"\u0E00-\u0E7F\u3040-\u30FF\u3400-\u9FFF"
 _WORD = re.compile(rf"[^\s{_UNSPACED}]+|[{_UNSPACED}]")
+_ONE_UNSPACED = re.compile(f"[{_UNSPACED}]")
+#: Whether a character is a space, by code point; there is none from the last entry on.
+_SPACE = np.array([chr(i).isspace() for i in range(0x3002)])
+
+
+def _spaced(text: str) -> bool:
+    return text.isascii() or not _ONE_UNSPACED.search(text)
+
+
+def _words(text: str) -> list[str]:
+    """All words of a lower-cased text."""
+    return text.split() if _spaced(text) else _WORD.findall(text)
+
+
+def _starts_and_hashes(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Where each word starts, and the crc32 of its lower-case UTF-8."""
+    if not _spaced(text):
+        found = [(m.start(), zlib.crc32(m.group().lower().encode("utf-8", "surrogatepass"))) for m in _WORD.finditer(text)]
+        return np.array([f[0] for f in found], dtype=np.int64), np.array([f[1] for f in found], dtype=np.uint64)
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    space = _SPACE[np.minimum(points, len(_SPACE) - 1)]
+    starts = np.flatnonzero(~space & np.concatenate([[True], space[:-1]]))
+    # Spaces end all that lower-casing looks at, so words may be lower-cased and encoded together.
+    words = " ".join(text.lower().split()).encode("utf-8", "surrogatepass").split(b" ") if len(starts) else []
+    return starts, np.fromiter(map(zlib.crc32, words), np.uint64, len(words))
 
 
 def _cuts_within(text: str, ends: list[int]) -> list[int]:
@@ -31,18 +56,17 @@ def _cuts_within(text: str, ends: list[int]) -> list[int]:
 
     This depends on no words further away, so a passage is cut alike wherever it stands, but for WINDOW words at its borders.
     """
-    found = [(m.start(), zlib.crc32(m.group().lower().encode("utf-8", "surrogatepass"))) for m in _WORD.finditer(text)]
-    if len(found) < 2 * WINDOW + 2:
+    starts, hashes = _starts_and_hashes(text)
+    if len(starts) < 2 * WINDOW + 2:
         return []
-    starts, hashes = np.array(found, dtype=np.uint64).T
     pairs = (hashes[:-1] * np.uint64(0x9E3779B97F4A7C15) + hashes[1:]) * np.uint64(0xC2B2AE3D27D4EB4F)
-    last = np.searchsorted(starts, np.array(ends, dtype=np.uint64))  # words before each end
+    last = np.searchsorted(starts, np.array(ends, dtype=np.int64))  # words before each end
     sentence = np.repeat(np.arange(len(ends)), np.diff(last, prepend=0))
     middle = pairs[WINDOW : len(pairs) - WINDOW]
     least = sentence[: len(middle)] == sentence[2 * WINDOW + 1 :]
     for i in range(2 * WINDOW + 1):
         least &= middle <= pairs[i : i + len(middle)]
-    return starts[np.flatnonzero(least) + WINDOW + 1].astype(np.int64).tolist()
+    return starts[np.flatnonzero(least) + WINDOW + 1].tolist()
 
 
 def sentences(text: str) -> Iterator[tuple[int, int]]:
@@ -63,7 +87,7 @@ def runs(text: str, ends: bool = True) -> Iterator[tuple[int, int, bytes]]:
     """
     sizes, keys, where = [], [], []
     for i, (a, b) in enumerate(sentences(text)):
-        if words := _WORD.findall(text[a:b].lower()):
+        if words := _words(text[a:b].lower()):
             sizes.append(len(words))
             keys.append(xxhash.xxh128_digest(" ".join(words).encode("utf-8", "surrogatepass")))
             where.append(i)
