@@ -2,8 +2,10 @@
 
 import hashlib
 import itertools
+import pathlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -276,6 +278,42 @@ def test_copies_of_short_texts_go(spark):
     assert {r["doc_id"]: r["text"] for r in spans.report(spark.createDataFrame(rows, "doc_id long, text string"), ends=True).collect()} == {2: "", 4: ""}
 
 
+@pytest.mark.parametrize("ends", [False, True])
+def test_repeated_runs_and_where_they_occur_first(spark, ends):
+    rng = random.Random(17)
+    passages = ["".join(words(rng, rng.randrange(1, 14)).capitalize() + ". " for _ in range(6)) for _ in range(12)]
+    rows = [(i, "".join(rng.choices(passages, k=rng.randrange(1, 6)))) for i in rng.sample(range(-40, 40), 50)]
+    rows += [(90, passages[0] * 3 + "".join(words(rng, 20) + ". " for _ in range(4)) * 2), (91, words(rng, 60)), (92, "Short."), (93, "short."), (94, None), (None, passages[0])]
+    rows += rows[:5] + [(95, "Twice the same row. " + words(rng, 20) + ".")] * 2 + [(96, "One id, two texts. " + words(rng, 20) + "."), (96, passages[1])]
+    first, want = {}, set()
+    for i, text in rows:
+        for _, _, digest in spans.runs(text or "", ends) if i is not None else ():
+            first[digest] = min(i, first.get(digest, i))
+    for i, text in rows:
+        seen = set()
+        for at, size, digest in spans.runs(text or "", ends) if i is not None else ():
+            if digest in seen or i > first[digest]:
+                want.add((i, at, size, first[digest]))
+            seen.add(digest)
+    got = [tuple(r) for r in spans.repeated_runs(spark.createDataFrame(rows, "doc_id long, text string"), ends).collect()]
+    assert set(got) == want and len({f for i, _, _, f in want if i == f}) > 1
+
+
+def test_shuffle_files_of_the_runs_are_freed(spark):
+    folders = [pathlib.Path(x) for x in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()]
+    files = lambda: {str(f) for x in folders for f in x.rglob("shuffle_*")}
+    key, (before, rng) = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", (files(), random.Random(18))
+    setting = spark.conf.get(key, None)
+    passage = "".join(words(rng, 9) + ". " for _ in range(5))
+    docs = spark.createDataFrame([(i, passage + words(rng, 50)) for i in range(200)], "doc_id long, text string").repartition(3)
+    out = spans.report(docs, ends=True)  # all steps but the last have run
+    until = time.monotonic() + 10
+    while (left := files() - before) and time.monotonic() < until:  # removed in the background
+        time.sleep(0.1)
+    assert not left and spark.conf.get(key, None) == setting
+    assert out.count() == 199
+
+
 # ---------------------------------------------------------------- mixing
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +18,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of the queries run within go when their query ends, not when the driver next collects its garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def kept_table(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back; cuts lineage and survives executors."""
     path = scratch_path(df.sparkSession, label)

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wakeline.llm.common import kept_table, whole_text
+from wakeline.llm.common import kept_table, shuffles_freed, whole_text
 
 RUN_SENTENCES = 2
 RUN_WORDS = 16
@@ -142,17 +142,17 @@ def _run_rows(docs: DataFrame, ends: bool) -> DataFrame:
 def repeated_runs(docs: DataFrame, ends: bool) -> DataFrame:
     """``doc_id, first, size, first_doc_id`` of each run that also begins earlier: in a document of smaller id, or before in the same one.
 
-    Rows of one doc_id count as one document. Runs are stored once; their smallest document comes from a pre-aggregated count, and only
-    repeated runs are joined back, the popular ones split.
+    Rows of one doc_id count as one document. Runs are stored once; their smallest document comes from a pre-aggregated count and is joined
+    back, popular runs split. Each step is stored and its shuffle files freed, so that the disk holds one shuffle of the runs at a time.
     """
     rows = kept_table(_run_rows(docs, ends), "runs")
-    # Stored, so that both sides of the joins are exchanges, whose hot keys can be split.
-    least = rows.where(~F.col("again")).groupBy("h1", "h2").agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last")).where("first_doc_id < last")
-    least = kept_table(least, "least")
-    across = rows.join(least.drop("last"), ["h1", "h2"]).where(F.col("again") | (F.col("doc_id") > F.col("first_doc_id")))
-    inside = rows.where("again").join(least.select("h1", "h2"), ["h1", "h2"], "left_anti").withColumn("first_doc_id", F.col("doc_id"))
-    columns = ["doc_id", "first", "size", "first_doc_id"]
-    return across.select(columns).union(inside.select(columns))
+    with shuffles_freed(docs.sparkSession):
+        # Stored, so that both sides of the join are exchanges, whose hot keys can be split.
+        least = rows.where(~F.col("again")).groupBy("h1", "h2").agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last")).where("first_doc_id < last")
+        least = kept_table(least.drop("last"), "least")
+        # A run without a row there begins in one document only.
+        found = rows.join(least, ["h1", "h2"], "left").where(F.col("again") | (F.col("doc_id") > F.col("first_doc_id")))
+        return kept_table(found.select("doc_id", "first", "size", F.coalesce("first_doc_id", "doc_id").alias("first_doc_id")), "repeated")
 
 
 def _cut(docs: DataFrame, how: str, ends: bool) -> DataFrame:
