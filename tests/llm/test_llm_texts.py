@@ -9,6 +9,7 @@ import time
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -314,6 +315,22 @@ def test_shuffle_files_of_the_runs_are_freed(spark):
     assert out.count() == 199
 
 
+def test_cuts_are_read_as_arrays():
+    rng = random.Random(19)
+    text = "\n " + "".join(words(rng, rng.randrange(1, 9)) + ". " for _ in range(40))
+    parts = [text[a:b] for a, b in spans.sentences(text)]
+    rows = [None, [], *([(rng.randrange(50), rng.choice([1, 2, 5, 60])) for _ in range(rng.randrange(1, 6))] for _ in range(60)), [(0, 1)], [(10**6, 3)]]
+    lists = pa.array([r and [{"first": a, "size": b} for a, b in r] for r in rows], pa.list_(pa.struct([("first", pa.int32()), ("size", pa.int32())])))
+    for at in (0, 1, 20):
+        got = [[tuple(x) for x in c.tolist()] for c in spans._pairs(lists.slice(at))]
+        assert got == [r or [] for r in rows[at:]]
+    for row, cuts in zip(rows, spans._pairs(lists), strict=True):
+        gone = {i for a, b in row or [] for i in range(a, a + b)}
+        want = "".join(p for i, p in enumerate(parts) if i not in gone), sum(i in gone and bool(p.strip()) for i, p in enumerate(parts))
+        assert spans.remaining(text, cuts) == want == spans.remaining(text, row or [])
+    assert spans.remaining("", []) == ("", 0)
+
+
 # ---------------------------------------------------------------- mixing
 
 

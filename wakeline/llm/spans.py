@@ -145,8 +145,8 @@ def repeated_runs(docs: DataFrame, ends: bool) -> DataFrame:
     Rows of one doc_id count as one document. Runs are stored once; their smallest document comes from a pre-aggregated count and is joined
     back, popular runs split. Each step is stored and its shuffle files freed, so that the disk holds one shuffle of the runs at a time.
     """
-    rows = kept_table(_run_rows(docs, ends), "runs")
     with shuffles_freed(docs.sparkSession):
+        rows = kept_table(_run_rows(docs, ends), "runs")
         # Stored, so that both sides of the join are exchanges, whose hot keys can be split.
         least = rows.where(~F.col("again")).groupBy("h1", "h2").agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last")).where("first_doc_id < last")
         least = kept_table(least.drop("last"), "least")
@@ -162,10 +162,19 @@ def _cut(docs: DataFrame, how: str, ends: bool) -> DataFrame:
 
 
 def remaining(text: str, cuts) -> tuple[str, int]:
-    """The text without the sentences of the runs, and how many they are."""
+    """The text without the sentences of the runs, ``(first sentence, sentences)`` each, and how many they are."""
     parts = [text[a:b] for a, b in sentences(text)]
-    gone = {i for first, size in cuts for i in range(first, first + size)}
-    return "".join(p for i, p in enumerate(parts) if i not in gone), sum(bool(parts[i].strip()) for i in gone if i < len(parts))
+    first, size = np.asarray(cuts, dtype=np.int64).reshape(-1, 2).T
+    begin, end = (np.bincount(np.minimum(x, len(parts)), minlength=len(parts) + 1) for x in (first, first + size))
+    gone = (np.cumsum(begin - end)[: len(parts)] > 0).tolist()
+    return "".join(p for p, g in zip(parts, gone, strict=True) if not g), sum(bool(p.strip()) for p, g in zip(parts, gone, strict=True) if g)
+
+
+def _pairs(cuts: pa.ListArray) -> Iterator[np.ndarray]:
+    """The runs of each row as an array of first sentence and sentences; a null has none."""
+    pairs = np.column_stack([cuts.values.field(name).to_numpy() for name in ("first", "size")])
+    offsets = cuts.offsets.to_numpy()
+    return (pairs[a:b] for a, b in zip(offsets, offsets[1:], strict=False))
 
 
 def deduplicate(docs: DataFrame, ends: bool = False) -> DataFrame:
@@ -177,8 +186,8 @@ def deduplicate(docs: DataFrame, ends: bool = False) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            old, cuts = batch.column(at).to_pylist(), batch.column(len(names)).to_pylist()
-            new = [t if not c or t is None else remaining(t, [(x["first"], x["size"]) for x in c])[0] for t, c in zip(old, cuts, strict=True)]
+            old = batch.column(at).to_pylist()
+            new = [t if not len(c) or t is None else remaining(t, c)[0] for t, c in zip(old, _pairs(batch.column(len(names))), strict=True)]
             columns = list(batch.columns)[: len(names)]
             columns[at] = pa.array(new, batch.schema.field(at).type)
             if length is not None:
@@ -198,7 +207,7 @@ def report(docs: DataFrame, ends: bool = False) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            kept = [remaining(t, [(x["first"], x["size"]) for x in c]) for t, c in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+            kept = [remaining(t, c) for t, c in zip(batch.column(1).to_pylist(), _pairs(batch.column(2)), strict=True)]
             yield pa.RecordBatch.from_pydict(
                 {"doc_id": batch.column(0), "n_removed": pa.array([k[1] for k in kept], pa.int32()), "first_doc_ids": batch.column(3), "text": pa.array([k[0] for k in kept], pa.string())}
             )
