@@ -25,6 +25,47 @@ def rows(spark):
     return table.withColumn("y_true", (F.col("a") > 1.5).cast("int")).localCheckpoint()
 
 
+def test_grown_trees_split_all_rows():
+    rnd = np.random.default_rng(3)
+    x = np.ascontiguousarray(np.column_stack([rnd.normal(size=300), rnd.integers(0, 2, 300), np.ones(300), rnd.normal(size=300)]).T)
+    x = np.concatenate([x, x[:, :20]], axis=1)  # some rows come twice
+    nodes = isolation.grown(x, 12, np.array([0, 1, 2]), np.random.default_rng(1))
+    place = {n: i for i, n in enumerate(nodes["node"])}
+    assert nodes["size"][0] == 320 and len(place) == len(nodes["node"]) and nodes["depth"].max() <= 12
+    assert set(nodes["feature"]) <= {-1, 0, 1}
+    at = np.zeros(320, dtype=int)
+    for _ in range(12):
+        f = nodes["feature"][at]
+        upper = x[np.maximum(f, 0), np.arange(320)] > nodes["threshold"][at]
+        at = np.where(f >= 0, nodes["left"][at] + upper, at)
+    assert (nodes["feature"][at] < 0).all()
+    found = np.bincount(at, minlength=len(nodes["node"]))
+    leaf = nodes["feature"] < 0
+    assert (found[leaf] == nodes["size"][leaf]).all()
+    for i in np.flatnonzero(~leaf):
+        left = nodes["left"][i]
+        assert nodes["node"][left] == 2 * nodes["node"][i] and nodes["size"][left] + nodes["size"][left + 1] == nodes["size"][i]
+        assert min(nodes["size"][left], nodes["size"][left + 1]) > 0
+
+
+@pytest.mark.parametrize("small", [isolation.TASK_ROWS, 330, 100])
+def test_scores_of_the_grid_are_those_of_the_forests_that_are_kept(spark, rows, small):
+    """In one task a route, in several chunks (of 100 rows, where routes are also grown by jobs)."""
+    cells = [isolation.Cell(4, "auto", 1.0), isolation.Cell(5, 0.5, 0.8), isolation.Cell(3, 1.0, 0.6), isolation.Cell(2, 0.75, 1.0)]
+    ids = [2, 0, 1]
+    known = rows.where(F.col(S.ROUTE).isNotNull())
+    got = isolation.grid_scores(rows, FEATURES, cells, ids, S.POINT, small=small).collect()
+    nodes = stored(isolation.grow(rows.where("part = 'train'"), FEATURES, cells, S.POINT, small=small), "nodes")
+    want = isolation.raw_scores(known, nodes, FEATURES, ids).where("raw IS NOT NULL").collect()
+    line = lambda r, cell, score: (r[S.ROUTE], cell, r["part"], r["y_true"], round(score, 9))
+    assert sorted(line(r, r["cell"], r["score"]) for r in got) == sorted(line(r, c, s) for r in want for c, s in zip(ids, r["raw"], strict=True))
+    assert {r[S.ROUTE] for r in got} == {"A", "B"}
+    chosen = spark.createDataFrame([("A", 2), ("B", 1)], f"{S.ROUTE} string, cell int")
+    kept = isolation.grow(rows.where("part = 'train'"), FEATURES, cells, S.POINT, small=small, chosen=chosen)
+    plain = lambda df: sorted(map(str, df.collect()))
+    assert plain(kept) == plain(nodes.join(chosen, [S.ROUTE, "cell"]).select(kept.columns))
+
+
 def test_what_is_stored_in_a_turn_goes_with_it(spark):
     folder = spark.conf.get("spark.checkpoint.dir").removeprefix("file:")
     key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
