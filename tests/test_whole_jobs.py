@@ -66,6 +66,34 @@ def test_scores_of_the_grid_are_those_of_the_forests_that_are_kept(spark, rows,
     assert plain(kept) == plain(nodes.join(chosen, [S.ROUTE, "cell"]).select(kept.columns))
 
 
+def test_a_machine_is_the_optimum_of_all_training_points(monkeypatch):
+    monkeypatch.setattr(oneclass, "WHOLE", 60)
+    monkeypatch.setattr(oneclass, "WORKING", 40)
+    x = np.random.default_rng(0).normal(size=(700, 3))
+    for gamma, nu in ((0.3, 0.1), (3.0, 0.01), (0.01, 0.03)):
+        kernel = np.exp(-gamma * oneclass.squared_distances(x, x))
+        alpha = oneclass.solve_rows(x, gamma, nu, tolerance=1e-5)
+        gradient = kernel @ alpha
+        assert alpha.min() >= 0 and alpha.max() <= 1 and alpha.sum() == pytest.approx(nu * 700)
+        assert gradient[alpha > 0].max() - gradient[alpha < 1].min() < 2e-5
+        assert gradient == pytest.approx(kernel @ oneclass.solve(kernel, nu, 1e-6), abs=1e-3)
+
+
+def test_all_training_points_are_landmarks(spark):
+    many = spark.range(4500).select(F.when(F.col("id") < 2300, "A").otherwise("B").alias(S.ROUTE), F.col("id").alias("point_id"), F.rand(1).alias("a"))
+    counts = {r[S.ROUTE]: (r["n"], r["top"]) for r in oneclass.landmarks(many, ["a"], "point_id").groupBy(S.ROUTE).agg(F.count("*").alias("n"), F.max("position").alias("top")).collect()}
+    assert counts == {"A": (2300, 2300), "B": (2200, 2200)}
+
+
+def test_widths_in_turns_give_the_same_machines(rows, monkeypatch):
+    marks = oneclass.landmarks(rows.where("part = 'train'"), FEATURES, "point_id").persist()
+    cells = [oneclass.Cell(nu, g) for nu in (0.03, 0.1) for g in ("scale", 0.5)]
+    plain = lambda: sorted(map(tuple, oneclass.fit(marks, cells).collect()))
+    once = plain()
+    monkeypatch.setattr(oneclass, "COPIED", 10)
+    assert plain() == once and len(once) == 8
+
+
 def test_what_is_stored_in_a_turn_goes_with_it(spark):
     folder = spark.conf.get("spark.checkpoint.dir").removeprefix("file:")
     key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
