@@ -25,6 +25,24 @@ def rows(spark):
     return table.withColumn("y_true", (F.col("a") > 1.5).cast("int")).localCheckpoint()
 
 
+def test_queries_of_whole_families_have_no_smaller_grid(spark, monkeypatch):
+    assert models.GRIDS.get("isolation_forest", {}) == {}
+    given = []
+
+    def trainer(family):
+        def train(table, out, **options):
+            given.append((family, options))
+            return None, spark.createDataFrame([("A", 0, 0.5)], f"{S.ROUTE} string, cell int, f1 double")
+
+        return train
+
+    monkeypatch.setattr(models, "_features", lambda spark, sf: None)
+    monkeypatch.setattr(training, "training_table", lambda points: None)
+    monkeypatch.setattr(training, "TRAINERS", {f: trainer(f) for f in training.TRAINERS})
+    assert models.k10(spark, "").count() == 4
+    assert [options for _, options in given] == [{}] * 4
+
+
 def test_grown_trees_split_all_rows():
     rnd = np.random.default_rng(3)
     x = np.ascontiguousarray(np.column_stack([rnd.normal(size=300), rnd.integers(0, 2, 300), np.ones(300), rnd.normal(size=300)]).T)
