@@ -112,6 +112,17 @@ def test_widths_in_turns_give_the_same_machines(rows, monkeypatch):
     assert plain() == once and len(once) == 8
 
 
+def test_trials_in_turns_give_the_same_importance_and_leave_no_files(spark, rows, monkeypatch):
+    known = rows.where(F.col(S.ROUTE).isNotNull())
+    score = lambda df: df.withColumn("score", F.col("a") + 0.3 * F.col("b"))
+    found = lambda: sorted(map(tuple, importance.permutation_importance(known, score, ["a", "b"], repeats=2, keys=[S.ROUTE]).collect()))
+    once = found()
+    folder = spark.conf.get("spark.checkpoint.dir").removeprefix("file:")
+    monkeypatch.setattr(importance, "TRIAL_ROWS", 1)
+    assert found() == once
+    assert not [n for n in os.listdir(folder) if n.startswith(("trials-", "shuffled-"))]
+
+
 def test_what_is_stored_in_a_turn_goes_with_it(spark):
     folder = spark.conf.get("spark.checkpoint.dir").removeprefix("file:")
     key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
